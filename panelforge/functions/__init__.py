@@ -3,6 +3,7 @@
 from panelforge.functions.columns import (  # noqa: F401
     case_label,
     compound_label,
+    half_up,
     make_month_date,
     parse_date,
     ratio,

@@ -21,6 +21,18 @@ def _c(col: ColumnOrName) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def half_up(c: Column, digits: int) -> Column:
+    """Round half up on the binary value: ``floor(x * 10^d + 0.5) / 10^d``.
+
+    Written out (rather than ``round``) so that Spark and the SQL twin apply
+    the same arithmetic: Spark's ``round`` works on the shortest decimal text
+    of a double, other engines on its binary value, and the two disagree on
+    exact halves such as 3802.35375.
+    """
+    scale = 10 ** digits
+    return F.floor(_c(c) * scale + 0.5) / scale
+
+
 def parse_date(col: ColumnOrName) -> Column:
     """Text date in ``MM-dd-yyyy`` (price export) or ISO form -> DATE; bad text -> null."""
     c = _c(col)

@@ -7,6 +7,8 @@ import importlib
 MODULES = [
     "panelforge.plans.catalog_returns",
     "panelforge.plans.catalog_panel",
+    "panelforge.plans.catalog_outliers",
+    "panelforge.plans.catalog_quality",
 ]
 
 

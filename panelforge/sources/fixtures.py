@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from panelforge.functions.columns import half_up
+
 # Fixed values of the fixture mapping (FIXTURES.md section 2).
 NULL_PRELIMINARY_EVERY = 17
 NULL_ROA_EVERY = 11
@@ -26,18 +28,6 @@ MONEY_DIGITS = 2
 RATIO_DIGITS = 4
 
 
-def half_up(c: Column, digits: int) -> Column:
-    """Round half up on the binary value: ``floor(x * 10^d + 0.5) / 10^d``.
-
-    Written out (rather than ``round``) so that Spark and the SQL twin apply
-    the same arithmetic: Spark's ``round`` works on the shortest decimal text
-    of a double, other engines on its binary value, and the two disagree on
-    exact halves such as 3802.35375.
-    """
-    scale = 10 ** digits
-    return F.floor(c * scale + 0.5) / scale
-
-
 def _read(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
