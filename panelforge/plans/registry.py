@@ -9,6 +9,7 @@ MODULES = [
     "panelforge.plans.catalog_panel",
     "panelforge.plans.catalog_outliers",
     "panelforge.plans.catalog_quality",
+    "panelforge.plans.catalog_series",
 ]
 
 
