@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.session import materialize as checkpoint
+
 FENCE_K = 1.5
 QUANTILE_DIGITS = 9
 
@@ -65,7 +67,7 @@ def fence_filter_global(df: DataFrame, cols: Sequence[str], k: float = FENCE_K,
     numbers; the input is checkpointed once (to ``spark.checkpoint.dir``) so
     those jobs do not recompute its lineage and survive executor loss.
     """
-    out = df.checkpoint(eager=True) if materialize else df
+    out = checkpoint(df) if materialize else df
     for c in cols:
         q1, q3 = _quartiles(F.col(c), digits)
         row = out.agg(q1.alias("q1"), q3.alias("q3")).first()

@@ -10,6 +10,7 @@ MODULES = [
     "panelforge.plans.catalog_outliers",
     "panelforge.plans.catalog_quality",
     "panelforge.plans.catalog_series",
+    "panelforge.plans.catalog_models",
 ]
 
 

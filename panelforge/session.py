@@ -44,3 +44,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Cut the lineage of ``df`` with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    Used before iterative work (model fits, sequential fences) so that each
+    iteration reads the written rows instead of recomputing the aggregation
+    chain, and so that a lost executor does not force recomputation from the
+    raw tables.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
