@@ -36,7 +36,7 @@ def half_up(c: Column, digits: int) -> Column:
 def parse_date(col: ColumnOrName) -> Column:
     """Text date in ``MM-dd-yyyy`` (price export) or ISO form -> DATE; bad text -> null."""
     c = _c(col)
-    return F.coalesce(F.try_to_date(c, F.lit(DATE_FORMAT_US)), F.try_to_date(c, F.lit(DATE_FORMAT_ISO)))
+    return F.coalesce(F.try_to_date(c, DATE_FORMAT_US), F.try_to_date(c, DATE_FORMAT_ISO))
 
 
 def year_of_fiscal(col: ColumnOrName) -> Column:
