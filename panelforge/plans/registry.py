@@ -12,6 +12,7 @@ MODULES = [
     "panelforge.plans.catalog_series",
     "panelforge.plans.catalog_models",
     "panelforge.plans.catalog_dashboards",
+    "panelforge.plans.catalog_sources",
 ]
 
 

@@ -56,3 +56,12 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared ``spark.checkpoint.dir`` (never a machine-local
+    temporary folder, which other executors of a cluster could not read)."""
+    import uuid
+
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/panelforge-exchange/{name}-{uuid.uuid4().hex}"

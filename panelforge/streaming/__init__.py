@@ -1,0 +1,10 @@
+"""Streaming.
+
+The reproduced workload has no streaming source, watermark or stateful
+operator: prices, index quotes and fundamentals arrive as files and every job is
+a batch job. Nothing is implemented here on purpose. New daily price files are
+handled by re-running the batch jobs; the return operators only need the last
+price of the previous year per company (``operators.returns``), so a rerun
+restricted to the new year's folder stays cheap when the output is written
+partitioned by YEAR (``sources.writers.write_partitioned``).
+"""
