@@ -2,10 +2,11 @@
 
 Quartiles are exact (``percentile``, linear interpolation, nulls ignored: the
 pandas/``quantile_cont`` definition), never ``approx_percentile``. They are
-rounded to ``digits`` decimals (default 9) before the fences are derived: the
-inputs carry at most 4 decimals, so interpolated quartiles carry at most 6 and
-the rounding loses nothing, while it removes the last-bit differences between
-interpolation formulas of different engines.
+rounded to ``digits`` decimals (default 6) before the fences are derived: the
+inputs carry at most 4 decimals and interpolation weights are multiples of
+1/4, so quartiles carry at most 6 decimals and the rounding loses nothing,
+while it removes the last-bit differences between interpolation formulas of
+different engines.
 
 Three behaviours exist and are offered separately:
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from panelforge.session import materialize as checkpoint
 
 FENCE_K = 1.5
-QUANTILE_DIGITS = 9
+QUANTILE_DIGITS = 6
 
 
 def _quartiles(c: Column, digits: int | None) -> tuple[Column, Column]:

@@ -117,12 +117,12 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by: Sequence[str] = ()) -
 
 
 def boxplot_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), k: float = 1.5,
-                    digits: int = 9) -> DataFrame:
+                    digits: int = 6) -> DataFrame:
     """q1, median, q3, whiskers (most extreme values inside the fences) and outlier count.
 
     Two wide aggregates and no unpivot of the rows: quartiles first, then
     conditional min/max/count against the fences. Without groups the quartiles
-    are scalar subqueries; with groups (a period such as the year: one row per
+    come from one one-row aggregate and enter the second pass as literals; with groups (a period such as the year: one row per
     group) they are broadcast-joined on the group keys.
     """
     aggs = []
@@ -137,9 +137,10 @@ def boxplot_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
             return F.col(name)
     else:
         rows = df
+        stats = qs.first().asDict()  # one aggregate job; three numbers per column
 
         def qv(name: str) -> Column:
-            return qs.select(name).scalar()
+            return F.lit(stats[name]).cast("double")
 
     out = []
     for c in cols:

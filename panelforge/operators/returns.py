@@ -186,3 +186,36 @@ def quarterly_return(quarters: DataFrame, prices: DataFrame, key: str = "CODE",
     return j.withColumn(f"{prefix}PRICE_INI", ini).withColumn(f"{prefix}PRICE_FIN", fin).withColumn(
         f"{prefix}RETURNS", ret
     ).drop("_Y", "_M", "_k1", "_y1", "_m1", "_start", "_k2", "_y2", "_m2", "_end")
+
+
+def rolling_sum(df: DataFrame, n: int, key: str = "CODE", time: str = "DATE", value: str = "PRICE",
+                out: str | None = None, period: str | None = "YEAR") -> DataFrame:
+    """Trailing sum over the current and ``n - 1`` previous rows of the entity.
+
+    With ``period`` the window runs per (key, period) like the return
+    operators. The rows a window needs from earlier periods -- the last
+    ``n - 1`` values before the period starts -- are taken from per-period
+    tails (at most ``n - 1`` rows each, from a bounded (key, period) group),
+    gathered over the previous ``n - 1`` non-empty periods, and added as ghost
+    rows that are dropped after the sum.
+    """
+    out = out or f"{value}_SUM{n}"
+    if period is None or n <= 1:
+        w = Window.partitionBy(key).orderBy(time).rowsBetween(-(n - 1), 0)
+        return df.withColumn(out, F.sum(value).over(w))
+    k = n - 1
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(value).alias("v"))))
+    tails = df.groupBy(key, period).agg(pairs.alias("_all")).select(
+        key, period, F.slice("_all", F.greatest(F.size("_all") - k + 1, F.lit(1)), k).alias("_tail")
+    )
+    wp = Window.partitionBy(key).orderBy(period).rowsBetween(-k, -1)
+    prev = F.array_sort(F.flatten(F.collect_list("_tail").over(wp)))
+    carry = tails.select(key, period, prev.alias("_prev")).select(
+        key, period, F.slice("_prev", F.greatest(F.size("_prev") - k + 1, F.lit(1)), k).alias("_prev")
+    )
+    ghosts = carry.select(key, period, F.explode("_prev").alias("_g")).select(
+        key, period, F.col("_g.t").alias(time), F.col("_g.v").alias(value), F.lit(True).alias("_ghost")
+    )
+    rows = df.withColumn("_ghost", F.lit(False)).unionByName(ghosts, allowMissingColumns=True)
+    w = Window.partitionBy(key, period).orderBy(time).rowsBetween(-k, 0)
+    return rows.withColumn(out, F.sum(value).over(w)).where(~F.col("_ghost")).drop("_ghost")

@@ -27,7 +27,7 @@ def _panel(spark, base):
 
 
 def _q(c: str, p: float, over: str = "") -> str:
-    return f"round(quantile_cont({c}, {p}){over}, 9)"
+    return f"round(quantile_cont({c}, {p}){over}, 6)"
 
 
 @register(

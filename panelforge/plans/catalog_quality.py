@@ -55,15 +55,15 @@ DESCRIBED = [c for c in KEEP if c not in ("YEAR", "CODE")]
     "describe_panel",
     "\nUNION ALL\n".join(
         f"SELECT '{c}' AS METRIC, count({c}) AS COUNT, round(avg({c}), 6) AS MEAN, round(stddev_samp({c}), 6) AS STD, "
-        f"min({c}) AS MIN, round(quantile_cont({c}, 0.25), 9) AS P25, round(quantile_cont({c}, 0.5), 9) AS P50, "
-        f"round(quantile_cont({c}, 0.75), 9) AS P75, max({c}) AS MAX FROM opanel"
+        f"min({c}) AS MIN, round(quantile_cont({c}, 0.25), 6) AS P25, round(quantile_cont({c}, 0.5), 6) AS P50, "
+        f"round(quantile_cont({c}, 0.75), 6) AS P75, max({c}) AS MAX FROM opanel"
         for c in DESCRIBED
     ),
     ["opanel"],
 )
 def describe_panel(spark, base):
     d = Q.describe(_panel(spark, base), DESCRIBED)
-    return rounded(rounded(d, ["MEAN", "STD"], 6), ["P25", "P50", "P75"], 9)
+    return rounded(d, ["MEAN", "STD", "P25", "P50", "P75"], 6)
 
 
 CORR = WINSORIZED + ["RETURNS"]
@@ -107,8 +107,8 @@ def _box_sql(cols, by: str | None) -> str:
     parts = []
     byc, grp, on = (f"{by}, ", f" GROUP BY {by}", f" JOIN q USING ({by})") if by else ("", "", ", q")
     for c in cols:
-        q = (f"WITH q AS (SELECT {byc}round(quantile_cont({c}, 0.25), 9) AS Q1, round(quantile_cont({c}, 0.5), 9) AS MEDIAN, "
-             f"round(quantile_cont({c}, 0.75), 9) AS Q3 FROM opanel{grp}) ")
+        q = (f"WITH q AS (SELECT {byc}round(quantile_cont({c}, 0.25), 6) AS Q1, round(quantile_cont({c}, 0.5), 6) AS MEDIAN, "
+             f"round(quantile_cont({c}, 0.75), 6) AS Q3 FROM opanel{grp}) ")
         inside = f"{c} >= Q1 - 1.5 * (Q3 - Q1) AND {c} <= Q3 + 1.5 * (Q3 - Q1)"
         parts.append(
             f"SELECT * FROM ({q}SELECT {byc}'{c}' AS METRIC, max(Q1) AS Q1, max(MEDIAN) AS MEDIAN, max(Q3) AS Q3, "

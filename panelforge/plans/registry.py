@@ -13,6 +13,7 @@ MODULES = [
     "panelforge.plans.catalog_models",
     "panelforge.plans.catalog_dashboards",
     "panelforge.plans.catalog_sources",
+    "panelforge.plans.catalog_misc",
 ]
 
 
