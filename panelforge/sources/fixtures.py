@@ -33,17 +33,22 @@ def _read(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def price(spark: SparkSession, base: str) -> DataFrame:
-    """CODE = 'S'||suppkey, DATE = ship date, PRICE = avg unit price of the day (4 digits)."""
+    """CODE = 'S'||suppkey, DATE = ship date, PRICE = avg unit price of the day (4 digits).
+
+    Grouped on the numeric key; the text code is built after the aggregate,
+    on one row per (supplier, day) instead of every line item.
+    """
     li = _read(spark, base, "lineitem")
     return (
         li.select(
-            F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("CODE"),
+            F.col("l_suppkey"),
             F.to_date("l_shipdate").alias("DATE"),
             F.try_divide("l_extendedprice", "l_quantity").alias("_unit"),
         )
-        .groupBy("CODE", "DATE")
+        .groupBy("l_suppkey", "DATE")
         .agg(half_up(F.avg("_unit"), 4).alias("PRICE"))
-        .withColumn("YEAR", F.year("DATE"))
+        .select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("CODE"), "DATE", "PRICE",
+                F.year("DATE").alias("YEAR"))
     )
 
 
@@ -51,14 +56,11 @@ def price_sparse(spark: SparkSession, base: str) -> DataFrame:
     """CODE = 'C'||custkey, DATE = order date, PRICE = avg order total (4 digits)."""
     o = _read(spark, base, "orders")
     return (
-        o.select(
-            F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("CODE"),
-            F.to_date("o_orderdate").alias("DATE"),
-            F.col("o_totalprice"),
-        )
-        .groupBy("CODE", "DATE")
+        o.select(F.col("o_custkey"), F.to_date("o_orderdate").alias("DATE"), F.col("o_totalprice"))
+        .groupBy("o_custkey", "DATE")
         .agg(half_up(F.avg("o_totalprice"), 4).alias("PRICE"))
-        .withColumn("YEAR", F.year("DATE"))
+        .select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("CODE"), "DATE", "PRICE",
+                F.year("DATE").alias("YEAR"))
     )
 
 

@@ -100,3 +100,18 @@ def test_monthly_ohlc(spark):
     r = T.monthly_ohlc(df).collect()[0]
     assert (r.OPEN, r.HIGH, r.LOW, r.CLOSE) == (3.0, 5.0, 3.0, 4.0)
     assert math.isclose(r.RETURNS, 1 / 3)
+
+
+def test_bucketed_rolling_sum_equals_plain_window(spark):
+    rnd = random.Random(11)
+    rows = []
+    for code in ("A", "B", "C", "D"):
+        day = d("1995-12-25")
+        for _ in range(rnd.randint(1, 40)):
+            day += dt.timedelta(days=rnd.choice([1, 2, 3, 200, 400, 800]))
+            rows.append((code, day, float(rnd.randint(1, 9))))
+    df = spark.createDataFrame(rows, "CODE string, DATE date, PRICE double").withColumn("YEAR", F.year("DATE"))
+    for n in (2, 3, 5):
+        a = {(r.CODE, r.DATE): r[f"PRICE_SUM{n}"] for r in T.rolling_sum(df, n).collect()}
+        b = {(r.CODE, r.DATE): r[f"PRICE_SUM{n}"] for r in T.rolling_sum(df, n, period=None).collect()}
+        assert a == b, n
