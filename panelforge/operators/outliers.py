@@ -106,15 +106,18 @@ def winsorize_by(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("YEAR"
                  digits: int | None = QUANTILE_DIGITS) -> DataFrame:
     """O3: per group clip every column to its fences; nulls stay null; columns independent.
 
-    One aggregate computes all fences; the bounds table has one row per group
-    (a year: bounded by the calendar) and is broadcast to the rows.
+    The quartiles are window aggregates over the group partitioning, so the
+    input is read once (an aggregate joined back would evaluate it twice) and
+    there is one exchange for all columns.
     """
-    aggs = []
+    w = Window.partitionBy(*by)
+    out = df
     for c in cols:
-        q1, q3 = _quartiles(F.col(c), digits)
-        aggs += [q1.alias(f"_{c}_q1"), q3.alias(f"_{c}_q3")]
-    bounds = df.groupBy(*by).agg(*aggs)
-    out = df.join(F.broadcast(bounds), list(by), "left")
+        q = F.percentile(F.col(c), [0.25, 0.75]).over(w)
+        q1, q3 = q.getItem(0), q.getItem(1)
+        if digits is not None:
+            q1, q3 = F.round(q1, digits), F.round(q3, digits)
+        out = out.withColumn(f"_{c}_q1", q1).withColumn(f"_{c}_q3", q3)
     for c in cols:
         q1, q3 = F.col(f"_{c}_q1"), F.col(f"_{c}_q3")
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)

@@ -120,22 +120,27 @@ def boxplot_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                     digits: int = 6) -> DataFrame:
     """q1, median, q3, whiskers (most extreme values inside the fences) and outlier count.
 
-    Two wide aggregates and no unpivot of the rows: quartiles first, then
+    No unpivot of the rows: quartiles first, then one wide aggregate of
     conditional min/max/count against the fences. Without groups the quartiles
-    come from one one-row aggregate and enter the second pass as literals; with groups (a period such as the year: one row per
-    group) they are broadcast-joined on the group keys.
+    come from a one-row aggregate and enter the second pass as literals; with
+    groups (a period such as the year) they are window aggregates over the
+    same partitioning as the final aggregate, so the input is read once.
     """
     aggs = []
     for c in cols:
         q = F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75])
         aggs += [F.round(q.getItem(i), digits).alias(f"_{c}_{n}") for i, n in enumerate(("Q1", "MEDIAN", "Q3"))]
-    qs = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     if by:
-        rows = df.join(F.broadcast(qs), list(by))
+        w = Window.partitionBy(*by)
+        rows = df
+        for c in cols:
+            q = F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75]).over(w)
+            rows = rows.withColumns({f"_{c}_{n}": F.round(q.getItem(i), digits) for i, n in enumerate(("Q1", "MEDIAN", "Q3"))})
 
         def qv(name: str) -> Column:
             return F.col(name)
     else:
+        qs = df.agg(*aggs)
         rows = df
         stats = qs.first().asDict()  # one aggregate job; three numbers per column
 

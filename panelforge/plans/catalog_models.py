@@ -88,7 +88,8 @@ FROM gb_scored
 
 
 def _walk_forward_lr(spark, base, solver):
-    panel = _labelled(spark, base)
+    # the panel feeds training ranks, scoring ranks and the score table: build it once
+    panel = materialize(_labelled(spark, base))
     train = M.training_windows(greenblatt_training(panel), TARGET_YEARS, N_BACK)
     coef = M.linear_fit_two(train, "X1", "X2", "Y") if solver == "closed" else M.linear_fit(train, ["X1", "X2"], "Y")
     scored = M.apply_linear(greenblatt_scoring(panel), coef, ["X1", "X2"])
@@ -118,7 +119,7 @@ FROM (SELECT s.PREDICTION, t.Y FROM gb_scored s JOIN gb_train t USING (YEAR, COD
     ["gb_scored", "gb_train"],
 )
 def regression_metrics(spark, base):
-    panel = _labelled(spark, base)
+    panel = materialize(_labelled(spark, base))
     tr = greenblatt_training(panel)
     train = M.training_windows(tr, TARGET_YEARS, N_BACK)
     scored = rounded(M.apply_linear(greenblatt_scoring(panel), M.linear_fit_two(train, "X1", "X2", "Y"), ["X1", "X2"]),
