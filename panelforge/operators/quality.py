@@ -191,6 +191,28 @@ def entity_eligibility(df: DataFrame, key: str = "CODE", period: str = "YEAR", m
     )
 
 
+def eligible_rows(df: DataFrame, key: str = "CODE", period: str = "YEAR", min_periods: int = 12,
+                  last_period: int | None = None, cols: Sequence[str] | None = None) -> DataFrame:
+    """A17 as a row filter in one pass: the same rules as ``entity_eligibility``
+    evaluated with window aggregates per entity (a partition is one entity's
+    series, bounded by its number of periods) instead of aggregate + semi join,
+    which would evaluate the input twice."""
+    cols = list(cols) if cols is not None else [c for c in df.columns if c not in (key, period)]
+    any_null = F.greatest(*[F.col(c).isNull().cast("int") for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNull().cast("int")
+    w = Window.partitionBy(key)
+    last = F.lit(last_period) if last_period is not None else df.select(F.max(period)).scalar()
+    n, lo, hi = F.count(F.lit(1)).over(w), F.min(period).over(w), F.max(period).over(w)
+    ok = (F.sum(any_null).over(w) == 0) & (n >= min_periods) & (hi - lo + 1 == n) & (hi == last)
+    return df.withColumn("_eligible", ok).where(F.col("_eligible")).drop("_eligible")
+
+
+def drop_entities_with_value(df: DataFrame, col: str, value=0, key: str = "CODE") -> DataFrame:
+    """A18 in one pass: drop every row of an entity that has any row with ``col == value``
+    (window flag per entity instead of distinct keys + anti join)."""
+    flag = F.max(F.when(F.col(col) == value, 1).otherwise(0)).over(Window.partitionBy(key))
+    return df.withColumn("_hit", flag).where(F.col("_hit") == 0).drop("_hit")
+
+
 def keep_entities(df: DataFrame, entities: DataFrame, key: str = "CODE") -> DataFrame:
     """Rows whose key is in ``entities`` (left semi join)."""
     return df.join(entities.select(key), key, "left_semi")

@@ -153,8 +153,23 @@ WHERE s.CODE IN (
 )
 def entity_eligibility(spark, base):
     y = P.yearly_prices(Tables(spark, base).price_sparse)
-    ok = Q.entity_eligibility(y, "CODE", "YEAR", min_periods=3)
-    return rounded(Q.keep_entities(y, ok).select("YEAR", "CODE", "RETURNS", "RISK"), ["RISK"])
+    return rounded(Q.eligible_rows(y, "CODE", "YEAR", min_periods=3).select("YEAR", "CODE", "RETURNS", "RISK"), ["RISK"])
+
+
+@register(
+    "eligible_entities",
+    """
+SELECT CODE, count(*) AS N, min(YEAR) AS FIRST_PERIOD, max(YEAR) AS LAST_PERIOD,
+       sum(CASE WHEN PRICE_START IS NULL OR PRICE_END IS NULL OR RISK IS NULL OR RETURNS IS NULL THEN 1 ELSE 0 END) AS NULL_ROWS
+FROM sparse_yearly GROUP BY CODE
+HAVING sum(CASE WHEN PRICE_START IS NULL OR PRICE_END IS NULL OR RISK IS NULL OR RETURNS IS NULL THEN 1 ELSE 0 END) = 0
+   AND count(*) >= 3 AND max(YEAR) - min(YEAR) + 1 = count(*) AND max(YEAR) = (SELECT max(YEAR) FROM sparse_yearly)
+""",
+    ["sparse_yearly"],
+)
+def eligible_entities(spark, base):
+    y = P.yearly_prices(Tables(spark, base).price_sparse)
+    return Q.entity_eligibility(y, "CODE", "YEAR", min_periods=3)
 
 
 @register(
@@ -167,7 +182,7 @@ WHERE CODE NOT IN (SELECT CODE FROM fund WHERE VQ_MARKET_CAP = 0)
 )
 def exclude_zero_cap_entities(spark, base):
     f = P.fundamentals(Tables(spark, base).financials, True, ["VQ_MARKET_CAP", "CSR__ROC_JOEL_GREENBLATT"])
-    return Q.drop_entities(f, Q.entities_with_value(f, "VQ_MARKET_CAP", 0))
+    return Q.drop_entities_with_value(f, "VQ_MARKET_CAP", 0)
 
 
 @register(
