@@ -195,18 +195,20 @@ def rolling_sum(df: DataFrame, n: int, key: str = "CODE", time: str = "DATE", va
     With ``period`` the window runs per (key, period) like the return
     operators. The rows a window needs from earlier periods -- the last
     ``n - 1`` values before the period starts -- are taken from per-period
-    tails (at most ``n - 1`` rows each, from a bounded (key, period) group),
-    gathered over the previous ``n - 1`` non-empty periods, and added as ghost
-    rows that are dropped after the sum.
+    tails (the last ``n - 1`` rows of each (key, period), selected with a
+    ``row_number`` limit that Spark applies per task before the shuffle, so a
+    hot group never travels whole), gathered over the previous ``n - 1``
+    non-empty periods, and added as ghost rows that are dropped after the sum.
     """
     out = out or f"{value}_SUM{n}"
     if period is None or n <= 1:
         w = Window.partitionBy(key).orderBy(time).rowsBetween(-(n - 1), 0)
         return df.withColumn(out, F.sum(value).over(w))
     k = n - 1
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(value).alias("v"))))
-    tails = df.groupBy(key, period).agg(pairs.alias("_all")).select(
-        key, period, F.slice("_all", F.greatest(F.size("_all") - k + 1, F.lit(1)), k).alias("_tail")
+    last_k = Window.partitionBy(key, period).orderBy(F.col(time).desc())
+    tail_rows = df.select(key, period, time, value).withColumn("_rk", F.row_number().over(last_k)).where(F.col("_rk") <= k)
+    tails = tail_rows.groupBy(key, period).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(value).alias("v")))).alias("_tail")
     )
     wp = Window.partitionBy(key).orderBy(period).rowsBetween(-k, -1)
     prev = F.array_sort(F.flatten(F.collect_list("_tail").over(wp)))
