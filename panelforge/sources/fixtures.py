@@ -75,18 +75,22 @@ def index_values(spark: SparkSession, base: str, prices: DataFrame | None = None
             F.min("PRICE").alias("LOW"),
             F.max_by("PRICE", "CODE").alias("CLOSE"),
             F.count(F.lit(1)).alias("VOLUME"),
+            # INDICE is a data column, as in the stored quotes table; a literal
+            # would let the optimizer fold the join to the index master table
+            # (ID = INDICE) into a cross product.
+            F.min(F.lit(1)).alias("INDICE"),
         )
         .withColumn("ADJ_CLOSE", F.col("CLOSE"))
         .withColumn("YEAR", F.year("DATE"))
-        .withColumn("INDICE", F.lit(1))
     )
 
 
 def index_table(spark: SparkSession, base: str) -> DataFrame:
     """ID = 1, NAME = REGION = name of the region with the smallest key."""
     r = _read(spark, base, "region")
-    return r.agg(F.min_by("r_name", "r_regionkey").alias("NAME")).select(
-        F.lit(1).alias("ID"), "NAME", F.col("NAME").alias("REGION")
+    # ID is a data column (see index_values: keeps ID = INDICE an equi-join)
+    return r.agg(F.min(F.lit(1)).alias("ID"), F.min_by("r_name", "r_regionkey").alias("NAME")).select(
+        "ID", "NAME", F.col("NAME").alias("REGION")
     )
 
 
