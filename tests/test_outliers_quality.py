@@ -98,3 +98,17 @@ def test_correlation(spark):
     df = spark.createDataFrame([(float(i), -2.0 * i) for i in range(10)], "A double, B double")
     r = Q.correlation_matrix(df, ["A", "B"]).first()
     assert math.isclose(r.CORR, 1.0)
+
+
+def test_eligible_rows_matches_entity_list(spark):
+    rows = [("A", y, 1.0) for y in range(2000, 2005)] + [("B", 2000, 1.0), ("B", 2002, 1.0), ("B", 2003, 1.0), ("B", 2004, 1.0)]
+    rows += [("C", y, None if y == 2002 else 1.0) for y in range(2000, 2005)]
+    df = spark.createDataFrame(rows, "CODE string, YEAR int, V double")
+    a = sorted((r.CODE, r.YEAR) for r in Q.eligible_rows(df, min_periods=4).collect())
+    b = sorted((r.CODE, r.YEAR) for r in Q.keep_entities(df, Q.entity_eligibility(df, min_periods=4)).collect())
+    assert a == b == [("A", y) for y in range(2000, 2005)]
+
+
+def test_drop_entities_with_value(spark):
+    df = spark.createDataFrame([("A", 1.0), ("A", 0.0), ("B", 2.0), ("C", None)], "CODE string, CAP double")
+    assert sorted(r.CODE for r in Q.drop_entities_with_value(df, "CAP", 0).collect()) == ["B", "C"]
