@@ -326,7 +326,7 @@ O.cte(
     """
 SELECT THRESHOLD, TP, FP, FP / NULLIF((SELECT count(*) FROM doc_scores WHERE LABEL = 0), 0) AS FPR,
        TP / NULLIF((SELECT count(*) FROM doc_scores WHERE LABEL = 1), 0) AS TPR, pos, neg
-FROM (SELECT THRESHOLD, pos, neg, sum(pos) OVER w AS TP, sum(neg) OVER w AS FP FROM (
+FROM (SELECT THRESHOLD, pos, neg, CAST(sum(pos) OVER w AS BIGINT) AS TP, CAST(sum(neg) OVER w AS BIGINT) AS FP FROM (
         SELECT SCORE AS THRESHOLD, count(CASE WHEN LABEL = 1 THEN 1 END) AS pos, count(CASE WHEN LABEL = 0 THEN 1 END) AS neg
         FROM doc_scores WHERE SCORE IS NOT NULL AND LABEL IS NOT NULL GROUP BY SCORE) g
       WINDOW w AS (ORDER BY THRESHOLD DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) r
@@ -344,7 +344,7 @@ def roc_curve(spark, base):
     "roc_auc",
     """
 SELECT round(sum(neg * (TP - pos + 0.5 * pos)) / NULLIF(sum(pos) * sum(neg), 0), 9) AS AUC,
-       sum(pos) AS POSITIVES, sum(neg) AS NEGATIVES
+       CAST(sum(pos) AS BIGINT) AS POSITIVES, CAST(sum(neg) AS BIGINT) AS NEGATIVES
 FROM doc_roc
 """,
     ["doc_roc"],

@@ -160,7 +160,7 @@ def entity_eligibility(spark, base):
     "eligible_entities",
     """
 SELECT CODE, count(*) AS N, min(YEAR) AS FIRST_PERIOD, max(YEAR) AS LAST_PERIOD,
-       sum(CASE WHEN PRICE_START IS NULL OR PRICE_END IS NULL OR RISK IS NULL OR RETURNS IS NULL THEN 1 ELSE 0 END) AS NULL_ROWS
+       CAST(sum(CASE WHEN PRICE_START IS NULL OR PRICE_END IS NULL OR RISK IS NULL OR RETURNS IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS NULL_ROWS
 FROM sparse_yearly GROUP BY CODE
 HAVING sum(CASE WHEN PRICE_START IS NULL OR PRICE_END IS NULL OR RISK IS NULL OR RETURNS IS NULL THEN 1 ELSE 0 END) = 0
    AND count(*) >= 3 AND max(YEAR) - min(YEAR) + 1 = count(*) AND max(YEAR) = (SELECT max(YEAR) FROM sparse_yearly)
