@@ -279,3 +279,35 @@ def sector_rollup_mapping(spark, base):
         F.avg("CSR__ROC_JOEL_GREENBLATT").alias("AVG_ROC"),
     )
     return rounded(out, ["AVG_RETURNS", "AVG_ROC"])
+
+
+_ALL = P.RATIO_COLUMNS + ["VQ_MARKET_CAP", "IS_EPS_BASIC", "VR_PE_RATIO"]
+
+
+@register(
+    "yearly_metrics_all_columns",
+    "SELECT f.CODE, f.YEAR, " + ", ".join(f"f.{c}" for c in _ALL)
+    + ", y.PRICE_START, y.PRICE_END, round(y.RISK, 6) AS RISK, y.RETURNS "
+    "FROM (SELECT CODE, try_cast(substr(FISCAL_YEAR, 1, 4) AS INTEGER) AS YEAR, " + ", ".join(_ALL)
+    + " FROM financials WHERE PRELIMINARY <> 1) f JOIN yearly_prices y USING (YEAR, CODE)",
+    ["financials", "yearly_prices"],
+)
+def yearly_metrics_all_columns(spark, base):
+    """Every fundamental column, final statements only, with the yearly price metrics."""
+    t = Tables(spark, base)
+    f = P.fundamentals(t.financials, include_preliminary=False, columns=_ALL)
+    return rounded(f.join(P.yearly_prices(t.price), ["YEAR", "CODE"]), ["RISK"])
+
+
+@register(
+    "yearly_dataset_label_only",
+    """
+SELECT b.* REPLACE (round(RISK, 6) AS RISK), lead(RETURNS) OVER (PARTITION BY CODE ORDER BY YEAR) AS TARGET
+FROM (SELECT f.*, y.PRICE_START, y.PRICE_END, y.RISK, y.RETURNS FROM fund_final f JOIN yearly_prices y USING (YEAR, CODE)) b
+""",
+    ["fund_final", "yearly_prices"],
+)
+def yearly_dataset_label_only(spark, base):
+    """25 ratios, final statements only, yearly price metrics and the next-year label (no ranks)."""
+    t = Tables(spark, base)
+    return rounded(P.yearly_dataset(t.financials, t.price, None, include_preliminary=False, with_ranks=False), ["RISK"])
