@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only after checking the size: ``limit(max_rows + 1).count()``
+    stops reading as soon as the bound is exceeded. Larger tables are returned
+    unchanged, so Spark plans a shuffle join (or AQE converts it at run time).
+
+    Meant for dimension tables (mappings, master data); tables bounded by
+    construction (one row per year) are broadcast directly by the operators.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

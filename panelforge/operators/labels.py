@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import case_label, compound_label
+from panelforge.functions.joins import broadcast_if_small
 
 # The two-valued categories of the labels.
 POSITIVE, NEGATIVE = "POSITIVE", "NEGATIVE"
@@ -74,12 +75,12 @@ def encode_label(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 def map_categories(df: DataFrame, mapping: DataFrame, col: str, out: str, source: str = "FROM", target: str = "TO") -> DataFrame:
     """Map values through a mapping table; unlisted values pass through unchanged.
 
-    ``mapping`` is a dimension (one row per source value), joined with a
-    broadcast hint since a category hierarchy is small by nature.
+    ``mapping`` is a dimension (one row per source value); it is broadcast
+    after a size check (``broadcast_if_small``), otherwise shuffled.
     """
-    m = mapping.select(F.col(source).alias("_from"), F.col(target).alias("_to"))
+    m = broadcast_if_small(mapping.select(F.col(source).alias("_from"), F.col(target).alias("_to")))
     return (
-        df.join(F.broadcast(m), F.col(col) == F.col("_from"), "left")
+        df.join(m, F.col(col) == F.col("_from"), "left")
         .withColumn(out, F.coalesce(F.col("_to"), F.col(col)))
         .drop("_from", "_to")
     )

@@ -148,11 +148,12 @@ def impute(df: DataFrame, features: Sequence[str], strategy: str = "median", ind
 
 
 def class_weights(df: DataFrame, label: str, out: str = "WEIGHT") -> DataFrame:
-    """M8: balanced weights ``n / (k * n_c)``; the class-count table has one row per class."""
+    """M8: balanced weights ``n / (k * n_c)``; the class-count table has one row per
+    class (partial aggregation), joined back; AQE broadcasts it at run time when small."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     total = df.select(F.count(F.lit(1))).scalar()
     k = counts.select(F.count(F.lit(1))).scalar()
-    return df.join(F.broadcast(counts), label).withColumn(out, total / (k * F.col("_nc"))).drop("_nc")
+    return df.join(counts, label).withColumn(out, total / (k * F.col("_nc"))).drop("_nc")
 
 
 def regression_estimator(kind: str, seed: int = 10, **params):

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import URL_PREFIX, case_label
+from panelforge.functions.joins import broadcast_if_small
 from panelforge.operators import dashboards as D
 from panelforge.operators import returns as T
 from panelforge.operators import sets as SE
@@ -110,7 +111,7 @@ def dashboard_cumulative_vs_index(spark, base):
 def index_quotes_named(spark, base):
     t = Tables(spark, base)
     i, v = t.index_table, t.index_values
-    return F.broadcast(i).join(v, i.ID == v.INDICE).select("DATE", "NAME", "REGION", "ADJ_CLOSE", "VOLUME")
+    return broadcast_if_small(i).join(v, i.ID == v.INDICE).select("DATE", "NAME", "REGION", "ADJ_CLOSE", "VOLUME")
 
 
 O.cte(
@@ -223,6 +224,7 @@ def quarterly_dataset(spark, base):
     q = T.quarterly_return(fq, t.price)
     iq = T.quarterly_return(fq.select("FISCAL_YEAR").distinct().withColumn("INDICE", F.lit(1)), t.index_values,
                             key="INDICE", start_value="OPEN", end_value="CLOSE", prefix="INDEX_")
+    # one index return per fiscal quarter: bounded by the calendar
     j = q.join(F.broadcast(iq.select("FISCAL_YEAR", "INDEX_RETURNS")), "FISCAL_YEAR", "left")
     w = Window.partitionBy("CODE").orderBy("FISCAL_YEAR")
     r, i = F.col("RETURNS"), F.col("INDEX_RETURNS")
