@@ -100,3 +100,41 @@ FROM opanel p LEFT JOIN (SELECT YEAR, {_wq} FROM opanel GROUP BY YEAR) b USING (
 )
 def winsorize_by_year(spark, base):
     return OUT.winsorize_by(_panel(spark, base), WINSORIZED)
+
+
+# All ratio columns except the Piotroski score (a 0..9 count), in the yearly dataset order.
+ALL_FENCED = [c for c in P.RATIO_COLUMNS if c != "VQ__PIOTROSKI_F_SCORE"]
+
+O.cte("fpanel", "SELECT YEAR, CODE, " + ", ".join(ALL_FENCED) + " FROM fund", ("fund",))
+
+
+def _fpanel(spark, base):
+    return P.fundamentals(Tables(spark, base).financials, True, ALL_FENCED)
+
+
+_ya_ctes, _ya_last = _by_year_sql(ALL_FENCED)
+_ya_ctes = _ya_ctes.replace("s0 AS (SELECT * FROM opanel)", "s0 AS (SELECT * FROM fpanel)")
+
+
+O.cte("fence_all_year_chain", f"WITH {_ya_ctes} SELECT * FROM {_ya_last}", ("fpanel",))
+
+
+@register("fence_all_columns_by_year", "SELECT * FROM fence_all_year_chain", ["fence_all_year_chain"])
+def fence_all_columns_by_year(spark, base):
+    """Per-year fences applied sequentially to 24 ratio columns: 24 window aggregates
+    over one partitioning (one exchange), no loop over years."""
+    return OUT.fence_filter_by(_fpanel(spark, base), ALL_FENCED)
+
+
+_ga_ctes, _ga_last = _global_sql(ALL_FENCED)
+_ga_ctes = _ga_ctes.replace("s0 AS (SELECT * FROM opanel)", "s0 AS (SELECT * FROM fpanel)")
+
+
+O.cte("fence_all_global_chain", f"WITH {_ga_ctes} SELECT * FROM {_ga_last}", ("fpanel",))
+
+
+@register("fence_all_columns_global", "SELECT * FROM fence_all_global_chain", ["fence_all_global_chain"])
+def fence_all_columns_global(spark, base):
+    """Global fences applied sequentially to 24 ratio columns (one checkpoint, one
+    small statistics job per column)."""
+    return OUT.fence_filter_global(_fpanel(spark, base), ALL_FENCED)

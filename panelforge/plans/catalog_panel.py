@@ -311,3 +311,22 @@ def yearly_dataset_label_only(spark, base):
     """25 ratios, final statements only, yearly price metrics and the next-year label (no ranks)."""
     t = Tables(spark, base)
     return rounded(P.yearly_dataset(t.financials, t.price, None, include_preliminary=False, with_ranks=False), ["RISK"])
+
+
+@register(
+    "dense_ranks_all_columns",
+    """
+SELECT YEAR, CODE, METRIC, VALUE,
+  CASE WHEN VALUE IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY YEAR, METRIC ORDER BY VALUE DESC NULLS LAST) AS INTEGER) END AS RANK
+FROM (SELECT YEAR, CODE, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in P.RATIO_COLUMNS) + """ FROM fund) s
+UNPIVOT INCLUDE NULLS (VALUE FOR METRIC IN (""" + ", ".join(P.RATIO_COLUMNS) + """))
+""",
+    ["fund"],
+)
+def dense_ranks_all_columns(spark, base):
+    """Dense descending rank of every ratio within its year, long form: one window
+    partitioned by (YEAR, METRIC) instead of 25 sorts of the same partition."""
+    f = P.fundamentals(Tables(spark, base).financials)
+    long = f.select("YEAR", "CODE", *[F.col(c).cast("double").alias(c) for c in P.RATIO_COLUMNS]).unpivot(
+        ["YEAR", "CODE"], P.RATIO_COLUMNS, "METRIC", "VALUE")
+    return R.dense_rank_by(long, "VALUE", ("YEAR", "METRIC"), ascending=False, out="RANK")
