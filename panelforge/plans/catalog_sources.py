@@ -54,3 +54,13 @@ def index_csv_roundtrip(spark, base):
     WR.write_sorted_csv(raw, folder, ("Date",), single_file=False)
     return RD.normalize_index_quotes(RD.read_csv(spark, folder, RD.INDEX_QUOTES_SCHEMA)).select(
         "DATE", "OPEN", "HIGH", "LOW", "CLOSE", "ADJ_CLOSE", "VOLUME", "YEAR", "INDICE")
+
+
+@register("financials_from_long_names", "SELECT * FROM fund", ["fund"])
+def financials_from_long_names(spark, base):
+    """Fundamentals delivered with the vendor's long column names (positional header),
+    renamed to the short layout and turned into (CODE, YEAR, ratios)."""
+    f = Tables(spark, base).financials
+    vendor = RD.rename_positional(f, [RD.long_name(c) for c in f.columns])
+    short = RD.shorten_columns(vendor)
+    return P.fundamentals(short, True, P.RATIO_COLUMNS + ["VQ_MARKET_CAP", "IS_EPS_BASIC", "VR_PE_RATIO"])

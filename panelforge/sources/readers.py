@@ -110,3 +110,53 @@ def normalize_financials(df: DataFrame, rename: Mapping[str, str] | None = None)
     if rename:
         df = df.withColumnsRenamed(dict(rename))
     return df.withColumn("YEAR", year_of_fiscal("FISCAL_YEAR"))
+
+
+# Vendor column prefixes of the fundamentals and their short forms.
+LONG_TO_SHORT_PREFIX = {
+    "COMMON_SIZE_RATIOS__": "CSR__",
+    "VALUATION_RATIOS__": "VR__",
+    "VALUATION_AND_QUALITY__": "VQ__",
+    "PER_SHARE_DATA_ARRAY__": "PSDA__",
+    "INCOME_STATEMENT__": "IS__",
+    "BALANCE_SHEET__": "BS__",
+}
+# Three panel columns whose short form keeps a single underscore.
+SHORT_NAME_EXCEPTIONS = {
+    "VALUATION_AND_QUALITY__MARKET_CAP": "VQ_MARKET_CAP",
+    "INCOME_STATEMENT__EPS_BASIC": "IS_EPS_BASIC",
+    "VALUATION_RATIOS__PE_RATIO": "VR_PE_RATIO",
+}
+
+
+def short_name(name: str) -> str:
+    """Long vendor name -> short prefixed name; other names unchanged."""
+    if name in SHORT_NAME_EXCEPTIONS:
+        return SHORT_NAME_EXCEPTIONS[name]
+    for long, short in LONG_TO_SHORT_PREFIX.items():
+        if name.startswith(long):
+            return short + name[len(long):]
+    return name
+
+
+def long_name(name: str) -> str:
+    """Inverse of ``short_name``."""
+    for long, short in SHORT_NAME_EXCEPTIONS.items():
+        if name == short:
+            return long
+    for long, short in LONG_TO_SHORT_PREFIX.items():
+        if name.startswith(short):
+            return long + name[len(short):]
+    return name
+
+
+def shorten_columns(df: DataFrame) -> DataFrame:
+    """Rename every long vendor column to its short form (one projection)."""
+    return df.withColumnsRenamed({c: short_name(c) for c in df.columns if short_name(c) != c})
+
+
+def rename_positional(df: DataFrame, names: list[str]) -> DataFrame:
+    """Positional rename of a header-less or badly headed export (``toDF``)."""
+    if len(names) != len(df.columns):
+        raise ValueError(f"{len(names)} names for {len(df.columns)} columns")
+    return df.toDF(*names)

@@ -82,3 +82,13 @@ def test_scalar_helpers(spark):
     assert str(r.us) == "2001-03-31" and str(r.iso) == "2001-03-31"
     assert r.half == 0 and r.three_halves == 2
     assert r.edge is False
+
+
+def test_long_short_names_round_trip():
+    from panelforge.sources.readers import long_name, short_name
+
+    assert short_name("COMMON_SIZE_RATIOS__ROC_JOEL_GREENBLATT") == "CSR__ROC_JOEL_GREENBLATT"
+    assert short_name("VALUATION_AND_QUALITY__MARKET_CAP") == "VQ_MARKET_CAP"
+    assert short_name("CODE") == "CODE"
+    for c in ("CSR__ROE", "VQ_MARKET_CAP", "IS_EPS_BASIC", "BS__TOTAL_ASSETS", "FISCAL_YEAR"):
+        assert short_name(long_name(c)) == c
