@@ -11,6 +11,7 @@ from panelforge.plans import oracle as O
 from panelforge.plans import pipelines as P
 from panelforge.plans.catalog import Tables, register, rounded
 from panelforge.plans.catalog_outliers import _panel
+from panelforge.operators.sectors import sector_pairs, sector_values_sql
 
 SUPERVISED = ["RETURNS", "CSR__ROC_JOEL_GREENBLATT", "VR__EV_TO_EBIT"]
 
@@ -183,10 +184,54 @@ def var1_forecast(spark, base):
     return S.var_forecast(_panel(spark, base), VAR_COLS, "CODE", "YEAR", lags=1, holdout=1)
 
 
-@register("var1_forecast_by_sector")
-def var1_forecast_by_sector(spark, base):
-    """VAR(1) per industry on the industry-year averages (one row per industry and year)."""
+def _sector_series(spark, base):
+    """(SECTOR, YEAR, RETURNS, ROC): industry mapped to its sector (fixed hierarchy, then
+    nation -> region for the test data), averaged to one row per sector and year."""
     t = Tables(spark, base)
+    fixed = spark.createDataFrame(sector_pairs(), "FROM string, TO string")
+    nat = t.raw("nation").join(t.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    mapping = fixed.unionByName(nat.select(F.col("n_name").alias("FROM"), F.col("r_name").alias("TO")))
     p = _panel(spark, base).join(t.companies.select("CODE", "INDUSTRY01"), "CODE")
-    agg = p.groupBy("INDUSTRY01", "YEAR").agg(*[F.avg(c).alias(c) for c in ["RETURNS", "CSR__ROC_JOEL_GREENBLATT"]])
-    return S.var_forecast(agg, ["RETURNS", "CSR__ROC_JOEL_GREENBLATT"], "INDUSTRY01", "YEAR", lags=1, holdout=1)
+    p = L.map_categories(p, mapping, "INDUSTRY01", "SECTOR")
+    return p.groupBy("SECTOR", "YEAR").agg(F.avg("RETURNS").alias("RETURNS"),
+                                           F.avg("CSR__ROC_JOEL_GREENBLATT").alias("CSR__ROC_JOEL_GREENBLATT"))
+
+
+@register("var1_forecast_by_sector")
+def var1_forecast_by_sector(spark, base):
+    """VAR(1) per sector on the sector-year averages (one row per sector and year)."""
+    return S.var_forecast(_sector_series(spark, base), ["RETURNS", "CSR__ROC_JOEL_GREENBLATT"], "SECTOR", "YEAR",
+                          lags=1, holdout=1)
+
+
+O.cte(
+    "sector_series",
+    f"""
+SELECT SECTOR, YEAR, avg(RETURNS) AS RETURNS FROM (
+  SELECT coalesce(m.TO_, c.INDUSTRY01) AS SECTOR, o.YEAR, o.RETURNS
+  FROM opanel o JOIN companies c USING (CODE)
+  LEFT JOIN (SELECT * FROM (VALUES {sector_values_sql()}) v(FROM_, TO_)
+             UNION ALL SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) m
+  ON c.INDUSTRY01 = m.FROM_) s
+GROUP BY SECTOR, YEAR
+""",
+    ("opanel", "companies"),
+)
+
+
+@register(
+    "persistence_rmse_by_sector",
+    """
+SELECT SECTOR, max(n) AS N, round(arg_max(prev, pos), 9) AS PREDICTION,
+       round(sqrt(avg(CASE WHEN pos > n - 1 THEN (RETURNS - prev) ^ 2 END)), 6) AS RMSE
+FROM (SELECT SECTOR, YEAR, RETURNS, row_number() OVER w AS pos, count(*) OVER (PARTITION BY SECTOR) AS n,
+             lag(RETURNS) OVER w AS prev
+      FROM sector_series WINDOW w AS (PARTITION BY SECTOR ORDER BY YEAR)) t
+GROUP BY SECTOR
+""",
+    ["sector_series"],
+)
+def persistence_rmse_by_sector(spark, base):
+    """Persistence baseline per sector series (the per-industry view)."""
+    r = S.persistence_rmse(_sector_series(spark, base), "RETURNS", key="SECTOR", test_fraction=1.0)
+    return rounded(rounded(r, ["PREDICTION"], 9), ["RMSE"], 6)
