@@ -29,33 +29,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.operators.quantiles import exact_quantiles
 from panelforge.session import materialize as checkpoint
 
 FENCE_K = 1.5
 QUANTILE_DIGITS = 6
 
 
-def _quartiles(c: Column, digits: int | None) -> tuple[Column, Column]:
-    q = F.percentile(c, [0.25, 0.75])
-    q1, q3 = q.getItem(0), q.getItem(1)
-    if digits is not None:
-        q1, q3 = F.round(q1, digits), F.round(q3, digits)
-    return q1, q3
-
-
 def fence_bounds(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("YEAR",), k: float = FENCE_K,
                  digits: int | None = QUANTILE_DIGITS) -> DataFrame:
-    """(by..., METRIC, Q1, Q3, IQR, LOW, HIGH), one aggregate for all columns."""
-    aggs = []
-    for c in cols:
-        q1, q3 = _quartiles(F.col(c), digits)
-        aggs += [q1.alias(f"_{c}_q1"), q3.alias(f"_{c}_q3")]
-    g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(c).alias("METRIC"), F.col(f"_{c}_q1").alias("Q1"), F.col(f"_{c}_q3").alias("Q3"))
-                     for c in cols])
-    long = g.select(*by, F.inline(rows))
+    """(by..., METRIC, Q1, Q3, IQR, LOW, HIGH).
+
+    All columns are unpivoted to (METRIC, value) and their quartiles come from
+    one distributed exact-quantile pass (``exact_quantiles``), so neither a
+    year nor the whole table is merged in a single task.
+    """
+    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "METRIC", "_val")
+    q = exact_quantiles(long, "_val", [0.25, 0.75], by=[*by, "METRIC"])
+    if digits is not None:
+        q = q.withColumn("Q", F.round("Q", digits))
+    wide = q.groupBy(*by, "METRIC").agg(
+        F.max(F.when(F.col("P") == 0.25, F.col("Q"))).alias("Q1"), F.max(F.when(F.col("P") == 0.75, F.col("Q"))).alias("Q3")
+    )
     iqr = F.col("Q3") - F.col("Q1")
-    return long.withColumn("IQR", iqr).withColumn("LOW", F.col("Q1") - k * iqr).withColumn("HIGH", F.col("Q3") + k * iqr)
+    return wide.withColumn("IQR", iqr).withColumn("LOW", F.col("Q1") - k * iqr).withColumn("HIGH", F.col("Q3") + k * iqr)
+
+
+def _global_quartiles(df: DataFrame, col: str, digits: int | None) -> tuple[float | None, float | None]:
+    q = exact_quantiles(df, col, [0.25, 0.75])
+    if digits is not None:
+        q = q.withColumn("Q", F.round("Q", digits))
+    got = {r["P"]: r["Q"] for r in q.collect()}
+    return got.get(0.25), got.get(0.75)
 
 
 def fence_filter_global(df: DataFrame, cols: Sequence[str], k: float = FENCE_K, digits: int | None = QUANTILE_DIGITS,
@@ -64,18 +69,18 @@ def fence_filter_global(df: DataFrame, cols: Sequence[str], k: float = FENCE_K,
 
     Sequential by definition: the fences of a column are computed on the rows
     that survived the previous columns, so the list order is part of the
-    signature. Each column costs one small aggregate job whose result is two
-    numbers; the input is checkpointed once (to ``spark.checkpoint.dir``) so
-    those jobs do not recompute its lineage and survive executor loss.
+    signature. Each column costs one distributed exact-quartile pass
+    (``exact_quantiles``) whose result is two numbers; the input is
+    checkpointed once (to ``spark.checkpoint.dir``) so those passes do not
+    recompute its lineage and survive executor loss.
     """
     out = checkpoint(df) if materialize else df
     for c in cols:
-        q1, q3 = _quartiles(F.col(c), digits)
-        row = out.agg(q1.alias("q1"), q3.alias("q3")).first()
-        if row is None or row["q1"] is None:
+        q1, q3 = _global_quartiles(out, c, digits)
+        if q1 is None:
             return out.where(F.lit(False))
-        lo = F.lit(row["q1"]) - k * (F.lit(row["q3"]) - F.lit(row["q1"]))
-        hi = F.lit(row["q3"]) + k * (F.lit(row["q3"]) - F.lit(row["q1"]))
+        lo = F.lit(q1) - k * (F.lit(q3) - F.lit(q1))
+        hi = F.lit(q3) + k * (F.lit(q3) - F.lit(q1))
         out = out.where((F.col(c) > lo) & (F.col(c) < hi))
     return out
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import half_up
+from panelforge.operators.quantiles import exact_quantiles
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -40,23 +41,29 @@ def null_zero_profile(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, std (sample), min, quartiles, max per column, long form."""
+    """Count, mean, std (sample), min, quartiles, max per column, long form.
+
+    Moments come from one wide aggregate (partial aggregation); the quartiles
+    of all columns from one distributed exact-quantile pass over the
+    unpivoted (METRIC, value) pairs.
+    """
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, [0.25, 0.5, 0.75])
         aggs += [
             F.count(x).alias(f"_{c}_COUNT"),
             F.avg(x).alias(f"_{c}_MEAN"),
             F.stddev_samp(x).alias(f"_{c}_STD"),
             F.min(x).alias(f"_{c}_MIN"),
-            q.getItem(0).alias(f"_{c}_P25"),
-            q.getItem(1).alias(f"_{c}_P50"),
-            q.getItem(2).alias(f"_{c}_P75"),
             F.max(x).alias(f"_{c}_MAX"),
         ]
     g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    return _long(g, by, cols, ["COUNT", "MEAN", "STD", "MIN", "P25", "P50", "P75", "MAX"])
+    moments = _long(g, by, cols, ["COUNT", "MEAN", "STD", "MIN", "MAX"])
+    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "METRIC", "_val")
+    q = exact_quantiles(long, "_val", [0.25, 0.5, 0.75], by=[*by, "METRIC"])
+    qw = q.groupBy(*by, "METRIC").agg(*[F.max(F.when(F.col("P") == p, F.col("Q"))).alias(n)
+                                          for p, n in ((0.25, "P25"), (0.5, "P50"), (0.75, "P75"))])
+    return moments.join(qw, [*by, "METRIC"], "left").select(*by, "METRIC", "COUNT", "MEAN", "STD", "MIN", "P25", "P50", "P75", "MAX")
 
 
 def zero_sum_columns(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -120,16 +127,13 @@ def boxplot_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                     digits: int = 6) -> DataFrame:
     """q1, median, q3, whiskers (most extreme values inside the fences) and outlier count.
 
-    No unpivot of the rows: quartiles first, then one wide aggregate of
-    conditional min/max/count against the fences. Without groups the quartiles
-    come from a one-row aggregate and enter the second pass as literals; with
+    Quartiles first, then one wide aggregate of conditional min/max/count
+    against the fences. Without groups the quartiles come from one distributed
+    exact-quantile pass over the unpivoted values and enter the second pass as
+    literals; with
     groups (a period such as the year) they are window aggregates over the
     same partitioning as the final aggregate, so the input is read once.
     """
-    aggs = []
-    for c in cols:
-        q = F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75])
-        aggs += [F.round(q.getItem(i), digits).alias(f"_{c}_{n}") for i, n in enumerate(("Q1", "MEDIAN", "Q3"))]
     if by:
         w = Window.partitionBy(*by)
         rows = df
@@ -140,12 +144,14 @@ def boxplot_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
         def qv(name: str) -> Column:
             return F.col(name)
     else:
-        qs = df.agg(*aggs)
         rows = df
-        stats = qs.first().asDict()  # one aggregate job; three numbers per column
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "METRIC", "_val")
+        q = exact_quantiles(long, "_val", [0.25, 0.5, 0.75], by=["METRIC"]).withColumn("Q", F.round("Q", digits))
+        names = {0.25: "Q1", 0.5: "MEDIAN", 0.75: "Q3"}
+        stats = {f"_{r['METRIC']}_{names[r['P']]}": r["Q"] for r in q.collect()}  # three numbers per column
 
         def qv(name: str) -> Column:
-            return F.lit(stats[name]).cast("double")
+            return F.lit(stats.get(name)).cast("double")
 
     out = []
     for c in cols:
