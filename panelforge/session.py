@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="panelforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext; the conf is enough there
+        pass
     return current
 
 
