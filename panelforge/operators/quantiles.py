@@ -74,8 +74,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
         .withColumn("P", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .select(*by, "P", F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"), (pos - F.floor(pos)).alias("_frac"))
     )
-    t = broadcast_if_small(targets)
-    lo = indexed.join(t, [*by]).where(F.col("_idx") == F.col("_lo")).select(*by, "P", "_frac", F.col("_v").alias("_vlo"))
-    hi = indexed.join(t, [*by]).where(F.col("_idx") == F.col("_hi")).select(*by, "P", F.col("_v").alias("_vhi"))
+    # equi-joins on (group, index): each indexed row meets only the targets at its own position
+    t_lo = broadcast_if_small(targets.select(*by, "P", "_frac", F.col("_lo").alias("_idx")))
+    t_hi = broadcast_if_small(targets.select(*by, "P", F.col("_hi").alias("_idx")))
+    lo = indexed.join(t_lo, [*by, "_idx"]).select(*by, "P", "_frac", F.col("_v").alias("_vlo"))
+    hi = indexed.join(t_hi, [*by, "_idx"]).select(*by, "P", F.col("_v").alias("_vhi"))
     j = lo.join(hi, [*by, "P"])
     return j.select(*by, "P", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("Q"))
