@@ -23,3 +23,21 @@ def test_exact_quantiles_global(spark):
     got = {r.P: r.Q for r in exact_quantiles(df, "V", [0.25, 0.5, 0.9], partitions=3).collect()}
     ref = df.agg(F.percentile("V", [0.25, 0.5, 0.9])).first()[0]
     assert [round(got[p], 9) for p in (0.25, 0.5, 0.9)] == [round(x, 9) for x in ref]
+
+
+def test_exact_quantiles_property(spark):
+    import numpy as np
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(st.integers(-50, 50), min_size=1, max_size=60), st.integers(1, 6))
+    def check(values, parts):
+        df = spark.createDataFrame([(float(v),) for v in values], "V double")
+        probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+        got = {r.P: r.Q for r in exact_quantiles(df, "V", probs, partitions=parts).collect()}
+        ref = np.quantile(np.array(values, dtype=float), probs)
+        for p, q in zip(probs, ref):
+            assert abs(got[p] - q) < 1e-9
+
+    check()
