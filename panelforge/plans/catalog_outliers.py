@@ -138,3 +138,23 @@ def fence_all_columns_global(spark, base):
     """Global fences applied sequentially to 24 ratio columns (one checkpoint, one
     small statistics job per column)."""
     return OUT.fence_filter_global(_fpanel(spark, base), ALL_FENCED)
+
+
+@register(
+    "fenced_dense_ranks",
+    f"""
+SELECT YEAR, CODE, {FENCED[0]}, {FENCED[1]},
+  CASE WHEN {FENCED[0]} IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY YEAR ORDER BY {FENCED[0]} DESC NULLS LAST) AS INTEGER) END AS ROC_RANK,
+  CASE WHEN {FENCED[1]} IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY YEAR ORDER BY {FENCED[1]} ASC NULLS LAST) AS INTEGER) END AS EBIT_RANK
+FROM fence_year_chain
+""",
+    ["fence_year_chain"],
+)
+def fenced_dense_ranks(spark, base):
+    """Per-year fences on ROC and EV/EBIT, then dense ranks on the surviving rows
+    (ROC descending, EV/EBIT ascending): ranks are taken after filtering."""
+    from panelforge.operators import ranks as R
+
+    f = OUT.fence_filter_by(_panel(spark, base), FENCED).select("YEAR", "CODE", *FENCED)
+    f = R.dense_rank_by(f, FENCED[0], ascending=False, out="ROC_RANK")
+    return R.dense_rank_by(f, FENCED[1], ascending=True, out="EBIT_RANK")

@@ -51,7 +51,7 @@ def index_csv_roundtrip(spark, base):
         F.col("LOW").alias("Low"), F.col("CLOSE").alias("Close"), F.col("ADJ_CLOSE").alias("Adj Close"),
         F.col("VOLUME").alias("Volume"),
     )
-    WR.write_sorted_csv(raw, folder, ("Date",), single_file=False)
+    WR.write_sorted_csv(raw, folder, ("Date",), single_file=True)  # one row per trading day: a small report
     return RD.normalize_index_quotes(RD.read_csv(spark, folder, RD.INDEX_QUOTES_SCHEMA)).select(
         "DATE", "OPEN", "HIGH", "LOW", "CLOSE", "ADJ_CLOSE", "VOLUME", "YEAR", "INDICE")
 
