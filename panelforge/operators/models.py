@@ -191,28 +191,36 @@ def classifier_estimator(kind: str, n_features: int, seed: int = 10, **params):
 
 def walk_forward_fit_predict(panel: DataFrame, features: Sequence[str], label: str, target_years: Sequence[int],
                              n_back: int, estimator, score_rows: DataFrame, year: str = "YEAR",
-                             probability: bool = False) -> DataFrame:
+                             probability: bool = False, parallelism: int = 4) -> DataFrame:
     """M1 with an MLlib estimator: for each target year fit on the window, score that year.
 
-    One distributed fit per target year; the scored frames are unioned by name.
-    ``probability=True`` adds PROBABILITY (of class 1) for classifiers.
+    The training table (all windows) and the rows to score are checkpointed
+    once; the per-year fits are independent distributed jobs, submitted from
+    up to ``parallelism`` driver threads (as ``CrossValidator`` does for grid
+    points). The scored frames are unioned by name. ``probability=True`` adds
+    PROBABILITY (of class 1) for classifiers.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     train_all = materialize(assemble(training_windows(panel, target_years, n_back, year), features))
     scored = materialize(assemble(score_rows.where(F.col(year).isin(list(target_years))), features))
+
+    def fit_year(x: int):
+        tr = train_all.where(F.col("TARGET_YEAR") == x)
+        if tr.isEmpty():
+            return None
+        model = estimator.copy().setFeaturesCol("features").setLabelCol(label).fit(tr)
+        s = model.transform(scored.where(F.col(year) == x))
+        if probability and "probability" in s.columns:
+            s = s.withColumn("PROBABILITY", vector_to_array("probability").getItem(1))
+        s = s.withColumnRenamed("prediction", "PREDICTION")
+        return s.drop(*[c for c in ("features", "rawPrediction", "probability") if c in s.columns])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = [p for p in pool.map(fit_year, list(target_years)) if p is not None]
     out = None
-    if True:
-        for x in target_years:
-            tr = train_all.where(F.col("TARGET_YEAR") == x)
-            if tr.isEmpty():
-                continue
-            model = estimator.copy().setFeaturesCol("features").setLabelCol(label).fit(tr)
-            s = model.transform(scored.where(F.col(year) == x))
-            if probability and "probability" in s.columns:
-                s = s.withColumn("PROBABILITY", vector_to_array("probability").getItem(1))
-            s = s.withColumnRenamed("prediction", "PREDICTION")
-            drop = [c for c in ("features", "rawPrediction", "probability") if c in s.columns]
-            s = s.drop(*drop)
-            out = s if out is None else out.unionByName(s)
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
     return out
 
 
