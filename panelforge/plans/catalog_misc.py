@@ -167,3 +167,42 @@ def describe_financials(spark, base):
     f = Tables(spark, base).financials
     d = Q.describe(f, Q.numeric_columns(f))
     return rounded(d, ["MEAN", "STD", "P25", "P50", "P75"], 6)
+
+
+@register(
+    "monthly_interpolated_fundamentals",
+    """
+SELECT CODE, YEAR, MONTH, CLOSE, REVENUE FROM (
+  SELECT CODE, YEAR, MONTH, CLOSE,
+         coalesce(IS__REVENUE, v0 + (v1 - v0) * (p - p0) / NULLIF(p1 - p0, 0), v0) AS REVENUE FROM (
+    SELECT *,
+      last_value(IS__REVENUE IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN IS__REVENUE IS NOT NULL THEN p END IGNORE NULLS) OVER b AS p0,
+      first_value(IS__REVENUE IGNORE NULLS) OVER f AS v1, first_value(CASE WHEN IS__REVENUE IS NOT NULL THEN p END IGNORE NULLS) OVER f AS p1
+    FROM (SELECT *, row_number() OVER (PARTITION BY CODE ORDER BY YEAR * 12 + MONTH) AS p FROM (
+            SELECT m.CODE, m.YEAR, m.MONTH, m.CLOSE, q.IS__REVENUE
+            FROM (SELECT CODE, YEAR, CAST(month(DATE) AS INTEGER) AS MONTH, arg_max(PRICE, DATE) AS CLOSE
+                  FROM price GROUP BY CODE, YEAR, month(DATE)) m
+            LEFT JOIN (SELECT CODE, CAST(substr(FISCAL_YEAR, 1, 4) AS INTEGER) AS YEAR,
+                              CAST(substr(FISCAL_YEAR, 6, 2) AS INTEGER) AS MONTH, IS__REVENUE FROM financials_quarterly) q
+              ON m.CODE = q.CODE AND m.YEAR = q.YEAR AND m.MONTH = q.MONTH) j) x
+    WINDOW b AS (PARTITION BY CODE ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+           f AS (PARTITION BY CODE ORDER BY p ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) y) z
+WHERE REVENUE IS NOT NULL
+""",
+    ["price", "financials_quarterly"],
+)
+def monthly_interpolated_fundamentals(spark, base):
+    """Monthly closes left-joined with quarterly fundamentals (J5), the quarterly
+    revenue interpolated linearly over the months of each company (W14); months
+    before the first report are dropped."""
+    from panelforge.operators import series as S
+    from panelforge.operators import sets as SE
+
+    t = Tables(spark, base)
+    monthly = T.monthly_ohlc(t.price).select("CODE", "YEAR", "MONTH", "CLOSE")
+    q = t.financials_quarterly.select(
+        "CODE", F.substring("FISCAL_YEAR", 1, 4).cast("int").alias("YEAR"),
+        F.substring("FISCAL_YEAR", 6, 2).cast("int").alias("MONTH"), "IS__REVENUE")
+    j = SE.left_join_suffixed(monthly, q, ["CODE", "YEAR", "MONTH"]).withColumn("_M", F.col("YEAR") * 12 + F.col("MONTH"))
+    out = S.linear_interpolation(j, ["IS__REVENUE"], "CODE", "_M")
+    return out.select("CODE", "YEAR", "MONTH", "CLOSE", F.col("IS__REVENUE").alias("REVENUE"))
