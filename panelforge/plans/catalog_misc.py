@@ -206,3 +206,13 @@ def monthly_interpolated_fundamentals(spark, base):
     j = SE.left_join_suffixed(monthly, q, ["CODE", "YEAR", "MONTH"]).withColumn("_M", F.col("YEAR") * 12 + F.col("MONTH"))
     out = S.linear_interpolation(j, ["IS__REVENUE"], "CODE", "_M")
     return out.select("CODE", "YEAR", "MONTH", "CLOSE", F.col("IS__REVENUE").alias("REVENUE"))
+
+
+@register("var1_forecast_monthly")
+def var1_forecast_monthly(spark, base):
+    """VAR(1) per company on the monthly close and interpolated revenue; the last month
+    is held out (rows-only: least squares per group)."""
+    from panelforge.operators import series as S
+
+    m = monthly_interpolated_fundamentals(spark, base).withColumn("_M", F.col("YEAR") * 12 + F.col("MONTH"))
+    return S.var_forecast(m, ["CLOSE", "REVENUE"], "CODE", "_M", lags=1, holdout=1)
