@@ -74,13 +74,19 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, by: Sequence[str] = ("
 
 
 def unique_rank_of_sum(df: DataFrame, group: Sequence[str], measure: str, by: Sequence[str] = (),
-                       ascending: bool = True, out: str = "RANK_UNIQUE") -> DataFrame:
-    """Sum a measure per group, then a tie-free rank of the sums (ties by group key)."""
+                       ascending: bool = True, out: str = "RANK_UNIQUE", n: int | None = None) -> DataFrame:
+    """Sum a measure per group, then a tie-free rank of the sums (ties by group key).
+
+    The rank runs over the aggregated rows (one per group). With ``n`` only the
+    first ``n`` are kept, which Spark plans as a per-task ``WindowGroupLimit``
+    before the final window.
+    """
     agg = df.groupBy(*by, *group).agg(F.sum(measure).alias(f"SUM_{measure}"))
     s = F.col(f"SUM_{measure}")
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    w = w.orderBy(s.asc_nulls_last() if ascending else s.desc_nulls_last(), *[F.col(g) for g in group])
-    return agg.withColumn(out, F.row_number().over(w))
+    order = [s.asc_nulls_last() if ascending else s.desc_nulls_last(), *[F.col(g) for g in group]]
+    w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+    ranked = agg.withColumn(out, F.row_number().over(w))
+    return ranked.where(F.col(out) <= n) if n is not None else ranked
 
 
 def first_row(df: DataFrame, key: Sequence[str], order: str, value_cols: Sequence[str]) -> DataFrame:

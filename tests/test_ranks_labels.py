@@ -92,3 +92,10 @@ def test_long_short_names_round_trip():
     assert short_name("CODE") == "CODE"
     for c in ("CSR__ROE", "VQ_MARKET_CAP", "IS_EPS_BASIC", "BS__TOTAL_ASSETS", "FISCAL_YEAR"):
         assert short_name(long_name(c)) == c
+
+
+def test_unique_rank_of_sum(spark):
+    df = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3), ("C", 1)], "CODE string, V int")
+    got = {r.CODE: r.RANK_UNIQUE for r in R.unique_rank_of_sum(df, ["CODE"], "V").collect()}
+    assert got == {"C": 1, "A": 2, "B": 3}  # A and B tie on 3: broken by CODE
+    assert R.unique_rank_of_sum(df, ["CODE"], "V", n=2).count() == 2
