@@ -34,20 +34,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the checkpoint folder, preferring the shared one named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is respected as is.
-    Only when it is unset (tests, local runs) a private folder is created.
+    On a cluster this setting points at shared storage and is used as is. When
+    it is unset (tests, local runs) a folder already registered with the
+    SparkContext is reused, or else a private folder is created and
+    registered; the setting itself is a core config and is not modified.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="panelforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext; the conf is enough there
-        pass
-    return current
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext; the conf is all there is
+        sc = None
+    registered = sc.getCheckpointDir() if sc is not None else None
+    if current:
+        if sc is not None and not registered:
+            sc.setCheckpointDir(current)
+        return current
+    if registered:
+        return registered
+    folder = tempfile.mkdtemp(prefix="panelforge-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 def materialize(df):
