@@ -12,7 +12,6 @@ from panelforge.functions.columns import make_month_date, split_year_month
 from panelforge.operators import quality as Q
 from panelforge.operators import ranks as R
 from panelforge.operators import returns as T
-from panelforge.plans import oracle as O
 from panelforge.plans import pipelines as P
 from panelforge.plans.catalog import Tables, register, rounded
 from panelforge.plans.catalog_dashboards import _picks

@@ -8,7 +8,6 @@ from panelforge.operators import labels as L
 from panelforge.operators import series as S
 from panelforge.operators import returns as T
 from panelforge.plans import oracle as O
-from panelforge.plans import pipelines as P
 from panelforge.plans.catalog import Tables, register, rounded
 from panelforge.plans.catalog_outliers import _panel
 from panelforge.operators.sectors import sector_pairs, sector_values_sql

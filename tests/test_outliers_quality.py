@@ -1,6 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
 
 from panelforge.operators import outliers as O
 from panelforge.operators import quality as Q
