@@ -59,6 +59,14 @@ def hash_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int =
     return df.where(bucket < cut), df.where(bucket >= cut)
 
 
+def validation_flag(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 10, out: str = "VALID") -> DataFrame:
+    """Boolean column marking a repeatable hash share of the rows as validation rows
+    (MLlib's ``validationIndicatorCol``: early stopping of boosting, the stand-in for
+    choosing the number of rounds by cross-validation)."""
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10_000))
+    return df.withColumn(out, bucket < int(round(fraction * 10_000)))
+
+
 def chronological_split(df: DataFrame, key: str, order: str, fraction: float) -> DataFrame:
     """Per entity, flag the first ``int(n * fraction)`` rows as training (TRAIN = true)."""
     w = Window.partitionBy(key).orderBy(order)

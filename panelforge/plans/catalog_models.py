@@ -363,3 +363,26 @@ FROM doc_scores WHERE SCORE > 0.8
 )
 def high_probability_picks(spark, base):
     return EV.high_probability_picks(_doc_scores(spark, base), "SCORE", 0.8, keep=["doc_id", "LABEL"])
+
+
+@register("walk_forward_gbt_fenced")
+def walk_forward_gbt_fenced(spark, base):
+    """Outlier-aware walk-forward: label rank on the cleaned universe, per-year fences on
+    ROC then EV/EBIT, dense ranks on the survivors, boosted trees per target year with
+    early stopping on a hash third of the window (rounds chosen by validation loss),
+    scored on ranks over the whole panel; rows-only check."""
+    from pyspark.ml.regression import GBTRegressor
+
+    from panelforge.operators import outliers as OUT
+
+    panel = materialize(_labelled(spark, base))
+    g = panel.select("YEAR", "CODE", ROC, EV_, "RETURNS_NEXT").where(Q.between_open("YEAR", 1990, 2016)).na.drop()
+    g = R.dense_rank_by(g, "RETURNS_NEXT", ascending=False, out="Y")
+    g = OUT.fence_filter_by(g, [ROC, EV_])
+    g = R.dense_rank_by(g, ROC, ascending=False, out="X1")
+    g = R.dense_rank_by(g, EV_, ascending=True, out="X2")
+    g = M.validation_flag(g, ["YEAR", "CODE"], 1 / 3)
+    est = GBTRegressor(maxDepth=5, stepSize=0.15, featureSubsetStrategy="0.7", maxIter=100,
+                       validationIndicatorCol="VALID", validationTol=0.01, seed=10)
+    s = M.walk_forward_fit_predict(g, ["X1", "X2"], "Y", TARGET_YEARS, N_BACK, est, greenblatt_scoring(panel))
+    return rounded(EV.score_table(panel, s.select("YEAR", "CODE", "PREDICTION"), "PREDICTION"), ["RISK"])
