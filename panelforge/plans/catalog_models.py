@@ -169,10 +169,15 @@ def gbt_classifier_scores(spark, base):
     return out.join(s.select("YEAR", "CODE", "PREDICTED"), ["YEAR", "CODE"])
 
 
-def _fit_score(spark, base, kind, weighted=False, **params):
+def _fit_score(spark, base, kind, weighted=False, scale=False, **params):
     p = _class_panel(spark, base)
-    train = p.where(F.col("RETURNS_NEXT").isNotNull())
     feats = ["CSR__ROC_JOEL_GREENBLATT", "VR__EV_TO_EBIT", "CSR__ROE", "CSR__NET_MARGIN", "VQ__ALTMAN_Z_SCORE"]
+    if scale:
+        # the same per-year z-scores (population std) for the training and the scored rows
+        from panelforge.operators.series import standard_scale
+
+        p = standard_scale(p, feats).na.fill(0.0, subset=feats)
+    train = p.where(F.col("RETURNS_NEXT").isNotNull())
     if weighted:
         train = M.class_weights(train, "LABEL")
         params["weightCol"] = "WEIGHT"
@@ -195,8 +200,9 @@ def logistic_balanced(spark, base):
 
 @register("mlp_scores")
 def mlp_scores(spark, base):
-    """Dense network 5-12-8-2 with sigmoid hidden layers and softmax output; rows-only check."""
-    return _fit_score(spark, base, "mlp")
+    """Dense network 5-12-8-2 with sigmoid hidden layers and softmax output on per-year
+    standardised features; rows-only check."""
+    return _fit_score(spark, base, "mlp", scale=True)
 
 
 @register("linear_svm")
