@@ -151,8 +151,12 @@ def walk_forward_gbt(spark, base):
 CLASS_FEATURES = P.RATIO_COLUMNS
 
 
-def _class_panel(spark, base):
+def _class_panel(spark, base, compound=False):
     p = materialize(_labelled(spark, base)).where(Q.between_open("YEAR", 1990, 2016))
+    if compound:
+        from panelforge.operators.labels import compound_wins
+
+        p = compound_wins(p)  # WINS only if the next return is positive and beats the index
     p = encode_label(p, "RETURNS_vs_INDEX_NEXT", "LABEL").withColumn("LABEL", F.col("LABEL").cast("double"))
     return materialize(M.impute(p, CLASS_FEATURES, indicators=False))
 
@@ -160,7 +164,17 @@ def _class_panel(spark, base):
 @register("gbt_classifier_scores")
 def gbt_classifier_scores(spark, base):
     """Beats-the-index classifier, walk-forward; probability and its rank per year (rows-only)."""
-    p = _class_panel(spark, base)
+    return _gbt_classifier(spark, base, compound=False)
+
+
+@register("gbt_classifier_scores_compound")
+def gbt_classifier_scores_compound(spark, base):
+    """The same with the stricter label (positive and above the index); rows-only."""
+    return _gbt_classifier(spark, base, compound=True)
+
+
+def _gbt_classifier(spark, base, compound):
+    p = _class_panel(spark, base, compound)
     est = M.classifier_estimator("gbt", len(CLASS_FEATURES), maxIter=30)
     s = M.walk_forward_fit_predict(p.where(F.col("RETURNS_NEXT").isNotNull()), CLASS_FEATURES, "LABEL", TARGET_YEARS,
                                    N_BACK, est, p, probability=True)

@@ -14,7 +14,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 # Rows-only queries (MLlib fits, least squares per group, engine-specific hash): no SQL twin.
 ROWS_ONLY = {"var1_forecast", "var1_forecast_by_sector", "walk_forward_rf", "walk_forward_gbt", "gbt_classifier_scores",
              "logistic_balanced", "mlp_scores", "linear_svm", "random_forest_classifier", "grid_search_tree",
-             "feature_importance", "hash_split", "var1_forecast_monthly", "walk_forward_gbt_fenced"}
+             "feature_importance", "hash_split", "var1_forecast_monthly", "walk_forward_gbt_fenced",
+             "gbt_classifier_scores_compound"}
 FAST = ["greenblatt_top20", "yearly_dataset", "price_ytd_return", "index_ytd_return_open_base", "quarterly_dataset",
         "fence_filter_global", "fence_filter_by_year", "winsorize_by_year", "linear_interpolation", "walk_forward_lr",
         "roc_curve", "dashboard_picks", "metric_row_ranks", "boxplot_summary", "entity_eligibility", "ar1_forecast"]
