@@ -111,3 +111,27 @@ def test_eligible_rows_matches_entity_list(spark):
 def test_drop_entities_with_value(spark):
     df = spark.createDataFrame([("A", 1.0), ("A", 0.0), ("B", 2.0), ("C", None)], "CODE string, CAP double")
     assert sorted(r.CODE for r in Q.drop_entities_with_value(df, "CAP", 0).collect()) == ["B", "C"]
+
+
+def test_fence_rules_property(spark):
+    import numpy as np
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(st.one_of(st.none(), st.integers(-30, 30)), min_size=4, max_size=40))
+    def check(values):
+        vals = [None if v is None else float(v) for v in values]
+        df = _df(spark, vals)
+        known = np.array([v for v in vals if v is not None])
+        if len(known) == 0:
+            return
+        q1, q3 = (round(float(x), 6) for x in np.quantile(known, [0.25, 0.75]))
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        glob = sorted(r.V for r in O.fence_filter_global(df, ["V"], materialize=False).collect())
+        assert glob == sorted(v for v in vals if v is not None and lo < v < hi)
+        by_year = [r.V for r in O.fence_filter_by(df, ["V"]).collect()]
+        assert sorted(v for v in by_year if v is not None) == sorted(v for v in vals if v is not None and lo <= v <= hi)
+        assert by_year.count(None) == vals.count(None)
+
+    check()
