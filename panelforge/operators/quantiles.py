@@ -1,8 +1,9 @@
-"""Exact quantiles without funnelling a group through one task.
+"""Exact quantiles without funnelling a large group through one task.
 
 ``percentile`` merges the distinct values of a whole group in one final task.
 For a global statistic that is every value of the column. ``exact_quantiles``
-instead:
+checks the size of the largest group first and uses ``percentile`` only below
+a fixed bound; above it:
 
 1. range-partitions the non-null values by (group keys, value) -- a large group
    is split across many partitions -- and writes that layout once (checkpoint
@@ -24,22 +25,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelforge.functions.joins import broadcast_if_small
 from panelforge.session import materialize
 
 
+# Largest group (in values) that may be merged by the plain ``percentile`` aggregate in one task.
+SMALL_GROUP_ROWS = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """(by..., P, Q): exact linear-interpolation quantiles of ``col`` (nulls and NaN ignored).
 
-    Groups without values are absent.
+    Groups without values are absent. The size of the largest group is checked
+    first (one partially aggregated count): up to ``small_group_rows`` values
+    the ``percentile`` aggregate is used (its one-task merge is then bounded);
+    beyond, the distributed path of the module notes.
     """
     spark = df.sparkSession
     by = list(by)
-    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(col).cast("double")
     vals = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    sizes = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else vals.agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest == 0:
+        return spark.createDataFrame([], T.StructType(
+            [df.schema[b] for b in by] + [T.StructField("P", T.DoubleType()), T.StructField("Q", T.DoubleType())]))
+    if largest <= small_group_rows:
+        pr = [float(p) for p in probs]
+        q = F.percentile("_v", pr)
+        g = vals.groupBy(*by).agg(q.alias("_q")) if by else vals.agg(q.alias("_q"))
+        pairs = F.arrays_zip(F.array(*[F.lit(p) for p in pr]).alias("P"), F.col("_q").alias("Q"))
+        return g.select(*by, F.inline(pairs))
+    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = materialize(vals.repartitionByRange(n_part, *by, "_v").withColumn("_pid", F.spark_partition_id()))
 
     counts = laid.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
