@@ -111,3 +111,19 @@ def test_hash_split_is_repeatable(spark):
     a, _ = M.hash_split(df, ["id", "YEAR"], 0.75)
     b, _ = M.hash_split(df.repartition(7), ["id", "YEAR"], 0.75)
     assert sorted(r.id for r in a.collect()) == sorted(r.id for r in b.collect())
+
+
+def test_calendar_fill_inserts_missing_days(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([("u", dt.date(2024, 1, 1), 1.0), ("u", dt.date(2024, 1, 4), 4.0), ("v", dt.date(2024, 1, 2), 2.0)],
+                               "K string, DAY date, V double")
+    got = sorted((r.K, r.DAY.day, r.V) for r in S.calendar_fill(df, "K", "DAY").collect())
+    assert got == [("u", 1, 1.0), ("u", 2, None), ("u", 3, None), ("u", 4, 4.0), ("v", 2, 2.0)]
+
+
+def test_standard_scale_population_std(spark):
+    df = spark.createDataFrame([(2000, 1.0), (2000, 3.0), (2001, 5.0), (2001, 5.0)], "YEAR int, X double")
+    got = sorted((r.YEAR, r.X) for r in S.standard_scale(df, ["X"]).collect())
+    assert got[0] == (2000, -1.0) and got[1] == (2000, 1.0)   # population std of (1, 3) is 1
+    assert got[2][1] is None                                   # zero spread: null, not an error
