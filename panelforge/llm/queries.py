@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.common import read_table, text_of
 from panelforge.llm.mixing import mix
+from panelforge.llm.near_dedup import near_duplicates
 from panelforge.llm.sharding import row_size, shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op2_near_dedup")
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), 85, 5)
+
+
 @register("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
