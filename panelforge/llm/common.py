@@ -127,13 +127,20 @@ class Words:
         self.start, self.end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         self.first = np.concatenate(([0], np.searchsorted(self.start, gaps)))
 
+        self._sums: np.ndarray | None = None
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word (polynomial of its bytes, mixed)."""
+        return self.span_hashes(self.start, self.end)
+
+    def span_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of byte ranges of ``data``; equal bytes have equal hashes."""
         up, down = _powers(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=sums[1:])
-        h = (sums[self.end] - sums[self.start]) * down[self.start]
-        return mix64(h + (self.end - self.start).astype(np.uint64))
+        if self._sums is None:
+            self._sums = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=self._sums[1:])
+        h = (self._sums[end] - self._sums[start]) * down[start]
+        return mix64(h + (end - start).astype(np.uint64))
 
 
 _SEATS = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)

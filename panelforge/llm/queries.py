@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from panelforge.llm.common import read_table, text_of
 from panelforge.llm.mixing import mix
 from panelforge.llm.near_dedup import near_duplicates
+from panelforge.llm.quality import quality
 from panelforge.llm.sharding import row_size, shard
+from panelforge.llm.toxicity import held_out, predict
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +33,18 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), 85, 5)
 
 
+@register("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read_table(spark, sf_dir, "documents"))
+
+
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = predict(docs, read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_predicted").alias("predicted"))
+
+
 @register("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
