@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import read_table, text_of
+from panelforge.llm.line_dedup import keep_bitmaps, keep_lines
 from panelforge.llm.mixing import mix
 from panelforge.llm.near_dedup import near_duplicates
 from panelforge.llm.quality import quality
+from panelforge.llm.secrets import secrets
 from panelforge.llm.sharding import row_size, shard
 from panelforge.llm.toxicity import held_out, predict
 
@@ -33,6 +35,13 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), 85, 5)
 
 
+@register("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col("secret_counts")[i].alias(f"n_{kind}") for i, kind in enumerate(("assign", "access", "hex"))]
+    return found.select("doc_id", *counts, F.sha2(F.col("secret_base").cast("binary"), 256).alias("base_sha256"), F.col("secret_spans").alias("spans"))
+
+
 @register("op4_quality_rules")
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read_table(spark, sf_dir, "documents"))
@@ -45,6 +54,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_predicted").alias("predicted"))
 
 
+@register("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = keep_lines(docs, keep_bitmaps(docs, 40, 5))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @register("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
