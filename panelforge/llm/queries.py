@@ -15,6 +15,7 @@ from panelforge.llm.quality import quality
 from panelforge.llm.secrets import secrets
 from panelforge.llm.sharding import row_size, shard
 from panelforge.llm.toxicity import held_out, predict
+from panelforge.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,6 +71,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op8_warc")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = round_trip(read_table(spark, sf_dir, "pages"), 0, payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select(
