@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import read_table, text_of
+from panelforge.llm.decontaminate import contaminated
 from panelforge.llm.line_dedup import keep_bitmaps, keep_lines
 from panelforge.llm.mixing import mix
 from panelforge.llm.near_dedup import near_duplicates
@@ -31,6 +32,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_segments", "edits", "shared_grams")
+
+
 @register("op2_near_dedup")
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), 85, 5)
