@@ -13,6 +13,7 @@ from panelforge.llm.line_dedup import keep_bitmaps, keep_lines
 from panelforge.llm.mixing import mix
 from panelforge.llm.near_dedup import near_duplicates
 from panelforge.llm.quality import quality
+from panelforge.llm.repeats import remove_repeats
 from panelforge.llm.secrets import secrets
 from panelforge.llm.sharding import row_size, shard
 from panelforge.llm.toxicity import held_out, predict
@@ -84,6 +85,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register("op9_repeats")
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select(
