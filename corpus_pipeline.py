@@ -10,14 +10,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm.common import read_table, written
+from panelforge.llm.decontaminate import drop_contaminated
+from panelforge.llm.mixing import mix, mixed_documents
+from panelforge.llm.near_dedup import drop_near_duplicates
 from panelforge.llm.sharding import shard
+from panelforge.llm.toxicity import predict
 
+SHARDS = 40
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted to be toxic go."""
+    return predict(docs, read_table(spark, sf_dir, "labels")).where("toxic_predicted = 0").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document with the smallest id stays."""
+    return drop_near_duplicates(docs, 85, 5)
 
-def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shard(docs, 40)
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
-STAGES = [("sharding", sharding)]
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often, and the parts of documents, as the mix takes them."""
+    return mixed_documents(mix(docs))
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the shard and the place in it."""
+    return shard(docs, SHARDS)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
+]
+#: The learned score, the sketches and the alignments have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

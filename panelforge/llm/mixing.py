@@ -22,11 +22,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import n_words, text_of, written
+from panelforge.llm.common import WORD, n_words, text_of, written
 
 SHARDS = 256
 #: Blocks of the whole corpus: their number is fixed, their length follows the corpus.
 BLOCKS = 400_000
+ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_passes", "mix_ranges", "mix_taken")
 
 
 def source_key(source: Column) -> Column:
@@ -101,10 +102,14 @@ def mix(
     document is taken; ``mix_ranges``: word ranges [from, to) taken once more;
     ``mix_taken``: words taken in all. Documents without words take nothing.
     A null source is a source, the last one. Repeated rows are documents of
-    their own. An empty table gives an empty result.
+    their own. An empty table gives an empty result. Columns of ``docs`` with the
+    names of the added ones are replaced.
     """
-    sized = docs.withColumns({"skey": source_key(F.col(source)), "part": F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(SHARDS)), "mix_size": n_words(text_of(text))})
-    lengths = written(sized.groupBy("skey", "part").agg(F.sum("mix_size").alias("length")), "mix-lengths")
+    own = [c for c in docs.columns if c not in ADDED]
+    sized = docs.select(*own).withColumns({
+        "__skey": source_key(F.col(source)), "__part": F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(SHARDS)), "mix_size": n_words(text_of(text)),
+    })
+    lengths = written(sized.groupBy(F.col("__skey").alias("skey"), F.col("__part").alias("part")).agg(F.sum("mix_size").alias("length")), "mix-lengths")
     targets = source_targets(lengths.groupBy("skey").agg(F.sum("length").alias("source_size")), weights, budget, most)
     total = targets.agg(F.sum("source_size").alias("n")).first().n or 0
     block = max(1.0, total / BLOCKS)
@@ -115,28 +120,48 @@ def mix(
     )
     streams = written(_selected(_quotas(written(streams, "mix-streams")), seed), "mix-quotas")
 
-    to_here = Window.partitionBy("skey", "part").orderBy(F.xxhash64(F.lit(seed + 1), doc_id), doc_id, F.xxhash64(text)).rowsBetween(Window.unboundedPreceding, 0)
-    known = streams.select("skey", "part", "length", "blocks", "passes", "extra")
-    end, size = F.col("_end"), F.col("mix_size")
+    to_here = Window.partitionBy("__skey", "__part").orderBy(F.xxhash64(F.lit(seed + 1), doc_id), doc_id, F.xxhash64(text)).rowsBetween(Window.unboundedPreceding, 0)
+    known = streams.select(*[F.col(c).alias(f"__{c}") for c in ("skey", "part", "length", "blocks", "passes", "extra")])
+    of_source = targets.select(F.col("skey").alias("__skey"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
+    end, size = F.col("__end"), F.col("mix_size")
     start = end - size
 
     def block_at(position: Column) -> Column:
-        return F.floor(((position + 1) * F.col("blocks") - 1) / F.col("length")).cast("long")
+        return F.floor(((position + 1) * F.col("__blocks") - 1) / F.col("__length")).cast("long")
 
     def edge(number: Column) -> Column:
-        return F.floor(number * F.col("length") / F.col("blocks")).cast("long")
+        return F.floor(number * F.col("__length") / F.col("__blocks")).cast("long")
 
     def piece(b: Column) -> Column:
         return F.struct((F.greatest(edge(b), start) - start).alias("from"), (F.least(edge(b + 1), end) - start).alias("to"))
 
-    own = F.filter("extra", lambda b: (b >= F.col("_first")) & (b <= F.col("_last")))
+    inside = F.filter("__extra", lambda b: (b >= F.col("__first")) & (b <= F.col("__last")))
+    ranges = F.when((size > 0) & F.col("__extra").isNotNull(), F.transform(inside, piece)).otherwise(F.array().cast("array<struct<from:bigint,to:bigint>>"))
     return (
-        sized.withColumn("_end", F.sum("mix_size").over(to_here))
-        .join(known, ["skey", "part"], "left")
-        .join(F.broadcast(targets.select("skey", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))), "skey")
-        .withColumns({"_first": block_at(start), "_last": block_at(end - 1)})
-        .withColumn("mix_ranges", F.when((size > 0) & F.col("extra").isNotNull(), F.transform(own, piece)).otherwise(F.array().cast("array<struct<from:bigint,to:bigint>>")))
-        .withColumn("mix_passes", F.when(size > 0, F.coalesce("passes", F.lit(0))).otherwise(0).cast("int"))
+        sized.withColumn("__end", F.sum("mix_size").over(to_here))
+        .join(known, ["__skey", "__part"], "left").join(F.broadcast(of_source), "__skey")
+        .withColumns({"__first": block_at(start), "__last": block_at(end - 1)})
+        .withColumn("mix_ranges", ranges)
+        .withColumn("mix_passes", F.when(size > 0, F.coalesce("__passes", F.lit(0))).otherwise(0).cast("int"))
         .withColumn("mix_taken", F.col("mix_passes") * size + F.aggregate("mix_ranges", F.lit(0).cast("long"), lambda n, r: n + r["to"] - r["from"]))
-        .drop("skey", "part", "length", "blocks", "passes", "extra", "_end", "_first", "_last")
+        .select(*own, *ADDED)
     )
+
+
+def mixed_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
+    """The documents of a mix, without the columns that ``mix`` added.
+
+    A document stands once for each time the mix takes all of it; a partial take
+    is a row with the words of its ranges, one space between them. A length
+    column ``n_chars`` is made to fit. Documents of which nothing is taken go.
+    """
+    own = [c for c in mixed.columns if c not in ADDED]
+    words = F.regexp_extract_all(text_of(text), F.lit(WORD), F.lit(0))
+    part = F.array_join(F.flatten(F.transform("mix_ranges", lambda r: F.slice(words, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), " ")
+    rest = F.col("mix_taken") - F.col("mix_passes") * F.col("mix_size")
+    whole = F.array_repeat(F.col(text), F.col("mix_passes") + F.when((rest == F.col("mix_size")) & (rest > 0), 1).otherwise(0))
+    texts = F.when((rest > 0) & (rest < F.col("mix_size")), F.concat(whole, F.array(part))).otherwise(whole)
+    out = mixed.withColumn(text, F.explode(texts))
+    if "n_chars" in own:
+        out = out.withColumn("n_chars", F.length(text).cast(mixed.schema["n_chars"].dataType))
+    return out.select(*own)

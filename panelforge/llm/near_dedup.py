@@ -219,3 +219,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, text: st
         .withColumn("component_id", component)
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose document is kept: of each component that with the smallest id, and all rows without id."""
+    found = near_duplicates(docs, percent, width, text, doc_id)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(doc_id)).distinct()
+    return docs.join(gone, doc_id, "left_anti")

@@ -116,7 +116,7 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
         .groupBy("key", "kind", "alternative", "whole").agg(F.bit_or("bit").alias("bits"))
         .where("bits = whole")
     )
-    return met.groupBy("key").agg(F.collect_set("kind").alias("kinds"))
+    return met.groupBy("key").agg(F.collect_set("kind").alias("__kinds"))
 
 
 # ---------------------------------------------------------------- verification
@@ -177,22 +177,22 @@ def secrets(docs: DataFrame, base: Sequence[Rule] = BASE, more: Sequence[Rule] =
     kinds = [r.kind for r in rules]
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q is not None}
-    keyed = docs.withColumns({"_text": text_of(text)}).withColumn("_key", F.xxhash64(F.col(doc_id), "_text"))
+    keyed = docs.withColumns({"__text": text_of(text)}).withColumn("__key", F.xxhash64(F.col(doc_id), "__text"))
     grams = sorted({g for q in indexed.values() for a in q for g in a})
-    index = written(postings(keyed.select(F.col("_key").alias("key"), F.col("_text").alias("text")), grams), "secret-postings")
-    found = candidates(index, indexed).select(F.col("key").alias("_key"), "kinds")
-    joined = keyed.join(found, "_key", "left")
+    index = written(postings(keyed.select(F.col("__key").alias("key"), F.col("__text").alias("text")), grams), "secret-postings")
+    found = candidates(index, indexed).select(F.col("key").alias("__key"), "__kinds")
+    joined = keyed.join(found, "__key", "left")
 
     def spans(place: int) -> Column:
         rule = _shortest(rules[place])
-        hit = F.array_contains("kinds", rule.kind) if rule.kind in indexed else F.size(F.regexp_extract_all("_text", F.lit(rule.pattern), F.lit(0))) > 0
-        return F.when(hit, _spans(F.col("_text"), rule, place)).otherwise(F.array().cast("array<struct<start:int,place:int,end:int>>"))
+        hit = F.array_contains("__kinds", rule.kind) if rule.kind in indexed else F.size(F.regexp_extract_all("__text", F.lit(rule.pattern), F.lit(0))) > 0
+        return F.when(hit, _spans(F.col("__text"), rule, place)).otherwise(F.array().cast("array<struct<start:int,place:int,end:int>>"))
 
-    of_rule = {f"_spans{i}": spans(i) for i in range(len(rules))}
+    of_rule = {f"__spans{i}": spans(i) for i in range(len(rules))}
     names = list(of_rule)
     scanned = joined.withColumns(of_rule)
     return scanned.withColumns({
         "secret_counts": F.array(*[F.size(c).cast("long") for c in names[: len(base)]]),
         "secret_base": _joined(F.array_sort(F.concat(*names[: len(base)])), kinds),
         "secret_spans": _joined(F.array_sort(F.concat(*names)), kinds),
-    }).drop("_key", "_text", "kinds", *names)
+    }).drop("__key", "__text", "__kinds", *names)

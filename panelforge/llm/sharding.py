@@ -89,28 +89,28 @@ def shard(docs: DataFrame, shards: int = 40, tolerance: float = 0.01, text: str
     like any other; repeated rows stay together. An empty table gives an empty
     result. Columns of ``docs`` named shard or slot are replaced.
     """
-    keyed = docs.drop("shard", "slot").withColumns({"_key": sort_key(text_of(text), F.col(doc_id)), "_size": row_size(text_of(text))})
-    keys = written(keyed.select(F.col("_key").alias("key"), F.col("_size").alias("size")), "shard-keys")
-    return _dealt(keyed, keys, find_splitters(keys, shards, tolerance)).drop("_key", "_size")
+    keyed = docs.drop("shard", "slot").withColumns({"__key": sort_key(text_of(text), F.col(doc_id)), "__size": row_size(text_of(text))})
+    keys = written(keyed.select(F.col("__key").alias("key"), F.col("__size").alias("size")), "shard-keys")
+    return _dealt(keyed, keys, find_splitters(keys, shards, tolerance)).drop("__key", "__size")
 
 
 def _place(key: Column, splitters: list[str]) -> dict[str, Column]:
     """``prefix~`` sorts after every key with that prefix and before the next prefix."""
     number = sum((F.when(key >= F.lit(s), 1).otherwise(0) for s in splitters), F.lit(0))
     # digits after the text's hash: copies of one text spread over the chunks
-    return {"shard": number.cast("int"), "_chunk": F.pmod(F.xxhash64(key), F.lit(CHUNKS)).cast("int")}
+    return {"shard": number.cast("int"), "__chunk": F.pmod(F.xxhash64(key), F.lit(CHUNKS)).cast("int")}
 
 
 def _dealt(keyed: DataFrame, keys: DataFrame, splitters: list[str]) -> DataFrame:
-    chunks = keys.withColumns(_place(F.col("key"), splitters)).groupBy("shard", "_chunk").agg(F.count("*").alias("rows"))
-    before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = keys.withColumns(_place(F.col("key"), splitters)).groupBy("shard", "__chunk").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("shard").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     # at most shards x CHUNKS rows
-    offsets = F.broadcast(chunks.select("shard", "_chunk", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_before")))
-    inside = Window.partitionBy("shard", "_chunk").orderBy("_key")
+    offsets = F.broadcast(chunks.select("shard", "__chunk", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("__before")))
+    inside = Window.partitionBy("shard", "__chunk").orderBy("__key")
     return (
-        keyed.withColumns(_place(F.col("_key"), splitters))
-        .withColumn("_in", F.row_number().over(inside))
-        .join(offsets, ["shard", "_chunk"])
-        .withColumn("slot", (F.col("_before") + F.col("_in") - 1).cast("long"))
+        keyed.withColumns(_place(F.col("__key"), splitters))
+        .withColumn("__in", F.row_number().over(inside))
+        .join(offsets, ["shard", "__chunk"])
+        .withColumn("slot", (F.col("__before") + F.col("__in") - 1).cast("long"))
         .select(*[c for c in keyed.columns], "shard", "slot")
     )

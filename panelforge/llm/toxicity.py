@@ -152,9 +152,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     class, the machine has no features and its score is the share of the other.
     The sample is uniform by a hash of the id, of ``sample_rows`` rows expected.
     """
-    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("label")).where(~held_out(F.col("_id")) & F.col("label").isNotNull())
-    plain = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("text"))
-    rows = plain.join(known, "_id").select("label", "text")
+    known = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("label")).where(~held_out(F.col("__id")) & F.col("label").isNotNull())
+    plain = docs.select(F.col(doc_id).alias("__id"), text_of(text).alias("text"))
+    rows = plain.join(known, "__id").select("label", "text")
     labelled = written(rows.mapInArrow(_with_terms, "label int, terms array<int>"), "toxic-terms")
     terms = _features(labelled, features)
     total = labelled.count()
@@ -183,13 +183,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, FactorizationMachine], text:
     terms, machine = model
     shared = docs.sparkSession.sparkContext.broadcast((terms, machine.bias, machine.weights, machine.vectors))
     columns = [c for c in docs.columns if c != "toxic_score"]
-    plain = docs.select(*columns).withColumn("_text", text_of(text))
+    plain = docs.select(*columns).withColumn("__text", text_of(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, *learned = shared.value
         machine = FactorizationMachine.of(*learned)
         for batch in batches:
-            for part, buf, offs in row_chunks(batch, "_text"):
+            for part, buf, offs in row_chunks(batch, "__text"):
                 own = _chosen(terms, document_terms(buf, offs))
                 rows = np.repeat(np.arange(len(own)), [len(x) for x in own])
                 value = machine.score(rows, np.concatenate(own).astype(np.int64), len(own))
