@@ -64,7 +64,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], budget: float, mo
 def _quotas(streams: DataFrame) -> DataFrame:
     """Integer quotas of the streams (skey, part, blocks, share), share being the blocks wished for."""
     t = streams.agg(F.sum("share").alias("share"), F.count("*").alias("parties")).first()
-    seats = round(t.share or 0.0)
+    seats = int(round(t.share or 0.0, 3) + 0.5)  # the last bits of a sum depend on the order of its rows
     slack = t.parties / (2.0 * seats) if seats else 0.0
     # the winning divisor lies within seats -+ parties / 2, so a party's seats lie in [low, high]
     low = F.greatest(F.lit(0), F.floor(F.col("share") * (1 - slack)) - 1)
