@@ -3,14 +3,14 @@
 1. Terms are the lower-cased runs of letters of the whole text and their proper
    beginnings of 4 to 8 bytes (inflected and compound forms share a beginning),
    hashed to 2^20 numbers; a document is the set of its terms.
-2. From all labelled rows outside the held-out fold, one aggregate counts the
-   toxic and the clean documents of every term. The terms whose rates differ
-   most (absolute z-score of the two rates) become the features. Their number
-   is a parameter; a term that marks either class often enough is among them.
-3. The machine is fitted on a bounded, uniform sample of the labelled rows
-   (about ``SAMPLE_ROWS``): bias, a weight for each feature and for each pair
-   of features the product of two vectors, so that two terms together can count
-   for more (or less) than the sum of their weights.
+2. The machine learns from a bounded, uniform sample of the labelled rows outside
+   the held-out fold (about ``SAMPLE_ROWS``, chosen by a hash of the id; all rows
+   where there are fewer). One aggregate counts the toxic and the clean documents
+   of every term in it; the terms whose rates differ most (absolute z-score of
+   the two rates) become the features, whose number is a parameter.
+3. The machine is fitted on the sample's features: bias, a weight for each
+   feature and for each pair of features the product of two vectors, so that two
+   terms together can count for more (or less) than the sum of their weights.
 4. Every document is scored in one pass without a shuffle; the model is a
    broadcast of a size fixed by the parameters.
 """
@@ -153,16 +153,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     The sample is uniform by a hash of the id, of ``sample_rows`` rows expected.
     """
     known = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("label")).where(~held_out(F.col("__id")) & F.col("label").isNotNull())
-    plain = docs.select(F.col(doc_id).alias("__id"), text_of(text).alias("text"))
-    rows = plain.join(known, "__id").select("label", "text")
-    labelled = written(rows.mapInArrow(_with_terms, "label int, terms array<int>"), "toxic-terms")
-    terms = _features(labelled, features)
-    total = labelled.count()
+    total = known.count()
     share = min(1.0, sample_rows / total) if total else 1.0
-    sample = labelled.where(F.pmod(F.xxhash64("terms", "label"), F.lit(1_000_000)) < int(share * 1_000_000)).mapInArrow(
-        _features_only(terms), "label int, terms array<int>"
-    )
-    found = sample.collect()  # about sample_rows rows, each with the few features present
+    sample = F.broadcast(known.where(F.pmod(F.xxhash64("__id", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000)))  # about sample_rows rows
+    rows = docs.select(F.col(doc_id).alias("__id"), text_of(text).alias("text")).join(sample, "__id").select("label", "text")
+    labelled = written(rows, "toxic-sample").mapInArrow(_with_terms, "label int, terms array<int>")
+    terms = _features(labelled, features)
+    found = labelled.mapInArrow(_features_only(terms), "label int, terms array<int>").collect()  # the few features present in each
     found.sort(key=lambda r: (r.label, r.terms))
     y = np.array([r.label for r in found], float)
     machine = FactorizationMachine(max(1, len(terms)), FACTORS)
