@@ -55,6 +55,9 @@ MORE = (
 
 # ---------------------------------------------------------------- trigram queries
 
+#: Character classes of up to so many characters are written out as alternatives.
+SMALL_CLASS = 8
+
 
 def _expansions(nodes) -> list[str]:
     """Strings that stand for a sequence of regex nodes; a NUL stands for anything."""
@@ -62,8 +65,8 @@ def _expansions(nodes) -> list[str]:
     for op, value in nodes:
         if op is sre.LITERAL:
             found = [chr(value).lower()]
-        elif op is sre.IN and len({chr(v).lower() for o, v in value if o is sre.LITERAL}) == 1 and all(o is sre.LITERAL for o, _ in value):
-            found = [chr(value[0][1]).lower()]
+        elif op is sre.IN and all(o is sre.LITERAL for o, _ in value) and len(value) <= SMALL_CLASS:
+            found = list(dict.fromkeys(chr(v).lower() for _, v in value))
         elif op is sre.SUBPATTERN:
             found = _expansions(value[-1])
         elif op is sre.BRANCH:
