@@ -8,7 +8,6 @@ global. Sub-packages:
 * ``functions`` column-level helpers (dates, labels, safe arithmetic)
 * ``operators`` returns, ranks, labels, fences, profiling, series, models
 * ``plans``     multi-step jobs and the query catalogue
-* ``streaming`` incremental variants of the batch jobs
 """
 
 __version__ = "0.1.0"

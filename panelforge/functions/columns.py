@@ -91,10 +91,6 @@ def threshold_flag(prob: ColumnOrName, threshold: float = 0.8) -> Column:
     return _c(prob) > F.lit(threshold)
 
 
-# Fixed value: the quote page the dashboard links every company to.
-URL_PREFIX = "https://www.gurufocus.com/stock/"
-
-
-def url_for(code: ColumnOrName, prefix: str = URL_PREFIX) -> Column:
+def url_for(code: ColumnOrName, prefix: str) -> Column:
     """Hyperlink per company code."""
     return F.concat(F.lit(prefix), _c(code))

@@ -29,7 +29,7 @@ def in_range_or_null(col: str, low: float, high: float | None = None) -> Column:
 
 
 def picks(metrics: DataFrame, companies: DataFrame, year: int, n: int = 20, score: str = "RANKING",
-          cap_low: float = 50.0, regions: Sequence[str] | None = None) -> DataFrame:
+          cap_low: float = 50.0, regions: Sequence[str] | None = None, url_prefix: str = "") -> DataFrame:
     """Entry point C: who would have been picked for ``year`` (data of ``year - 1``).
 
     companies x metrics on CODE (J3), year parameter (F13), CAP in range or
@@ -52,7 +52,7 @@ def picks(metrics: DataFrame, companies: DataFrame, year: int, n: int = 20, scor
     )
     w = Window.orderBy(F.col(f"SUM_{score}").asc_nulls_last(), F.col("CODE"))
     top = g.withColumn("RANK_UNIQUE", F.row_number().over(w)).where(F.col("RANK_UNIQUE") <= n)
-    return top.withColumn("PRICE_DIFF", F.col("PRICE_END") - F.col("PRICE_START")).withColumn("URL", url_for("CODE"))
+    return top.withColumn("PRICE_DIFF", F.col("PRICE_END") - F.col("PRICE_START")).withColumn("URL", url_for("CODE", url_prefix))
 
 
 def cumulative_vs_index(price_returns: DataFrame, selection: DataFrame, index_returns: DataFrame, year: int) -> DataFrame:

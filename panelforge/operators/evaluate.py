@@ -1,32 +1,33 @@
 """Evaluation operators.
 
-All metrics are plain aggregates. The ROC curve needs running sums over the
-scores in descending order; instead of one window over the whole table (a
-single task), scores are first collapsed to distinct values, cut into
-equal-width score buckets, and the running sums are built in two levels: a
-window over the per-bucket totals (one row per bucket) gives each bucket's
-offset, and a window partitioned by bucket gives the running sum inside it.
+All metrics are plain aggregates over the rows in which both sides are known. The
+ROC curve collapses scores to distinct values and sums them up in descending
+order over range partitions (``operators.ordered``), whatever their distribution.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import round_to_class, threshold_flag
+from panelforge.operators.ordered import running_totals
 from panelforge.operators.ranks import dense_rank_by
+from panelforge.session import write_once
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    """MSE, RMSE and R^2 (1 - SSE/SST) as one aggregate."""
+    """MSE, RMSE and R^2 (1 - SSE/SST) over the complete pairs; N is their number."""
+    both = F.col(label).isNotNull() & F.col(prediction).isNotNull()
+    y = F.when(both, F.col(label))
     err = F.pow(F.col(label) - F.col(prediction), 2)
     aggs = [
-        F.count(F.lit(1)).alias("N"),
+        F.count(y).alias("N"),
         F.avg(err).alias("MSE"),
         F.sqrt(F.avg(err)).alias("RMSE"),
-        (1 - F.try_divide(F.sum(err), F.var_pop(label) * F.count(F.lit(1)))).alias("R2"),
+        (1 - F.try_divide(F.sum(err), F.var_pop(y) * F.count(y))).alias("R2"),
     ]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
@@ -58,40 +59,25 @@ def confusion_metrics(df: DataFrame, label: str, predicted: str, by: Sequence[st
 
 
 def accuracy(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    """Share of equal labels."""
-    return df.agg(F.avg((F.col(label) == F.col(predicted)).cast("double")).alias("ACCURACY"), F.count(F.lit(1)).alias("N"))
+    """Share of equal labels among the N rows in which both are known."""
+    equal = (F.col(label) == F.col(predicted)).cast("double")
+    return df.agg(F.avg(equal).alias("ACCURACY"), F.count(equal).alias("N"))
 
 
-def _score_bucket(score: Column, lo: Column, hi: Column, buckets: int) -> Column:
-    return F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((hi - score) / (hi - lo) * buckets), F.lit(buckets - 1)))
-
+def _roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(THRESHOLD, POS, NEG, TP, FP) per distinct score; rows with a null score or label are ignored."""
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    points = known.groupBy(F.col(score).alias("THRESHOLD")).agg(
+        F.count(F.when(F.col(label) == 1, 1)).alias("POS"), F.count(F.when(F.col(label) == 0, 1)).alias("NEG")
+    )
+    return write_once(running_totals(points, [], [F.col("THRESHOLD").desc()], {"TP": F.col("POS"), "FP": F.col("NEG")}), "roc")
 
-def roc_curve(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
-    """ROC points (THRESHOLD, FPR, TPR) by descending score, ties grouped.
 
-    Running sums come from the two-level scheme of the module notes; bucket 0
-    holds the highest scores. Rows with a null score or label are ignored.
-    """
-    base = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    pts = base.groupBy(F.col(score).alias("THRESHOLD")).agg(
-        F.count(F.when(F.col(label) == 1, 1)).alias("_pos"), F.count(F.when(F.col(label) == 0, 1)).alias("_neg")
-    )
-    stats = base.select(F.min(score).alias("lo"), F.max(score).alias("hi"))
-    lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
-    pts = pts.withColumn("_b", _score_bucket(F.col("THRESHOLD"), lo, hi, buckets))
-    tot = pts.groupBy("_b").agg(F.sum("_pos").alias("_bp"), F.sum("_neg").alias("_bn"))
-    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_b", F.coalesce(F.sum("_bp").over(wb), F.lit(0)).alias("_op"),
-                      F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_on"))
-    win = Window.partitionBy("_b").orderBy(F.col("THRESHOLD").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    run = pts.join(F.broadcast(offs), "_b").select(
-        "THRESHOLD",
-        (F.col("_op") + F.sum("_pos").over(win)).alias("TP"),
-        (F.col("_on") + F.sum("_neg").over(win)).alias("FP"),
-    )
-    p = base.where(F.col(label) == 1).select(F.count(F.lit(1))).scalar()
-    n = base.where(F.col(label) == 0).select(F.count(F.lit(1))).scalar()
-    return run.select("THRESHOLD", "TP", "FP", F.try_divide(F.col("FP"), n).alias("FPR"), F.try_divide(F.col("TP"), p).alias("TPR"))
+def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+    """ROC points (THRESHOLD, TP, FP, FPR, TPR) by descending score, ties grouped."""
+    points = _roc_points(df, label, score)
+    p, n = points.select(F.sum("POS")).scalar(), points.select(F.sum("NEG")).scalar()
+    return points.select("THRESHOLD", "TP", "FP", F.try_divide(F.col("FP"), n).alias("FPR"), F.try_divide(F.col("TP"), p).alias("TPR"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -99,21 +85,11 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
     Equal to the Mann-Whitney statistic: for each distinct score, the negatives
     at that score times (positives with a higher score + half the positives at
-    that score), over P*N. The positives above each score come from the same
-    two-level running sum as ``roc_curve``.
+    that score), over P*N.
     """
-    base = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    curve = roc_curve(base, label, score)
-    pts = base.groupBy(F.col(score).alias("THRESHOLD")).agg(
-        F.count(F.when(F.col(label) == 1, 1)).alias("_pos"), F.count(F.when(F.col(label) == 0, 1)).alias("_neg")
-    )
-    j = curve.join(pts, "THRESHOLD")
-    above = F.col("TP") - F.col("_pos")
-    num = F.sum(F.col("_neg") * (above + 0.5 * F.col("_pos")))
-    return j.agg(
-        F.try_divide(num, F.sum("_pos") * F.sum("_neg")).alias("AUC"),
-        F.sum("_pos").alias("POSITIVES"),
-        F.sum("_neg").alias("NEGATIVES"),
+    num = F.sum(F.col("NEG") * (F.col("TP") - F.col("POS") + 0.5 * F.col("POS")))
+    return _roc_points(df, label, score).agg(
+        F.try_divide(num, F.sum("POS") * F.sum("NEG")).alias("AUC"), F.sum("POS").alias("POSITIVES"), F.sum("NEG").alias("NEGATIVES")
     )
 
 

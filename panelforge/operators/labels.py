@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import case_label, compound_label
-from panelforge.functions.joins import broadcast_if_small
+from panelforge.session import write_once
 
 # The two-valued categories of the labels.
 POSITIVE, NEGATIVE = "POSITIVE", "NEGATIVE"
@@ -39,10 +39,13 @@ def lag_value(df: DataFrame, value: str, key: str = "CODE", order: str = "YEAR",
 def next_period_labels(panel: DataFrame, index_returns: DataFrame, key: str = "CODE", order: str = "YEAR") -> DataFrame:
     """RETURNS_NEXT, INDEX_RETURNS_NEXT and the four category labels.
 
-    ``index_returns`` has one row per period (``order``, INDEX_RETURNS): its
-    size is bounded by the number of periods, so the join broadcasts it.
+    ``index_returns`` has the returns of one index: one row per period (``order``,
+    INDEX_RETURNS). A table with several rows per period would multiply the
+    panel's rows, so periods that occur more than once raise an error.
     """
-    j = panel.join(F.broadcast(index_returns.select(order, "INDEX_RETURNS")), order, "left")
+    twice = F.raise_error(F.lit("several index returns in one period"))
+    of_period = index_returns.groupBy(order).agg(F.when(F.count("*") == 1, F.max("INDEX_RETURNS")).otherwise(twice.cast("double")).alias("INDEX_RETURNS"))
+    j = panel.join(of_period, order, "left")
     w = Window.partitionBy(key).orderBy(order)
     r, i = F.col("RETURNS"), F.col("INDEX_RETURNS")
     rn, inx = F.col("RETURNS_NEXT"), F.col("INDEX_RETURNS_NEXT")
@@ -64,9 +67,10 @@ def compound_wins(df: DataFrame, out: str = "RETURNS_vs_INDEX_NEXT") -> DataFram
 def encode_label(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Sorted distinct text values -> 0..k-1 (LOSES=0, WINS=1; NEGATIVE=0, POSITIVE=1).
 
-    The code table is built from the distinct values (a categorical: a handful
-    of rows) and joined back; AQE turns the join into a broadcast at run time.
+    The input is written once. The code table is built from the distinct values
+    (a categorical: a handful of rows) and joined back.
     """
+    df = write_once(df, "encode")
     codes = df.select(col).where(F.col(col).isNotNull()).distinct()
     codes = codes.withColumn(out or f"{col}_CODE", F.dense_rank().over(Window.orderBy(col)) - 1)
     return df.join(codes, col, "left")
@@ -75,10 +79,10 @@ def encode_label(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 def map_categories(df: DataFrame, mapping: DataFrame, col: str, out: str, source: str = "FROM", target: str = "TO") -> DataFrame:
     """Map values through a mapping table; unlisted values pass through unchanged.
 
-    ``mapping`` is a dimension (one row per source value); it is broadcast
-    after a size check (``broadcast_if_small``), otherwise shuffled.
+    ``mapping`` has one row per source value; Spark broadcasts it as far as its
+    size allows.
     """
-    m = broadcast_if_small(mapping.select(F.col(source).alias("_from"), F.col(target).alias("_to")))
+    m = mapping.select(F.col(source).alias("_from"), F.col(target).alias("_to"))
     return (
         df.join(m, F.col(col) == F.col("_from"), "left")
         .withColumn(out, F.coalesce(F.col("_to"), F.col(col)))

@@ -1,31 +1,30 @@
 """Walk-forward training and model operators.
 
-Walk-forward without a loop over data: every panel row is replicated to the
-``n_back`` target years it trains (``explode(sequence(YEAR+1, YEAR+n_back))``),
-which turns the per-year windows of years into one training table keyed by
-TARGET_YEAR -- a bounded n_back-fold copy, no range join and no cross join.
-
-* Linear regression is solved in closed form for every target year at once:
-  one grouped aggregate of means, variances and covariances (two features), or
-  of the normal-equation moments (any number of features) followed by a
-  k x k solve per target year on a table with one row per target year.
-* Tree ensembles, boosting, logistic regression, MLP and linear SVM use MLlib;
-  the driver loops over target years (a handful of distributed fits), never
-  over rows.
+* Linear regression is solved in closed form for every target year at once. Every
+  panel row is copied to the ``n_back`` target years it trains
+  (``explode(sequence(YEAR+1, YEAR+n_back))``, a bounded copy, no range join);
+  one grouped aggregate of means, variances and covariances (two features), or of
+  the normal-equation moments (any number of features), then a k x k solve per
+  target year on a table with one row per target year.
+* Tree ensembles, boosting, logistic regression, MLP and linear SVM use MLlib.
+  The panel is written once, partitioned by year; each target year reads only the
+  years of its window. The driver loops over target years, never over rows.
+  Medians, means and the number of boosting rounds are taken from the window
+  alone, so that no later year can change an earlier year's score.
 
 XGBoost is not available here; gradient-boosted trees (``GBTRegressor``,
 ``GBTClassifier``) stand in. L1 regularisation, per-tree column sampling and
 native missing-value handling have no MLlib counterpart: features are imputed
-first (``impute``) because MLlib trees reject nulls.
+first because MLlib trees reject nulls.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -34,7 +33,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -42,7 +41,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.session import materialize
+from panelforge.operators.quantiles import exact_quantiles
+from panelforge.session import materialize, shared_scratch, write_once
 
 
 def training_windows(panel: DataFrame, target_years: Sequence[int], n_back: int, year: str = "YEAR") -> DataFrame:
@@ -52,19 +52,34 @@ def training_windows(panel: DataFrame, target_years: Sequence[int], n_back: int,
     return t.where(F.col("TARGET_YEAR").isin(list(target_years)) & F.col("TARGET_YEAR").between(lo, hi))
 
 
+def _bucket(keys: Sequence[str], seed: int):
+    """0..9999 from the MD5 of the keys: the same in every engine and run."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10_000
+
+
 def hash_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 10) -> tuple[DataFrame, DataFrame]:
     """Repeatable split on a hash of the keys (reruns and re-partitioning agree)."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10_000))
     cut = int(round(fraction * 10_000))
-    return df.where(bucket < cut), df.where(bucket >= cut)
+    return df.where(_bucket(keys, seed) < cut), df.where(_bucket(keys, seed) >= cut)
+
+
+def year_holdout(df: DataFrame, year_held_out: int, year: str = "YEAR") -> tuple[DataFrame, DataFrame]:
+    """(rows of earlier years, rows of the held-out year)."""
+    return df.where(F.col(year) < year_held_out), df.where(F.col(year) == year_held_out)
+
+
+def target_years(panel: DataFrame, n_back: int, year: str = "YEAR") -> list[int]:
+    """The years of the panel that have a full window of ``n_back`` years before them."""
+    r = panel.agg(F.min(year).alias("lo"), F.max(year).alias("hi")).first()
+    return [] if r.lo is None else list(range(r.lo + n_back, r.hi + 1))
 
 
 def validation_flag(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 10, out: str = "VALID") -> DataFrame:
     """Boolean column marking a repeatable hash share of the rows as validation rows
     (MLlib's ``validationIndicatorCol``: early stopping of boosting, the stand-in for
     choosing the number of rounds by cross-validation)."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10_000))
-    return df.withColumn(out, bucket < int(round(fraction * 10_000)))
+    return df.withColumn(out, _bucket(keys, seed) < int(round(fraction * 10_000)))
 
 
 def chronological_split(df: DataFrame, key: str, order: str, fraction: float) -> DataFrame:
@@ -129,39 +144,58 @@ def apply_linear(df: DataFrame, coef: DataFrame, features: Sequence[str], out: s
                  on: tuple[str, str] = ("YEAR", "TARGET_YEAR")) -> DataFrame:
     """Score rows with the coefficients of their target year.
 
-    The coefficient table has one row per target year (bounded by the calendar)
-    and is broadcast.
+    The coefficient table has one row per target year.
     """
     c = coef.withColumnRenamed(on[1], on[0])
     pred = F.col("B0")
     for i, f in enumerate(features, 1):
         pred = pred + F.col(f"B{i}") * F.col(f)
-    j = df.join(F.broadcast(c), on[0])
+    j = df.join(c, on[0])
     return j.withColumn(out, pred).drop("N", *[f"B{i}" for i in range(len(features) + 1)])
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """Feature vector column (nulls are rejected: impute first)."""
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    """Feature vector column; a null is an error: impute first."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
+
+
+def fit_medians(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Exact median of each feature (a few numbers); a feature without values has 0."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot([], list(features), "METRIC", "__val")
+    found = {r.METRIC: r.Q for r in exact_quantiles(long, "__val", [0.5], ["METRIC"]).collect()}
+    return {c: found.get(c, 0.0) for c in features}
 
 
-def impute(df: DataFrame, features: Sequence[str], strategy: str = "median", indicators: bool = True) -> DataFrame:
-    """Median imputation plus ``<col>_ISNULL`` indicator columns."""
-    out = df
-    if indicators:
-        out = out.withColumns({f"{c}_ISNULL": F.col(c).isNull().cast("double") for c in features})
-    casted = out.withColumns({c: F.col(c).cast("double") for c in features})
-    model = Imputer(inputCols=list(features), outputCols=list(features), strategy=strategy).fit(casted)
-    return model.transform(casted)
+def impute(df: DataFrame, medians: Mapping[str, float], indicators: bool = False) -> DataFrame:
+    """Nulls and NaN replaced by the given medians, with ``<col>_ISNULL`` columns on request."""
+    def missing(c: str):
+        return F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+
+    flags = {f"{c}_ISNULL": missing(c).cast("double") for c in medians} if indicators else {}
+    filled = {c: F.when(missing(c), F.lit(float(m))).otherwise(F.col(c).cast("double")) for c, m in medians.items()}
+    return df.withColumns({**flags, **filled})
+
+
+def fit_scale(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """M13 on a window: (mean, population standard deviation) of each feature."""
+    r = df.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(features) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    return {c: (r[f"m_{i}"] or 0.0, r[f"s_{i}"] or 1.0) for i, c in enumerate(features)}
+
+
+def scale(df: DataFrame, moments: Mapping[str, tuple[float, float]]) -> DataFrame:
+    return df.withColumns({c: (F.col(c) - F.lit(float(m))) / F.lit(float(s)) for c, (m, s) in moments.items()})
 
 
 def class_weights(df: DataFrame, label: str, out: str = "WEIGHT") -> DataFrame:
-    """M8: balanced weights ``n / (k * n_c)``; the class-count table has one row per
-    class (partial aggregation), joined back; AQE broadcasts it at run time when small."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    k = counts.select(F.count(F.lit(1))).scalar()
-    return df.join(counts, label).withColumn(out, total / (k * F.col("_nc"))).drop("_nc")
+    """M8: balanced weights ``n / (k * n_c)``.
+
+    The input is written once. n and k come from the class-count table, which has
+    one row per class and is joined back.
+    """
+    df = write_once(df, "class-weights")
+    counts = write_once(df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc")).where(F.col(label).isNotNull()), "class-counts")
+    n, k = counts.select(F.sum("__nc")).scalar(), counts.select(F.count(F.lit(1))).scalar()
+    return df.join(counts, label).withColumn(out, n / (k * F.col("__nc"))).drop("__nc")
 
 
 def regression_estimator(kind: str, seed: int = 10, **params):
@@ -198,56 +232,75 @@ def classifier_estimator(kind: str, n_features: int, seed: int = 10, **params):
 
 
 def walk_forward_fit_predict(panel: DataFrame, features: Sequence[str], label: str, target_years: Sequence[int],
-                             n_back: int, estimator, score_rows: DataFrame, year: str = "YEAR",
-                             probability: bool = False, parallelism: int = 4) -> DataFrame:
+                             n_back: int, estimator, score_rows: DataFrame, year: str = "YEAR", probability: bool = False,
+                             parallelism: int = 4, fill: bool = False, standardise: str | None = None,
+                             keep: Sequence[str] = ("YEAR", "CODE")) -> DataFrame:
     """M1 with an MLlib estimator: for each target year fit on the window, score that year.
 
-    The training table (all windows) and the rows to score are checkpointed
-    once; the per-year fits are independent distributed jobs, submitted from
-    up to ``parallelism`` driver threads (as ``CrossValidator`` does for grid
-    points). The scored frames are unioned by name. ``probability=True`` adds
-    PROBABILITY (of class 1) for classifiers.
+    The training rows are written once, partitioned by year, and each fit reads
+    only the years ``x - n_back .. x - 1``. The per-year fits are independent
+    distributed jobs, submitted from up to ``parallelism`` driver threads.
+    ``fill`` imputes the window's medians; ``standardise`` is ``"window"`` (the
+    window's moments for both) or ``"own"`` (the scored year by its own moments).
+    Every row of a target year comes back: its prediction is null if it lacks a
+    feature or if the window has no training rows. ``probability=True`` adds
+    PROBABILITY (of class 1) for classifiers. Columns: ``keep``, PREDICTION.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    train_all = materialize(assemble(training_windows(panel, target_years, n_back, year), features))
-    scored = materialize(assemble(score_rows.where(F.col(year).isin(list(target_years))), features))
+    columns = [*keep, *features]
+    flag = estimator.getValidationIndicatorCol() if estimator.hasParam("validationIndicatorCol") and estimator.isDefined("validationIndicatorCol") else None
+    train_cols = dict.fromkeys([year, *features, label, *([flag] if flag else [])])
+    root = shared_scratch(panel.sparkSession, "walk-forward")
+    panel.where(F.col(label).isNotNull()).select(*train_cols, F.col(year).alias("__part")).write.partitionBy("__part").parquet(root)
+    spark = panel.sparkSession
+    schema = panel.select(*train_cols, F.col(year).cast("int").alias("__part")).schema
+    rows = write_once(score_rows.where(F.col(year).isin(list(target_years))).select(*dict.fromkeys([*columns, year])), "walk-forward-rows")
+    empty = {"PREDICTION": F.lit(None).cast("double"), **({"PROBABILITY": F.lit(None).cast("double")} if probability else {})}
 
     def fit_year(x: int):
-        tr = train_all.where(F.col("TARGET_YEAR") == x)
-        if tr.isEmpty():
-            return None
-        model = estimator.copy().setFeaturesCol("features").setLabelCol(label).fit(tr)
-        s = model.transform(scored.where(F.col(year) == x))
-        if probability and "probability" in s.columns:
+        train = spark.read.schema(schema).parquet(root).where(F.col("__part").between(x - n_back, x - 1)).drop("__part")
+        own = rows.where(F.col(year) == x)
+        if fill:
+            medians = fit_medians(train, features)
+            train, own = impute(train, medians), impute(own, medians)
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features])
+        train, blank, own = train.where(known), own.where(~known), own.where(known)
+        if train.isEmpty():
+            return [own.select(*keep).withColumns(empty), blank.select(*keep).withColumns(empty)]
+        if standardise:
+            moments = fit_scale(train, features)
+            train, own = scale(train, moments), scale(own, moments if standardise == "window" else fit_scale(own, features))
+        model = estimator.copy().setFeaturesCol("features").setLabelCol(label).fit(assemble(train, features))
+        s = model.transform(assemble(own, features))
+        if probability:
             s = s.withColumn("PROBABILITY", vector_to_array("probability").getItem(1))
-        s = s.withColumnRenamed("prediction", "PREDICTION")
-        return s.drop(*[c for c in ("features", "rawPrediction", "probability") if c in s.columns])
+        s = s.withColumn("PREDICTION", F.col("prediction").cast("double"))
+        return [s.select(*keep, *empty), blank.select(*keep).withColumns(empty)]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = [p for p in pool.map(fit_year, list(target_years)) if p is not None]
-    out = None
-    for p in parts:
-        out = p if out is None else out.unionByName(p)
-    return out
+        parts = [p for found in pool.map(fit_year, list(target_years)) for p in found]
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else rows.select(*keep).withColumns(empty).where(F.lit(False))
 
 
 def grid_search(df: DataFrame, features: Sequence[str], label: str, estimator, grid: dict, folds: int = 10,
-                metric: str = "rmse", seed: int = 10) -> DataFrame:
-    """K-fold cross validation over a parameter grid.
-
-    Returns one row per grid point with the mean and std of the metric;
-    ``CrossValidator(parallelism)`` fits grid points concurrently.
+                evaluator=None, seed: int = 10) -> DataFrame:
+    """K-fold cross validation over a parameter grid, for regressors and classifiers.
+
+    ``evaluator`` defaults to the root mean squared error; pass a
+    ``MulticlassClassificationEvaluator`` or ``BinaryClassificationEvaluator``
+    for classifiers. Returns one row per grid point with the mean and standard
+    deviation over the folds; ``CrossValidator(parallelism)`` fits grid points
+    concurrently.
     """
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(getattr(estimator, name), list(values))
     maps = builder.build()
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
-                            estimator.setFeaturesCol("features").setLabelCol(label)])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, numFolds=folds, seed=seed, parallelism=4,
-                        evaluator=RegressionEvaluator(labelCol=label, metricName=metric))
-    model = cv.fit(df)
+    evaluator = evaluator if evaluator is not None else RegressionEvaluator(metricName="rmse")
+    cv = CrossValidator(estimator=estimator.setFeaturesCol("features").setLabelCol(label), estimatorParamMaps=maps, numFolds=folds,
+                        seed=seed, parallelism=4, evaluator=evaluator.setLabelCol(label))
+    model = cv.fit(materialize(assemble(df, features).select("features", label)))
     rows = []
     for pm, avg, std in zip(maps, model.avgMetrics, model.stdMetrics):
         rows.append((", ".join(f"{p.name}={v}" for p, v in pm.items()), float(avg), float(std)))

@@ -16,72 +16,61 @@ Three behaviours exist and are offered separately:
   boundary rows and nulls are kept; sequential over columns.
 * ``winsorize_by``         per group, clip to the fences; columns independent.
 
-Scale: per-year statistics run on the yearly panel (one row per company and
-year), so a year's group is bounded by the number of companies. The sequential
-per-year filter uses window aggregates over the same partitioning, which keeps
-the plan linear in the number of columns with a single exchange.
+Scale: quartiles come from ``exact_quantiles``, which never merges a year or the
+table in one task. Fences are small tables (one row per group) written as Parquet
+and joined; Spark broadcasts them as far as their size allows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.operators.quantiles import exact_quantiles
-from panelforge.session import materialize as checkpoint
+from panelforge.operators.ordered import null_safe_join
+from panelforge.operators.quantiles import exact_quantiles, quantile_columns
+from panelforge.session import write_once
 
 FENCE_K = 1.5
 QUANTILE_DIGITS = 6
+REWRITE = 4
 
 
 def fence_bounds(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("YEAR",), k: float = FENCE_K,
                  digits: int | None = QUANTILE_DIGITS) -> DataFrame:
     """(by..., METRIC, Q1, Q3, IQR, LOW, HIGH).
 
-    All columns are unpivoted to (METRIC, value) and their quartiles come from
-    one distributed exact-quantile pass (``exact_quantiles``), so neither a
-    year nor the whole table is merged in a single task.
+    All columns are unpivoted to (METRIC, value); their quartiles are one pass of
+    ``exact_quantiles``.
     """
-    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "METRIC", "_val")
-    q = exact_quantiles(long, "_val", [0.25, 0.75], by=[*by, "METRIC"])
-    if digits is not None:
-        q = q.withColumn("Q", F.round("Q", digits))
-    wide = q.groupBy(*by, "METRIC").agg(
-        F.max(F.when(F.col("P") == 0.25, F.col("Q"))).alias("Q1"), F.max(F.when(F.col("P") == 0.75, F.col("Q"))).alias("Q3")
-    )
+    q = quantile_columns(df, cols, {0.25: "Q1", 0.75: "Q3"}, by, digits)
     iqr = F.col("Q3") - F.col("Q1")
-    return wide.withColumn("IQR", iqr).withColumn("LOW", F.col("Q1") - k * iqr).withColumn("HIGH", F.col("Q3") + k * iqr)
+    return q.withColumn("IQR", iqr).withColumn("LOW", F.col("Q1") - k * iqr).withColumn("HIGH", F.col("Q3") + k * iqr)
 
 
-def _global_quartiles(df: DataFrame, col: str, digits: int | None) -> tuple[float | None, float | None]:
-    q = exact_quantiles(df, col, [0.25, 0.75])
-    if digits is not None:
-        q = q.withColumn("Q", F.round("Q", digits))
-    got = {r["P"]: r["Q"] for r in q.collect()}
-    return got.get(0.25), got.get(0.75)
+def _fences(df: DataFrame, col: str, by: Sequence[str], k: float, digits: int | None) -> DataFrame:
+    """(by..., __low, __high) of one column, written: one row per group."""
+    low, high = F.col("LOW").alias("__low"), F.col("HIGH").alias("__high")
+    return write_once(fence_bounds(df, [col], by, k, digits).select(*by, low, high), "fences")
 
 
-def fence_filter_global(df: DataFrame, cols: Sequence[str], k: float = FENCE_K, digits: int | None = QUANTILE_DIGITS,
-                        materialize: bool = True) -> DataFrame:
+def fence_filter_global(df: DataFrame, cols: Sequence[str], k: float = FENCE_K, digits: int | None = QUANTILE_DIGITS) -> DataFrame:
     """O1: keep rows strictly inside ``(q1 - k*iqr, q3 + k*iqr)`` of the whole table.
 
     Sequential by definition: the fences of a column are computed on the rows
     that survived the previous columns, so the list order is part of the
-    signature. Each column costs one distributed exact-quartile pass
-    (``exact_quantiles``) whose result is two numbers; the input is
-    checkpointed once (to ``spark.checkpoint.dir``) so those passes do not
-    recompute its lineage and survive executor loss.
+    signature. The input is written once, without its lineage; each column costs
+    one pass that returns two numbers.
     """
-    out = checkpoint(df) if materialize else df
+    out = write_once(df, "fence-input")
     for c in cols:
-        q1, q3 = _global_quartiles(out, c, digits)
-        if q1 is None:
+        q = exact_quantiles(out, c, [0.25, 0.75])
+        got = {r["P"]: r["Q"] for r in (q if digits is None else q.withColumn("Q", F.round("Q", digits))).collect()}
+        if not got:
             return out.where(F.lit(False))
-        lo = F.lit(q1) - k * (F.lit(q3) - F.lit(q1))
-        hi = F.lit(q3) + k * (F.lit(q3) - F.lit(q1))
-        out = out.where((F.col(c) > lo) & (F.col(c) < hi))
+        q1, q3 = F.lit(got[0.25]), F.lit(got[0.75])
+        out = out.where((F.col(c) > q1 - k * (q3 - q1)) & (F.col(c) < q3 + k * (q3 - q1)))
     return out
 
 
@@ -89,21 +78,18 @@ def fence_filter_by(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("YE
                     digits: int | None = QUANTILE_DIGITS) -> DataFrame:
     """O2: per group drop rows strictly outside the fences; boundary rows and nulls stay.
 
-    Sequential over columns within each group, expressed as a chain of window
-    aggregates over one partitioning (one exchange, linear plan).
+    Sequential over columns within each group. The input is written once; each
+    column is one pass for the fences of all groups and one join with them. The
+    rows left are written again after every ``REWRITE`` columns, so that a pass
+    never repeats a long chain of joins.
     """
-    w = Window.partitionBy(*by)
-    out = df
-    for c in cols:
-        q = F.percentile(F.col(c), [0.25, 0.75]).over(w)
-        out = out.withColumn("_q", q)
-        q1, q3 = F.col("_q").getItem(0), F.col("_q").getItem(1)
-        if digits is not None:
-            q1, q3 = F.round(q1, digits), F.round(q3, digits)
-        out = out.withColumn("_q1", q1).withColumn("_q3", q3)
-        iqr = F.col("_q3") - F.col("_q1")
-        keep = F.col(c).isNull() | ((F.col(c) >= F.col("_q1") - k * iqr) & (F.col(c) <= F.col("_q3") + k * iqr))
-        out = out.where(keep).drop("_q", "_q1", "_q3")
+    out = write_once(df, "fence-input")
+    for i, c in enumerate(cols):
+        if i and i % REWRITE == 0:
+            out = write_once(out, "fence-rows")
+        x = F.col(c)
+        inside = x.isNull() | F.col("__low").isNull() | ((x >= F.col("__low")) & (x <= F.col("__high")))
+        out = null_safe_join(out, _fences(out, c, by, k, digits), list(by), "left").where(inside).drop("__low", "__high")
     return out
 
 
@@ -111,20 +97,16 @@ def winsorize_by(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("YEAR"
                  digits: int | None = QUANTILE_DIGITS) -> DataFrame:
     """O3: per group clip every column to its fences; nulls stay null; columns independent.
 
-    The quartiles are window aggregates over the group partitioning, so the
-    input is read once (an aggregate joined back would evaluate it twice) and
-    there is one exchange for all columns.
+    One pass for the fences of all columns, one join with them.
     """
-    w = Window.partitionBy(*by)
-    out = df
-    for c in cols:
-        q = F.percentile(F.col(c), [0.25, 0.75]).over(w)
-        q1, q3 = q.getItem(0), q.getItem(1)
-        if digits is not None:
-            q1, q3 = F.round(q1, digits), F.round(q3, digits)
-        out = out.withColumn(f"_{c}_q1", q1).withColumn(f"_{c}_q3", q3)
-    for c in cols:
-        q1, q3 = F.col(f"_{c}_q1"), F.col(f"_{c}_q3")
-        lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        out = out.withColumn(c, F.when(F.col(c).isNull(), F.col(c)).otherwise(F.least(F.greatest(F.col(c), lo), hi)))
-    return out.drop(*[f"_{c}_q{i}" for c in cols for i in (1, 3)])
+    base = write_once(df, "winsorize-input")
+    bounds = fence_bounds(base, cols, by, k, digits)
+    wide = bounds.groupBy(*by).agg(*[
+        F.max(F.when(F.col("METRIC") == c, F.col(edge))).alias(f"__{edge}_{i}") for i, c in enumerate(cols) for edge in ("LOW", "HIGH")
+    ])
+    out = null_safe_join(base, write_once(wide, "fences"), list(by), "left")
+    clipped = {
+        c: F.when(F.col(c).isNull(), F.col(c)).otherwise(F.least(F.greatest(F.col(c), F.col(f"__LOW_{i}")), F.col(f"__HIGH_{i}")))
+        for i, c in enumerate(cols)
+    }
+    return out.withColumns(clipped).select(*df.columns)

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import half_up
-from panelforge.operators.quantiles import exact_quantiles
+from panelforge.operators.ordered import null_safe_join
+from panelforge.operators.quantiles import exact_quantiles, quantile_columns
+from panelforge.session import write_once
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -43,27 +45,23 @@ def null_zero_profile(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, std (sample), min, quartiles, max per column, long form.
 
-    Moments come from one wide aggregate (partial aggregation); the quartiles
-    of all columns from one distributed exact-quantile pass over the
-    unpivoted (METRIC, value) pairs.
+    The columns are written once; moments come from one wide aggregate, the
+    quartiles of all columns from one pass over the unpivoted values.
     """
+    base = write_once(df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]), "describe")
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
         aggs += [
-            F.count(x).alias(f"_{c}_COUNT"),
-            F.avg(x).alias(f"_{c}_MEAN"),
-            F.stddev_samp(x).alias(f"_{c}_STD"),
-            F.min(x).alias(f"_{c}_MIN"),
-            F.max(x).alias(f"_{c}_MAX"),
+            F.count(c).alias(f"_{c}_COUNT"),
+            F.avg(c).alias(f"_{c}_MEAN"),
+            F.stddev_samp(c).alias(f"_{c}_STD"),
+            F.min(c).alias(f"_{c}_MIN"),
+            F.max(c).alias(f"_{c}_MAX"),
         ]
-    g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    g = base.groupBy(*by).agg(*aggs) if by else base.agg(*aggs)
     moments = _long(g, by, cols, ["COUNT", "MEAN", "STD", "MIN", "MAX"])
-    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "METRIC", "_val")
-    q = exact_quantiles(long, "_val", [0.25, 0.5, 0.75], by=[*by, "METRIC"])
-    qw = q.groupBy(*by, "METRIC").agg(*[F.max(F.when(F.col("P") == p, F.col("Q"))).alias(n)
-                                          for p, n in ((0.25, "P25"), (0.5, "P50"), (0.75, "P75"))])
-    return moments.join(qw, [*by, "METRIC"], "left").select(*by, "METRIC", "COUNT", "MEAN", "STD", "MIN", "P25", "P50", "P75", "MAX")
+    q = quantile_columns(base, cols, {0.25: "P25", 0.5: "P50", 0.75: "P75"}, by)
+    return null_safe_join(moments, q, [*by, "METRIC"], "left").select(*by, "METRIC", "COUNT", "MEAN", "STD", "MIN", "P25", "P50", "P75", "MAX")
 
 
 def zero_sum_columns(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -127,48 +125,24 @@ def boxplot_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                     digits: int = 6) -> DataFrame:
     """q1, median, q3, whiskers (most extreme values inside the fences) and outlier count.
 
-    Quartiles first, then one wide aggregate of conditional min/max/count
-    against the fences. Without groups the quartiles come from one distributed
-    exact-quantile pass over the unpivoted values and enter the second pass as
-    literals; with
-    groups (a period such as the year) they are window aggregates over the
-    same partitioning as the final aggregate, so the input is read once.
+    The columns are written once in long form; the quartiles of all groups and
+    columns are one pass, joined to the values for the conditional aggregates.
     """
-    if by:
-        w = Window.partitionBy(*by)
-        rows = df
-        for c in cols:
-            q = F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75]).over(w)
-            rows = rows.withColumns({f"_{c}_{n}": F.round(q.getItem(i), digits) for i, n in enumerate(("Q1", "MEDIAN", "Q3"))})
-
-        def qv(name: str) -> Column:
-            return F.col(name)
-    else:
-        rows = df
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "METRIC", "_val")
-        q = exact_quantiles(long, "_val", [0.25, 0.5, 0.75], by=["METRIC"]).withColumn("Q", F.round("Q", digits))
-        names = {0.25: "Q1", 0.5: "MEDIAN", 0.75: "Q3"}
-        stats = {f"_{r['METRIC']}_{names[r['P']]}": r["Q"] for r in q.collect()}  # three numbers per column
-
-        def qv(name: str) -> Column:
-            return F.lit(stats.get(name)).cast("double")
-
-    out = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        q1, med, q3 = qv(f"_{c}_Q1"), qv(f"_{c}_MEDIAN"), qv(f"_{c}_Q3")
-        lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        inside = (v >= lo) & (v <= hi)
-        out += [
-            F.max(q1).alias(f"_{c}_Q1"),
-            F.max(med).alias(f"_{c}_MEDIAN"),
-            F.max(q3).alias(f"_{c}_Q3"),
-            F.min(F.when(inside, v)).alias(f"_{c}_WHISKER_LOW"),
-            F.max(F.when(inside, v)).alias(f"_{c}_WHISKER_HIGH"),
-            F.count(F.when(v.isNotNull() & ~inside, 1)).alias(f"_{c}_OUTLIERS"),
-        ]
-    g = rows.groupBy(*by).agg(*out) if by else rows.agg(*out)
-    return _long(g, by, cols, ["Q1", "MEDIAN", "Q3", "WHISKER_LOW", "WHISKER_HIGH", "OUTLIERS"])
+    long = write_once(
+        df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "METRIC", "__val"), "boxplot"
+    )
+    keys = [*by, "METRIC"]
+    q = exact_quantiles(long, "__val", [0.25, 0.5, 0.75], keys).withColumn("Q", F.round("Q", digits))
+    named = {0.25: "Q1", 0.5: "MEDIAN", 0.75: "Q3"}
+    wide = write_once(q.groupBy(*keys).agg(*[F.max(F.when(F.col("P") == p, F.col("Q"))).alias(n) for p, n in named.items()]), "boxplot-quartiles")
+    v, iqr = F.col("__val"), F.col("Q3") - F.col("Q1")
+    inside = (v >= F.col("Q1") - k * iqr) & (v <= F.col("Q3") + k * iqr)
+    return null_safe_join(long, wide, keys, "left").groupBy(*keys).agg(
+        *[F.max(n).alias(n) for n in named.values()],
+        F.min(F.when(inside, v)).alias("WHISKER_LOW"),
+        F.max(F.when(inside, v)).alias("WHISKER_HIGH"),
+        F.count(F.when(v.isNotNull() & ~inside, 1)).alias("OUTLIERS"),
+    )
 
 
 def entity_eligibility(df: DataFrame, key: str = "CODE", period: str = "YEAR", min_periods: int = 12,
@@ -239,6 +213,11 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.na.drop(how="any", subset=list(subset) if subset else None)
 
 
+def between_closed(col: str, low: float, high: float) -> Column:
+    """F4 closed interval ``low <= col <= high``."""
+    return F.col(col).between(low, high)
+
+
 def between_open(col: str, low: float, high: float) -> Column:
     """F4/F8 open interval ``low < col < high``."""
     return (F.col(col) > low) & (F.col(col) < high)

@@ -1,22 +1,13 @@
-"""Exact quantiles without funnelling a large group through one task.
+"""Exact quantiles in two aggregates, whatever the size of a group.
 
-``percentile`` merges the distinct values of a whole group in one final task.
-For a global statistic that is every value of the column. ``exact_quantiles``
-checks the size of the largest group first and uses ``percentile`` only below
-a fixed bound; above it:
-
-1. range-partitions the non-null values by (group keys, value) -- a large group
-   is split across many partitions -- and writes that layout once (checkpoint
-   in ``spark.checkpoint.dir``) so that the counts and the indexing below see
-   the same partitions;
-2. counts rows per (partition, group): a table with at most
-   partitions x groups rows, from which a window over partition ids gives each
-   partition's offset inside its group;
-3. numbers every row by offset + ``row_number`` within its (partition, group)
-   slice, and keeps only the rows at the two order statistics around each
-   requested position ``(n - 1) * p``, which are joined (a table of
-   groups x probabilities) and interpolated linearly, the pandas /
-   ``quantile_cont`` definition.
+``percentile`` merges the distinct values of a whole group in one task. Here a
+first aggregate brackets each quantile with ``percentile_approx``, whose sketches
+merge in bounded memory and whose rank error is at most 1 / ACCURACY; a second
+one counts the values below the bracket and, per distinct value, those inside,
+both combined before the shuffle. Only the bracket's distinct values - ACCURACY,
+or a share of about 4 / ACCURACY of a larger group - meet in one task, where the order statistics
+are picked by their position and interpolated linearly (the pandas /
+``quantile_cont`` definition). A value repeated any number of times is one row.
 """
 
 from __future__ import annotations
@@ -25,79 +16,56 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from panelforge.functions.joins import broadcast_if_small
-from panelforge.session import materialize
 
+from panelforge.operators.ordered import null_safe_join
 
-# Largest group (in values) that may be merged by the plain ``percentile`` aggregate in one task.
-SMALL_GROUP_ROWS = 1_000_000
+ACCURACY = 10_000
+_MARGIN = 2.0 / ACCURACY
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    partitions: int | None = None, small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """(by..., P, Q): exact linear-interpolation quantiles of ``col`` (nulls and NaN ignored).
 
-    Groups without values are absent. The size of the largest group is checked
-    first (one partially aggregated count): up to ``small_group_rows`` values
-    the ``percentile`` aggregate is used (its one-task merge is then bounded);
-    beyond, the distributed path of the module notes.
+    Groups without values are absent; a null key is a group. ``df`` is evaluated
+    twice.
     """
-    spark = df.sparkSession
-    by = list(by)
-    v = F.col(col).cast("double")
-    vals = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    sizes = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else vals.agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest == 0:
-        return spark.createDataFrame([], T.StructType(
-            [df.schema[b] for b in by] + [T.StructField("P", T.DoubleType()), T.StructField("Q", T.DoubleType())]))
-    if largest <= small_group_rows:
-        pr = [float(p) for p in probs]
-        q = F.percentile("_v", pr)
-        g = vals.groupBy(*by).agg(q.alias("_q")) if by else vals.agg(q.alias("_q"))
-        pairs = F.arrays_zip(F.array(*[F.lit(p) for p in pr]).alias("P"), F.col("_q").alias("Q"))
-        return g.select(*by, F.inline(pairs))
-    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = materialize(vals.repartitionByRange(n_part, *by, "_v").withColumn("_pid", F.spark_partition_id()))
+    by, probs = list(by), [float(p) for p in probs]
+    value = F.col(col).cast("double")
+    values = df.select(*by, value.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    edges = [min(1.0, max(0.0, p + d)) for p in probs for d in (-_MARGIN, _MARGIN)]
+    near = F.percentile_approx("__v", edges, ACCURACY)
+    stats = values.groupBy(*by).agg(F.count("*").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), near.alias("__e")).where("__n > 0")
 
-    counts = laid.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_pid", *by,
-        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
-        F.sum("_c").over(Window.partitionBy(*by)).alias("_n"),
-    )
-    slice_w = Window.partitionBy("_pid", *by).orderBy("_v")
-    indexed = laid.join(broadcast_if_small(offsets.select("_pid", *by, "_off")), ["_pid", *by]).select(
-        *by, "_v", (F.col("_off") + F.row_number().over(slice_w) - 1).alias("_idx")
+    def bracket(i: int, p: float):
+        # the margin is two ranks at least where the group has more values than ACCURACY
+        low = F.when((F.col("__n") <= ACCURACY) | (edges[2 * i] == 0.0), F.col("__min")).otherwise(F.col("__e")[2 * i])
+        high = F.when((F.col("__n") <= ACCURACY) | (edges[2 * i + 1] == 1.0), F.col("__max")).otherwise(F.col("__e")[2 * i + 1])
+        at = (F.col("__n") - 1) * F.lit(p)
+        return F.struct(F.lit(p).alias("P"), low.alias("low"), high.alias("high"), F.floor(at).alias("i"), F.ceil(at).alias("j"), (at - F.floor(at)).alias("part"))
+
+    brackets = stats.select(*by, F.array(*[bracket(i, p) for i, p in enumerate(probs)]).alias("__w"))
+    joined = null_safe_join(values, brackets, by) if by else values.withColumn("__w", brackets.scalar())
+    w = F.col("__w")
+    counted = (
+        joined.withColumn("__w", F.explode("__w")).where(F.col("__v") <= w["high"])
+        .groupBy(*by, "__w", F.when(F.col("__v") >= w["low"], F.col("__v")).alias("__key")).agg(F.count("*").alias("__c"))
     )
+    upto = F.sum("__c").over(Window.partitionBy(*by, "__w").orderBy(F.col("__key").asc_nulls_first()))
+    placed = counted.withColumn("__end", upto).withColumn("__start", F.col("__end") - F.col("__c"))
 
-    if not by:
-        # one group: the positions are numbers; pick the order statistics with a filter
-        n = offsets.agg(F.max("_n")).first()[0]
-        if not n:
-            return spark.createDataFrame([], "P double, Q double")
-        want = {}
-        for p in probs:
-            x = (n - 1) * float(p)
-            want[float(p)] = (int(x // 1), int(-(-x // 1)), x - int(x // 1))
-        idx = sorted({i for lo_i, hi_i, _ in want.values() for i in (lo_i, hi_i)})
-        picked = dict(indexed.where(F.col("_idx").isin(idx)).select("_idx", "_v").collect())
-        rows = [(p, picked[lo_i] + (picked[hi_i] - picked[lo_i]) * fr) for p, (lo_i, hi_i, fr) in want.items()]
-        return spark.createDataFrame(rows, "P double, Q double")
+    def at(position: str):
+        return F.max(F.when((F.col("__start") <= w[position]) & (w[position] < F.col("__end")), F.col("__key")))
 
-    pos = (F.col("_n") - 1) * F.col("P")
-    targets = (
-        offsets.select(*by, "_n").distinct()
-        .withColumn("P", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .select(*by, "P", F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"), (pos - F.floor(pos)).alias("_frac"))
-    )
-    # equi-joins on (group, index): each indexed row meets only the targets at its own position
-    t_lo = broadcast_if_small(targets.select(*by, "P", "_frac", F.col("_lo").alias("_idx")))
-    t_hi = broadcast_if_small(targets.select(*by, "P", F.col("_hi").alias("_idx")))
-    lo = indexed.join(t_lo, [*by, "_idx"]).select(*by, "P", "_frac", F.col("_v").alias("_vlo"))
-    hi = indexed.join(t_hi, [*by, "_idx"]).select(*by, "P", F.col("_v").alias("_vhi"))
-    j = lo.join(hi, [*by, "P"])
-    return j.select(*by, "P", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("Q"))
+    found = placed.groupBy(*by, "__w").agg(at("i").alias("__lo"), at("j").alias("__hi"))
+    missed = F.raise_error(F.lit("the bracket of a quantile does not hold it"))
+    q = F.when(F.col("__lo").isNull() | F.col("__hi").isNull(), missed.cast("double")).otherwise(F.col("__lo") + (F.col("__hi") - F.col("__lo")) * w["part"])
+    return found.select(*by, w["P"].alias("P"), q.alias("Q"))
+
+
+def quantile_columns(df: DataFrame, cols: Sequence[str], named: dict[float, str], by: Sequence[str] = (), digits: int | None = None) -> DataFrame:
+    """(by..., METRIC, one column per quantile) of several columns at once."""
+    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "METRIC", "__val")
+    q = exact_quantiles(long, "__val", list(named), by=[*by, "METRIC"])
+    if digits is not None:
+        q = q.withColumn("Q", F.round("Q", digits))
+    return q.groupBy(*by, "METRIC").agg(*[F.max(F.when(F.col("P") == p, F.col("Q"))).alias(n) for p, n in named.items()])

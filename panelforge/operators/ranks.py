@@ -1,11 +1,9 @@
 """Rank, top-N and first/last-row operators.
 
-Ranks are computed within a period (the year) of the yearly panel, whose grain
-is one row per (company, year): a partition holds at most the number of listed
-companies, independent of history length or price volume. Several ranks over
-the same partition share one exchange; Spark adds one sort per ordering.
-``row_rank_long`` ranks every metric in its own (period, metric) partition,
-which multiplies the available parallelism by the number of metrics.
+Ranks within a period do not run as a window over the period, which would be one
+task per year: rows (or, for dense ranks, distinct values) are numbered by
+``operators.ordered`` over range partitions. Several ranks of a table are one
+pass over its long form (one row per key and column).
 """
 
 from __future__ import annotations
@@ -15,12 +13,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.operators.ordered import null_safe_join, row_numbers
+from panelforge.session import write_once
 
-def _order(col: str, ascending: bool, nulls_first: bool | None) -> Column:
-    c = F.col(col)
-    if ascending:
-        return c.asc_nulls_first() if nulls_first in (None, True) else c.asc_nulls_last()
-    return c.desc_nulls_last() if nulls_first in (None, False) else c.desc_nulls_first()
+
+def _sort_keys(value: Column, ascending: bool, nulls_first: bool) -> tuple[Column, Column]:
+    """Two ascending keys (class, value) with the order of one sort key: nulls and NaN where Spark puts them."""
+    x = value.cast("double")
+    nan = 3 if ascending else 1  # NaN is the largest value
+    kind = F.when(x.isNull(), 0 if nulls_first else 4).when(F.isnan(x), nan).otherwise(2)
+    return kind, F.when(kind == 2, x if ascending else -x)
+
+
+def _row_numbers_long(df: DataFrame, cols: Sequence[str], ascending: Sequence[bool], nulls_first: Sequence[bool], by: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
+    """(by, tie_break, __m, __rank): the row number of each row within ``by`` for column number ``__m``."""
+    parts = []
+    for i, (c, up, first) in enumerate(zip(cols, ascending, nulls_first)):
+        kind, value = _sort_keys(F.col(c), up, first)
+        parts.append(F.struct(F.lit(i).alias("__m"), kind.alias("__k"), value.alias("__v")))
+    keys = list(dict.fromkeys([*by, *tie_break]))
+    long = df.select(*keys, F.inline(F.array(*parts)))
+    order = [F.col("__k").asc(), F.col("__v").asc(), *[F.col(t).asc() for t in tie_break if t not in by]]
+    return row_numbers(long, [*by, "__m"], order, "__rank").select(*keys, "__m", "__rank")
 
 
 def row_rank(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("YEAR",), ascending: bool | Sequence[bool] = True,
@@ -29,38 +43,56 @@ def row_rank(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("YEAR",),
     """``row_number`` per column within ``by``.
 
     Default null placement follows Spark: ascending puts nulls first (they get
-    the lowest numbers), descending puts them last. A unique tie-break keeps
-    the result deterministic.
+    the lowest numbers), descending puts them last. ``(by, tie_break)`` is the
+    key of a row, which makes the result deterministic; rows that share it share
+    their ranks. The columns must be numeric. ``df`` is written once and read by
+    both the numbering and the join that brings the ranks back.
     """
     asc = [ascending] * len(cols) if isinstance(ascending, bool) else list(ascending)
+    first = [up if nulls_first is None else nulls_first for up in asc]
     names = list(names) if names else [c + suffix for c in cols]
-    out = df
-    for c, a, n in zip(cols, asc, names):
-        w = Window.partitionBy(*by).orderBy(_order(c, a, nulls_first), *[F.col(t).asc() for t in tie_break])
-        out = out.withColumn(n, F.row_number().over(w))
-    return out
+    base = write_once(df, "rank")
+    keys = list(dict.fromkeys([*by, *tie_break]))
+    long = _row_numbers_long(base, cols, asc, first, by, tie_break)
+    wide = long.groupBy(*keys).agg(*[F.min(F.when(F.col("__m") == i, F.col("__rank"))).alias(n) for i, n in enumerate(names)])
+    return null_safe_join(base.drop(*names), wide, keys, "left")
 
 
 def row_rank_long(df: DataFrame, cols: Sequence[str], key: Sequence[str] = ("YEAR", "CODE"), by: str = "YEAR",
                   tie_break: str = "CODE") -> DataFrame:
-    """Ascending row ranks of many metrics as a long table (by, tie_break, METRIC, VALUE, RANKING).
-
-    One window over (by, METRIC) instead of one sort per column.
-    """
+    """Ascending row ranks of many metrics as a long table (key, METRIC, VALUE, RANKING)."""
     long = df.select(*key, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         list(key), list(cols), "METRIC", "VALUE"
     )
-    w = Window.partitionBy(by, "METRIC").orderBy(F.col("VALUE").asc_nulls_first(), F.col(tie_break))
-    return long.withColumn("RANKING", F.row_number().over(w))
+    return row_numbers(long, [by, "METRIC"], [F.col("VALUE").asc_nulls_first(), F.col(tie_break).asc()], "RANKING")
 
 
 def dense_rank_by(df: DataFrame, col: str, by: Sequence[str] = ("YEAR",), ascending: bool = False,
                   out: str | None = None) -> DataFrame:
-    """Dense rank within ``by``; ties share a rank, no gaps, nulls stay null."""
-    c = F.col(col)
-    order = c.asc_nulls_last() if ascending else c.desc_nulls_last()
-    w = Window.partitionBy(*by).orderBy(order)
-    return df.withColumn(out or f"{col}_RANK", F.when(c.isNotNull(), F.dense_rank().over(w)))
+    """Dense rank within ``by``; ties share a rank, no gaps, nulls stay null.
+
+    Only the distinct values of a group are numbered, so a value repeated many
+    times is one row; the numbers are joined back on (by, value).
+    """
+    return dense_ranks(df, {out or f"{col}_RANK": (col, ascending)}, by)
+
+
+def dense_ranks(df: DataFrame, ranks: dict[str, tuple[str, bool]], by: Sequence[str] = ("YEAR",)) -> DataFrame:
+    """Several dense ranks ``{name: (column, ascending)}`` within ``by`` in one pass over the distinct values."""
+    base = write_once(df, "dense-rank")
+    parts = [
+        F.struct(F.lit(i).alias("__m"), (F.col(c).cast("double") if up else -F.col(c).cast("double")).alias("__v"))
+        for i, (c, up) in enumerate(ranks.values())
+    ]
+    values = base.select(*by, F.inline(F.array(*parts))).where("__v is not null").distinct()
+    numbered = write_once(row_numbers(values, [*by, "__m"], [F.col("__v").asc()], "__rank"), "dense-rank-values")
+    out = base
+    for i, (name, (c, up)) in enumerate(ranks.items()):
+        own = numbered.where(F.col("__m") == i).select(*[F.col(b).alias(f"__by_{b}") for b in by], F.col("__v").alias("__value"), F.col("__rank").alias("__new"))
+        x = F.col(c).cast("double") if up else -F.col(c).cast("double")
+        on = [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by] + [x == F.col("__value")]
+        out = out.drop(name).join(own, on, "left").withColumn(name, F.col("__new")).drop("__new", "__value", *[f"__by_{b}" for b in by])
+    return out
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, by: Sequence[str] = ("YEAR",), rank_name: str = "RANK") -> DataFrame:
@@ -77,16 +109,17 @@ def unique_rank_of_sum(df: DataFrame, group: Sequence[str], measure: str, by: Se
                        ascending: bool = True, out: str = "RANK_UNIQUE", n: int | None = None) -> DataFrame:
     """Sum a measure per group, then a tie-free rank of the sums (ties by group key).
 
-    The rank runs over the aggregated rows (one per group). With ``n`` only the
-    first ``n`` are kept, which Spark plans as a per-task ``WindowGroupLimit``
-    before the final window.
+    The rank runs over the aggregated rows (one per group), numbered over range
+    partitions. With ``n`` only the first ``n`` are kept, which Spark plans as a
+    per-task ``WindowGroupLimit`` before the final window.
     """
     agg = df.groupBy(*by, *group).agg(F.sum(measure).alias(f"SUM_{measure}"))
     s = F.col(f"SUM_{measure}")
     order = [s.asc_nulls_last() if ascending else s.desc_nulls_last(), *[F.col(g) for g in group]]
+    if n is None:
+        return row_numbers(agg, by, order, out)
     w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
-    ranked = agg.withColumn(out, F.row_number().over(w))
-    return ranked.where(F.col(out) <= n) if n is not None else ranked
+    return agg.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n)
 
 
 def first_row(df: DataFrame, key: Sequence[str], order: str, value_cols: Sequence[str]) -> DataFrame:

@@ -36,6 +36,7 @@ def with_previous(df: DataFrame, key: str = "CODE", time: str = "DATE", value: s
     """
     if period is None:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(time)))
+    df = df.repartition(key, period)
     w = Window.partitionBy(key, period).orderBy(time)
     carry = _carry_previous_period(df, key, period, time, value, "_carry")
     inner = df.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.lag(time).over(w).isNull())
@@ -78,10 +79,11 @@ def price_returns(df: DataFrame, key: str = "CODE", time: str = "DATE", value: s
                   period: str = "YEAR", ytd_base: str | None = None, denominator: str = "previous") -> DataFrame:
     """Daily and year-to-date returns in one pass (the price and index jobs).
 
-    Both windows share the partitioning (key, period) and ordering, so Spark
-    plans a single exchange and a single sort for them.
+    Rows are dealt by (key, period) once: the windows and the last value of each
+    period, which the next one begins with, both read that exchange.
     """
     base = ytd_base or value
+    df = df.repartition(key, period)
     w = Window.partitionBy(key, period).orderBy(time)
     wf = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carry = _carry_previous_period(df, key, period, time, value, "_carry")
@@ -167,25 +169,27 @@ def quarterly_return(quarters: DataFrame, prices: DataFrame, key: str = "CODE",
 
     No start price -> start 0 and return 0; no end price -> end 0 and return -1.
     Quarters ending in January or February have no start month and give 0.
-    The per-month boundary table has one row per (key, month), so both lookups
-    are equi-joins on (key, year, month) -- no per-row search.
+    The per-month boundary table has one row per (key, month); each of its rows
+    is the end of its own month's quarter and the start of the quarter two months
+    on, so that one table and one equi-join on (key, year, month) serve both.
     """
     b = month_boundary_prices(prices, key, time, start_value, end_value)
+    none = F.lit(None).cast("double")
+    sides = F.array(
+        F.struct(F.col("_M").alias("_m"), none.alias("_s"), F.col("_end").cast("double").alias("_e")),
+        F.struct((F.col("_M") + 2).alias("_m"), F.col("_start").cast("double").alias("_s"), none.alias("_e")),
+    )
+    bounds = b.select(F.col(key).alias("_k"), F.col("_Y").alias("_y"), F.inline(sides)).groupBy("_k", "_y", "_m").agg(F.max("_s").alias("_start"), F.max("_e").alias("_end"))
     q = quarters.withColumn("_Y", F.substring(fiscal, 1, 4).try_cast("int")).withColumn(
         "_M", F.substring(fiscal, 6, 2).try_cast("int")
     )
-    starts = b.select(F.col(key).alias("_k1"), F.col("_Y").alias("_y1"), (F.col("_M") + 2).alias("_m1"), "_start")
-    ends = b.select(F.col(key).alias("_k2"), F.col("_Y").alias("_y2"), F.col("_M").alias("_m2"), "_end")
-    j = (
-        q.join(starts, (q[key] == starts._k1) & (q._Y == starts._y1) & (q._M == starts._m1), "left")
-        .join(ends, (q[key] == ends._k2) & (q._Y == ends._y2) & (q._M == ends._m2), "left")
-    )
+    j = q.join(bounds, (q[key] == bounds._k) & (q._Y == bounds._y) & (q._M == bounds._m), "left")
     ini = F.coalesce(F.col("_start"), F.lit(0.0))
     fin = F.coalesce(F.col("_end"), F.lit(0.0))
     ret = F.when(ini == 0, F.lit(0.0)).otherwise((fin - ini) / ini)
     return j.withColumn(f"{prefix}PRICE_INI", ini).withColumn(f"{prefix}PRICE_FIN", fin).withColumn(
         f"{prefix}RETURNS", ret
-    ).drop("_Y", "_M", "_k1", "_y1", "_m1", "_start", "_k2", "_y2", "_m2", "_end")
+    ).drop("_Y", "_M", "_k", "_y", "_m", "_start", "_end")
 
 
 def rolling_sum(df: DataFrame, n: int, key: str = "CODE", time: str = "DATE", value: str = "PRICE",

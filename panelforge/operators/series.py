@@ -18,28 +18,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelforge.operators.ordered import null_safe_join
+from panelforge.session import write_once
+
 
 def series_to_supervised(df: DataFrame, cols: Sequence[str], key: str = "CODE", order: str = "YEAR",
                          n_in: int = 1, n_out: int = 1, dropnan: bool = True) -> DataFrame:
     """Lags ``n_in..1``, the value and leads ``1..n_out-1`` of every column.
 
-    Names follow ``var{j}(t-i)``, ``var{j}(t)``, ``var{j}(t+i)`` with j the
-    1-based column position. Shifts are per entity; rows with a missing value
-    are dropped when ``dropnan``.
+    A column per signed offset from ``-n_in`` to ``n_out - 1`` and input column:
+    the shifted value, named by ``supervised_name``. Shifts are per entity; rows
+    with a missing value are dropped when ``dropnan``.
     """
     w = Window.partitionBy(key).orderBy(order)
-    exprs: list[Column] = []
-    for i in range(n_in, 0, -1):
-        exprs += [F.lag(c, i).over(w).alias(f"var{j}(t-{i})") for j, c in enumerate(cols, 1)]
-    for i in range(0, n_out):
-        if i == 0:
-            exprs += [F.col(c).alias(f"var{j}(t)") for j, c in enumerate(cols, 1)]
-        else:
-            exprs += [F.lead(c, i).over(w).alias(f"var{j}(t+{i})") for j, c in enumerate(cols, 1)]
-    out = df.select(key, order, *exprs)
+    shifted = [F.lead(c, at).over(w).alias(supervised_name(j, at)) for at in range(-n_in, n_out) for j, c in enumerate(cols, 1)]
+    out = df.select(key, order, *shifted)
     return out.na.drop() if dropnan else out
 
 
+def supervised_name(column: int, offset: int) -> str:
+    """``var{column}(t)`` with the signed offset behind t, 1-based columns."""
+    return f"var{column}(t{offset:+d})".replace("+0", "")
+
+
 def calendar_fill(df: DataFrame, key: str, time: str, step: str = "1 day") -> DataFrame:
     """Every period between an entity's first and last one, joined to its values;
     missing periods get nulls. The generated rows per entity are bounded by its
@@ -55,26 +56,32 @@ def linear_interpolation(df: DataFrame, cols: Sequence[str], key: str, order: st
     After the last known value it is carried forward; before the first known
     value it stays null and, with ``drop_leading``, the row is dropped.
     """
-    w = Window.partitionBy(key).orderBy(order)
-    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    out = df.withColumn("_pos", F.row_number().over(w))
-    for c in cols:
-        known_pos = F.when(F.col(c).isNotNull(), F.col("_pos"))
-        v0, p0 = F.last(c, ignorenulls=True).over(back), F.last(known_pos, ignorenulls=True).over(back)
-        v1, p1 = F.first(c, ignorenulls=True).over(fwd), F.first(known_pos, ignorenulls=True).over(fwd)
-        interp = v0 + F.try_divide((v1 - v0) * (F.col("_pos") - p0), p1 - p0)
-        out = out.withColumn(c, F.coalesce(F.col(c), interp, v0))
-    out = out.drop("_pos")
+    ahead = Window.partitionBy(key).orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # the next known value is the last one seen from the other end: a growing frame costs one step a row
+    behind = Window.partitionBy(key).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df.withColumn("__pos", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+
+    def known(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("__pos").alias("at")))
+
+    out = out.withColumns({f"__from_{i}": F.last(known(c), ignorenulls=True).over(ahead) for i, c in enumerate(cols)})
+    out = out.withColumns({f"__to_{i}": F.last(known(c), ignorenulls=True).over(behind) for i, c in enumerate(cols)})
+    filled = {}
+    for i, c in enumerate(cols):
+        a, b = F.col(f"__from_{i}"), F.col(f"__to_{i}")
+        between = a["v"] + F.try_divide((b["v"] - a["v"]) * (F.col("__pos") - a["at"]), b["at"] - a["at"])
+        filled[c] = F.coalesce(F.col(c), between, a["v"])
+    out = out.withColumns(filled).drop("__pos", *[f"__{side}_{i}" for side in ("from", "to") for i in range(len(cols))])
     return out.na.drop(subset=list(cols)) if drop_leading else out
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("YEAR",), suffix: str = "") -> DataFrame:
     """Z-score with the population standard deviation within ``by``."""
-    w = Window.partitionBy(*by)
-    return df.withColumns(
-        {c + suffix: F.try_divide(F.col(c) - F.avg(c).over(w), F.stddev_pop(c).over(w)) for c in cols}
-    )
+    base = write_once(df, "scale")
+    moments = base.groupBy(*by).agg(*[f(c).alias(f"__{n}_{i}") for i, c in enumerate(cols) for n, f in (("avg", F.avg), ("std", F.stddev_pop))])
+    out = null_safe_join(base, moments, list(by))
+    scaled = {c + suffix: F.try_divide(F.col(c) - F.col(f"__avg_{i}"), F.col(f"__std_{i}")) for i, c in enumerate(cols)}
+    return out.withColumns(scaled).drop(*[f"__{n}_{i}" for i in range(len(cols)) for n in ("avg", "std")])
 
 
 def min_max_scale(df: DataFrame, cols: Sequence[str], suffix: str = "_SCALED") -> DataFrame:
@@ -145,55 +152,66 @@ def ar1_forecast(df: DataFrame, value: str, key: str = "CODE", order: str = "YEA
     return g.withColumn("FORECAST", fc).withColumn("RMSE", F.abs(F.col("ACTUAL") - F.col("FORECAST"))).drop("_last_train")
 
 
-def _var_group(cols: Sequence[str], key: str, order: str, lags: int, holdout: int, target: str | None):
+def _var_group(cols: Sequence[str], key: str, order: str, lags: int, holdout: int):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        y = pdf[list(cols)].to_numpy(dtype=float)
+        y = pdf.sort_values(order)[list(cols)].to_numpy(dtype=float)
         n, k = y.shape
-        train = y[: n - holdout] if holdout else y
+        held = int(n * holdout) if isinstance(holdout, float) else holdout
+        train, actual = y[: n - held], y[n - held :]
         t = train.shape[0]
-        empty = pd.DataFrame(columns=[key, "METRIC", "FORECAST", "ACTUAL", "N_OBS", "RANK"])
-        if t - lags < k * lags + 1 or np.isnan(train).any():
-            return empty  # too few observations for the parameters: skipped, as a failed fit
-        X = np.hstack([np.ones((t - lags, 1))] + [train[lags - i - 1: t - i - 1] for i in range(lags)])
-        Y = train[lags:]
-        coef, _, rank, _ = np.linalg.lstsq(X, Y, rcond=None)
-        x_last = np.concatenate([[1.0]] + [train[t - 1 - i] for i in range(lags)])
-        fc = x_last @ coef
-        actual = y[n - holdout] if holdout else np.full(k, np.nan)
-        out = pd.DataFrame({
-            key: pdf[key].iloc[0],
-            "METRIC": list(cols),
-            "FORECAST": fc,
-            "ACTUAL": actual,
-            "N_OBS": t - lags,
-            "RANK": int(rank),
-        })
-        return out[out["METRIC"] == target] if target else out
+        status, rank, ahead = "ok", None, np.full((held, k), np.nan)
+        if np.isnan(y).any():
+            status = "null in the series"
+        elif t - lags < k * lags + 1:
+            status = "too short"
+        else:
+            x = np.hstack([np.ones((t - lags, 1))] + [train[lags - i - 1 : t - i - 1] for i in range(lags)])
+            coef, _, rank, _ = np.linalg.lstsq(x, train[lags:], rcond=None)
+            seen = list(train)
+            for step in range(held):  # every step goes on from the forecasts before it
+                seen.append(np.concatenate([[1.0]] + [seen[-1 - i] for i in range(lags)]) @ coef)
+                ahead[step] = seen[-1]
+        rows = [
+            (pdf[key].iloc[0], c, step + 1, ahead[step, j], actual[step, j], max(t - lags, 0), rank, status)
+            for step in range(held) for j, c in enumerate(cols)
+        ]
+        out = pd.DataFrame(rows, columns=[key, "METRIC", "STEP", "FORECAST", "ACTUAL", "N_OBS", "RANK", "STATUS"])
+        return out.astype({"N_OBS": "Int64", "RANK": "Int64", "STEP": "Int64"})
 
     return fit
 
 
 def var_forecast(df: DataFrame, cols: Sequence[str], key: str = "CODE", order: str = "YEAR", lags: int = 1,
-                 holdout: int = 1, target: str | None = None) -> DataFrame:
+                 holdout: int | float = 1) -> DataFrame:
     """Vector autoregression with a constant, least squares, per entity.
 
-    The group is one entity's series (bounded by its number of periods), fitted
-    with ``numpy.linalg.lstsq`` inside ``applyInPandas``; entities with fewer
-    observations than parameters are skipped. Output is long:
-    (key, METRIC, FORECAST, ACTUAL, N_OBS, RANK), one-step forecast from the
-    last training row; ACTUAL is the first held-out row.
+    Fitted on all but the last ``holdout`` rows (a number, or a share of the
+    series as a float); forecast recursively for as many steps. The group is one
+    entity's series (bounded by its number of periods), fitted with
+    ``numpy.linalg.lstsq`` inside ``applyInPandas``. Output is long: (key, METRIC,
+    STEP, FORECAST, ACTUAL, N_OBS, RANK, STATUS). An entity whose series has a
+    null, or fewer observations than parameters, comes back with that status and
+    null forecasts.
     """
     schema = T.StructType([
         T.StructField(key, df.schema[key].dataType),
         T.StructField("METRIC", T.StringType()),
+        T.StructField("STEP", T.LongType()),
         T.StructField("FORECAST", T.DoubleType()),
         T.StructField("ACTUAL", T.DoubleType()),
         T.StructField("N_OBS", T.LongType()),
         T.StructField("RANK", T.LongType()),
+        T.StructField("STATUS", T.StringType()),
     ])
     sel = df.select(key, order, *[F.col(c).cast("double").alias(c) for c in cols])
-    return sel.groupBy(key).applyInPandas(_var_group(cols, key, order, lags, holdout, target), schema)
+    out = sel.groupBy(key).applyInPandas(_var_group(cols, key, order, lags, holdout), schema)
+    return out.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("FORECAST", "ACTUAL")})
+
+
+def var_rmse(forecast: DataFrame, metric: str, key: str = "CODE") -> DataFrame:
+    """(key, STEPS, RMSE) of one series over the held-out steps; entities without a forecast have a null."""
+    own = forecast.where(F.col("METRIC") == metric)
+    return own.groupBy(key).agg(F.count("FORECAST").alias("STEPS"), F.sqrt(F.avg(F.pow(F.col("FORECAST") - F.col("ACTUAL"), 2))).alias("RMSE"))
 
 
 def model_vs_baseline(model: DataFrame, baseline: DataFrame, key: str = "CODE") -> DataFrame:

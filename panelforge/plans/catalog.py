@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.plans import oracle as O
+from panelforge.session import write_once
 from panelforge.sources import fixtures as X
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -42,13 +43,20 @@ class Tables:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base
+        self._once: dict[str, DataFrame] = {}
+
+    def once(self, *names: str) -> Tables:
+        """Write the named logical tables once; a query with several branches then reads them instead of the raw tables."""
+        for name in names:
+            self._once[name] = write_once(getattr(self, name), name)
+        return self
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.base.rstrip('/')}/{name}.parquet")
 
     @property
     def price(self) -> DataFrame:
-        return X.price(self.spark, self.base)
+        return self._once["price"] if "price" in self._once else X.price(self.spark, self.base)
 
     @property
     def price_sparse(self) -> DataFrame:
@@ -56,7 +64,7 @@ class Tables:
 
     @property
     def index_values(self) -> DataFrame:
-        return X.index_values(self.spark, self.base)
+        return X.index_values(self.spark, self.base, self._once.get("price"))
 
     @property
     def index_table(self) -> DataFrame:
@@ -64,7 +72,7 @@ class Tables:
 
     @property
     def financials(self) -> DataFrame:
-        return X.financials(self.spark, self.base, "year")
+        return self._once["financials"] if "financials" in self._once else X.financials(self.spark, self.base, "year")
 
     @property
     def financials_quarterly(self) -> DataFrame:

@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelforge.functions.columns import URL_PREFIX, case_label
-from panelforge.functions.joins import broadcast_if_small
+from panelforge.functions.columns import case_label
 from panelforge.operators import dashboards as D
 from panelforge.operators import returns as T
 from panelforge.operators import sets as SE
@@ -28,9 +27,13 @@ def _attr(c: str) -> str:
     return f"CASE WHEN min({c}) = max({c}) THEN min({c}) END AS {c}"
 
 
+#: Page of a company on a quote site, an argument of the dashboard.
+QUOTE_PAGE = "https://quotes.example/"
+
+
 def _picks_sql(region_filter: str = "") -> str:
     return f"""
-SELECT *, PRICE_END - PRICE_START AS PRICE_DIFF, '{URL_PREFIX}' || CODE AS URL FROM (
+SELECT *, PRICE_END - PRICE_START AS PRICE_DIFF, '{QUOTE_PAGE}' || CODE AS URL FROM (
   SELECT *, CAST(row_number() OVER (ORDER BY SUM_RANKING ASC NULLS LAST, CODE) AS INTEGER) AS RANK_UNIQUE FROM (
     SELECT CODE, CAST(sum(RANKING) AS BIGINT) AS SUM_RANKING, {_attr('COMPANY')}, {_attr('REGION')}, {_attr('CAP')},
            {_attr('PRICE_START')}, {_attr('PRICE_END')}, {_attr('RETURNS')}, count(*) AS NUMBER_OF_RECORDS
@@ -47,7 +50,7 @@ O.cte("dash_picks", _picks_sql(), ("gb_metrics", "companies"))
 def _picks(spark, base, regions=None):
     t = Tables(spark, base)
     metrics = _walk_forward_lr(spark, base, "closed")
-    return D.picks(metrics, t.companies, PICK_YEAR, TOP_N, "RANKING", CAP_LOW, regions)
+    return D.picks(metrics, t.companies, PICK_YEAR, TOP_N, "RANKING", CAP_LOW, regions, QUOTE_PAGE)
 
 
 @register("dashboard_picks", "SELECT * FROM dash_picks", ["dash_picks"])
@@ -97,7 +100,7 @@ LEFT JOIN (SELECT DATE, CUMULATIVE_RETURNS FROM index_ret WHERE year(DATE) = {PI
     ["price_ret", "index_ret", "dash_picks"],
 )
 def dashboard_cumulative_vs_index(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     sel = _picks(spark, base)
     out = D.cumulative_vs_index(P.price_returns_job(t.price), sel, P.index_returns_job(t.index_values), PICK_YEAR)
     return rounded(out, ["AVG_CUMULATIVE_RETURNS", "AVG_PRICE"], 9)
@@ -111,7 +114,7 @@ def dashboard_cumulative_vs_index(spark, base):
 def index_quotes_named(spark, base):
     t = Tables(spark, base)
     i, v = t.index_table, t.index_values
-    return broadcast_if_small(i).join(v, i.ID == v.INDICE).select("DATE", "NAME", "REGION", "ADJ_CLOSE", "VOLUME")
+    return i.join(v, i.ID == v.INDICE).select("DATE", "NAME", "REGION", "ADJ_CLOSE", "VOLUME")
 
 
 O.cte(
@@ -138,10 +141,10 @@ WINDOW w AS (ORDER BY YEAR ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
     ["gb_top20", "panel", "index_yearly"],
 )
 def portfolio_vs_index_growth(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price", "financials")
     top = P.greenblatt_top_n(t.financials, t.price, t.companies, 20).select("YEAR", "CODE")
     panel = P.labelled_panel(t.financials, t.price, t.index_values).select("YEAR", "CODE", "RETURNS_NEXT")
-    idx = P.index_yearly_returns(t.index_values)
+    idx = P.index_yearly_returns(P.one_index(t.index_values))
     idx_next = idx.select("YEAR", F.lead("INDEX_RETURNS").over(Window.orderBy("YEAR")).alias("INDEX_RETURNS_NEXT"))
     out = D.portfolio_vs_index(top.join(panel, ["YEAR", "CODE"]), idx_next)
     return rounded(rounded(out, ["PORTFOLIO_RETURN"], 9), ["PORTFOLIO_GROWTH", "INDEX_GROWTH"], 6)
@@ -158,7 +161,7 @@ SELECT YEAR, CODE, RETURNS, round(RISK, 6) AS RISK FROM sparse_yearly
     ["fund", "yearly_prices", "sparse_yearly"],
 )
 def union_missing_columns(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     a = P.fundamentals(t.financials, True, ["CSR__ROC_JOEL_GREENBLATT"]).join(
         P.yearly_prices(t.price).select("YEAR", "CODE", "RETURNS", "RISK"), ["YEAR", "CODE"])
     b = P.yearly_prices(t.price_sparse).select("YEAR", "CODE", "RETURNS", "RISK")
@@ -219,7 +222,7 @@ WINDOW w AS (PARTITION BY CODE ORDER BY FISCAL_YEAR)
     ["quarterly_returns", "index_quarterly_returns"],
 )
 def quarterly_dataset(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     fq = t.financials_quarterly.select("CODE", "FISCAL_YEAR", "IS__REVENUE")
     q = T.quarterly_return(fq, t.price)
     iq = T.quarterly_return(fq.select("FISCAL_YEAR").distinct().withColumn("INDICE", F.lit(1)), t.index_values,
@@ -254,7 +257,7 @@ LEFT JOIN (SELECT CODE, CAST(substr(FISCAL_YEAR, 1, 4) AS INTEGER) AS YEAR, CAST
     ["price", "quarterly_returns"],
 )
 def monthly_fin_join(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     monthly = T.monthly_ohlc(t.price)
     fq = t.financials_quarterly.select("CODE", "FISCAL_YEAR", "IS__REVENUE")
     q = T.quarterly_return(fq, t.price).select(

@@ -215,3 +215,18 @@ def var1_forecast_monthly(spark, base):
 
     m = monthly_interpolated_fundamentals(spark, base).withColumn("_M", F.col("YEAR") * 12 + F.col("MONTH"))
     return S.var_forecast(m, ["CLOSE", "REVENUE"], "CODE", "_M", lags=1, holdout=1)
+
+
+@register(
+    "orders_by_iso_year",
+    "SELECT n_name AS NATION, CAST(substr(CAST(o_orderdate AS VARCHAR), 1, 4) AS INTEGER) AS YEAR, count(*) AS ORDERS"
+    " FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2",
+)
+def orders_by_iso_year(spark, base):
+    """Tables by name, joined; the year from the ISO text of a date."""
+    from panelforge.functions.columns import year_of_iso_text
+    from panelforge.sources.readers import read_tables
+
+    t = read_tables(spark, base, ["orders", "customer", "nation"])
+    j = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy(F.col("n_name").alias("NATION"), year_of_iso_text("o_orderdate").alias("YEAR")).agg(F.count("*").alias("ORDERS"))

@@ -2,43 +2,45 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from panelforge.operators import evaluate as EV
+from panelforge.operators import labels as L
 from panelforge.operators import models as M
+from panelforge.operators import outliers as OUT
 from panelforge.operators import quality as Q
 from panelforge.operators import ranks as R
 from panelforge.operators.labels import encode_label
 from panelforge.plans import oracle as O
 from panelforge.plans import pipelines as P
 from panelforge.plans.catalog import Tables, register, rounded
-from panelforge.session import materialize
+from panelforge.operators.sets import union_by_name
+from panelforge.session import write_once
 
-# Walk-forward parameters for the driver's test data (FIXTURES.md: years
-# 1995..2001, window 3, targets 1998..2001).
-TARGET_YEARS = [1998, 1999, 2000, 2001]
+# The window of the walk-forward; the target years are those of the panel that have a full window.
 N_BACK = 3
+#: Ranges of training years of the source jobs: open for the rankings, closed for the classifiers.
+RANK_YEARS = (1990, 2016)
+CLASS_YEARS = (1990, 2018)
 ROC, EV_ = "CSR__ROC_JOEL_GREENBLATT", "VR__EV_TO_EBIT"
 
 
 def _labelled(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     return P.labelled_panel(t.financials, t.price, t.index_values)
 
 
 def greenblatt_training(panel):
     """Training universe: 1990 < YEAR < 2016, complete rows, dense ranks per year
     (ROC and next return descending, EV/EBIT ascending)."""
-    g = panel.select("YEAR", "CODE", ROC, EV_, "RETURNS_NEXT").where(Q.between_open("YEAR", 1990, 2016)).na.drop()
-    g = R.dense_rank_by(g, ROC, ascending=False, out="X1")
-    g = R.dense_rank_by(g, EV_, ascending=True, out="X2")
-    return R.dense_rank_by(g, "RETURNS_NEXT", ascending=False, out="Y")
+    g = panel.select("YEAR", "CODE", ROC, EV_, "RETURNS_NEXT").where(Q.between_open("YEAR", *RANK_YEARS)).na.drop()
+    return R.dense_ranks(g, {"X1": (ROC, False), "X2": (EV_, True), "Y": ("RETURNS_NEXT", False)})
 
 
 def greenblatt_scoring(panel):
     """Rows to score: feature ranks over the whole panel of each year (nulls stay null)."""
-    s = R.dense_rank_by(panel, ROC, ascending=False, out="X1")
-    return R.dense_rank_by(s, EV_, ascending=True, out="X2").where(F.col("X1").isNotNull() & F.col("X2").isNotNull())
+    return R.dense_ranks(panel, {"X1": (ROC, False), "X2": (EV_, True)}).where(F.col("X1").isNotNull() & F.col("X2").isNotNull())
 
 
 O.cte(
@@ -62,10 +64,10 @@ SELECT TARGET_YEAR, N, my - B1 * m1 - B2 * m2 AS B0, B1, B2 FROM (
   FROM (SELECT TARGET_YEAR, count(*) AS N, avg(X1) AS m1, avg(X2) AS m2, avg(Y) AS my, var_samp(X1) AS v1,
                var_samp(X2) AS v2, covar_samp(X1, X2) AS c12, covar_samp(X1, Y) AS c1y, covar_samp(X2, Y) AS c2y
         FROM (SELECT *, unnest(generate_series(YEAR + 1, YEAR + {N_BACK})) AS TARGET_YEAR FROM gb_train) t
-        WHERE TARGET_YEAR IN ({', '.join(map(str, TARGET_YEARS))})
+        WHERE TARGET_YEAR BETWEEN (SELECT min(YEAR) + {N_BACK} FROM panel) AND (SELECT max(YEAR) FROM panel)
         GROUP BY TARGET_YEAR) m) c
 """,
-    ("gb_train",),
+    ("gb_train", "panel"),
 )
 O.cte(
     "gb_scored",
@@ -89,8 +91,8 @@ FROM gb_scored
 
 def _walk_forward_lr(spark, base, solver):
     # the panel feeds training ranks, scoring ranks and the score table: build it once
-    panel = materialize(_labelled(spark, base))
-    train = M.training_windows(greenblatt_training(panel), TARGET_YEARS, N_BACK)
+    panel = write_once(_labelled(spark, base), "panel")
+    train = M.training_windows(greenblatt_training(panel), M.target_years(panel, N_BACK), N_BACK)
     coef = M.linear_fit_two(train, "X1", "X2", "Y") if solver == "closed" else M.linear_fit(train, ["X1", "X2"], "Y")
     scored = M.apply_linear(greenblatt_scoring(panel), coef, ["X1", "X2"])
     scored = rounded(scored, ["PREDICTION"])
@@ -119,9 +121,9 @@ FROM (SELECT s.PREDICTION, t.Y FROM gb_scored s JOIN gb_train t USING (YEAR, COD
     ["gb_scored", "gb_train"],
 )
 def regression_metrics(spark, base):
-    panel = materialize(_labelled(spark, base))
-    tr = greenblatt_training(panel)
-    train = M.training_windows(tr, TARGET_YEARS, N_BACK)
+    panel = write_once(_labelled(spark, base), "panel")
+    tr = write_once(greenblatt_training(panel), "training")
+    train = M.training_windows(tr, M.target_years(panel, N_BACK), N_BACK)
     scored = rounded(M.apply_linear(greenblatt_scoring(panel), M.linear_fit_two(train, "X1", "X2", "Y"), ["X1", "X2"]),
                      ["PREDICTION"])
     j = scored.select("YEAR", "CODE", "PREDICTION").join(tr.select("YEAR", "CODE", "Y"), ["YEAR", "CODE"])
@@ -129,11 +131,11 @@ def regression_metrics(spark, base):
 
 
 def _tree_walk_forward(spark, base, kind):
-    panel = materialize(_labelled(spark, base))
+    panel = write_once(_labelled(spark, base), "panel")
     est = M.regression_estimator(kind, **({"maxDepth": 5} if kind == "forest" else {"maxIter": 50}))
-    s = M.walk_forward_fit_predict(greenblatt_training(panel), ["X1", "X2"], "Y", TARGET_YEARS, N_BACK, est,
+    s = M.walk_forward_fit_predict(greenblatt_training(panel), ["X1", "X2"], "Y", M.target_years(panel, N_BACK), N_BACK, est,
                                    greenblatt_scoring(panel))
-    return rounded(EV.score_table(panel, s.select("YEAR", "CODE", "PREDICTION"), "PREDICTION"), ["RISK"])
+    return rounded(EV.score_table(panel, s, "PREDICTION"), ["RISK"])
 
 
 @register("walk_forward_rf")
@@ -148,17 +150,54 @@ def walk_forward_gbt(spark, base):
     return _tree_walk_forward(spark, base, "gbt")
 
 
-CLASS_FEATURES = P.RATIO_COLUMNS
+@register(
+    "walk_forward_windows",
+    f"""
+SELECT t.TARGET_YEAR, count(*) AS ROWS_TRAINED, min(t.YEAR) AS FIRST_YEAR, max(t.YEAR) AS LAST_YEAR, any_value(s.n) AS ROWS_SCORED
+FROM (SELECT *, unnest(generate_series(YEAR + 1, YEAR + {N_BACK})) AS TARGET_YEAR FROM gb_train) t
+JOIN (SELECT YEAR AS TARGET_YEAR, count(*) AS n FROM gb_scored GROUP BY 1) s USING (TARGET_YEAR)
+GROUP BY t.TARGET_YEAR
+""",
+    ["gb_train", "gb_scored"],
+)
+def walk_forward_windows(spark, base):
+    """Per target year: the rows and years it is trained on and the rows it scores."""
+    panel = write_once(_labelled(spark, base), "panel")
+    train = M.training_windows(greenblatt_training(panel), M.target_years(panel, N_BACK), N_BACK)
+    scored = greenblatt_scoring(panel).groupBy(F.col("YEAR").alias("TARGET_YEAR")).agg(F.count("*").alias("ROWS_SCORED"))
+    windows = train.groupBy("TARGET_YEAR").agg(F.count("*").alias("ROWS_TRAINED"), F.min("YEAR").alias("FIRST_YEAR"), F.max("YEAR").alias("LAST_YEAR"))
+    return windows.join(scored, "TARGET_YEAR")
+
+
+@register(
+    "regression_metrics_next_return",
+    """
+SELECT YEAR, count(CASE WHEN RETURNS_NEXT IS NOT NULL AND RETURNS IS NOT NULL THEN 1 END) AS N,
+       round(avg((RETURNS_NEXT - RETURNS) ^ 2), 6) AS MSE, round(sqrt(avg((RETURNS_NEXT - RETURNS) ^ 2)), 6) AS RMSE,
+       round(1 - sum((RETURNS_NEXT - RETURNS) ^ 2) / NULLIF(sum(CASE WHEN RETURNS IS NOT NULL THEN RETURNS_NEXT ^ 2 END)
+             - count(CASE WHEN RETURNS IS NOT NULL THEN RETURNS_NEXT END) * avg(CASE WHEN RETURNS IS NOT NULL THEN RETURNS_NEXT END) ^ 2, 0), 6) AS R2
+FROM panel GROUP BY YEAR
+""",
+    ["panel"],
+)
+def regression_metrics_next_return(spark, base):
+    """This year's return as the forecast of the next one: the label is null in each company's last year."""
+    return rounded(EV.regression_metrics(_labelled(spark, base), "RETURNS_NEXT", "RETURNS", ["YEAR"]), ["MSE", "RMSE", "R2"])
+
+
+# Features of the classifiers: all ratios, the price columns and the encoded labels known in the year itself.
+CODED = {"RETURNS_CAT_CODE": ("RETURNS_CAT", L.POSITIVE), "RETURNS_vs_INDEX_CODE": ("RETURNS_vs_INDEX", L.WINS)}
+CLASS_FEATURES = [*P.RATIO_COLUMNS, "PRICE_START", "PRICE_END", "RISK", "RETURNS", *CODED]
 
 
 def _class_panel(spark, base, compound=False):
-    p = materialize(_labelled(spark, base)).where(Q.between_open("YEAR", 1990, 2016))
+    """Winsorized panel with LABEL (null where the next year is unknown) and the encoded features; not imputed."""
+    p = _labelled(spark, base)
     if compound:
-        from panelforge.operators.labels import compound_wins
-
-        p = compound_wins(p)  # WINS only if the next return is positive and beats the index
-    p = encode_label(p, "RETURNS_vs_INDEX_NEXT", "LABEL").withColumn("LABEL", F.col("LABEL").cast("double"))
-    return materialize(M.impute(p, CLASS_FEATURES, indicators=False))
+        p = L.compound_wins(p)  # WINS only if the next return is positive and beats the index
+    p = encode_label(OUT.winsorize_by(p, P.RATIO_COLUMNS), "RETURNS_vs_INDEX_NEXT", "LABEL")
+    p = p.withColumn("LABEL", F.when(F.col("RETURNS_NEXT").isNotNull(), F.col("LABEL").cast("double")))
+    return write_once(p.withColumns({n: (F.col(c) == v).cast("double") for n, (c, v) in CODED.items()}), "class-panel")
 
 
 @register("gbt_classifier_scores")
@@ -175,76 +214,92 @@ def gbt_classifier_scores_compound(spark, base):
 
 def _gbt_classifier(spark, base, compound):
     p = _class_panel(spark, base, compound)
-    est = M.classifier_estimator("gbt", len(CLASS_FEATURES), maxIter=30)
-    s = M.walk_forward_fit_predict(p.where(F.col("RETURNS_NEXT").isNotNull()), CLASS_FEATURES, "LABEL", TARGET_YEARS,
-                                   N_BACK, est, p, probability=True)
-    s = s.select("YEAR", "CODE", "PROBABILITY", F.col("PREDICTION").alias("PREDICTED"))
+    train = M.validation_flag(p.where(Q.between_closed("YEAR", *CLASS_YEARS)), ["YEAR", "CODE"], 1 / 3)
+    est = M.classifier_estimator("gbt", len(CLASS_FEATURES), maxIter=300, validationIndicatorCol="VALID", validationTol=0.001)
+    s = M.walk_forward_fit_predict(train, CLASS_FEATURES, "LABEL", M.target_years(p, N_BACK), N_BACK, est, p, probability=True, fill=True)
     out = EV.score_table(p, s, "PROBABILITY", ascending=False, rank_name="PROBABILITY_ORDER")
-    return out.join(s.select("YEAR", "CODE", "PREDICTED"), ["YEAR", "CODE"])
-
-
-def _fit_score(spark, base, kind, weighted=False, scale=False, **params):
-    p = _class_panel(spark, base)
-    feats = ["CSR__ROC_JOEL_GREENBLATT", "VR__EV_TO_EBIT", "CSR__ROE", "CSR__NET_MARGIN", "VQ__ALTMAN_Z_SCORE"]
-    if scale:
-        # the same per-year z-scores (population std) for the training and the scored rows
-        from panelforge.operators.series import standard_scale
-
-        p = standard_scale(p, feats).na.fill(0.0, subset=feats)
-    train = p.where(F.col("RETURNS_NEXT").isNotNull())
+    return out.join(s.select("YEAR", "CODE", F.col("PREDICTION").alias("PREDICTED")), ["YEAR", "CODE"])
+
+
+def _holdout(spark, base, kind, weighted=False, scaled=False, **params):
+    """Scores of the held-out quarter of the labelled rows by a classifier fitted on the others."""
+    p = _class_panel(spark, base).where(F.col("LABEL").isNotNull() & Q.between_closed("YEAR", *CLASS_YEARS))
+    train, test = M.hash_split(p, ["YEAR", "CODE"], 0.75)
+    medians = M.fit_medians(train, CLASS_FEATURES)
+    train, test = M.impute(train, medians), M.impute(test, medians)
+    if scaled:
+        moments = M.fit_scale(train, CLASS_FEATURES)
+        train, test = M.scale(train, moments), M.scale(test, moments)
     if weighted:
         train = M.class_weights(train, "LABEL")
         params["weightCol"] = "WEIGHT"
-    est = M.classifier_estimator(kind, len(feats), **params)
-    model = est.setFeaturesCol("features").setLabelCol("LABEL").fit(M.assemble(train, feats))
-    s = model.transform(M.assemble(p, feats)).withColumnRenamed("prediction", "PREDICTED")
+    est = M.classifier_estimator(kind, len(CLASS_FEATURES), **params).setFeaturesCol("features").setLabelCol("LABEL")
+    s = est.fit(M.assemble(train, CLASS_FEATURES)).transform(M.assemble(test, CLASS_FEATURES)).withColumnRenamed("prediction", "PREDICTED")
     if "probability" in s.columns:
         from pyspark.ml.functions import vector_to_array
 
         s = s.withColumn("PROBABILITY", vector_to_array("probability").getItem(1))
-    keep = ["YEAR", "CODE", "LABEL", "PREDICTED"] + (["PROBABILITY"] if "PROBABILITY" in s.columns else [])
-    return s.select(*keep)
+    return s.select("YEAR", "CODE", "LABEL", "PREDICTED", *[c for c in ("PROBABILITY",) if c in s.columns])
 
 
 @register("logistic_balanced")
 def logistic_balanced(spark, base):
-    """Class-balanced logistic regression (weights n / (k * n_c)); rows-only check."""
-    return _fit_score(spark, base, "logistic", weighted=True, regParam=0.01)
+    """Class-balanced logistic regression (weights n / (k * n_c)) on standardised features, hold-out scores; rows-only."""
+    return _holdout(spark, base, "logistic", weighted=True, scaled=True, regParam=0.01)
 
 
 @register("mlp_scores")
 def mlp_scores(spark, base):
-    """Dense network 5-12-8-2 with sigmoid hidden layers and softmax output on per-year
-    standardised features; rows-only check."""
-    return _fit_score(spark, base, "mlp", scale=True)
+    """Dense network with sigmoid hidden layers of 12 and 8 and a softmax output on standardised features, hold-out scores; rows-only."""
+    return _holdout(spark, base, "mlp", scaled=True)
 
 
 @register("linear_svm")
 def linear_svm(spark, base):
-    """Linear SVM (the RBF kernel is not built); rows-only check."""
-    return _fit_score(spark, base, "svm", regParam=0.01)
+    """Linear SVM (the RBF kernel is not built), hold-out scores; rows-only."""
+    return _holdout(spark, base, "svm", scaled=True, regParam=0.01)
 
 
 @register("random_forest_classifier")
 def random_forest_classifier(spark, base):
-    """Random forest classifier (200 trees, sqrt features, depth 5); rows-only check."""
-    return _fit_score(spark, base, "forest")
+    """Random forest classifier (200 trees, sqrt features, depth 5), hold-out scores; rows-only."""
+    return _holdout(spark, base, "forest")
+
+
+@register("holdout_confusion")
+def holdout_confusion(spark, base):
+    """Confusion matrix, rates and area under the curve of the logistic model on its hold-out; rows-only."""
+    s = write_once(_holdout(spark, base, "logistic", weighted=True, scaled=True, regParam=0.01), "holdout")
+    return EV.confusion_metrics(s, "LABEL", "PREDICTED").withColumn("AUC", EV.roc_auc(s, "LABEL", "PROBABILITY").select("AUC").scalar())
 
 
 @register("grid_search_tree")
 def grid_search_tree(spark, base):
-    """Decision-tree depth grid 1..9, 10-fold cross validation on the rank features; rows-only."""
-    g = materialize(greenblatt_training(_labelled(spark, base)).withColumn("Y", F.col("Y").cast("double")))
-    return M.grid_search(g, ["X1", "X2"], "Y", M.regression_estimator("tree"), {"maxDepth": list(range(1, 10))}, folds=10)
+    """Decision-tree depth grid 2..14, 10-fold cross validation on the rank features; rows-only."""
+    g = greenblatt_training(_labelled(spark, base)).withColumn("Y", F.col("Y").cast("double"))
+    return M.grid_search(g, ["X1", "X2"], "Y", M.regression_estimator("tree"), {"maxDepth": list(range(2, 15))}, folds=10)
+
+
+@register("grid_search_logistic")
+def grid_search_logistic(spark, base):
+    """Logistic regression over the inverse penalty C (20 values from 1e-5 to 1e3), 3-fold cross validation by accuracy; rows-only."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    p = _class_panel(spark, base).where(F.col("LABEL").isNotNull())
+    p = M.impute(p, M.fit_medians(p, CLASS_FEATURES))
+    p = M.scale(p, M.fit_scale(p, CLASS_FEATURES))
+    strengths = [10.0 ** (-5 + 8 * i / 19) for i in range(20)]
+    return M.grid_search(p, CLASS_FEATURES, "LABEL", M.classifier_estimator("logistic", len(CLASS_FEATURES)), {"regParam": [1 / c for c in strengths]},
+                         folds=3, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"))
 
 
 @register("feature_importance")
 def feature_importance(spark, base):
-    """Per-feature importance of a forest on all ratio features; rows-only."""
+    """Per-feature importance of a forest of 200 trees on all features; rows-only."""
     p = _class_panel(spark, base).where(F.col("RETURNS_NEXT").isNotNull())
-    est = M.regression_estimator("forest", numTrees=50, maxDepth=5).setFeaturesCol("features").setLabelCol("RETURNS_NEXT")
-    model = est.fit(M.assemble(p, CLASS_FEATURES))
-    return M.feature_importance(model, CLASS_FEATURES, spark)
+    p = M.impute(p, M.fit_medians(p, CLASS_FEATURES))
+    est = M.regression_estimator("forest", maxDepth=5).setFeaturesCol("features").setLabelCol("RETURNS_NEXT")
+    return M.feature_importance(est.fit(M.assemble(p, CLASS_FEATURES)), CLASS_FEATURES, spark)
 
 
 @register(
@@ -273,11 +328,36 @@ def chronological_split(spark, base):
     return M.chronological_split(_labelled(spark, base).select("CODE", "YEAR", "RETURNS"), "CODE", "YEAR", 0.8)
 
 
-@register("hash_split")
+@register(
+    "hash_split",
+    """
+SELECT YEAR, CODE, RETURNS,
+       CASE WHEN CAST('0x' || substr(md5('10|' || CAST(YEAR AS VARCHAR) || '|' || CODE), 1, 8) AS BIGINT) % 10000 < 7500 THEN 'train' ELSE 'test' END AS SPLIT
+FROM panel
+""",
+    ["panel"],
+)
 def hash_split(spark, base):
-    """Repeatable 75/25 split on a hash of (YEAR, CODE); rows-only (the hash is engine-specific)."""
-    tr, te = M.hash_split(_labelled(spark, base).select("YEAR", "CODE", "RETURNS"), ["YEAR", "CODE"], 0.75)
-    return tr.withColumn("SPLIT", F.lit("train")).unionByName(te.withColumn("SPLIT", F.lit("test")))
+    """Repeatable 75/25 split on the MD5 of (YEAR, CODE), the parts united by name."""
+    tr, te = M.hash_split(write_once(_labelled(spark, base).select("YEAR", "CODE", "RETURNS"), "split"), ["YEAR", "CODE"], 0.75)
+    return union_by_name([tr.withColumn("SPLIT", F.lit("train")), te.withColumn("SPLIT", F.lit("test"))])
+
+
+@register(
+    "year_holdout",
+    "SELECT YEAR, CODE, RETURNS, CASE WHEN YEAR < 2000 THEN 'train' ELSE 'test' END AS SPLIT FROM panel WHERE YEAR <= 2000",
+    ["panel"],
+)
+def year_holdout(spark, base):
+    """Earlier years against the held-out year 2000."""
+    tr, te = M.year_holdout(write_once(_labelled(spark, base).select("YEAR", "CODE", "RETURNS"), "split"), 2000)
+    return union_by_name([tr.withColumn("SPLIT", F.lit("train")), te.withColumn("SPLIT", F.lit("test"))])
+
+
+@register("closed_year_range", "SELECT YEAR, CODE, RETURNS_NEXT FROM panel WHERE YEAR BETWEEN 1996 AND 1999 AND RETURNS_NEXT IS NOT NULL", ["panel"])
+def closed_year_range(spark, base):
+    """Closed range of years, rows with a known label only."""
+    return _labelled(spark, base).where(Q.between_closed("YEAR", 1996, 1999) & F.col("RETURNS_NEXT").isNotNull()).select("YEAR", "CODE", "RETURNS_NEXT")
 
 
 O.cte(
@@ -391,18 +471,61 @@ def walk_forward_gbt_fenced(spark, base):
     ROC then EV/EBIT, dense ranks on the survivors, boosted trees per target year with
     early stopping on a hash third of the window (rounds chosen by validation loss),
     scored on ranks over the whole panel; rows-only check."""
-    from pyspark.ml.regression import GBTRegressor
+    panel = write_once(_labelled(spark, base), "panel")
+    g = panel.select("YEAR", "CODE", ROC, EV_, "RETURNS_NEXT").where(Q.between_open("YEAR", *RANK_YEARS)).na.drop()
+    g = R.dense_rank_by(g, "RETURNS_NEXT", ascending=False, out="Y")
+    g = R.dense_ranks(OUT.fence_filter_by(g, [ROC, EV_]), {"X1": (ROC, False), "X2": (EV_, True)})
+    s = M.walk_forward_fit_predict(M.validation_flag(g, ["YEAR", "CODE"], 1 / 3), ["X1", "X2"], "Y", M.target_years(panel, N_BACK), N_BACK,
+                                   _boosted(), greenblatt_scoring(panel), standardise="own")
+    return rounded(EV.score_table(panel, s, "PREDICTION"), ["RISK"])
 
-    from panelforge.operators import outliers as OUT
 
-    panel = materialize(_labelled(spark, base))
-    g = panel.select("YEAR", "CODE", ROC, EV_, "RETURNS_NEXT").where(Q.between_open("YEAR", 1990, 2016)).na.drop()
-    g = R.dense_rank_by(g, "RETURNS_NEXT", ascending=False, out="Y")
-    g = OUT.fence_filter_by(g, [ROC, EV_])
-    g = R.dense_rank_by(g, ROC, ascending=False, out="X1")
-    g = R.dense_rank_by(g, EV_, ascending=True, out="X2")
-    g = M.validation_flag(g, ["YEAR", "CODE"], 1 / 3)
-    est = GBTRegressor(maxDepth=5, stepSize=0.15, featureSubsetStrategy="0.7", maxIter=100,
-                       validationIndicatorCol="VALID", validationTol=0.01, seed=10)
-    s = M.walk_forward_fit_predict(g, ["X1", "X2"], "Y", TARGET_YEARS, N_BACK, est, greenblatt_scoring(panel))
-    return rounded(EV.score_table(panel, s.select("YEAR", "CODE", "PREDICTION"), "PREDICTION"), ["RISK"])
+def _boosted():
+    """Boosted trees whose number of rounds (at most 300) is chosen by the loss on the validation third."""
+    return GBTRegressor(maxDepth=5, stepSize=0.15, featureSubsetStrategy="0.7", maxIter=300, validationIndicatorCol="VALID",
+                        validationTol=0.01, seed=10)
+
+
+# All columns of the ranking job: the ratios and the return known in the year itself.
+RANK_COLUMNS = [*P.RATIO_COLUMNS, "RETURNS"]
+ALL_N_BACK = 5
+
+
+def _all_ranks_training(panel):
+    """Complete rows, fences of every column in turn by year, dense rank of every column and of the label."""
+    g = panel.select("YEAR", "CODE", *RANK_COLUMNS, "RETURNS_NEXT").where(Q.between_open("YEAR", *RANK_YEARS)).na.drop()
+    g = OUT.fence_filter_by(g, RANK_COLUMNS)
+    return R.dense_ranks(g, {f"{c}_RANK": (c, False) for c in [*RANK_COLUMNS, "RETURNS_NEXT"]})
+
+
+def _all_ranks_sql():
+    """One common table expression per fenced column, as the rows left by one are the input of the next."""
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in [*RANK_COLUMNS, "RETURNS_NEXT"])
+    steps = [f"a0 AS (SELECT YEAR, CODE, {', '.join(RANK_COLUMNS)}, RETURNS_NEXT FROM panel WHERE YEAR > {RANK_YEARS[0]} AND YEAR < {RANK_YEARS[1]} AND {complete})"]
+    for i, c in enumerate(RANK_COLUMNS, 1):
+        q1, q3 = (f"round(quantile_cont({c}, {p}) OVER (PARTITION BY YEAR), 6)" for p in (0.25, 0.75))
+        steps.append(f"a{i} AS (SELECT * EXCLUDE (q1, q3) FROM (SELECT *, {q1} AS q1, {q3} AS q3 FROM a{i - 1}) "
+                     f"WHERE {c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))")
+    ranks = ", ".join(f"CAST(dense_rank() OVER (PARTITION BY YEAR ORDER BY {c} DESC) AS INTEGER) AS {c}_RANK" for c in [*RANK_COLUMNS, "RETURNS_NEXT"])
+    return f"WITH {', '.join(steps)} SELECT YEAR, CODE, {ranks} FROM a{len(RANK_COLUMNS)}"
+
+
+O.cte("all_ranks", _all_ranks_sql(), ("panel",))
+
+
+@register("all_ranks_training", "SELECT * FROM all_ranks", ["all_ranks"])
+def all_ranks_training(spark, base):
+    """Training table of the all-columns ranking job: fenced and ranked."""
+    g = _all_ranks_training(write_once(_labelled(spark, base), "panel"))
+    return g.select("YEAR", "CODE", *[f"{c}_RANK" for c in [*RANK_COLUMNS, "RETURNS_NEXT"]])
+
+
+@register("walk_forward_gbt_all_ranks")
+def walk_forward_gbt_all_ranks(spark, base):
+    """All-columns ranking walk-forward: window 5, ranks of all columns scaled within the window, boosted trees, score table; rows-only."""
+    panel = write_once(_labelled(spark, base), "panel")
+    features = [f"{c}_RANK" for c in RANK_COLUMNS]
+    train = M.validation_flag(_all_ranks_training(panel), ["YEAR", "CODE"], 1 / 3)
+    rows = R.dense_ranks(panel, {f"{c}_RANK": (c, False) for c in RANK_COLUMNS})
+    s = M.walk_forward_fit_predict(train, features, "RETURNS_NEXT_RANK", M.target_years(panel, ALL_N_BACK), ALL_N_BACK, _boosted(), rows, standardise="own")
+    return rounded(EV.score_table(panel, s, "PREDICTION"), ["RISK"])

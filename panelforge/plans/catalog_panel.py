@@ -206,7 +206,7 @@ _LABEL_COLS = ["YEAR", "CODE", "RETURNS", "INDEX_RETURNS", "RETURNS_NEXT", "INDE
 
 @register("vs_index_labels", "SELECT " + ", ".join(_LABEL_COLS) + " FROM panel", ["panel"])
 def vs_index_labels(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     return P.labelled_panel(t.financials, t.price, t.index_values).select(*_LABEL_COLS)
 
 
@@ -220,7 +220,7 @@ FROM panel
     ["panel"],
 )
 def compound_wins_label(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     p = P.labelled_panel(t.financials, t.price, t.index_values)
     return L.compound_wins(p).select("YEAR", "CODE", "RETURNS_NEXT", "INDEX_RETURNS_NEXT", "RETURNS_vs_INDEX_NEXT")
 
@@ -238,7 +238,7 @@ LEFT JOIN (SELECT RETURNS_vs_INDEX_NEXT, CAST(dense_rank() OVER (ORDER BY RETURN
     ["panel"],
 )
 def encode_labels(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     p = P.labelled_panel(t.financials, t.price, t.index_values).select(
         "YEAR", "CODE", "RETURNS_NEXT_CAT", "RETURNS_vs_INDEX_NEXT"
     )

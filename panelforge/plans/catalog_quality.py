@@ -14,7 +14,7 @@ PROFILED = ["CSR__ROA", "VQ_MARKET_CAP", "VQ__PIOTROSKI_F_SCORE", "RETURNS_NEXT"
 
 
 def _labelled(spark, base):
-    t = Tables(spark, base)
+    t = Tables(spark, base).once("price")
     return P.labelled_panel(t.financials, t.price, t.index_values)
 
 
@@ -238,3 +238,14 @@ def training_universe(spark, base):
     p = p.where(Q.between_open("RETURNS_NEXT", -0.9, 0.9) & (F.col("RETURNS_NEXT") != 0)
                 & (F.col("INDEX_RETURNS_NEXT") > -0.2))
     return rounded(p, ["RISK"])
+
+
+@register(
+    "anti_join_zero_cap",
+    "SELECT YEAR, CODE, VQ_MARKET_CAP FROM fund f WHERE NOT EXISTS (SELECT 1 FROM fund z WHERE z.CODE = f.CODE AND z.VQ_MARKET_CAP = 0)",
+    ["fund"],
+)
+def anti_join_zero_cap(spark, base):
+    """Companies with a zero market cap dropped by an anti join on their keys."""
+    f = P.fundamentals(Tables(spark, base).financials, True, ["VQ_MARKET_CAP"])
+    return Q.drop_entities(f, Q.entities_with_value(f, "VQ_MARKET_CAP", 0)).select("YEAR", "CODE", "VQ_MARKET_CAP")

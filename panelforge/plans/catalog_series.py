@@ -9,6 +9,7 @@ from panelforge.operators import series as S
 from panelforge.operators import returns as T
 from panelforge.plans import oracle as O
 from panelforge.plans.catalog import Tables, register, rounded
+from panelforge.session import write_once
 from panelforge.plans.catalog_outliers import _panel
 from panelforge.operators.sectors import sector_pairs, sector_values_sql
 
@@ -16,17 +17,10 @@ SUPERVISED = ["RETURNS", "CSR__ROC_JOEL_GREENBLATT", "VR__EV_TO_EBIT"]
 
 
 def _sup_sql(n_in: int, n_out: int) -> str:
-    exprs = []
-    for i in range(n_in, 0, -1):
-        exprs += [f'lag({c}, {i}) OVER w AS "var{j}(t-{i})"' for j, c in enumerate(SUPERVISED, 1)]
-    for i in range(n_out):
-        if i == 0:
-            exprs += [f'{c} AS "var{j}(t)"' for j, c in enumerate(SUPERVISED, 1)]
-        else:
-            exprs += [f'lead({c}, {i}) OVER w AS "var{j}(t+{i})"' for j, c in enumerate(SUPERVISED, 1)]
-    names = [e.rsplit(" AS ", 1)[1] for e in exprs]
-    return (f"SELECT * FROM (SELECT CODE, YEAR, {', '.join(exprs)} FROM opanel WINDOW w AS (PARTITION BY CODE ORDER BY YEAR)) t "
-            f"WHERE {' AND '.join(n + ' IS NOT NULL' for n in names)}")
+    shifted = {S.supervised_name(j, at): f"lead({c}, {at}) OVER w" for at in range(-n_in, n_out) for j, c in enumerate(SUPERVISED, 1)}
+    columns = ", ".join(f'{value} AS "{name}"' for name, value in shifted.items())
+    known = " AND ".join(f'"{name}" IS NOT NULL' for name in shifted)
+    return f"SELECT * FROM (SELECT CODE, YEAR, {columns} FROM opanel WINDOW w AS (PARTITION BY CODE ORDER BY YEAR)) t WHERE {known}"
 
 
 @register("series_to_supervised", _sup_sql(1, 1), ["opanel"])
@@ -196,6 +190,20 @@ def _sector_series(spark, base):
                                            F.avg("CSR__ROC_JOEL_GREENBLATT").alias("CSR__ROC_JOEL_GREENBLATT"))
 
 
+@register("var1_multi_step_rmse")
+def var1_multi_step_rmse(spark, base):
+    """VAR(1) fitted on the first 80 % of each company's years, forecast recursively over the rest; RMSE of the returns."""
+    return rounded(S.var_rmse(S.var_forecast(_panel(spark, base), VAR_COLS, holdout=0.2), "RETURNS"), ["RMSE"])
+
+
+@register("var_vs_baseline")
+def var_vs_baseline(spark, base):
+    """How often the VAR beats persistence on the last year."""
+    p = write_once(_panel(spark, base), "var-panel")
+    model = S.var_rmse(S.var_forecast(p, VAR_COLS), "RETURNS").where("RMSE is not null")
+    return S.model_vs_baseline(model, S.persistence_rmse(p, "RETURNS", test_fraction=1.0))
+
+
 @register("var1_forecast_by_sector")
 def var1_forecast_by_sector(spark, base):
     """VAR(1) per sector on the sector-year averages (one row per sector and year)."""
@@ -234,3 +242,15 @@ def persistence_rmse_by_sector(spark, base):
     """Persistence baseline per sector series (the per-industry view)."""
     r = S.persistence_rmse(_sector_series(spark, base), "RETURNS", key="SECTOR", test_fraction=1.0)
     return rounded(rounded(r, ["PREDICTION"], 9), ["RMSE"], 6)
+
+
+@register(
+    "min_max_inverse",
+    "SELECT YEAR, CODE, round(RETURNS, 9) AS RETURNS FROM opanel",
+    ["opanel"],
+)
+def min_max_inverse(spark, base):
+    """Scaled to [0, 1] and back."""
+    p = _panel(spark, base).select("YEAR", "CODE", "RETURNS")
+    back = S.min_max_inverse(S.min_max_scale(p, ["RETURNS"]), "RETURNS", "RETURNS_SCALED", "BACK")
+    return rounded(back.select("YEAR", "CODE", F.col("BACK").alias("RETURNS")), ["RETURNS"], 9)

@@ -96,17 +96,14 @@ def yearly_dataset(financials: DataFrame, prices: DataFrame, companies: DataFram
                    include_preliminary: bool = True, with_ranks: bool = True, with_target: bool = True) -> DataFrame:
     """The yearly company dataset.
 
-    The label (next row's return of the company) is computed before the ranks
-    so that all 13 ranks share one exchange by YEAR: two shuffles for the
-    windows instead of three.
+    The label (next row's return of the company) is computed before the ranks,
+    so that all 13 ranks are one pass.
     """
     total = fundamentals(financials, include_preliminary).join(yearly_prices(prices), ["YEAR", "CODE"])
     if with_target:
         total = L.lead_value(total, "RETURNS", "CODE", "YEAR", "TARGET")
     if with_ranks:
-        total = R.row_rank(total, RANKED_COLUMNS)
-    if with_target and with_ranks:
-        total = R.row_rank(total, ["TARGET"])
+        total = R.row_rank(total, [*RANKED_COLUMNS, *["TARGET"] * with_target])
     if companies is not None:
         total = total.join(companies.select("CODE", "INDUSTRY01", "INDUSTRY02"), "CODE")
     return total
@@ -142,18 +139,27 @@ def index_returns_job(quotes: DataFrame, base: str = "OPEN") -> DataFrame:
     return T.price_returns(quotes, "INDICE", "DATE", "ADJ_CLOSE", "YEAR", ytd_base=base)
 
 
+def one_index(quotes: DataFrame, index: str | None = None) -> DataFrame:
+    """The quotes of one index: the named one, or the only one (several without a name are an error)."""
+    if index is not None:
+        return quotes.where(F.col("INDICE") == index)
+    several = F.raise_error(F.lit("several indices: name one"))
+    only = quotes.select(F.when(F.min("INDICE") == F.max("INDICE"), F.min("INDICE")).otherwise(several.cast(quotes.schema["INDICE"].dataType))).scalar()
+    return quotes.where(F.col("INDICE") == only)
+
+
 def index_yearly_returns(quotes: DataFrame) -> DataFrame:
-    """(YEAR, INDEX_RETURNS): last CLOSE of the year on the first OPEN of the year."""
-    y = quotes.groupBy("YEAR").agg(F.min_by("OPEN", "DATE").alias("_o"), F.max_by("CLOSE", "DATE").alias("_c"))
-    return y.select("YEAR", F.try_divide(F.col("_c") - F.col("_o"), F.col("_o")).alias("INDEX_RETURNS"))
+    """(INDICE, YEAR, INDEX_RETURNS): last CLOSE of the year on the first OPEN of the year, per index."""
+    y = quotes.groupBy("INDICE", "YEAR").agg(F.min_by("OPEN", "DATE").alias("_o"), F.max_by("CLOSE", "DATE").alias("_c"))
+    return y.select("INDICE", "YEAR", F.try_divide(F.col("_c") - F.col("_o"), F.col("_o")).alias("INDEX_RETURNS"))
 
 
 def labelled_panel(financials: DataFrame, prices: DataFrame, quotes: DataFrame, companies: DataFrame | None = None,
-                   include_preliminary: bool = True) -> DataFrame:
-    """Yearly panel + next-period and versus-index labels (the modelling input)."""
+                   include_preliminary: bool = True, index: str | None = None) -> DataFrame:
+    """Yearly panel + next-period and versus-index labels (the modelling input), against one index."""
     base = fundamentals(financials, include_preliminary, RATIO_COLUMNS + ["VQ_MARKET_CAP", "IS_EPS_BASIC", "VR_PE_RATIO"])
     panel = base.join(yearly_prices(prices), ["YEAR", "CODE"])
-    panel = L.next_period_labels(panel, index_yearly_returns(quotes))
+    panel = L.next_period_labels(panel, index_yearly_returns(one_index(quotes, index)))
     if companies is not None:
         panel = panel.join(companies.select("CODE", "INDUSTRY01", "INDUSTRY02"), "CODE")
     return panel

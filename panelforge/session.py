@@ -6,8 +6,12 @@ helpers here are for tests, ``bench.py`` and scripts.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +41,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, preferring the shared one named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is. When
-    it is unset (tests, local runs) a folder already registered with the
-    SparkContext is reused, or else a private folder is created and
-    registered; the setting itself is a core config and is not modified.
+    it is unset, a folder already registered with the SparkContext is reused.
+    Only a local master may fall back to a private temporary folder, which is
+    removed when the driver ends; any other master without a shared folder is an
+    error, because executors could not read each other's files. The setting
+    itself is a core config and is not modified.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -53,7 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if registered:
         return registered
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="panelforge-ckpt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if sc is not None:
         sc.setCheckpointDir(folder)
     return folder
@@ -73,8 +83,29 @@ def materialize(df):
 
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir`` (never a machine-local
-    temporary folder, which other executors of a cluster could not read)."""
-    import uuid
+    temporary folder, which other executors of a cluster could not read).
 
+    The folder is deleted when the driver's file system is closed at its end.
+    """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/panelforge-exchange/{name}-{uuid.uuid4().hex}"
+    folder = f"{root}/panelforge-exchange/{name}-{uuid.uuid4().hex}"
+    try:
+        jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no JVM; the folder stays
+        return folder
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(hadoop)
+    files.mkdirs(path)  # only an existing path can be marked
+    files.deleteOnExit(path)
+    return f"{folder}/data"
+
+
+def write_once(df, name: str):
+    """Write ``df`` as Parquet in a scratch folder and read it back.
+
+    Like ``materialize``, but readers prune columns, and Spark knows the size of
+    what it reads: a small table is broadcast by its threshold, a large one is not.
+    """
+    path = shared_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

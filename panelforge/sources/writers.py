@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("YEAR",), fmt: str = "parquet") -> None:
     """Write partitioned by key columns (S6, S8) so that readers prune by year or entity.
 
-    Rows are first clustered on the same keys, which gives one file per
-    partition value per task instead of one per input split.
+    Rows are first rebalanced on the same keys: few files per partition value,
+    and a value with many rows is split over several tasks by its size.
     """
     (
-        df.repartition(*partition_by)
+        df.hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .partitionBy(*partition_by)
         .format(fmt)

@@ -10,7 +10,7 @@ def test_picks_year_cap_and_unique_rank(spark):
          (1999, "D", 60.0, 3, 2.0, 2.0, 0.0), (2000, "E", 100.0, 0, 1.0, 1.0, 0.0)],
         "YEAR int, CODE string, CAP double, RANKING int, PRICE_START double, PRICE_END double, RETURNS double")
     c = spark.createDataFrame([(x, f"co {x}", "EUROPE" if x != "D" else "ASIA") for x in "ABCDE"], "CODE string, COMPANY string, REGION string")
-    got = {r.CODE: r for r in D.picks(m, c, 2000, n=2).collect()}
+    got = {r.CODE: r for r in D.picks(m, c, 2000, n=2, url_prefix="https://quotes.example/").collect()}
     assert set(got) == {"A", "B"}                       # C: cap below 50; E: other year; D: rank 3
     assert got["A"].RANK_UNIQUE == 1 and got["B"].RANK_UNIQUE == 2  # tie on the sum broken by CODE
     assert got["B"].CAP is None and got["A"].PRICE_DIFF == 1.0

@@ -21,7 +21,7 @@ def test_global_filter_drops_boundary_and_nulls(spark):
     # with 13.0 and a null added the quartiles move; compute the expected fences with pandas rules
     vals = BASE + [40.0, None]
     df = _df(spark, vals)
-    out = O.fence_filter_global(df, ["V"], materialize=False)
+    out = O.fence_filter_global(df, ["V"])
     kept = sorted(r.V for r in out.collect())
     assert None not in kept and 40.0 not in kept
     assert set(kept) <= set(v for v in vals if v is not None)
@@ -30,7 +30,7 @@ def test_global_filter_drops_boundary_and_nulls(spark):
 def test_global_filter_strict_on_exact_fence(spark):
     # values 1..9 and 13 (q1 = 3.25, q3 = 7.75, high = 14.5): make a value sit exactly on a fence
     vals = [0.0, 0.0, 0.0, 4.0, 4.0, 4.0, 10.0]  # q1 = 0, q3 = 4, high = 10 -> 10 is on the fence
-    out = O.fence_filter_global(_df(spark, vals), ["V"], materialize=False)
+    out = O.fence_filter_global(_df(spark, vals), ["V"])
     assert 10.0 not in [r.V for r in out.collect()]
 
 
@@ -47,7 +47,7 @@ def test_by_year_keeps_boundary_and_nulls(spark):
 def test_sequential_order_matters(spark):
     rows = [(str(i), 2000, float(i), float(i % 3)) for i in range(20)] + [("x", 2000, 1000.0, 50.0)]
     df = spark.createDataFrame(rows, "CODE string, YEAR int, A double, B double")
-    ab = O.fence_filter_global(df, ["A", "B"], materialize=False).count()
+    ab = O.fence_filter_global(df, ["A", "B"]).count()
     assert ab <= 20
 
 
@@ -128,7 +128,7 @@ def test_fence_rules_property(spark):
             return
         q1, q3 = (round(float(x), 6) for x in np.quantile(known, [0.25, 0.75]))
         lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        glob = sorted(r.V for r in O.fence_filter_global(df, ["V"], materialize=False).collect())
+        glob = sorted(r.V for r in O.fence_filter_global(df, ["V"]).collect())
         assert glob == sorted(v for v in vals if v is not None and lo < v < hi)
         by_year = [r.V for r in O.fence_filter_by(df, ["V"]).collect()]
         assert sorted(v for v in by_year if v is not None) == sorted(v for v in vals if v is not None and lo <= v <= hi)

@@ -11,7 +11,7 @@ def test_exact_quantiles_match_percentile(spark):
     rows += [(2003, 7.0)]  # single-value group
     df = spark.createDataFrame(rows, "YEAR int, V double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = {(r.YEAR, r.P): r.Q for r in exact_quantiles(df, "V", probs, by=["YEAR"], partitions=5, small_group_rows=0).collect()}
+    got = {(r.YEAR, r.P): r.Q for r in exact_quantiles(df, "V", probs, by=["YEAR"]).collect()}
     ref = df.groupBy("YEAR").agg(F.percentile("V", probs).alias("q")).collect()
     for r in ref:
         for p, q in zip(probs, r.q):
@@ -20,7 +20,7 @@ def test_exact_quantiles_match_percentile(spark):
 
 def test_exact_quantiles_global(spark):
     df = spark.createDataFrame([(float(x),) for x in [5, 1, 3, 3, 9, 7, 2, 8]], "V double")
-    got = {r.P: r.Q for r in exact_quantiles(df, "V", [0.25, 0.5, 0.9], partitions=3, small_group_rows=0).collect()}
+    got = {r.P: r.Q for r in exact_quantiles(df, "V", [0.25, 0.5, 0.9]).collect()}
     ref = df.agg(F.percentile("V", [0.25, 0.5, 0.9])).first()[0]
     assert [round(got[p], 9) for p in (0.25, 0.5, 0.9)] == [round(x, 9) for x in ref]
 
@@ -33,11 +33,48 @@ def test_exact_quantiles_property(spark):
     @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
     @given(st.lists(st.integers(-50, 50), min_size=1, max_size=60), st.integers(1, 6))
     def check(values, parts):
-        df = spark.createDataFrame([(float(v),) for v in values], "V double")
+        df = spark.createDataFrame([(float(v),) for v in values], "V double").repartition(parts)
         probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-        got = {r.P: r.Q for r in exact_quantiles(df, "V", probs, partitions=parts, small_group_rows=0 if parts % 2 else 10**6).collect()}
+        got = {r.P: r.Q for r in exact_quantiles(df, "V", probs).collect()}
         ref = np.quantile(np.array(values, dtype=float), probs)
         for p, q in zip(probs, ref):
             assert abs(got[p] - q) < 1e-9
 
     check()
+
+
+def test_no_group_or_value_meets_in_one_task(spark):
+    from panelforge.operators import ordered
+
+    n = 60_000
+    df = spark.range(n).select(F.lit(2000).alias("YEAR"), F.when(F.col("id") % 10 != 0, 0.0).otherwise(F.col("id") / 7.0).alias("V"), F.col("id").alias("CODE"))
+    got = {r.P: r.Q for r in exact_quantiles(df, "V", [0.25, 0.5, 0.95], by=["YEAR"]).collect()}
+    ref = df.agg(F.percentile("V", [0.25, 0.5, 0.95])).first()[0]
+    assert [round(got[p], 9) for p in (0.25, 0.5, 0.95)] == [round(x, 9) for x in ref]
+
+    seen = []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the data are small
+    write = ordered.write_once
+    ordered.write_once = lambda d, name: seen.append(write(d, name)) or seen[-1]
+    try:
+        numbered = ordered.row_numbers(df, ["YEAR"], [F.col("V").asc(), F.col("CODE").asc()], "N")
+        assert numbered.agg(F.max("N"), F.countDistinct("N")).first() == (n, n)
+    finally:
+        ordered.write_once = write
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in seen[0].groupBy("__pid").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 2 * n / len(sizes)  # 90 % equal values
+
+
+def test_row_numbers_with_null_groups_and_ties(spark):
+    from pyspark.sql import Window
+
+    from panelforge.operators.ordered import row_numbers
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, 1, 2]), rnd.choice([None, 1.0, 2.0, float("nan")]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "G int, V double, K int")
+    for order in ([F.col("V").asc(), F.col("K").asc()], [F.col("V").desc(), F.col("K").asc()]):
+        ref = df.withColumn("N", F.row_number().over(Window.partitionBy("G").orderBy(*order)))
+        got = row_numbers(df, ["G"], order, "N")
+        assert {(r.K, r.N) for r in got.collect()} == {(r.K, r.N) for r in ref.collect()}

@@ -45,9 +45,99 @@ def test_var_univariate_equals_closed_form(spark):
         assert math.isclose(var[k], ar[k], rel_tol=1e-9)
 
 
-def test_var_skips_short_series(spark):
-    df = spark.createDataFrame([("A", 2000, 1.0, 2.0), ("A", 2001, 2.0, 1.0)], "CODE string, YEAR int, X double, Y double")
-    assert S.var_forecast(df, ["X", "Y"]).count() == 0
+def test_var_reports_short_and_broken_series(spark):
+    rows = [("A", 2000, 1.0, 2.0), ("A", 2001, 2.0, 1.0)] + [("B", 2000 + i, float(i), None if i == 3 else 1.0) for i in range(9)]
+    got = S.var_forecast(spark.createDataFrame(rows, "CODE string, YEAR int, X double, Y double"), ["X", "Y"]).collect()
+    assert {(r.CODE, r.METRIC, r.STATUS, r.FORECAST) for r in got} == {
+        ("A", "X", "too short", None), ("A", "Y", "too short", None), ("B", "X", "null in the series", None), ("B", "Y", "null in the series", None)}
+
+
+def test_var_forecasts_several_steps(spark):
+    x = [(1.0, 2.0)]
+    for _ in range(11):  # an exact VAR(1): the forecast meets every held-out row
+        a, b = x[-1]
+        x.append((0.5 + 0.6 * a - 0.2 * b, 1.0 + 0.1 * a + 0.7 * b))
+    df = spark.createDataFrame([("A", 2000 + i, a, b) for i, (a, b) in enumerate(x)], "CODE string, YEAR int, X double, Y double")
+    got = S.var_forecast(df, ["X", "Y"], holdout=0.25)
+    assert sorted((r.METRIC, r.STEP) for r in got.collect()) == [("X", 1), ("X", 2), ("X", 3), ("Y", 1), ("Y", 2), ("Y", 3)]
+    r = S.var_rmse(got, "X").first()
+    assert r.STEPS == 3 and r.RMSE < 1e-6
+
+
+def test_metrics_use_complete_pairs_only(spark):
+    df = spark.createDataFrame([(1.0, 1.5), (2.0, 2.0), (4.0, 2.5), (9.0, None), (None, 3.0)], "Y double, P double")
+    r = EV.regression_metrics(df, "Y", "P").first()
+    assert r.N == 3 and math.isclose(r.MSE, 2.5 / 3) and math.isclose(r.R2, 1 - 2.5 / (14 / 3))
+    a = EV.accuracy(spark.createDataFrame([(1, 1), (0, 1), (None, 1), (1, None)], "L int, P int"), "L", "P").first()
+    assert (a.ACCURACY, a.N) == (0.5, 2)
+
+
+def test_one_index_only(spark):
+    import pytest
+
+    from panelforge.plans import pipelines as P
+
+    q = spark.createDataFrame([(i, 2000, d, o, o + i) for i in (1, 2) for d, o in ((1, 2.0), (2, 3.0))], "INDICE int, YEAR int, DATE int, OPEN double, CLOSE double")
+    got = {r.INDICE: r.INDEX_RETURNS for r in P.index_yearly_returns(q).collect()}
+    assert got == {1: 1.0, 2: 1.5}
+    assert P.one_index(q, 2).count() == 2
+    with pytest.raises(Exception, match="several indices"):
+        P.one_index(q).collect()
+
+
+def _walk_rows(years, later=0.0):
+    rng = np.random.default_rng(4)
+    rows = []
+    for y in years:
+        for i in range(12):
+            x = float(rng.integers(1, 30))
+            rows.append((y, f"C{i}", None if i == 5 else x, 2.0 * x + 1.0 + (later if y >= 2003 else 0.0)))
+    return rows
+
+
+def test_walk_forward_sees_no_later_year_and_returns_every_row(spark):
+    schema = "YEAR int, CODE string, X double, Y double"
+    est = M.regression_estimator("tree")
+    got = []
+    for later in (0.0, 500.0):
+        df = spark.createDataFrame(_walk_rows(range(2000, 2005), later), schema)
+        s = M.walk_forward_fit_predict(df, ["X"], "Y", [2000, 2002, 2003, 2004], 2, est, df, fill=True)
+        got.append({(r.YEAR, r.CODE): r.PREDICTION for r in s.collect()})
+    assert len(got[0]) == 48
+    assert all(p is None for (y, _), p in got[0].items() if y == 2000)  # no year before it
+    assert all(p is not None for (y, _), p in got[0].items() if y > 2000)
+    for key in got[0]:
+        assert key[0] == 2004 or got[0][key] == got[1][key]
+    df = spark.createDataFrame(_walk_rows(range(2000, 2003)), schema)
+    blank = M.walk_forward_fit_predict(df, ["X"], "Y", [2002], 2, est, df).where("PREDICTION is null").collect()
+    assert [r.CODE for r in blank] == ["C5"]  # without a feature, not imputed
+
+
+def test_impute_and_medians(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None), (None, None), (8.0, None)], "A double, B double")
+    m = M.fit_medians(df, ["A", "B"])
+    assert m == {"A": 3.0, "B": 0.0}
+    out = M.impute(df, m, indicators=True).collect()
+    assert sorted(r.A for r in out) == [1.0, 3.0, 3.0, 8.0] and sum(r.A_ISNULL for r in out) == 1 and all(r.B == 0.0 for r in out)
+
+
+def test_grid_search_classifier_finds_the_useful_depth(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    rows = [(float(i % 4), float((i % 4) in (1, 2))) for i in range(160)]
+    df = spark.createDataFrame(rows, "X double, LABEL double")
+    est = M.classifier_estimator("forest", 1, numTrees=1)
+    got = M.grid_search(df, ["X"], "LABEL", est, {"maxDepth": [1, 3]}, folds=3, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"))
+    score = {r.PARAMS: r.MEAN_METRIC for r in got.collect()}
+    assert score["maxDepth=3"] == 1.0 > score["maxDepth=1"]
+
+
+def test_interpolation_is_linear_in_the_length(spark):
+    n = 20_000
+    df = spark.range(n).select(F.lit("A").alias("K"), F.col("id").alias("D"), F.when(F.col("id") % 100 == 0, F.col("id") * 2.0).alias("V"))
+    got = S.linear_interpolation(df, ["V"], "K", "D").agg(F.count("*").alias("n"), F.sum("V").alias("s")).first()
+    last = (n - 1) // 100 * 100
+    assert got.n == n and math.isclose(got.s, sum(2.0 * min(i, last) for i in range(n)))
 
 
 def test_min_max_inverse(spark):
