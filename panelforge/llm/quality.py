@@ -9,6 +9,7 @@ does not depend on the order, which only decides how much work is done.
 
 from __future__ import annotations
 
+import re
 import time
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -19,13 +20,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import Words, row_chunks, text_of, window_hashes
+from panelforge.llm.common import WORD, Words, row_chunks, text_of, window_hashes
 
 SYMBOLS = b"#*$%&|<>"
 SAMPLE_ROWS = 2000
 _BLANK = " \t\n\v\f\r"
-_CLOSING = ".!?。\"')…"
 _BULLETS = ("•", "-", "*", "●")
+_WORDS = re.compile(WORD)
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -57,7 +58,7 @@ def repeated_lines(d: Doc) -> bool:
 
 def few_letters(d: Doc) -> bool:
     """Fewer than half of the words have a letter."""
-    return 2 * sum(1 for w in d.text.split() if _LETTER.search(w)) < d.n_words
+    return 2 * sum(1 for w in _WORDS.findall(d.text) if _LETTER.search(w)) < d.n_words
 
 
 def bullet_list(d: Doc) -> bool:
@@ -72,7 +73,7 @@ def cut_lines(d: Doc) -> bool:
 
 def one_word_rules_all(d: Doc) -> bool:
     """One word makes up more than 40 % of the text."""
-    words = d.text.split()
+    words = _WORDS.findall(d.text)
     return bool(words) and 10 * Counter(words).most_common(1)[0][1] > 4 * len(words)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.llm import oracle
 from panelforge.llm.common import read_table, text_of
 from panelforge.llm.decontaminate import contaminated
 from panelforge.llm.line_dedup import keep_bitmaps, keep_lines
@@ -39,21 +40,22 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_segments", "edits", "shared_grams")
 
 
-@register("op2_near_dedup")
+@register("op2_near_dedup", oracle.NEAR_DEDUP)
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), 85, 5)
 
 
-@register("op3_secret_scan")
+@register("op3_secret_scan", oracle.secret_scan())
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.col("secret_counts")[i].alias(f"n_{kind}") for i, kind in enumerate(("assign", "access", "hex"))]
     return found.select("doc_id", *counts, F.sha2(F.col("secret_base").cast("binary"), 256).alias("base_sha256"), F.col("secret_spans").alias("spans"))
 
 
-@register("op4_quality_rules")
+@register("op4_quality_rules", oracle.QUALITY)
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(read_table(spark, sf_dir, "documents"))
+    # which rule rejects first depends on measured times; the verdict does not
+    return quality(read_table(spark, sf_dir, "documents")).drop("rejected_by", "rules_run")
 
 
 @register("op5_toxicity")
@@ -63,7 +65,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_predicted").alias("predicted"))
 
 
-@register("op6_line_dedup")
+@register("op6_line_dedup", oracle.LINE_DEDUP)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = keep_lines(docs, keep_bitmaps(docs, 40, 5))

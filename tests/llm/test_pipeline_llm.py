@@ -1,6 +1,9 @@
 import ast
 from pathlib import Path
 
+import duckdb
+import pytest
+
 import corpus_pipeline
 from panelforge.llm import decontaminate, near_dedup, toxicity
 from panelforge.llm.queries import ORACLE, QUERIES
@@ -39,6 +42,17 @@ def test_one_query_per_operator():
     assert set(ORACLE) <= set(QUERIES)
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_sql_twin(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{cases.SF}/documents.parquet')")
+    cur = con.execute(ORACLE[name])
+    names = [c[0] for c in cur.description]
+    df = QUERIES[name](spark, cases.SF)
+    assert sorted(df.columns) == sorted(names)
+    assert sorted(map(tuple, df.select(*names).collect()), key=str) == sorted(cur.fetchall(), key=str)
+
+
 def test_nothing_else_imports_the_subpackage():
     for path in (ROOT / "panelforge").rglob("*.py"):
         if "llm" in path.parts:
