@@ -90,3 +90,18 @@ m AS (SELECT doc_id, place, kind, CAST(start AS BIGINT) AS start, CAST(stop AS B
 SELECT doc_id, {counts}, sha256({joined.format(own)}) AS base_sha256, {joined.format('')} AS spans
 FROM d LEFT JOIN m USING (doc_id) GROUP BY doc_id
 """
+
+
+def _base32(hexadecimal: str) -> str:
+    """Base32 of 160 bits: every five hexadecimal digits are four base32 digits."""
+    digit = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> {}) & 31), 1)"
+    four = " || ".join(digit.format(n) for n in (15, 10, 5, 0))
+    return f"array_to_string(list_transform(list_transform(generate_series(0, 7), lambda g: CAST('0x' || substr({hexadecimal}, 1 + 5 * g, 5) AS INTEGER)), lambda v: {four}), '')"
+
+
+WARC = f"""
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_base32('digest')} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, body, sha1(body) AS digest, min(page_id) OVER (PARTITION BY body) AS first
+      FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))
+"""

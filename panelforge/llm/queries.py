@@ -81,7 +81,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op8_warc")
+@register("op8_warc", oracle.WARC)
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = round_trip(read_table(spark, sf_dir, "pages"), 0, payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -45,7 +45,8 @@ def test_one_query_per_operator():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{cases.SF}/documents.parquet')")
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{cases.SF}/{t}.parquet')")
     cur = con.execute(ORACLE[name])
     names = [c[0] for c in cur.description]
     df = QUERIES[name](spark, cases.SF)
