@@ -157,7 +157,11 @@ def mixed_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
     """
     own = [c for c in mixed.columns if c not in ADDED]
     words = F.regexp_extract_all(text_of(text), F.lit(WORD), F.lit(0))
-    part = F.array_join(F.flatten(F.transform("mix_ranges", lambda r: F.slice(words, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), " ")
+
+    def excerpt(w: Column) -> Column:
+        return F.array_join(F.flatten(F.transform("mix_ranges", lambda r: F.slice(w, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), " ")
+
+    part = F.transform(F.array(words), excerpt)[0]  # the words are a variable of the outer function: made once, not for each range
     rest = F.col("mix_taken") - F.col("mix_passes") * F.col("mix_size")
     whole = F.array_repeat(F.col(text), F.col("mix_passes") + F.when((rest == F.col("mix_size")) & (rest > 0), 1).otherwise(0))
     texts = F.when((rest > 0) & (rest < F.col("mix_size")), F.concat(whole, F.array(part))).otherwise(whole)
