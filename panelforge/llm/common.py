@@ -20,7 +20,7 @@ from panelforge.session import shared_scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once inside a task; a longer document is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
