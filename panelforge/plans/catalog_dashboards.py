@@ -14,6 +14,7 @@ from panelforge.plans import oracle as O
 from panelforge.plans import pipelines as P
 from panelforge.plans.catalog import Tables, register, rounded
 from panelforge.plans.catalog_models import _SCORE_SQL, _walk_forward_lr
+from panelforge.session import write_once
 
 # Dashboard parameters for the driver's data (years 1995..2001): picks for 2000
 # are made with the data of 1999; top 20; market cap from 50 up or unknown.
@@ -223,12 +224,11 @@ WINDOW w AS (PARTITION BY CODE ORDER BY FISCAL_YEAR)
 )
 def quarterly_dataset(spark, base):
     t = Tables(spark, base).once("price")
-    fq = t.financials_quarterly.select("CODE", "FISCAL_YEAR", "IS__REVENUE")
+    fq = write_once(t.financials_quarterly.select("CODE", "FISCAL_YEAR", "IS__REVENUE"), "quarters")
     q = T.quarterly_return(fq, t.price)
     iq = T.quarterly_return(fq.select("FISCAL_YEAR").distinct().withColumn("INDICE", F.lit(1)), t.index_values,
                             key="INDICE", start_value="OPEN", end_value="CLOSE", prefix="INDEX_")
-    # one index return per fiscal quarter: bounded by the calendar
-    j = q.join(F.broadcast(iq.select("FISCAL_YEAR", "INDEX_RETURNS")), "FISCAL_YEAR", "left")
+    j = q.join(iq.select("FISCAL_YEAR", "INDEX_RETURNS"), "FISCAL_YEAR", "left")
     w = Window.partitionBy("CODE").orderBy("FISCAL_YEAR")
     r, i = F.col("RETURNS"), F.col("INDEX_RETURNS")
     rn, inx = F.lead("RETURNS").over(w), F.lead("INDEX_RETURNS").over(w)
