@@ -117,7 +117,10 @@ _REPEAT, _OPEN, _UNDECIDED = 0, 1, 2
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition with what they are: a repeat, open (to be compared string by string), undecided."""
+    """Rows of a sorted partition with what they are: a repeat, open (to be compared string by string), undecided.
+
+    Of a token's run that touches an edge, only the first row of each covering is undecided.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -129,9 +132,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = (doc == doc[leader]) & (strings == strings[leader])  # a row repeated in the table is no repeat of itself
         covers = np.bincount(t_run[c_begin])  # different coverings of each token
         kind = np.full(len(token), -1, np.int8)
-        kind[~first] = _REPEAT
+        kind[~first] = _REPEAT  # an equal covering stands before it in this batch
         kind[c_begin[covers[t_run[c_begin]] > 1]] = _OPEN
-        kind[edge] = _UNDECIDED
+        kind[c_begin[edge[c_begin]]] = _UNDECIDED
         kept = np.flatnonzero(kind >= 0)
         if len(kept):
             yield pa.RecordBatch.from_arrays([*batch.take(pa.array(kept)).columns, pa.array(kind[kept])], [*batch.schema.names, "kind"])
@@ -152,7 +155,7 @@ def _coverings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of repeated strings of the tokens that a batch holds whole; the strings of the others."""
+    """Spans of the strings that stand in the batch before; the first ones of tokens that may go on beyond it, undecided."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -170,19 +173,18 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, run = _runs(token)
         edge = ((run == 0) | (run == run[-1]))[row]
 
-        inner = np.flatnonzero(~edge)
-        order = inner[np.lexsort((at[inner], owner[inner], string[inner]))]
-        if len(order):
-            head, same = _runs(string[order])
-            lead = order[head[same]]
-            again = order[(owner[order] != owner[lead]) | (at[order] != at[lead])]
-            again.sort()  # by row and place: neighbours make one span
-            if len(again):
-                span, _ = _runs(row[again], at[again] - np.arange(len(again)))
-                ends = at[again[np.append(span[1:], len(again)) - 1]] + LENGTH
-                n = len(span)
-                yield pa.RecordBatch.from_arrays([pa.array(owner[again[span]]), pa.array(at[again[span]]), pa.array(ends), pa.nulls(n, pa.int64())], ["doc_id", "from", "to", "string"])
-        outer = np.flatnonzero(edge)
+        order = np.lexsort((at, owner, string))
+        head, same = _runs(string[order])
+        lead = order[head[same]]
+        again = order[(owner[order] != owner[lead]) | (at[order] != at[lead])]
+        again.sort()  # by row and place: neighbours make one span
+        if len(again):
+            span, _ = _runs(row[again], at[again] - np.arange(len(again)))
+            ends = at[again[np.append(span[1:], len(again)) - 1]] + LENGTH
+            n = len(span)
+            yield pa.RecordBatch.from_arrays([pa.array(owner[again[span]]), pa.array(at[again[span]]), pa.array(ends), pa.nulls(n, pa.int64())], ["doc_id", "from", "to", "string"])
+        outer = order[head]
+        outer = outer[edge[outer]]  # first in this batch, but maybe not of all
         if len(outer):
             yield pa.RecordBatch.from_arrays([pa.array(owner[outer]), pa.array(at[outer]), pa.array(at[outer] + LENGTH), pa.array(string[outer])], ["doc_id", "from", "to", "string"])
 
