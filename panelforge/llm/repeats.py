@@ -15,9 +15,10 @@ sampled suffix. Nothing is lost: every string belongs to exactly one suffix.
    but the first are repeats; the first ones of tokens with several coverings go
    on to step 2. Runs that touch the edge of a batch may go on beyond it; their
    rows are passed on and settled by aggregates over the keys.
-2. For the suffixes that share a token but not their surroundings (the ends of
-   repeated passages), the covered bytes themselves are range-partitioned by
-   token, and their strings are compared one by one, again with an exact way for
+2. The suffixes that share a token but not their surroundings (the ends of
+   repeated passages) are split into blocks of neighbouring strings. The blocks'
+   bytes are range-partitioned by the hash of the core that a block's strings
+   share, and their strings are compared one by one, again with an exact way for
    runs that touch an edge: their strings' first occurrences by aggregate.
 3. The spans of a document are gathered and its other bytes kept.
 """
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ from panelforge.llm.common import Words, mix64, row_chunks, text_of, written
 
 LENGTH = 100
 WINDOW = 64  # a power of two
+BLOCK = 8
 TOKEN = LENGTH - WINDOW + 1
 #: Longer documents are read in pieces that share the strings' length.
 PIECE = 4 << 20
@@ -96,10 +99,10 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ids, base, data, begin, end in _pieces(batch):
-            doc, s1, s2, _, token, cover = sampled(data, begin, end)
+            doc, s1, s2, at, token, cover = sampled(data, begin, end)
             first = base[doc] + s1 - begin[doc]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token.view(np.int64)), pa.array(cover.view(np.int64)), pa.array(ids[doc]), pa.array(first << 8 | (s2 - s1))],
+                [pa.array(token.view(np.int64)), pa.array(cover.view(np.int64)), pa.array(ids[doc]), pa.array(first << 16 | (at - s1) << 8 | (s2 - s1))],
                 ["token", "cover", "doc_id", "strings"],
             )
 
@@ -141,14 +144,25 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _coverings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, doc_id, first, bytes) of the open suffixes of each document."""
+    """(token, doc_id, first, bytes) of the open suffixes of each document.
+
+    A suffix's strings are split by their distance from the token into blocks of
+    ``BLOCK``. The strings of a block share a core of bytes, whose hash is the
+    token of the block: equal strings have equal cores, and a block whose core
+    stands nowhere else has no repeats.
+    """
     for batch in batches:
         token, doc, first, body = [], [], [], []
         for i, text, own in zip(*(batch.column(k).to_pylist() for k in range(3))):
             raw = text.encode()
             for s in own:
-                at, more = s["strings"] >> 8, s["strings"] & 255
-                token.append(s["token"]), doc.append(i), first.append(at), body.append(raw[at : at + more + LENGTH])
+                s1 = s["strings"] >> 16
+                at, s2 = s1 + (s["strings"] >> 8 & 255), s1 + (s["strings"] & 255)
+                for block in range((at - s2) // BLOCK, (at - s1) // BLOCK + 1):
+                    near = at - block * BLOCK  # the block's last string begins here
+                    lo, hi = max(s1, near - BLOCK + 1), min(s2, near)
+                    core = xxhash.xxh3_64_intdigest(raw[near : near + LENGTH - BLOCK + 1], block)
+                    token.append(core - (1 << 63)), doc.append(i), first.append(lo), body.append(raw[lo : hi + LENGTH])
         yield pa.RecordBatch.from_arrays(
             [pa.array(token, pa.int64()), pa.array(doc, pa.int64()), pa.array(first, pa.int64()), pa.array(body, pa.binary())], ["token", "doc_id", "first", "body"]
         )
@@ -227,7 +241,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     firsts = loose.groupBy("string").agg(F.min(F.struct("doc_id", "from")).alias("first"), F.count("*").alias("n")).where("n > 1")
     again = loose.join(firsts, "string").where("struct(doc_id, from) <> first").select("doc_id", "from", "to")
 
-    whole = repeats.select("doc_id", F.shiftright("strings", 8).alias("from"), (F.shiftright("strings", 8) + F.col("strings").bitwiseAND(F.lit(255)) + LENGTH).alias("to"))
+    whole = repeats.select("doc_id", F.shiftright("strings", 16).alias("from"), (F.shiftright("strings", 16) + F.col("strings").bitwiseAND(F.lit(255)) + LENGTH).alias("to"))
     return whole.union(compared.where("string is null").select("doc_id", "from", "to")).union(again)
 
 

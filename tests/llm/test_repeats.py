@@ -80,7 +80,7 @@ def test_long_documents_are_read_in_pieces(spark, monkeypatch):
     at_once = pa.concat_tables([pa.Table.from_batches([b]) for b in R._suffixes(iter([whole]))]).to_pylist()
 
     def strings(rows):
-        return sorted((r["doc_id"], s, r["token"]) for r in rows for s in range(r["strings"] >> 8, (r["strings"] >> 8) + (r["strings"] & 255) + 1))
+        return sorted((r["doc_id"], s, r["token"]) for r in rows for s in range(r["strings"] >> 16, (r["strings"] >> 16) + (r["strings"] & 255) + 1))
 
     assert strings(pieces) == strings(at_once)
 
