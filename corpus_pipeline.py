@@ -17,6 +17,8 @@ from panelforge.llm.sharding import shard
 from panelforge.llm.toxicity import predict
 
 SHARDS = 40
+#: Documents at a similarity of at least so many per cent are near duplicates (op2's 85 binds that query alone).
+NEAR_PERCENT = 80
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest id stays."""
-    return drop_near_duplicates(docs, 85, 5)
+    return drop_near_duplicates(docs, NEAR_PERCENT, 5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

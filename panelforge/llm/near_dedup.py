@@ -7,7 +7,7 @@
    short documents have full sketches too.
 2. Documents with equal sets are one class; from here on only one document per
    class takes part, so copies cost nothing.
-3. Bands of 7 registers are hashed; documents that share a band meet in a
+3. Bands of registers are hashed; documents that share a band meet in a
    bucket. No pairs are listed within a bucket: every member is paired with the
    bucket's hub, the member that meets most documents over all its bands (the
    original of a group of edited copies).
@@ -19,8 +19,9 @@
 5. Candidates whose collision-corrected estimate is far below the threshold are
    dropped; the others are confirmed on the full sets.
 
-With 36 bands of 7 registers, two documents at a similarity of 0.85 share no
-band with a probability below 1e-6. The estimate has a standard error of 0.022
+A band has as many registers as leave two documents at the threshold without a
+shared band with a probability below 1e-6: 36 bands of 7 at 0.85, 51 bands of 5
+at 0.80. The estimate has a standard error of 0.022
 there; the margin is four and a half times that.
 """
 
@@ -41,14 +42,21 @@ BUCKET_BITS = 8
 BUCKETS = 1 << BUCKET_BITS
 VALUE_BITS = 64 - BUCKET_BITS
 MANTISSA_BITS = 10
-BANDS, ROWS = 36, 7
+#: Two documents at the threshold share no band with at most this probability.
+MISSED = 1e-6
 MARGIN = 0.10
 LANES = 4  # registers of 16 bits in a long
 #: Constant of the expected share of chance collisions (HyperMinHash paper).
 COLLISION = 0.169919487159739
 
 _PROBES = (mix64(np.arange(64 * BUCKETS, dtype=np.uint64)) & np.uint64(BUCKETS - 1)).astype(np.int64).reshape(64, BUCKETS)
-_BAND_SEATS = mix64(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+_BAND_SEATS = mix64(np.arange(1, BUCKETS + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def band_rows(percent: int) -> int:
+    """Registers of a band: the most that miss a pair at the threshold with a probability of at most ``MISSED``."""
+    alike = percent / 100
+    return next((r for r in range(BUCKETS, 1, -1) if (1 - alike**r) ** (BUCKETS // r) <= MISSED), 1)
 
 
 def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
@@ -83,9 +91,11 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return found[source]
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    rows = registers[: BANDS * ROWS].astype(np.uint64).reshape(BANDS, ROWS) + np.uint64(1)
-    return mix64((rows * _BAND_SEATS).sum(axis=1, dtype=np.uint64) + mix64(np.arange(BANDS, dtype=np.uint64)))
+def band_keys(registers: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the bands of ``width`` registers."""
+    n = BUCKETS // width
+    rows = registers[: n * width].astype(np.uint64).reshape(n, width) + np.uint64(1)
+    return mix64((rows * _BAND_SEATS[:width]).sum(axis=1, dtype=np.uint64) + mix64(np.arange(n, dtype=np.uint64)))
 
 
 def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
@@ -111,7 +121,9 @@ def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
 _SKETCH_SCHEMA = "doc_id long, n_shingles long, k1 long, k2 long, sketch array<long>, bands array<long>"
 
 
-def _sketched(width: int):
+def _sketched(width: int, percent: int):
+    in_band = band_rows(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, offs in row_chunks(batch, "text"):
@@ -128,7 +140,7 @@ def _sketched(width: int):
                     keys.append(((digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63)))
                     registers = sketch(s)
                     sketches.append(registers.view(np.int64))
-                    bands.append(band_keys(registers).view(np.int64))
+                    bands.append(band_keys(registers, in_band).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                      pa.array(sketches, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
@@ -209,7 +221,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, text: st
     document when components are formed. An empty table gives an empty result.
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    sketches = written(plain.mapInArrow(_sketched(width), _SKETCH_SCHEMA), "near-sketches")
+    sketches = written(plain.mapInArrow(_sketched(width, percent), _SKETCH_SCHEMA), "near-sketches")
     named = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = written(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")), "near-classes")
     nodes = written(named.join(classes, ["k1", "k2", "doc_id"], "left_semi"), "near-nodes")

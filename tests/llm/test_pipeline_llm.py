@@ -1,13 +1,17 @@
 import ast
+import random
+from itertools import combinations
 from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelforge.llm import decontaminate, near_dedup, toxicity
 from panelforge.llm.queries import ORACLE, QUERIES
 from tests.llm import cases
+from tests.llm.test_near_dedup import shingles
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -61,3 +65,44 @@ def test_nothing_else_imports_the_subpackage():
         for node in ast.walk(ast.parse(path.read_text())):
             names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
             assert not any(".llm" in n or n == "corpus_pipeline" for n in names), path
+
+
+def test_near_dedup_stage_equals_brute_force_at_080(spark):
+    rng = random.Random(11)
+    base = cases.words(rng, 124)  # 120 shingles
+    docs = [(1, " ".join(base), "en", "a", 0)]
+    for k, changes in enumerate((1, 2, 2, 2, 3, 4), 2):  # each change makes 5 of the shingles others: 0.92, 0.85, 0.78, 0.71
+        w = list(base)
+        for at in range(10, 10 + 20 * changes, 20):
+            w[at] = f"changed{k}{at}"
+        docs.append((k, " ".join(w), "en", "a", 0))
+    for k, n in enumerate((100, 101, 102, 103, 104, 110, 96), 10):  # a part and other words: 0.80 and about it
+        own = cases.words(rng, 124)
+        docs += [(10 * k, " ".join(own), "en", "a", 0), (10 * k + 1, " ".join(own[:n]), "en", "a", 0)]
+    df = cases.table(spark, docs)
+    texts = [*cases.pairs_of(df), *cases.pairs_of(cases.documents(spark).select(F.col("doc_id") + 1000, "text"))]
+    sets = {d: shingles(t) for d, t in texts}
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    between = 0
+    for a, b in combinations(sorted(sets), 2):
+        x, y = sets[a], sets[b]
+        if x and y and 5 * len(x & y) >= 4 * len(x | y):
+            between += 20 * len(x & y) < 17 * len(x | y)
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    assert between >= 5
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, rows, cases.SF).collect()} == {d for d in sets if find(d) == d}
+
+
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_bands_miss_one_in_a_million(percent):
+    rows = near_dedup.band_rows(percent)
+    assert (1 - (percent / 100) ** rows) ** (near_dedup.BUCKETS // rows) <= 1e-6
+    assert percent != 85 or (near_dedup.BUCKETS // rows, rows) == (36, 7)
