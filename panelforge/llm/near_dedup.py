@@ -17,12 +17,15 @@
    members where they share their first band and lets pass only pairs that the
    estimate leaves a chance.
 5. Candidates whose collision-corrected estimate is far below the threshold are
-   dropped; the others are confirmed on the full sets.
+   dropped; the others are confirmed on the full sets. Where a set has under 64
+   shingles the registers are filled from a handful of buckets and the estimate
+   says little: such pairs are compared by the sets themselves, which the small
+   documents carry along.
 
 A band has as many registers as leave two documents at the threshold without a
 shared band with a probability below 1e-6: 36 bands of 7 at 0.85, 51 bands of 5
-at 0.80. The estimate has a standard error of 0.022
-there; the margin is four and a half times that.
+at 0.80. The estimate of larger sets has a standard error of
+0.022 there (0.025 at 0.80); the margin is at least six times that.
 """
 
 from __future__ import annotations
@@ -44,7 +47,9 @@ VALUE_BITS = 64 - BUCKET_BITS
 MANTISSA_BITS = 10
 #: Two documents at the threshold share no band with at most this probability.
 MISSED = 1e-6
-MARGIN = 0.10
+MARGIN = 0.15
+#: Pairs in which a set has fewer shingles are compared exactly: few buckets fill the registers of a small set.
+SMALL = 64
 LANES = 4  # registers of 16 bits in a long
 #: Constant of the expected share of chance collisions (HyperMinHash paper).
 COLLISION = 0.169919487159739
@@ -118,21 +123,22 @@ def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
     return (equal - chance) / (1 - chance)
 
 
-_SKETCH_SCHEMA = "doc_id long, n_shingles long, k1 long, k2 long, sketch array<long>, bands array<long>"
+_SKETCH_SCHEMA = "doc_id long, n_shingles long, k1 long, k2 long, sketch array<long>, bands array<long>, small array<long>"
 
 
 def _sketched(width: int, percent: int):
-    in_band = band_rows(percent)
+    in_band, most = band_rows(percent), SMALL * 100 // percent  # a small set has no partner with more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, offs in row_chunks(batch, "text"):
                 words = Words(buf, offs, lower=True)
                 hashes = words.hashes()
-                n, keys, sketches, bands = [], [], [], []
+                n, keys, sketches, bands, small = [], [], [], [], []
                 for lo, hi in zip(words.first, words.first[1:]):
                     s = shingle_set(hashes[lo:hi], width)
                     n.append(len(s))
+                    small.append(s.view(np.int64) if 0 < len(s) <= most else None)
                     if not len(s):
                         keys.append((0, 0)), sketches.append(None), bands.append(None)
                         continue
@@ -143,8 +149,8 @@ def _sketched(width: int, percent: int):
                     bands.append(band_keys(registers, in_band).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                     pa.array(sketches, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "k1", "k2", "sketch", "bands"],
+                     pa.array(sketches, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int64()))],
+                    ["doc_id", "n_shingles", "k1", "k2", "sketch", "bands", "small"],
                 )
 
     return run
@@ -163,10 +169,12 @@ def _sets(width: int):
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether the sizes and sketches of two sides (column prefixes) leave the threshold a chance."""
+    """Whether the sizes and sketches, of small sets the shingles, of two sides (column prefixes) leave the threshold a chance."""
     n_a, n_b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     sizes = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)  # else the union is too large already
-    return sizes & (estimate(F.col(f"{a}.sketch"), F.col(f"{b}.sketch"), n_a, n_b) >= percent / 100 - MARGIN)
+    alike = estimate(F.col(f"{a}.sketch"), F.col(f"{b}.sketch"), n_a, n_b) >= percent / 100 - MARGIN
+    shared = F.size(F.array_intersect(F.col(f"{a}.small"), F.col(f"{b}.small")))
+    return sizes & F.when(F.least(n_a, n_b) < SMALL, 100 * shared >= percent * (n_a + n_b - shared)).otherwise(alike)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -189,7 +197,7 @@ def _hub_pairs(entries: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     ranked = entries.join(met, "doc_id")
     hubs = ranked.groupBy("band").agg(F.max(F.struct("met", (-F.col("doc_id")).alias("low"))).alias("top")).select("band", (-F.col("top.low")).alias("hub"))
     pairs = _pairs(entries.join(hubs, "band").where("doc_id <> hub").select("doc_id", "hub"), "doc_id", "hub")
-    side = nodes.select("doc_id", "n_shingles", "sketch")
+    side = nodes.select("doc_id", "n_shingles", "sketch", "small")
     return (
         pairs.join(side.alias("x"), F.col("a") == F.col("x.doc_id")).join(side.alias("y"), F.col("b") == F.col("y.doc_id"))
         .where(_possible("x", "y", percent)).select("a", "b")
@@ -202,7 +210,7 @@ def _open_pairs(entries: DataFrame, nodes: DataFrame, components: DataFrame, per
     sizes = labelled.groupBy("band", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("band", F.col("top.component").alias("main"))
     open_ = written(labelled.join(largest, "band"), "near-open")
-    side = open_.join(nodes.select("doc_id", "n_shingles", "sketch", "bands"), "doc_id")
+    side = open_.join(nodes.select("doc_id", "n_shingles", "sketch", "bands", "small"), "doc_id")
     rest = side.where("component <> main")
     apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.doc_id") < F.col("y.doc_id")))
     met = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)

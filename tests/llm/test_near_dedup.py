@@ -112,3 +112,20 @@ def test_components(spark):
             parent[a] = parent[b] = m
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {x: got.get(x, x) for x in parent} == parent
+
+
+def test_small_sets_are_compared_exactly(spark):
+    # 6 of 7, 7 of 8 and 17 of 20 shingles shared: some estimates are far too low
+    rng = np.random.default_rng(8)
+    rows, far = [], 0
+    for n, m in ((6, 7), (7, 8), (17, 20)):
+        for _ in range(2000):
+            pool = np.unique(mix64(rng.integers(0, 1 << 62, m).astype(np.uint64)))
+            part = np.sort(rng.permutation(pool)[:n])
+            far += (N.sketch(part) == N.sketch(pool)).mean() < 0.75
+            rows.append([N.sketch(x).view(np.int64).tolist() if k else len(x) for k in (0, 1) for x in (part, pool)] + [x.view(np.int64).tolist() for x in (part, pool)])
+    assert far
+    df = spark.createDataFrame(rows, "na long, nb long, sa array<long>, sb array<long>, a array<long>, b array<long>")
+    sides = df.select(*[F.struct(F.col(f"n{s}").alias("n_shingles"), F.col(f"s{s}").alias("sketch"), F.col(s).alias("small")).alias(f"x{s}") for s in "ab"])
+    assert sides.where(N._possible("xa", "xb", 85)).count() == len(rows)
+    assert sides.where(N._possible("xa", "xb", 90)).count() == 0
