@@ -2,15 +2,17 @@
 
 1. Every source's target is its weighted share of the budget, stopped at a
    maximum number of passes over the source; the excess goes to the others.
-2. The documents of a source are dealt to ``SHARDS`` streams by a hash, and each
-   stream is cut into blocks of (almost) equal numbers of words: boundaries at
-   ``j * length / blocks``, so that no tail is left. Blocks may cut documents.
+2. The documents of a source are dealt by a hash to streams of about
+   ``STREAM_WORDS`` words, and the length of a stream is counted in blocks of
+   ``BLOCK_WORDS`` words: the unit of the quotas, whatever the size of the corpus.
 3. The blocks of the mix are apportioned over (source, stream): the highest
    quotients weight / (2 k + 1) win (Sainte-Lague), giving integer quotas.
    Quotients that are certain to win are counted, only those near the limit are
    listed and sorted: about four per stream, not one per block.
-4. A quota of more than all blocks takes the stream as often as it fits, the
-   rest are the first blocks in the order of a seeded hash.
+4. A quota of more than all blocks takes the stream as often as it fits; the
+   rest is taken from the stream's documents in the order of a seeded hash, whole
+   ones until the quota is used up. Only the document in which it ends is cut:
+   at most one in a stream, of which the first words are taken.
 
 Every number depends on the data and the seed only, so reruns agree.
 """
@@ -24,9 +26,10 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.common import WORD, n_words, text_of, written
 
-SHARDS = 256
-#: Blocks of the whole corpus: their number is fixed, their length follows the corpus.
-BLOCKS = 400_000
+#: Words of a stream, some hundreds of usual documents; at most one document of a stream is cut.
+STREAM_WORDS = 50_000
+#: Words of a block, the unit of the quotas.
+BLOCK_WORDS = 16
 ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_passes", "mix_ranges", "mix_taken")
 
 
@@ -80,17 +83,6 @@ def _quotas(streams: DataFrame) -> DataFrame:
     return bounds.join(won, ["skey", "part"], "left").withColumn("quota", quota.cast("long")).drop("low", "won")
 
 
-def _selected(quotas: DataFrame, seed: int) -> DataFrame:
-    """Per stream: passes over it and the sorted numbers of the blocks taken once more."""
-    blocks = quotas.withColumn("rest", F.pmod("quota", "blocks")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    turn = Window.partitionBy("skey", "part").orderBy(F.xxhash64(F.lit(seed), "skey", "part", "block"), "block")
-    picked = (
-        blocks.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= F.col("rest"))
-        .groupBy("skey", "part").agg(F.sort_array(F.collect_list("block")).alias("extra"))
-    )
-    return quotas.withColumn("passes", F.floor(F.col("quota") / F.col("blocks"))).join(picked, ["skey", "part"], "left")
-
-
 def mix(
     docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, most: float = 2.0, seed: int = 20,
     text: str = "text", doc_id: str = "doc_id", source: str = "source",
@@ -99,51 +91,45 @@ def mix(
 
     ``mix_size``: words of the text (null: 0); ``mix_source_size`` and
     ``mix_target``: those of its source; ``mix_passes``: how often the whole
-    document is taken; ``mix_ranges``: word ranges [from, to) taken once more;
-    ``mix_taken``: words taken in all. Documents without words take nothing.
+    document is taken; ``mix_ranges``: word ranges [from, to) taken once more, of
+    a document that is cut (at most one in a stream); ``mix_taken``: words taken in all. Documents without words take nothing.
     A null source is a source, the last one. Repeated rows are documents of
     their own. An empty table gives an empty result. Columns of ``docs`` with the
     names of the added ones are replaced.
     """
     own = [c for c in docs.columns if c not in ADDED]
     sized = docs.select(*own).withColumns({
-        "__skey": source_key(F.col(source)), "__part": F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(SHARDS)), "mix_size": n_words(text_of(text)),
+        "__skey": source_key(F.col(source)), "__hash": F.xxhash64(F.lit(seed), doc_id), "mix_size": n_words(text_of(text)),
     })
-    lengths = written(sized.groupBy(F.col("__skey").alias("skey"), F.col("__part").alias("part")).agg(F.sum("mix_size").alias("length")), "mix-lengths")
-    targets = source_targets(lengths.groupBy("skey").agg(F.sum("length").alias("source_size")), weights, budget, most)
-    total = targets.agg(F.sum("source_size").alias("n")).first().n or 0
-    block = max(1.0, total / BLOCKS)
-    blocks = F.greatest(F.lit(1), F.round(F.col("length") / F.lit(block))).cast("long")
-    streams = (
-        lengths.where("length > 0").join(F.broadcast(targets), "skey").withColumn("blocks", blocks)  # one row per source
-        .withColumn("share", F.col("blocks") * F.col("target") / F.col("source_size"))
+    words = written(sized.select(F.col("__skey").alias("skey"), F.col("__hash").alias("hash"), F.col("mix_size").alias("size")), "mix-words")
+    targets = source_targets(words.groupBy("skey").agg(F.sum("size").alias("source_size")), weights, budget, most)
+    targets = targets.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("source_size") / STREAM_WORDS)).cast("long"))
+    lengths = (
+        words.join(F.broadcast(targets), "skey")  # one row per source
+        .groupBy("skey", F.pmod("hash", "parts").alias("part")).agg(F.sum("size").alias("length"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
     )
-    streams = written(_selected(_quotas(written(streams, "mix-streams")), seed), "mix-quotas")
+    blocks = F.greatest(F.lit(1), F.round(F.col("length") / BLOCK_WORDS)).cast("long")
+    streams = lengths.where("length > 0").withColumn("blocks", blocks).withColumn("share", F.col("blocks") * F.col("target") / F.col("source_size"))
+    rest = F.floor(F.pmod("quota", "blocks") * F.col("length") / F.col("blocks")).cast("long")
+    quotas = _quotas(written(streams, "mix-streams")).select(
+        F.col("skey").alias("__skey"), F.col("part").alias("__part"), F.floor(F.col("quota") / F.col("blocks")).alias("__passes"), rest.alias("__rest")
+    )
+    quotas = written(quotas, "mix-quotas")
 
     to_here = Window.partitionBy("__skey", "__part").orderBy(F.xxhash64(F.lit(seed + 1), doc_id), doc_id, F.xxhash64(text)).rowsBetween(Window.unboundedPreceding, 0)
-    known = streams.select(*[F.col(c).alias(f"__{c}") for c in ("skey", "part", "length", "blocks", "passes", "extra")])
-    of_source = targets.select(F.col("skey").alias("__skey"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
-    end, size = F.col("__end"), F.col("mix_size")
-    start = end - size
-
-    def block_at(position: Column) -> Column:
-        return F.floor(((position + 1) * F.col("__blocks") - 1) / F.col("__length")).cast("long")
-
-    def edge(number: Column) -> Column:
-        return F.floor(number * F.col("__length") / F.col("__blocks")).cast("long")
-
-    def piece(b: Column) -> Column:
-        return F.struct((F.greatest(edge(b), start) - start).alias("from"), (F.least(edge(b + 1), end) - start).alias("to"))
-
-    inside = F.filter("__extra", lambda b: (b >= F.col("__first")) & (b <= F.col("__last")))
-    ranges = F.when((size > 0) & F.col("__extra").isNotNull(), F.transform(inside, piece)).otherwise(F.array().cast("array<struct<from:bigint,to:bigint>>"))
+    of_source = targets.select(F.col("skey").alias("__skey"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("parts").alias("__parts"))
+    size = F.col("mix_size")
+    once_more = F.greatest(F.lit(0), F.least(size, F.coalesce("__rest", F.lit(0)) - (F.col("__end") - size)))
+    whole = (F.col("__more") == size).cast("int")
+    cut = (F.col("__more") > 0) & (F.col("__more") < size)
+    ranges = F.when(cut, F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("__more").alias("to")))).otherwise(F.array().cast("array<struct<from:bigint,to:bigint>>"))
     return (
-        sized.withColumn("__end", F.sum("mix_size").over(to_here))
-        .join(known, ["__skey", "__part"], "left").join(F.broadcast(of_source), "__skey")
-        .withColumns({"__first": block_at(start), "__last": block_at(end - 1)})
+        sized.join(F.broadcast(of_source), "__skey").withColumn("__part", F.pmod("__hash", "__parts"))
+        .withColumn("__end", F.sum("mix_size").over(to_here))
+        .join(quotas, ["__skey", "__part"], "left").withColumn("__more", once_more.cast("long"))
         .withColumn("mix_ranges", ranges)
-        .withColumn("mix_passes", F.when(size > 0, F.coalesce("__passes", F.lit(0))).otherwise(0).cast("int"))
-        .withColumn("mix_taken", F.col("mix_passes") * size + F.aggregate("mix_ranges", F.lit(0).cast("long"), lambda n, r: n + r["to"] - r["from"]))
+        .withColumn("mix_passes", F.when(size > 0, F.coalesce("__passes", F.lit(0)) + whole).otherwise(0).cast("int"))
+        .withColumn("mix_taken", F.when(size > 0, F.coalesce("__passes", F.lit(0)) * size + F.col("__more")).otherwise(0).cast("long"))
         .select(*own, *ADDED)
     )
 
@@ -151,20 +137,26 @@ def mix(
 def mixed_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
     """The documents of a mix, without the columns that ``mix`` added.
 
-    A document stands once for each time the mix takes all of it; a partial take
-    is a row with the words of its ranges, one space between them. A length
+    A document stands once, unchanged, for each time the mix takes all of it; a
+    partial take is a row with its ranges cut out of the text, with the blanks and
+    line breaks before each of their words (of the first, if it begins the text).
+    A length
     column ``n_chars`` is made to fit. Documents of which nothing is taken go.
     """
     own = [c for c in mixed.columns if c not in ADDED]
-    words = F.regexp_extract_all(text_of(text), F.lit(WORD), F.lit(0))
+    blanks = " \t\n\x0b\f\r"
+    words = F.regexp_extract_all(F.rtrim(text_of(text), F.lit(blanks)), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
 
     def excerpt(w: Column) -> Column:
-        return F.array_join(F.flatten(F.transform("mix_ranges", lambda r: F.slice(w, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), " ")
+        def cut(r: Column) -> Column:
+            taken = F.array_join(F.slice(w, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")), "")
+            return F.when(r["from"] == 0, taken).otherwise(F.ltrim(taken, F.lit(blanks)))
+
+        return F.array_join(F.transform("mix_ranges", cut), "\n")
 
     part = F.transform(F.array(words), excerpt)[0]  # the words are a variable of the outer function: made once, not for each range
-    rest = F.col("mix_taken") - F.col("mix_passes") * F.col("mix_size")
-    whole = F.array_repeat(F.col(text), F.col("mix_passes") + F.when((rest == F.col("mix_size")) & (rest > 0), 1).otherwise(0))
-    texts = F.when((rest > 0) & (rest < F.col("mix_size")), F.concat(whole, F.array(part))).otherwise(whole)
+    whole = F.array_repeat(F.col(text), F.col("mix_passes"))
+    texts = F.when(F.size("mix_ranges") > 0, F.concat(whole, F.array(part))).otherwise(whole)
     out = mixed.withColumn(text, F.explode(texts))
     if "n_chars" in own:
         out = out.withColumn("n_chars", F.length(text).cast(mixed.schema["n_chars"].dataType))

@@ -82,3 +82,25 @@ def test_mixed_documents_hold_the_words_taken(spark):
 def test_empty_table(spark):
     assert M.mix(cases.table(spark, [])).collect() == []
     assert M.mix(cases.table(spark, [(1, None, None, None, None), (2, "", None, "a", 0)])).count() == 2
+
+
+@pytest.mark.parametrize("copies", [1, 10])
+def test_documents_are_taken_whole_at_every_size(spark, copies):
+    df = cases.documents(spark).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).withColumn("doc_id", F.col("doc_id") * 100 + F.col("copy")).drop("copy")
+    texts = {r.doc_id: r.text for r in df.collect()}
+    sizes = defaultdict(int)
+    for r in df.collect():
+        sizes[r.source] += len(WORD.findall(r.text or ""))
+    cut = [r for r in M.mixed_documents(M.mix(df)).collect() if r.text != texts[r.doc_id]]
+    assert all(texts[r.doc_id].startswith(r.text) for r in cut)
+    assert len(cut) <= sum(n // M.STREAM_WORDS + 1 for n in sizes.values())
+    wanted = targets(sizes)
+    assert any(wanted[s] < sizes[s] for s in sizes)
+
+
+def test_partial_takes_keep_their_line_breaks(spark):
+    rows = [(1, "a", " one two\n\nthree\tfour \n", 1, [(0, 3)]), (2, "a", "one two\n three four\n", 0, [(1, 3)]), (3, "a", "x y", 0, [])]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, mix_passes int, mix_ranges array<struct<from:long,to:long>>")
+    mixed = df.withColumns({"mix_size": F.lit(4), "mix_taken": F.lit(3)})
+    got = sorted((r.doc_id, r.text) for r in M.mixed_documents(mixed).collect())
+    assert got == [(1, " one two\n\nthree"), (1, " one two\n\nthree\tfour \n"), (2, "two\n three")]
