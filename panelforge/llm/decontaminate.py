@@ -1,7 +1,10 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Benchmark items are cut into overlapping segments, so that a passage of an item
-is found as well as a whole one. A text region within ``e`` edits of a segment
+is found as well as a whole one: long segments (96 bytes every 48) bear 6 edits,
+and short ones (48 bytes every 16) bear 2. Every passage of at least 63 bytes
+with at most 2 edits covers a short segment, wherever in the item it begins. Items
+under 40 bytes are found where their words stand in the text unchanged. A text region within ``e`` edits of a segment
 of ``m`` characters shares at least ``m + 1 - q - q * e`` of its q-grams, and all
 of them lie on diagonals at most ``e`` apart. Per document:
 
@@ -30,12 +33,16 @@ from panelforge.llm.common import row_chunks, text_of
 
 Q = 12
 SEGMENT, STEP = 96, 48
+#: A passage of SHORT + SHORT_STEP - 1 bytes covers a short segment, whatever its offset.
+SHORT, SHORT_STEP = 48, 16
+SHORT_EDITS = 2
 #: One edit is allowed for so many characters of a segment.
 CHARS_PER_EDIT = 16
 BAND = 32
-#: Items of fewer characters are no evidence of anything.
+#: Items of fewer bytes are matched word for word, without edits.
 LEAST_CHARS = 40
-SLICE_BYTES = 16 << 20
+#: Each byte of the text is in two long and three short segments.
+SLICE_BYTES = 6 << 20
 TABLE_BITS = 22
 
 _GAP = b"\0" * 16
@@ -65,18 +72,25 @@ class Segments:
     """Index of the q-grams of benchmark segments: plain arrays, so that it can be broadcast."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        texts, of_item, at = [], [], []
+        texts, of_item, at, most, exact = [], [], [], [], []
         for item, text in items:
             body = normalised(text or "")
             if len(body) < LEAST_CHARS:
+                if body:
+                    exact.append((item, body))
                 continue
             starts = [0] if len(body) <= SEGMENT + STEP else [*range(0, len(body) - SEGMENT, STEP), len(body) - SEGMENT]
             for s in starts:
                 texts.append(body if len(starts) == 1 else body[s : s + SEGMENT])
-                of_item.append(item), at.append(s)
-        self.texts, self.items, self.starts = texts, of_item, at
+                of_item.append(item), at.append(s), most.append(len(body))
+            for s in [*range(0, len(body) - SHORT, SHORT_STEP), len(body) - SHORT] if len(body) > SHORT else []:
+                texts.append(body[s : s + SHORT]), of_item.append(item), at.append(s), most.append(SHORT_EDITS)
+        self.texts, self.items, self.starts = texts, of_item + [item for item, _ in exact], at
+        self.exact: dict[bytes, list[tuple[int, list[bytes]]]] = {}  # by the first word: items matched word for word, numbered after the segments
+        for k, (_, body) in enumerate(exact, len(texts)):
+            self.exact.setdefault(body.split(b" ")[0], []).append((k, body.split(b" ")))
         length = np.array([len(t) for t in texts], np.int64)
-        self.edits = np.minimum(length // CHARS_PER_EDIT, (length - Q) // Q)
+        self.edits = np.minimum(np.minimum(length // CHARS_PER_EDIT, (length - Q) // Q), np.array(most, np.int64))
         self.least = length + 1 - Q - Q * self.edits
         codes = [gram_codes(np.frombuffer(t, np.uint8)) for t in texts]
         flat = np.concatenate(codes) if codes else np.empty(0, np.uint64)
@@ -143,8 +157,21 @@ def banded_edits(pattern: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray,
     return cost.min(axis=1), cost.argmin(axis=1)
 
 
+def word_matches(index: Segments, docs: list[bytes]) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """Rows of ``matches`` for the items of fewer than LEAST_CHARS bytes: the first place in each document that has their words."""
+    for doc, body in enumerate(docs if index.exact else []):
+        words, seen = body.split(b" "), set()
+        for i, word in enumerate(words):
+            for k, wanted in index.exact.get(word, ()):
+                if k not in seen and words[i : i + len(wanted)] == wanted:
+                    seen.add(k)
+                    begin, length = sum(map(len, words[:i])) + i, len(b" ".join(wanted))
+                    yield doc, k, begin, begin + length, 0, max(0, length + 1 - Q)
+
+
 def matches(index: Segments, docs: list[bytes]) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(document, segment, begin, end, edits, shared q-grams) of verified regions, positions in the normalised text."""
+    yield from word_matches(index, docs)
     data = np.frombuffer(_GAP.join(docs) + _GAP, np.uint8)
     begins = np.concatenate(([0], np.cumsum([len(d) + len(_GAP) for d in docs])))[:-1]
     ends = begins + [len(d) for d in docs]
@@ -181,11 +208,11 @@ def _slices(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, n_segments, edits, shared_grams, spans): one row for each row of ``docs`` and item of which it has a passage.
 
-    ``n_segments``: segments found; ``edits``: the fewest of any of them;
+    ``n_segments``: segments found, long and short; ``edits``: the fewest of any of them;
     ``shared_grams``: the most shared q-grams of a band; ``spans``: the regions,
     in bytes of the normalised text. Null and empty texts match nothing, a null
-    document id is kept, items without id or of fewer than ``LEAST_CHARS``
-    characters are not used. Repeated rows and items have rows of their own.
+    document id is kept, items without id or without words are not used, items
+    of fewer than ``LEAST_CHARS`` bytes count where their words stand unchanged. Repeated rows and items have rows of their own.
     Empty tables give an empty result.
     """
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), text_of(item_text).alias("text")).where("item_id is not null").distinct()

@@ -106,3 +106,30 @@ def test_banded_edits_agree_with_the_full_table():
         got = int(D.banded_edits(np.frombuffer(pattern.encode(), np.uint8), np.frombuffer(region, np.uint8)[None, :])[0][0])
         best = edits(pattern.encode(), region)
         assert got >= best and (best > 4 or got == best)
+
+
+def test_passages_at_all_offsets():
+    # independent of the segments: each document holds a planted passage of an item, or words of its own
+    rng = random.Random(12)
+    items = [(k, " ".join(cases.words(rng, n))) for k, n in enumerate((22, 45, 70))]
+    bodies = {k: D.normalised(t).decode() for k, t in items}
+    bodies[0] = bodies[0][:144].strip()
+    items[0] = (0, bodies[0])
+    docs, expected = [], set()
+    for k, body in bodies.items():
+        for at in range(len(body) - 62):
+            for passage in (body[at : at + 63], changed(rng, body[at : at + 63], 2)):
+                expected.add((len(docs), k))
+                docs.append(" ".join(cases.words(rng, 12)) + passage + " ".join(cases.words(rng, 12)))
+    docs += [" ".join(cases.words(rng, 60)) for _ in range(100)]
+    index = D.Segments(items)
+    assert {(d, index.items[s]) for d, s, *_ in D.matches(index, [D.normalised(t) for t in docs])} == expected
+
+
+def test_short_items_are_matched_word_for_word(spark):
+    bench = spark.createDataFrame([(1, "Who wrote  it?"), (2, "seventeen"), (3, " "), (4, "häß lich")], BENCH)
+    texts = ["a who\nWROTE it? b", "who wrote it", "seventeen", "seventeenth", "x HÄSS lich häß lich", "", None, "who who wrote it? seventeen seventeen"]
+    df = cases.table(spark, [(k, t, None, None, 0) for k, t in enumerate(texts)])
+    assert found(df, bench) == {(0, 1), (2, 2), (4, 4), (7, 1), (7, 2)}
+    spans = {(r.doc_id, r.item_id): [tuple(s) for s in r.spans] for r in D.contaminated(df, bench).collect()}
+    assert spans[7, 1] == [(4, 17)] and spans[7, 2] == [(18, 27)]
