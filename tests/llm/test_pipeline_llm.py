@@ -80,7 +80,7 @@ def test_near_dedup_stage_equals_brute_force_at_080(spark):
         own = cases.words(rng, 124)
         docs += [(10 * k, " ".join(own), "en", "a", 0), (10 * k + 1, " ".join(own[:n]), "en", "a", 0)]
     df = cases.table(spark, docs)
-    texts = [*cases.pairs_of(df), *cases.pairs_of(cases.documents(spark).select(F.col("doc_id") + 1000, "text"))]
+    texts = [*cases.pairs_of(df), *cases.pairs_of(cases.documents(spark).select((F.col("doc_id") + 1000).alias("doc_id"), "text"))]
     sets = {d: shingles(t) for d, t in texts}
     parent = {d: d for d in sets}
 
