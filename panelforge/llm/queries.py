@@ -17,6 +17,7 @@ from panelforge.llm.quality import quality
 from panelforge.llm.repeats import remove_repeats
 from panelforge.llm.secrets import secrets
 from panelforge.llm.sharding import row_size, shard
+from panelforge.llm.token_align import MEASURES, align_tokens
 from panelforge.llm.toxicity import held_out, predict
 from panelforge.llm.warc import round_trip
 
@@ -104,3 +105,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("mix_passes").alias("passes"),
         "source",
     )
+
+
+@register("op11_token_align")
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return aligned.select("doc_id", *[F.col(m).alias(m.removeprefix("align_")) for m in MEASURES], F.col("align_groups_sha256").alias("groups_sha256"))
