@@ -27,8 +27,11 @@ as the digest. Rows with a null id or repeated rows are documents like others.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,7 @@ PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text that share a pair dictionary; a longer text is a chunk of its own.
 CHUNK_BYTES = 16 << 20
 #: Bytes of text encoded at once.
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 17
 
 MEASURES = ("align_n_a", "align_n_b", "align_n_groups", "align_n_links", "align_n_best", "align_count_sum")
 _TEXT = "chunk long, text_key binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, picks array<int>, times array<int>"
@@ -63,16 +66,46 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+#: How a byte-level vocabulary of this kind splits a text before merging (fixed value).
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A text with a longer run of white space is left to the slower encoder: the pattern looks ahead over the run.
+LONG_BLANK = re.compile(r"\s{5000}")
+
+
+def merge_ranks(bpe: str) -> dict[bytes, int] | None:
+    """Token bytes to ids, if the file is plain: no normalizer, the usual split, merges in the order of their ids.
+
+    Merging by lowest rank then gives the same tokens as the listed merges: a
+    pair can only be adjacent at its turn if it is the listed one, since every
+    token alone is reached by its own merges.
+    """
+    said = json.loads(bpe)
+    model, split, special = said["model"], said["pre_tokenizer"] or {}, {t["content"] for t in said["added_tokens"]}
+    plain = (
+        model["type"] == "BPE" and not said["normalizer"] and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        and not split.get("add_prefix_space") and not model.get("ignore_merges") and not model.get("dropout")
+    )
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"].get(x + y) for x, y in merges]
+    if not plain or None in made or any(x >= y for x, y in zip(made, made[1:])):
+        return None
+    letters = byte_alphabet()
+    return {bytes(letters[c] for c in token): at for token, at in model["vocab"].items() if token not in special}
+
+
 class Tokenizers:
     """Both tokenizers, built from the contents of their files, and the bytes of their tokens."""
 
     def __init__(self, bpe: str, piece: bytes):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = Tokenizer.from_str(bpe)
         self.a.encode_special_tokens = True
+        ranks = merge_ranks(bpe)
+        self.ranked = ranks and tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece)
         vocabulary, letters = self.a.get_vocab(), byte_alphabet()
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
@@ -89,9 +122,14 @@ class Tokenizers:
         self.b_signed_from = len(self.signed)
         self.signed += [f"{at}{sign}" for at in range(len(self.b_bytes)) for sign in ",;"]
 
+    def encode_a(self, text: str) -> list[int]:
+        if self.ranked is None or (len(text) > 5000 and LONG_BLANK.search(text)):
+            return self.a.encode(text, add_special_tokens=False).ids
+        return self.ranked.encode_ordinary(text)
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; none for a text that either side does not give back byte for byte."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        a = [self.encode_a(" " + t) for t in texts]
         b = self.b.encode(texts, num_threads=1)
         for k, text in enumerate(texts):
             want = b" " + text.encode()
@@ -108,8 +146,8 @@ def align(models: Tokenizers, texts: list[str]) -> tuple[np.ndarray, list[str],
     """(n_a, n_b, n_groups, n_links per text), group strings, and the links: index of the text, id pair."""
     a_lists, b_lists = models.encode(texts)
     n_a, n_b = np.array([len(x) for x in a_lists], np.int64), np.array([len(x) for x in b_lists], np.int64)
-    a = np.fromiter((i for x in a_lists for i in x), np.int64, int(n_a.sum()))
-    b = np.fromiter((i for x in b_lists for i in x), np.int64, int(n_b.sum()))
+    a = np.fromiter(chain.from_iterable(a_lists), np.int64, int(n_a.sum()))
+    b = np.fromiter(chain.from_iterable(b_lists), np.int64, int(n_b.sum()))
     a_end, b_end = np.cumsum(models.a_length[a]), np.cumsum(models.b_length[b])
     size = int(a_end[-1]) if len(a_end) else 0
     in_a, in_b = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
@@ -182,7 +220,7 @@ class _Chunk:
 def _aligner(bpe: str, piece: bytes, chunk_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, part, number = None, TaskContext.get().partitionId(), 0
-        chunk = _Chunk()
+        group = _Chunk()
         for batch in batches:
             models = models or Tokenizers(bpe, piece)
             lengths = np.array(pc.binary_length(batch.column(0)), np.int64)
@@ -190,13 +228,13 @@ def _aligner(bpe: str, piece: bytes, chunk_bytes: int) -> Callable[[Iterator[pa.
             while lo < batch.num_rows:
                 before = ends[lo] - lengths[lo]
                 hi = max(lo + 1, int(np.searchsorted(ends, before + BATCH_BYTES, "right")))
-                if chunk.size and chunk.size + int(ends[hi - 1] - before) > chunk_bytes:
-                    yield chunk.rows((part << 32) + number)
-                    chunk, number = _Chunk(), number + 1
-                chunk.add(models, batch.column(0)[lo:hi].to_pylist(), batch.column(1)[lo:hi].to_pylist())
+                if group.size and group.size + int(ends[hi - 1] - before) > chunk_bytes:
+                    yield group.rows((part << 32) + number)
+                    group, number = _Chunk(), number + 1
+                group.add(models, batch.column(0)[lo:hi].to_pylist(), batch.column(1)[lo:hi].to_pylist())
                 lo = hi
-        if chunk.size:
-            yield chunk.rows((part << 32) + number)
+        if group.size:
+            yield group.rows((part << 32) + number)
 
     return run
 

@@ -1,6 +1,7 @@
 """Alignment of two tokenizers against a brute force over tokens, and its edge cases."""
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from panelforge.llm import token_align as T
 from tests.llm import cases
 
-ODD = ["▁x under", "<s>hi</s> <|endoftext|>", "<0x41> \x00", "é ﬁ Ａ", "\U0001f600" * 3, "a\xa0b\r\n\tc", " ", "x" * 3000]
+ODD = ["▁x under", "<s>hi</s> <|endoftext|>", "<0x41> \x00", "é ﬁ Ａ", "\U0001f600" * 3, "a\xa0b\r\n\tc", " ", "x" * 3000, "a" + " \t\n" * 4000 + "b"]
 
 
 def brute(texts):
@@ -76,6 +77,19 @@ def test_measures_equal_brute_force(spark, chunk):
     assert found(T.align_tokens(df, chunk_bytes=chunk)) == expected([r[1] for r in data])
 
 
+def test_ranked_encoder_equals_the_listed_merges():
+    with open(T.BPE_FILE, encoding="utf-8") as f, open(T.PIECE_FILE, "rb") as g:
+        models = T.Tokenizers(f.read(), g.read())
+    assert models.ranked is not None
+    points = [chr(c) for c in range(0x3400) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"a{c}a 1{c}1 !{c}! {c}{c} x  {c}'{c}" for c in points] + [" ".join(cases.words(random.Random(k), 300)) for k in range(20)]
+    want = [e.ids for e in models.a.encode_batch(texts, add_special_tokens=False)]
+    assert [models.ranked.encode_ordinary(t) for t in texts] == want
+    letters = {b: c for c, b in T.byte_alphabet().items()}
+    for token, at in list(T.merge_ranks(open(T.BPE_FILE, encoding="utf-8").read()).items())[::37]:
+        assert [t.id for t in models.a.model.tokenize("".join(letters[b] for b in token))] == [at]
+
+
 def test_whole_documents(spark):
     docs = cases.documents(spark)
     texts = [t for _, t in cases.pairs_of(docs)]
