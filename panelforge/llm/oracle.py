@@ -105,3 +105,40 @@ SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_base32('digest'
 FROM (SELECT page_id, body, sha1(body) AS digest, min(page_id) OVER (PARTITION BY body) AS first
       FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))
 """
+
+#: CRC-32 of an ASCII string s (reflected polynomial), as an unsigned number.
+_CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(s, ''), lambda x: ascii(x)::BIGINT),
+  lambda r, b: list_reduce([xor(r, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+PREFIX_TRIE = rf"""
+WITH t AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, len({_WORDS}) AS words, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT conv_id, digest, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place FROM t),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS head, {_CRC32} % 4 AS h
+  FROM (SELECT DISTINCT conv_id, conv_id::VARCHAR AS s FROM p)),
+r AS (
+  SELECT conv_id, digest, words, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth FROM (
+    SELECT c.conv_id, digest, words, place, 0 AS own FROM c JOIN p ON p.conv_id = c.head AND place <= h
+    UNION ALL
+    SELECT c.conv_id, digest, words, place, 1 FROM c JOIN p ON p.conv_id = c.conv_id AND place > h)),
+m AS (
+  SELECT conv_id, depth, words, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS is_end
+  FROM r
+  UNION ALL
+  SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM r) FROM c),
+n AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+  FROM m GROUP BY path, depth),
+k AS (SELECT left(path, -32) AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (path, depth)),
+s AS (
+  SELECT a.path, a.depth, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.words)::BIGINT AS saved_tokens
+  FROM v a JOIN v b ON starts_with(b.path, a.path) GROUP BY ALL)
+SELECT v.conv_id, v.depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+FROM v JOIN s USING (path, depth) LEFT JOIN v up ON v.depth > 0 AND up.path = left(v.path, -32) AND up.depth = v.depth - 1
+"""

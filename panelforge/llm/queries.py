@@ -13,6 +13,7 @@ from panelforge.llm.decontaminate import contaminated
 from panelforge.llm.line_dedup import keep_bitmaps, keep_lines
 from panelforge.llm.mixing import mix
 from panelforge.llm.near_dedup import near_duplicates
+from panelforge.llm.prefix_trie import prefix_trie
 from panelforge.llm.quality import quality
 from panelforge.llm.repeats import remove_repeats
 from panelforge.llm.secrets import secrets
@@ -111,3 +112,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = align_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return aligned.select("doc_id", *[F.col(m).alias(m.removeprefix("align_")) for m in MEASURES], F.col("align_groups_sha256").alias("groups_sha256"))
+
+
+@register("op12_prefix_trie", oracle.PREFIX_TRIE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
