@@ -11,6 +11,7 @@ from panelforge.llm import oracle
 from panelforge.llm.common import read_table, text_of
 from panelforge.llm.decontaminate import contaminated
 from panelforge.llm.line_dedup import keep_bitmaps, keep_lines
+from panelforge.llm.main_text import main_text
 from panelforge.llm.mixing import mix
 from panelforge.llm.near_dedup import near_duplicates
 from panelforge.llm.prefix_trie import prefix_trie
@@ -117,3 +118,9 @@ def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_prefix_trie", oracle.PREFIX_TRIE)
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+@register("op13_main_text")
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumnRenamed("main_text", "text")
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
