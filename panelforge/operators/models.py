@@ -20,11 +20,12 @@ first because MLlib trees reject nulls.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -75,11 +76,9 @@ def target_years(panel: DataFrame, n_back: int, year: str = "YEAR") -> list[int]
     return [] if r.lo is None else list(range(r.lo + n_back, r.hi + 1))
 
 
-def validation_flag(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 10, out: str = "VALID") -> DataFrame:
-    """Boolean column marking a repeatable hash share of the rows as validation rows
-    (MLlib's ``validationIndicatorCol``: early stopping of boosting, the stand-in for
-    choosing the number of rounds by cross-validation)."""
-    return df.withColumn(out, _bucket(keys, seed) < int(round(fraction * 10_000)))
+def hash_folds(df: DataFrame, keys: Sequence[str], k: int, seed: int = 10, out: str = "FOLD") -> DataFrame:
+    """Folds 0..k-1 by a hash of the keys: no sort, sizes only about equal. For equal ones see ``selection.stratified_folds``."""
+    return df.withColumn(out, _bucket(keys, seed) % k)
 
 
 def chronological_split(df: DataFrame, key: str, order: str, fraction: float) -> DataFrame:
@@ -234,7 +233,8 @@ def classifier_estimator(kind: str, n_features: int, seed: int = 10, **params):
 def walk_forward_fit_predict(panel: DataFrame, features: Sequence[str], label: str, target_years: Sequence[int],
                              n_back: int, estimator, score_rows: DataFrame, year: str = "YEAR", probability: bool = False,
                              parallelism: int = 4, fill: bool = False, standardise: str | None = None,
-                             keep: Sequence[str] = ("YEAR", "CODE")) -> DataFrame:
+                             keep: Sequence[str] = ("YEAR", "CODE"), tune: Callable[[DataFrame], Estimator] | None = None,
+                             carry: Sequence[str] = ()) -> DataFrame:
     """M1 with an MLlib estimator: for each target year fit on the window, score that year.
 
     The training rows are written once, partitioned by year, and each fit reads
@@ -244,13 +244,14 @@ def walk_forward_fit_predict(panel: DataFrame, features: Sequence[str], label: s
     window's moments for both) or ``"own"`` (the scored year by its own moments).
     Every row of a target year comes back: its prediction is null if it lacks a
     feature or if the window has no training rows. ``probability=True`` adds
-    PROBABILITY (of class 1) for classifiers. Columns: ``keep``, PREDICTION.
+    PROBABILITY (of class 1) for classifiers. ``tune`` gives the estimator to fit
+    for the assembled training rows of a window, which then also hold the columns
+    ``carry`` (folds, for instance). Columns: ``keep``, PREDICTION.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     columns = [*keep, *features]
-    flag = estimator.getValidationIndicatorCol() if estimator.hasParam("validationIndicatorCol") and estimator.isDefined("validationIndicatorCol") else None
-    train_cols = dict.fromkeys([year, *features, label, *([flag] if flag else [])])
+    train_cols = dict.fromkeys([year, *features, label, *carry])
     root = shared_scratch(panel.sparkSession, "walk-forward")
     panel.where(F.col(label).isNotNull()).select(*train_cols, F.col(year).alias("__part")).write.partitionBy("__part").parquet(root)
     spark = panel.sparkSession
@@ -271,7 +272,10 @@ def walk_forward_fit_predict(panel: DataFrame, features: Sequence[str], label: s
         if standardise:
             moments = fit_scale(train, features)
             train, own = scale(train, moments), scale(own, moments if standardise == "window" else fit_scale(own, features))
-        model = estimator.copy().setFeaturesCol("features").setLabelCol(label).fit(assemble(train, features))
+        ready = assemble(train, features)
+        if tune:
+            ready = write_once(ready.hint("rebalance"), "walk-forward-window")  # partitions by size: a fit runs many jobs over them
+        model = (tune(ready) if tune else estimator).copy().setFeaturesCol("features").setLabelCol(label).fit(ready)
         s = model.transform(assemble(own, features))
         if probability:
             s = s.withColumn("PROBABILITY", vector_to_array("probability").getItem(1))
@@ -306,8 +310,3 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, estimator, g
         rows.append((", ".join(f"{p.name}={v}" for p, v in pm.items()), float(avg), float(std)))
     return df.sparkSession.createDataFrame(rows, "PARAMS string, MEAN_METRIC double, STD_METRIC double")
 
-
-def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
-    """Per-feature importance of a fitted tree ensemble."""
-    imp = model.featureImportances.toArray()
-    return spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "FEATURE string, IMPORTANCE double")

@@ -11,6 +11,7 @@ from panelforge.operators import models as M
 from panelforge.operators import outliers as OUT
 from panelforge.operators import quality as Q
 from panelforge.operators import ranks as R
+from panelforge.operators import selection as S
 from panelforge.operators.labels import encode_label
 from panelforge.plans import oracle as O
 from panelforge.plans import pipelines as P
@@ -212,11 +213,17 @@ def gbt_classifier_scores_compound(spark, base):
     return _gbt_classifier(spark, base, compound=True)
 
 
+def _tuned(est, features, label, folds, loss, most):
+    """The estimator with the number of rounds that k-fold cross validation on the window's rows chooses, stopping 10 rounds after the best."""
+    return lambda train: est.copy().setMaxIter(S.boosting_curve(train, features, label, est, folds, loss, 10, most)[0])
+
+
 def _gbt_classifier(spark, base, compound):
     p = _class_panel(spark, base, compound)
-    train = M.validation_flag(p.where(Q.between_closed("YEAR", *CLASS_YEARS)), ["YEAR", "CODE"], 1 / 3)
-    est = M.classifier_estimator("gbt", len(CLASS_FEATURES), maxIter=300, validationIndicatorCol="VALID", validationTol=0.001)
-    s = M.walk_forward_fit_predict(train, CLASS_FEATURES, "LABEL", M.target_years(p, N_BACK), N_BACK, est, p, probability=True, fill=True)
+    train = M.hash_folds(p.where(Q.between_closed("YEAR", *CLASS_YEARS)), ["YEAR", "CODE"], 5)
+    est = M.classifier_estimator("gbt", len(CLASS_FEATURES))
+    s = M.walk_forward_fit_predict(train, CLASS_FEATURES, "LABEL", M.target_years(p, N_BACK), N_BACK, est, p, probability=True, fill=True,
+                                   tune=_tuned(est, CLASS_FEATURES, "LABEL", 5, "wrong_sign", 300), carry=["FOLD"])
     out = EV.score_table(p, s, "PROBABILITY", ascending=False, rank_name="PROBABILITY_ORDER")
     return out.join(s.select("YEAR", "CODE", F.col("PREDICTION").alias("PREDICTED")), ["YEAR", "CODE"])
 
@@ -242,66 +249,18 @@ def _holdout(spark, base, kind, weighted=False, scaled=False, **params):
     return s.select("YEAR", "CODE", "LABEL", "PREDICTED", *[c for c in ("PROBABILITY",) if c in s.columns])
 
 
-@register("logistic_balanced")
-def logistic_balanced(spark, base):
-    """Class-balanced logistic regression (weights n / (k * n_c)) on standardised features, hold-out scores; rows-only."""
-    return _holdout(spark, base, "logistic", weighted=True, scaled=True, regParam=0.01)
-
-
 @register("mlp_scores")
 def mlp_scores(spark, base):
     """Dense network with sigmoid hidden layers of 12 and 8 and a softmax output on standardised features, hold-out scores; rows-only."""
     return _holdout(spark, base, "mlp", scaled=True)
 
 
-@register("linear_svm")
-def linear_svm(spark, base):
-    """Linear SVM (the RBF kernel is not built), hold-out scores; rows-only."""
-    return _holdout(spark, base, "svm", scaled=True, regParam=0.01)
-
-
 @register("random_forest_classifier")
 def random_forest_classifier(spark, base):
     """Random forest classifier (200 trees, sqrt features, depth 5), hold-out scores; rows-only."""
     return _holdout(spark, base, "forest")
 
 
-@register("holdout_confusion")
-def holdout_confusion(spark, base):
-    """Confusion matrix, rates and area under the curve of the logistic model on its hold-out; rows-only."""
-    s = write_once(_holdout(spark, base, "logistic", weighted=True, scaled=True, regParam=0.01), "holdout")
-    return EV.confusion_metrics(s, "LABEL", "PREDICTED").withColumn("AUC", EV.roc_auc(s, "LABEL", "PROBABILITY").select("AUC").scalar())
-
-
-@register("grid_search_tree")
-def grid_search_tree(spark, base):
-    """Decision-tree depth grid 2..14, 10-fold cross validation on the rank features; rows-only."""
-    g = greenblatt_training(_labelled(spark, base)).withColumn("Y", F.col("Y").cast("double"))
-    return M.grid_search(g, ["X1", "X2"], "Y", M.regression_estimator("tree"), {"maxDepth": list(range(2, 15))}, folds=10)
-
-
-@register("grid_search_logistic")
-def grid_search_logistic(spark, base):
-    """Logistic regression over the inverse penalty C (20 values from 1e-5 to 1e3), 3-fold cross validation by accuracy; rows-only."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-
-    p = _class_panel(spark, base).where(F.col("LABEL").isNotNull())
-    p = M.impute(p, M.fit_medians(p, CLASS_FEATURES))
-    p = M.scale(p, M.fit_scale(p, CLASS_FEATURES))
-    strengths = [10.0 ** (-5 + 8 * i / 19) for i in range(20)]
-    return M.grid_search(p, CLASS_FEATURES, "LABEL", M.classifier_estimator("logistic", len(CLASS_FEATURES)), {"regParam": [1 / c for c in strengths]},
-                         folds=3, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"))
-
-
-@register("feature_importance")
-def feature_importance(spark, base):
-    """Per-feature importance of a forest of 200 trees on all features; rows-only."""
-    p = _class_panel(spark, base).where(F.col("RETURNS_NEXT").isNotNull())
-    p = M.impute(p, M.fit_medians(p, CLASS_FEATURES))
-    est = M.regression_estimator("forest", maxDepth=5).setFeaturesCol("features").setLabelCol("RETURNS_NEXT")
-    return M.feature_importance(est.fit(M.assemble(p, CLASS_FEATURES)), CLASS_FEATURES, spark)
-
-
 @register(
     "class_weights",
     """
@@ -475,15 +434,15 @@ def walk_forward_gbt_fenced(spark, base):
     g = panel.select("YEAR", "CODE", ROC, EV_, "RETURNS_NEXT").where(Q.between_open("YEAR", *RANK_YEARS)).na.drop()
     g = R.dense_rank_by(g, "RETURNS_NEXT", ascending=False, out="Y")
     g = R.dense_ranks(OUT.fence_filter_by(g, [ROC, EV_]), {"X1": (ROC, False), "X2": (EV_, True)})
-    s = M.walk_forward_fit_predict(M.validation_flag(g, ["YEAR", "CODE"], 1 / 3), ["X1", "X2"], "Y", M.target_years(panel, N_BACK), N_BACK,
-                                   _boosted(), greenblatt_scoring(panel), standardise="own")
+    est = _boosted()
+    s = M.walk_forward_fit_predict(M.hash_folds(g, ["YEAR", "CODE"], 3), ["X1", "X2"], "Y", M.target_years(panel, N_BACK), N_BACK,
+                                   est, greenblatt_scoring(panel), standardise="own", tune=_tuned(est, ["X1", "X2"], "Y", 3, "squared", 500), carry=["FOLD"])
     return rounded(EV.score_table(panel, s, "PREDICTION"), ["RISK"])
 
 
 def _boosted():
-    """Boosted trees whose number of rounds (at most 300) is chosen by the loss on the validation third."""
-    return GBTRegressor(maxDepth=5, stepSize=0.15, featureSubsetStrategy="0.7", maxIter=300, validationIndicatorCol="VALID",
-                        validationTol=0.01, seed=10)
+    """Boosted trees of depth 5 and step 0.15 on 70 % of the features; the number of rounds is chosen per window."""
+    return GBTRegressor(maxDepth=5, stepSize=0.15, featureSubsetStrategy="0.7", seed=10)
 
 
 # All columns of the ranking job: the ratios and the return known in the year itself.
@@ -525,7 +484,8 @@ def walk_forward_gbt_all_ranks(spark, base):
     """All-columns ranking walk-forward: window 5, ranks of all columns scaled within the window, boosted trees, score table; rows-only."""
     panel = write_once(_labelled(spark, base), "panel")
     features = [f"{c}_RANK" for c in RANK_COLUMNS]
-    train = M.validation_flag(_all_ranks_training(panel), ["YEAR", "CODE"], 1 / 3)
+    train, est = M.hash_folds(_all_ranks_training(panel), ["YEAR", "CODE"], 3), _boosted()
     rows = R.dense_ranks(panel, {f"{c}_RANK": (c, False) for c in RANK_COLUMNS})
-    s = M.walk_forward_fit_predict(train, features, "RETURNS_NEXT_RANK", M.target_years(panel, ALL_N_BACK), ALL_N_BACK, _boosted(), rows, standardise="own")
+    s = M.walk_forward_fit_predict(train, features, "RETURNS_NEXT_RANK", M.target_years(panel, ALL_N_BACK), ALL_N_BACK, est, rows, standardise="own",
+                                   tune=_tuned(est, features, "RETURNS_NEXT_RANK", 3, "squared", 500), carry=["FOLD"])
     return rounded(EV.score_table(panel, s, "PREDICTION"), ["RISK"])

@@ -11,6 +11,7 @@ MODULES = [
     "panelforge.plans.catalog_quality",
     "panelforge.plans.catalog_series",
     "panelforge.plans.catalog_models",
+    "panelforge.plans.catalog_selection",
     "panelforge.plans.catalog_dashboards",
     "panelforge.plans.catalog_sources",
     "panelforge.plans.catalog_misc",

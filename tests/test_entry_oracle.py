@@ -16,7 +16,9 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 ROWS_ONLY = {"var1_forecast", "var1_forecast_by_sector", "var1_forecast_monthly", "var1_multi_step_rmse", "var_vs_baseline",
              "walk_forward_rf", "walk_forward_gbt", "walk_forward_gbt_fenced", "walk_forward_gbt_all_ranks", "gbt_classifier_scores",
              "gbt_classifier_scores_compound", "logistic_balanced", "mlp_scores", "linear_svm", "random_forest_classifier",
-             "holdout_confusion", "grid_search_tree", "grid_search_logistic", "feature_importance"}
+             "holdout_confusion", "grid_search_tree", "grid_search_logistic", "feature_importance", "grid_search_svm", "grid_search_forest",
+             "grid_search_forest_classifier", "tree_best_depth", "forest_best_depth", "boosting_rounds",
+             "grid_search_rbf_svm", "rbf_svm_best"}
 FAST = ["greenblatt_top20", "yearly_dataset", "price_ytd_return", "index_ytd_return_open_base", "quarterly_dataset",
         "fence_filter_global", "fence_filter_by_year", "winsorize_by_year", "linear_interpolation", "walk_forward_lr",
         "roc_curve", "dashboard_picks", "metric_row_ranks", "boxplot_summary", "entity_eligibility", "ar1_forecast"]
