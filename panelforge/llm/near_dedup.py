@@ -8,16 +8,20 @@
 2. Documents with equal sets are one class; from here on only one document per
    class takes part, so copies cost nothing.
 3. Bands of registers are hashed; documents that share a band meet in a
-   bucket. No pairs are listed within a bucket: every member is paired with the
+   bucket. Every member is paired with the
    bucket's hub, the member that meets most documents over all its bands (the
    original of a group of edited copies).
-4. Members that confirmed links leave in another component than the largest of
-   their bucket then meet all the members outside their component, so that chains
-   which miss the hub are found as well. The join compares the registers of two
-   members where they share their first band and lets pass only pairs that the
-   estimate leaves a chance.
-5. Candidates whose collision-corrected estimate is far below the threshold are
-   dropped; the others are confirmed on the full sets. Where a set has under 64
+4. Where confirmed links leave a bucket in several components, its members are
+   open: chains may miss the hub. No pairs of them are listed by bucket. Their
+   full sets are indexed by the rarest shingles, as many as two sets at the
+   threshold cannot avoid to share (prefix filter, by classes of set sizes), and
+   members of different components that meet there are confirmed. Copies under
+   the threshold that differ by what each adds do not meet at all. Copies that
+   differ by what each replaces may meet at the rarest shingles of what is left
+   of their common text; a large group of that kind, without a member that most
+   of it is linked with, still costs more than its size.
+5. Pairs with a hub whose collision-corrected estimate is far below the threshold
+   are dropped; the others are confirmed on the full sets. Where a set has under 64
    shingles the registers are filled from a handful of buckets and the estimate
    says little: such pairs are compared by the sets themselves, which the small
    documents carry along.
@@ -31,9 +35,11 @@ at 0.80. The estimate of larger sets has a standard error of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +56,10 @@ MISSED = 1e-6
 MARGIN = 0.15
 #: Pairs in which a set has fewer shingles are compared exactly: few buckets fill the registers of a small set.
 SMALL = 64
+#: Slots of the table of shingle frequencies; any table gives the same pairs, a coarser one more to confirm. 4 MB.
+FREQUENCY_SLOTS = 1 << 20
+#: Ratio of neighbouring classes of set sizes.
+SIZE_STEP = 1.1
 LANES = 4  # registers of 16 bits in a long
 #: Constant of the expected share of chance collisions (HyperMinHash paper).
 COLLISION = 0.169919487159739
@@ -204,18 +214,68 @@ def _hub_pairs(entries: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _open_pairs(entries: DataFrame, nodes: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Members outside the largest component of their bucket, with the bucket's members of other components."""
-    labelled = entries.select("band", "place", "doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows per slot of the frequency table: one row per slot and partition."""
+    counts = np.zeros(FREQUENCY_SLOTS, np.int64)
+    for batch in batches:
+        counts += np.bincount(_slots(batch.column(0)), minlength=FREQUENCY_SLOTS)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
+
+
+def _slots(shingles: pa.Array) -> np.ndarray:
+    return np.asarray(pc.list_flatten(shingles)).view(np.uint64) & np.uint64(FREQUENCY_SLOTS - 1)
+
+
+def _prefixes(counts: np.ndarray, percent: int):
+    """Of each set and each class of partner sizes, the rarest shingles one of which a partner must share.
+
+    Sets of n and m shingles with ``100 * shared >= percent * union`` share at
+    least ``k = percent * (n + m) / (100 + percent)`` shingles, so in any order
+    of all shingles the first ``n - k + 1`` of one and ``m - k + 1`` of the other
+    meet. Shingles alone in their slot of the frequency table meet nothing.
+    """
+    edges = np.unique(np.ceil(SIZE_STEP ** np.arange(400)).astype(np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for row, shingles in enumerate(batch.column(3)):
+                s = np.asarray(shingles.values).view(np.uint64)
+                n, often = len(s), counts[s & np.uint64(FREQUENCY_SLOTS - 1)]
+                order = np.lexsort((s, often))
+                own = int(np.searchsorted(edges, n, "right")) - 1
+                least, most = -(-percent * n // 100), 100 * n // percent
+                for partner in range(int(np.searchsorted(edges, least, "right")) - 1, int(np.searchsorted(edges, most, "right"))):
+                    smallest = max(int(edges[partner]), least)
+                    first = order[: n + 1 - -(-percent * (n + smallest) // (100 + percent))]
+                    first = first[often[first] > 1]
+                    for cells, value in zip(out, (s[first].view(np.int64), min(own, partner), max(own, partner), own, row)):
+                        cells.append(value if isinstance(value, np.ndarray) else np.full(len(first), value, np.int64))
+            shingle, low, high, own, rows = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+            taken = [batch.column(k).take(pa.array(rows)) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(shingle), pa.array(low), pa.array(high), pa.array(own)], ["doc_id", "component", "rest", "shingle", "low", "high", "own"])
+
+    return run
+
+
+def _open_pairs(entries: DataFrame, sets: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of different components, of buckets that hold several, which share one of their rarest shingles."""
+    labelled = entries.select("band", "doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     sizes = labelled.groupBy("band", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("band", F.col("top.component").alias("main"))
-    open_ = written(labelled.join(largest, "band"), "near-open")
-    side = open_.join(nodes.select("doc_id", "n_shingles", "sketch", "bands", "small"), "doc_id")
-    rest = side.where("component <> main")
-    apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.doc_id") < F.col("y.doc_id")))
-    met = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
-    first = F.array_position(met, True) == F.col("x.place") + 1  # each pair at the first band it shares
-    found = rest.alias("x").join(side.alias("y"), (F.col("x.band") == F.col("y.band")) & apart & first & _possible("x", "y", percent))
+    members = labelled.join(largest, "band").groupBy("doc_id", "component").agg(F.max(F.col("component") != F.col("main")).alias("rest"))
+    open_ = written(members.join(sets, "doc_id").select("doc_id", "component", "rest", "shingles"), "near-open")
+    counts = np.zeros(FREQUENCY_SLOTS, np.int32)
+    for r in open_.select("shingles").mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():  # at most FREQUENCY_SLOTS rows
+        counts[r.slot] = min(r.n, 2**31 - 1)
+    rows = open_.mapInArrow(_prefixes(counts, percent), "doc_id long, component long, rest boolean, shingle long, low long, high long, own long")
+    rows = written(rows, "near-prefixes")
+    x, y = rows.alias("x"), rows.alias("y")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("shingle", "low", "high")]
+    apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.rest") | F.col("y.rest")) & (F.col("x.doc_id") < F.col("y.doc_id"))
+    of_classes = (F.col("x.low") == F.col("x.high")) | (F.col("x.own") != F.col("y.own"))
+    found = x.join(y, reduce(lambda p, q: p & q, [*same, apart, of_classes]))
     return _pairs(found.select(F.col("x.doc_id").alias("p"), F.col("y.doc_id").alias("q")), "p", "q")
 
 
@@ -242,7 +302,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, text: st
 
     pairs = written(_hub_pairs(entries, nodes, percent), "near-pairs")
     links = written(_confirmed(pairs, sets, percent), "near-links")
-    more = _open_pairs(entries, nodes, connected_components(links), percent).join(pairs, ["a", "b"], "left_anti")
+    more = _open_pairs(entries, sets, connected_components(links), percent).join(pairs, ["a", "b"], "left_anti")
     links = links.union(written(_confirmed(more, sets, percent), "near-links"))
     components = connected_components(links)
 

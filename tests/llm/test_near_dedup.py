@@ -129,3 +129,23 @@ def test_small_sets_are_compared_exactly(spark):
     sides = df.select(*[F.struct(F.col(f"n{s}").alias("n_shingles"), F.col(f"s{s}").alias("sketch"), F.col(s).alias("small")).alias(f"x{s}") for s in "ab"])
     assert sides.where(N._possible("xa", "xb", 85)).count() == len(rows)
     assert sides.where(N._possible("xa", "xb", 90)).count() == 0
+
+
+def test_copies_just_under_the_threshold_are_not_listed(spark):
+    """1,500 documents that add their own words to a common text, alike at 0.70 to 0.79 pairwise: few candidates, and no link is lost."""
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(k, " ".join(base + [f"n{k}x{j}" for j in range(rng.integers(42, 55))]), None, None, None) for k in range(1500)]
+    rows.append((5000, rows[7][1] + " other", None, None, None))
+    some = [shingles(r[1]) for r in rows[:60]]
+    alike = [len(x & y) / len(x | y) for x, y in combinations(some, 2)]
+    assert 0.70 < min(alike) and max(alike) < 0.80
+    listed = []
+    whole = N._confirmed
+    N._confirmed = lambda pairs, sets, percent: (listed.append(pairs.count()), whole(pairs, sets, percent))[1]
+    try:
+        got = {r.doc_id: r.component_id for r in N.near_duplicates(cases.table(spark, rows), 80).collect()}
+    finally:
+        N._confirmed = whole
+    assert sum(listed) < 10 * len(rows)
+    assert got == {r[0]: 7 if r[0] == 5000 else r[0] for r in rows}
