@@ -49,7 +49,7 @@ def test_one_query_per_operator():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{cases.SF}/{t}.parquet')")
     cur = con.execute(ORACLE[name])
     names = [c[0] for c in cur.description]
