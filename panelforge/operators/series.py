@@ -3,20 +3,16 @@
 Every window here is partitioned by the entity (and ordered by the period) of
 an already aggregated series -- one row per (entity, year) or (entity, day) --
 so a partition is bounded by the calendar span, not by raw event volume.
-Groupwise model fits run as one grouped aggregate (closed form) or, for the
-multivariate VAR, one ``applyInPandas`` call whose group is one entity's
-series.
+Groupwise model fits run as one grouped aggregate; the multivariate VAR solves its
+normal equations from that aggregate's covariances in column expressions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelforge.operators.ordered import null_safe_join
 from panelforge.session import write_once
@@ -152,33 +148,34 @@ def ar1_forecast(df: DataFrame, value: str, key: str = "CODE", order: str = "YEA
     return g.withColumn("FORECAST", fc).withColumn("RMSE", F.abs(F.col("ACTUAL") - F.col("FORECAST"))).drop("_last_train")
 
 
-def _var_group(cols: Sequence[str], key: str, order: str, lags: int, holdout: int):
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values(order)[list(cols)].to_numpy(dtype=float)
-        n, k = y.shape
-        held = int(n * holdout) if isinstance(holdout, float) else holdout
-        train, actual = y[: n - held], y[n - held :]
-        t = train.shape[0]
-        status, rank, ahead = "ok", None, np.full((held, k), np.nan)
-        if np.isnan(y).any():
-            status = "null in the series"
-        elif t - lags < k * lags + 1:
-            status = "too short"
-        else:
-            x = np.hstack([np.ones((t - lags, 1))] + [train[lags - i - 1 : t - i - 1] for i in range(lags)])
-            coef, _, rank, _ = np.linalg.lstsq(x, train[lags:], rcond=None)
-            seen = list(train)
-            for step in range(held):  # every step goes on from the forecasts before it
-                seen.append(np.concatenate([[1.0]] + [seen[-1 - i] for i in range(lags)]) @ coef)
-                ahead[step] = seen[-1]
-        rows = [
-            (pdf[key].iloc[0], c, step + 1, ahead[step, j], actual[step, j], max(t - lags, 0), rank, status)
-            for step in range(held) for j, c in enumerate(cols)
-        ]
-        out = pd.DataFrame(rows, columns=[key, "METRIC", "STEP", "FORECAST", "ACTUAL", "N_OBS", "RANK", "STATUS"])
-        return out.astype({"N_OBS": "Int64", "RANK": "Int64", "STEP": "Int64"})
-
-    return fit
+#: A lag whose variance beyond the lags before it is under this share of its own counts as their linear combination.
+COLLINEAR = 1e-10
+
+
+def _eliminate(moments: DataFrame, m: int, k: int) -> DataFrame:
+    """Least-squares coefficients ``_c_{i}_{j}`` (lag i, series j) from the covariances ``_xx_{i}_{h}`` (i <= h) and ``_xy_{i}_{j}``.
+
+    One projection per lag: the covariances of the later lags and of the series lose what the lag explains
+    (``_use_{i}`` is false where nothing of it is left, its coefficient is then 0); substitution goes backwards.
+    """
+    at = moments.withColumns({f"_var_{i}": F.col(f"_xx_{i}_{i}") for i in range(m)})
+    for p in range(m):
+        pivot = F.col(f"_xx_{p}_{p}")
+        left = (pivot > COLLINEAR * F.col(f"_var_{p}")) & (F.col(f"_var_{p}") > COLLINEAR**2 * F.pow(f"_mx_{p}", F.lit(2)))
+        at = at.withColumn(f"_use_{p}", F.coalesce(left, F.lit(False)))
+        share = {i: F.when(F.col(f"_use_{p}"), F.col(f"_xx_{p}_{i}") / pivot).otherwise(0.0) for i in range(p + 1, m)}
+        less = {f"_xx_{i}_{h}": F.col(f"_xx_{i}_{h}") - share[i] * F.col(f"_xx_{p}_{h}") for i in share for h in range(i, m)}
+        less |= {f"_xy_{i}_{j}": F.col(f"_xy_{i}_{j}") - share[i] * F.col(f"_xy_{p}_{j}") for i in share for j in range(k)}
+        at = at.withColumns(less)
+    for p in reversed(range(m)):
+        solved = {}
+        for j in range(k):
+            rest = F.col(f"_xy_{p}_{j}")
+            for i in range(p + 1, m):
+                rest = rest - F.col(f"_xx_{p}_{i}") * F.col(f"_c_{i}_{j}")
+            solved[f"_c_{p}_{j}"] = F.when(F.col(f"_use_{p}"), rest / F.col(f"_xx_{p}_{p}")).otherwise(0.0)
+        at = at.withColumns(solved)
+    return at
 
 
 def var_forecast(df: DataFrame, cols: Sequence[str], key: str = "CODE", order: str = "YEAR", lags: int = 1,
@@ -186,26 +183,66 @@ def var_forecast(df: DataFrame, cols: Sequence[str], key: str = "CODE", order: s
     """Vector autoregression with a constant, least squares, per entity.
 
     Fitted on all but the last ``holdout`` rows (a number, or a share of the
-    series as a float); forecast recursively for as many steps. The group is one
-    entity's series (bounded by its number of periods), fitted with
-    ``numpy.linalg.lstsq`` inside ``applyInPandas``. Output is long: (key, METRIC,
-    STEP, FORECAST, ACTUAL, N_OBS, RANK, STATUS). An entity whose series has a
-    null, or fewer observations than parameters, comes back with that status and
-    null forecasts.
+    series as a float); forecast recursively for as many steps. One window pass
+    gives the lags, one grouped aggregate their means and covariances, from which
+    column expressions solve the normal equations; only the held-out rows of an
+    entity are gathered. Output is long: (key, METRIC, STEP, FORECAST, ACTUAL,
+    N_OBS, RANK, STATUS). An entity whose series has a null or NaN, or fewer
+    observations than parameters, comes back with that status and null forecasts.
+    Where lags are collinear, RANK is less than the number of parameters, and a
+    lag that those before it determine has coefficient 0.
     """
-    schema = T.StructType([
-        T.StructField(key, df.schema[key].dataType),
-        T.StructField("METRIC", T.StringType()),
-        T.StructField("STEP", T.LongType()),
-        T.StructField("FORECAST", T.DoubleType()),
-        T.StructField("ACTUAL", T.DoubleType()),
-        T.StructField("N_OBS", T.LongType()),
-        T.StructField("RANK", T.LongType()),
-        T.StructField("STATUS", T.StringType()),
-    ])
-    sel = df.select(key, order, *[F.col(c).cast("double").alias(c) for c in cols])
-    out = sel.groupBy(key).applyInPandas(_var_group(cols, key, order, lags, holdout), schema)
-    return out.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("FORECAST", "ACTUAL")})
+    k, m = len(cols), len(cols) * lags
+    s = df.select(F.col(key).alias("_key"), F.col(order).alias("_order"), *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_y_{j}") for j, c in enumerate(cols)])
+    rows, n = Window.partitionBy("_key").orderBy("_order"), F.count(F.lit(1)).over(Window.partitionBy("_key"))
+    held = F.floor(n * F.lit(holdout)) if isinstance(holdout, float) else F.lit(holdout)
+    s = s.withColumns({
+        "_pos": F.row_number().over(rows), "_train": (n - held).cast("long"),
+        **{f"_x_{lag * k + j}": F.lag(f"_y_{j}", lag + 1).over(rows) for lag in range(lags) for j in range(k)},
+    })
+    row = F.array(*[F.col(f"_y_{j}") for j in range(k)])
+    seen = F.array(*[F.col(f"_y_{j}") for j in range(k)], *[F.col(f"_x_{i}") for i in range(m - k)])  # newest row first
+    used = F.col("_pos").between(lags + 1, F.col("_train"))
+    x, y = [F.when(used, F.col(f"_x_{i}")) for i in range(m)], [F.when(used, F.col(f"_y_{j}")) for j in range(k)]
+    g = s.groupBy("_key").agg(
+        F.greatest(F.first("_train") - lags, F.lit(0)).alias("N_OBS"),
+        F.max(F.array_contains(F.transform(row, lambda v: v.isNull()), True)).alias("_broken"),
+        F.max_by(seen, F.when(F.col("_pos") == F.col("_train"), F.col("_pos"))).alias("_seen"),
+        F.sort_array(F.collect_list(F.when(F.col("_pos") > F.col("_train"), F.struct("_pos", row.alias("row"))))).alias("_held"),
+        *[F.avg(x[i]).alias(f"_mx_{i}") for i in range(m)],
+        *[F.avg(y[j]).alias(f"_my_{j}") for j in range(k)],
+        *[F.covar_pop(x[i], x[h]).alias(f"_xx_{i}_{h}") for i in range(m) for h in range(i, m)],
+        *[F.covar_pop(x[i], y[j]).alias(f"_xy_{i}_{j}") for i in range(m) for j in range(k)],
+    )
+    fit = _eliminate(g, m, k)
+    fitted = ~F.col("_broken") & (F.col("N_OBS") >= m + 1)
+    equations = []
+    for j in range(k):
+        constant = F.col(f"_my_{j}")
+        for i in range(m):
+            constant = constant - F.col(f"_c_{i}_{j}") * F.col(f"_mx_{i}")
+        equations.append(F.struct(constant.alias("constant"), F.array(*[F.col(f"_c_{i}_{j}") for i in range(m)]).alias("by_lag")))
+
+    def step(state: Column, _: Column) -> Column:  # every step goes on from the forecasts before it
+        def ahead(eq: Column) -> Column:
+            return F.aggregate(F.zip_with(eq["by_lag"], state["seen"], lambda c, v: c * v), eq["constant"], lambda a, b: a + b)
+
+        following = F.transform(F.col("_equations"), ahead)
+        return F.struct(F.slice(F.concat(following, state["seen"]), 1, m).alias("seen"), F.concat(state["ahead"], F.array(following)).alias("ahead"))
+
+    start = F.struct(F.col("_seen").alias("seen"), F.array().cast("array<array<double>>").alias("ahead"))
+    rank = F.lit(1).cast("long")
+    for i in range(m):
+        rank = rank + F.col(f"_use_{i}").cast("long")
+    out = fit.withColumn("_equations", F.array(*equations)).select(
+        "_key", "N_OBS", F.when(fitted, rank).alias("RANK"),
+        F.when(F.col("_broken"), "null in the series").when(~fitted, "too short").otherwise("ok").alias("STATUS"),
+        F.when(fitted, F.aggregate("_held", start, step)["ahead"]).alias("_ahead"),
+        F.posexplode("_held").alias("_at", "_row"),
+    )
+    named = F.array(*[F.struct(F.lit(c).alias("METRIC"), F.get(F.get("_ahead", F.col("_at")), F.lit(j)).alias("FORECAST"), F.get(F.col("_row.row"), F.lit(j)).alias("ACTUAL")) for j, c in enumerate(cols)])
+    long = out.select(F.col("_key").alias(key), (F.col("_at") + 1).cast("long").alias("STEP"), "N_OBS", "RANK", "STATUS", F.inline(named))
+    return long.select(key, "METRIC", "STEP", "FORECAST", "ACTUAL", "N_OBS", "RANK", "STATUS")
 
 
 def var_rmse(forecast: DataFrame, metric: str, key: str = "CODE") -> DataFrame:

@@ -171,10 +171,61 @@ def model_vs_baseline(spark, base):
 VAR_COLS = ["RETURNS", "CSR__ROC_JOEL_GREENBLATT", "VR__EV_TO_EBIT"]
 
 
-@register("var1_forecast")
+def _determinant(rows: list[list[str]]) -> str:
+    """SQL of a determinant, expanded along the first row."""
+    if len(rows) == 1:
+        return rows[0][0]
+    terms = [f"{'-' if c % 2 else '+'} {rows[0][c]} * ({_determinant([r[:c] + r[c + 1 :] for r in rows[1:]])})" for c in range(len(rows))]
+    return " ".join(terms)
+
+
+def _var_sql(source: str, cols: list[str], key: str, held: str) -> str:
+    """VAR(1) by Cramer's rule over the covariances; the held-out steps by a recursive query."""
+    k = range(len(cols))
+    lagged = ", ".join(f"lag({c}) OVER w AS x{i}, {c} AS y{i}" for i, c in enumerate(cols))
+    used = "FILTER (pos BETWEEN 2 AND n - held)"
+    moments = [f"avg(x{i}) {used} AS mx{i}, avg(y{i}) {used} AS my{i}" for i in k]
+    moments += [f"covar_pop(x{h}, x{i}) {used} AS s{i}{h}, covar_pop(y{h}, x{i}) {used} AS t{i}{h}" for i in k for h in k]
+    square = [[f"s{i}{h}" for h in k] for i in k]
+    solved = [
+        f"({_determinant([[f't{r}{j}' if c == i else square[r][c] for c in k] for r in k])}) / NULLIF({_determinant(square)}, 0) AS c{i}{j}"
+        for i in k for j in k
+    ]
+    ahead = ", ".join("my{j} + ".format(j=j) + " + ".join(f"c{i}{j} * (f{i} - mx{i})" for i in k) + f" AS f{j}" for j in k)
+    metrics = " UNION ALL ".join(
+        f"SELECT {key}, '{c}' AS METRIC, pos - (n - held) AS STEP, f{i} AS FORECAST, y{i} AS ACTUAL, N_OBS, RANK, STATUS FROM steps" for i, c in enumerate(cols)
+    )
+    return f"""(
+WITH RECURSIVE obs AS MATERIALIZED (
+  SELECT {key}, {lagged}, row_number() OVER w AS pos, count(*) OVER (PARTITION BY {key}) AS n,
+         CAST({held.format(n=f'count(*) OVER (PARTITION BY {key})')} AS BIGINT) AS held
+  FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY YEAR)),
+moments AS (SELECT {key}, greatest(any_value(n - held) - 1, 0) AS N_OBS, bool_or({' OR '.join(f'y{i} IS NULL' for i in k)}) AS broken, {', '.join(moments)}
+            FROM obs GROUP BY {key}),
+fit AS MATERIALIZED (SELECT *, {', '.join(solved)}, NOT broken AND N_OBS >= {len(cols) + 1} AS fitted FROM moments),
+ahead AS (
+  SELECT {key}, pos, {', '.join(f'CASE WHEN fitted THEN y{i} END AS f{i}' for i in k)} FROM obs JOIN fit USING ({key}) WHERE pos = n - held
+  UNION ALL
+  SELECT a.{key}, a.pos + 1 AS pos, {ahead} FROM ahead a JOIN fit USING ({key}) JOIN (SELECT {key}, any_value(n) AS n FROM obs GROUP BY {key}) e USING ({key})
+  WHERE a.pos < e.n),
+steps AS (
+  SELECT o.*, f.N_OBS, CASE WHEN fitted THEN CAST({len(cols) + 1} AS BIGINT) END AS RANK, {', '.join(f'f{i}' for i in k)},
+         CASE WHEN broken THEN 'null in the series' WHEN NOT fitted THEN 'too short' ELSE 'ok' END AS STATUS
+  FROM obs o JOIN fit f USING ({key}) LEFT JOIN ahead a USING ({key}, pos) WHERE pos > n - held)
+{metrics})"""
+
+
+_VAR_SELECT = "METRIC, STEP, round(FORECAST, 6) AS FORECAST, round(ACTUAL, 9) AS ACTUAL, N_OBS, RANK, STATUS"
+
+
+def _var_rounded(forecast):
+    return rounded(rounded(forecast, ["FORECAST"], 6), ["ACTUAL"], 9)
+
+
+@register("var1_forecast", f"SELECT CODE, {_VAR_SELECT} FROM {_var_sql('opanel', VAR_COLS, 'CODE', '1')}", ["opanel"])
 def var1_forecast(spark, base):
-    """Multivariate VAR(1) per company; no SQL form (least squares per group)."""
-    return S.var_forecast(_panel(spark, base), VAR_COLS, "CODE", "YEAR", lags=1, holdout=1)
+    """Multivariate VAR(1) per company, the last year held out."""
+    return _var_rounded(S.var_forecast(_panel(spark, base), VAR_COLS, "CODE", "YEAR", lags=1, holdout=1))
 
 
 def _sector_series(spark, base):
@@ -190,32 +241,41 @@ def _sector_series(spark, base):
                                            F.avg("CSR__ROC_JOEL_GREENBLATT").alias("CSR__ROC_JOEL_GREENBLATT"))
 
 
-@register("var1_multi_step_rmse")
+@register(
+    "var1_multi_step_rmse",
+    f"""
+SELECT CODE, count(FORECAST) AS STEPS, round(sqrt(avg((FORECAST - ACTUAL) ^ 2)), 6) AS RMSE
+FROM {_var_sql('opanel', VAR_COLS, 'CODE', 'floor({n} * 0.2)')} WHERE METRIC = 'RETURNS' GROUP BY CODE
+""",
+    ["opanel"],
+)
 def var1_multi_step_rmse(spark, base):
     """VAR(1) fitted on the first 80 % of each company's years, forecast recursively over the rest; RMSE of the returns."""
     return rounded(S.var_rmse(S.var_forecast(_panel(spark, base), VAR_COLS, holdout=0.2), "RETURNS"), ["RMSE"])
 
 
-@register("var_vs_baseline")
+@register(
+    "var_vs_baseline",
+    f"""
+SELECT count(*) AS N_ENTITIES, count(CASE WHEN b.RMSE > m.RMSE THEN 1 END) AS MODEL_BETTER
+FROM (SELECT CODE, round(abs(FORECAST - ACTUAL), 6) AS RMSE FROM {_var_sql('opanel', VAR_COLS, 'CODE', '1')}
+      WHERE METRIC = 'RETURNS' AND FORECAST IS NOT NULL) m
+JOIN (SELECT CODE, RMSE FROM ({_persist_sql(1)}) p) b USING (CODE)
+""",
+    ["opanel"],
+)
 def var_vs_baseline(spark, base):
     """How often the VAR beats persistence on the last year."""
     p = write_once(_panel(spark, base), "var-panel")
-    model = S.var_rmse(S.var_forecast(p, VAR_COLS), "RETURNS").where("RMSE is not null")
-    return S.model_vs_baseline(model, S.persistence_rmse(p, "RETURNS", test_fraction=1.0))
-
-
-@register("var1_forecast_by_sector")
-def var1_forecast_by_sector(spark, base):
-    """VAR(1) per sector on the sector-year averages (one row per sector and year)."""
-    return S.var_forecast(_sector_series(spark, base), ["RETURNS", "CSR__ROC_JOEL_GREENBLATT"], "SECTOR", "YEAR",
-                          lags=1, holdout=1)
+    model = rounded(S.var_rmse(S.var_forecast(p, VAR_COLS), "RETURNS").where("RMSE is not null"), ["RMSE"])
+    return S.model_vs_baseline(model, rounded(S.persistence_rmse(p, "RETURNS", test_fraction=1.0), ["RMSE"]))
 
 
 O.cte(
     "sector_series",
     f"""
-SELECT SECTOR, YEAR, avg(RETURNS) AS RETURNS FROM (
-  SELECT coalesce(m.TO_, c.INDUSTRY01) AS SECTOR, o.YEAR, o.RETURNS
+SELECT SECTOR, YEAR, avg(RETURNS) AS RETURNS, avg(CSR__ROC_JOEL_GREENBLATT) AS CSR__ROC_JOEL_GREENBLATT FROM (
+  SELECT coalesce(m.TO_, c.INDUSTRY01) AS SECTOR, o.YEAR, o.RETURNS, o.CSR__ROC_JOEL_GREENBLATT
   FROM opanel o JOIN companies c USING (CODE)
   LEFT JOIN (SELECT * FROM (VALUES {sector_values_sql()}) v(FROM_, TO_)
              UNION ALL SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) m
@@ -226,6 +286,16 @@ GROUP BY SECTOR, YEAR
 )
 
 
+@register(
+    "var1_forecast_by_sector",
+    f"SELECT SECTOR, {_VAR_SELECT} FROM {_var_sql('sector_series', VAR_COLS[:2], 'SECTOR', '1')}",
+    ["sector_series"],
+)
+def var1_forecast_by_sector(spark, base):
+    """VAR(1) per sector on the sector-year averages (one row per sector and year)."""
+    return _var_rounded(S.var_forecast(_sector_series(spark, base), VAR_COLS[:2], "SECTOR", "YEAR", lags=1, holdout=1))
+
+
 @register(
     "persistence_rmse_by_sector",
     """

@@ -64,6 +64,38 @@ def test_var_forecasts_several_steps(spark):
     assert r.STEPS == 3 and r.RMSE < 1e-6
 
 
+def test_var_equals_least_squares_of_numpy(spark):
+    rng = np.random.default_rng(7)
+    lags, holdout, series = 2, 3, {}
+    for code, n in (("A", 20), ("B", 40), ("C", 9)):  # C: four observations for five parameters
+        y = rng.normal(0, 1, (n, 2)).cumsum(axis=0) * [1.0, 1000.0] + [0.1, 5e4]
+        series[code] = y
+    series["D"] = np.column_stack([np.full(20, 0.1), rng.normal(0, 1, 20)])  # a constant series: its lags explain nothing
+    rows = [(c, 2000 + t, float(a), float(b)) for c, y in series.items() for t, (a, b) in enumerate(y)]
+    df = spark.createDataFrame(rows, "CODE string, YEAR int, X double, Y double").repartition(5)
+    got = {(r.CODE, r.METRIC, r.STEP): r for r in S.var_forecast(df, ["X", "Y"], lags=lags, holdout=holdout).collect()}
+    assert len(got) == 4 * 2 * holdout
+    assert {r.STATUS for r in got.values() if r.CODE == "C"} == {"too short"}
+    assert {c: {r.RANK for r in got.values() if r.CODE == c} for c in "ABD"} == {"A": {5}, "B": {5}, "D": {3}}
+    for code in "ABD":
+        y = series[code]
+        train = y[:-holdout]
+        x = np.hstack([np.ones((len(train) - lags, 1))] + [train[lags - 1 - i : len(train) - 1 - i] for i in range(lags)])
+        coef = np.linalg.lstsq(x, train[lags:], rcond=None)[0]
+        seen = list(train)
+        for step in range(holdout):
+            seen.append(np.concatenate([[1.0], seen[-1], seen[-2]]) @ coef)
+            for j, c in enumerate("XY"):
+                r = got[code, c, step + 1]
+                assert math.isclose(r.FORECAST, seen[-1][j], rel_tol=1e-7, abs_tol=1e-9) and r.ACTUAL == y[len(train) + step][j]
+
+
+def test_var_plan_has_no_python(spark):
+    df = spark.createDataFrame([("A", 2000, 1.0)], "CODE string, YEAR int, X double")
+    plan = S.var_forecast(df, ["X"])._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan
+
+
 def test_metrics_use_complete_pairs_only(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 2.0), (4.0, 2.5), (9.0, None), (None, 3.0)], "Y double, P double")
     r = EV.regression_metrics(df, "Y", "P").first()
