@@ -1,11 +1,9 @@
 """Walk-forward training and model operators.
 
-* Linear regression is solved in closed form for every target year at once. Every
-  panel row is copied to the ``n_back`` target years it trains
-  (``explode(sequence(YEAR+1, YEAR+n_back))``, a bounded copy, no range join);
-  one grouped aggregate of means, variances and covariances (two features), or of
-  the normal-equation moments (any number of features), then a k x k solve per
-  target year on a table with one row per target year.
+* Linear regression is solved for every target year at once: one aggregate gives
+  the means and covariances of each year, the years of a window are pooled (one
+  row per year and window, no panel row is copied), and column expressions solve
+  the normal equations on a table with one row per target year.
 * Tree ensembles, boosting, logistic regression, MLP and linear SVM use MLlib.
   The panel is written once, partitioned by year; each target year reads only the
   years of its window. The driver loops over target years, never over rows.
@@ -23,8 +21,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -38,10 +34,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from panelforge.operators import least_squares
 from panelforge.operators.quantiles import exact_quantiles
 from panelforge.session import materialize, shared_scratch, write_once
 
@@ -88,55 +84,54 @@ def chronological_split(df: DataFrame, key: str, order: str, fraction: float) ->
     return df.withColumn("TRAIN", F.row_number().over(w) <= F.floor(n * F.lit(fraction)))
 
 
-def linear_fit_two(train: DataFrame, x1: str, x2: str, y: str, group: str = "TARGET_YEAR") -> DataFrame:
-    """M2 closed form, two features: (group, B0, B1, B2, N) from one grouped aggregate."""
-    g = train.groupBy(group).agg(
-        F.avg(x1).alias("m1"), F.avg(x2).alias("m2"), F.avg(y).alias("my"),
-        F.var_samp(x1).alias("v1"), F.var_samp(x2).alias("v2"),
-        F.covar_samp(x1, x2).alias("c12"), F.covar_samp(x1, y).alias("c1y"), F.covar_samp(x2, y).alias("c2y"),
-        F.count(F.lit(1)).alias("N"),
-    )
-    det = F.col("v1") * F.col("v2") - F.col("c12") * F.col("c12")
-    b1 = F.try_divide(F.col("v2") * F.col("c1y") - F.col("c12") * F.col("c2y"), det)
-    b2 = F.try_divide(F.col("v1") * F.col("c2y") - F.col("c12") * F.col("c1y"), det)
-    return g.select(group, "N", b1.alias("B1"), b2.alias("B2"), "m1", "m2", "my").select(
-        group, "N", (F.col("my") - F.col("B1") * F.col("m1") - F.col("B2") * F.col("m2")).alias("B0"), "B1", "B2"
-    )
+def _complete(features: Sequence[str], y: str) -> Column:
+    known = F.col(y).isNotNull()
+    for f in features:
+        known = known & F.col(f).isNotNull()
+    return known
 
 
-def linear_fit(train: DataFrame, features: Sequence[str], y: str, group: str = "TARGET_YEAR") -> DataFrame:
-    """M2 for any number of features: normal-equation moments in one aggregate per
-    group, then a least-squares solve of the (k+1)x(k+1) system per group.
+def _moments(train: DataFrame, features: Sequence[str], y: str, group: str) -> DataFrame:
+    x = [F.col(f).cast("double") for f in features]
+    return train.groupBy(group).agg(*least_squares.moments(x, [F.col(y).cast("double")], _complete(features, y)))
+
+
+def window_moments(panel: DataFrame, features: Sequence[str], y: str, target_years: Sequence[int], n_back: int, year: str = "YEAR") -> DataFrame:
+    """M1: moments of every target year's training window, (TARGET_YEAR, ...).
+
+    The panel is aggregated once, to one row per year; those rows, not the
+    panel's, are copied to the windows they belong to and pooled there.
+    """
+    yearly = _moments(panel, features, y, year).where("_n > 0")
+    return least_squares.pooled(training_windows(yearly, target_years, n_back, year), "TARGET_YEAR", len(features), 1)
+
+
+def solve_two(moments: DataFrame, group: str = "TARGET_YEAR") -> DataFrame:
+    """M2 closed form for two features: (group, N, B0, B1, B2) from their moments; null where they are collinear."""
+    v1, c12, v2, c1y, c2y = (F.col(c) for c in ("_xx_0_0", "_xx_0_1", "_xx_1_1", "_xy_0_0", "_xy_1_0"))
+    det = v1 * v2 - c12 * c12
+    b = moments.withColumns({"B1": F.try_divide(v2 * c1y - c12 * c2y, det), "B2": F.try_divide(v1 * c2y - c12 * c1y, det)})
+    return b.select(group, F.col("_n").alias("N"), F.expr("_my_0 - B1 * _mx_0 - B2 * _mx_1").alias("B0"), "B1", "B2")
 
-    Returns (group, N, B0, B1..Bk). The solve runs in ``applyInPandas`` over a
-    table with one row per group.
+
+def solve_linear(moments: DataFrame, k: int, group: str = "TARGET_YEAR") -> DataFrame:
+    """M2 for ``k`` features: (group, N, B0, B1..Bk) by elimination; a feature that those before it determine weighs 0.
+
+    Without a complete row every coefficient is null.
     """
-    cols = ["_one", *features]
-    t = train.withColumn("_one", F.lit(1.0))
-    aggs = [F.count(F.lit(1)).alias("N")]
-    for i, a in enumerate(cols):
-        aggs.append(F.sum(F.col(a) * F.col(y)).alias(f"xy_{i}"))
-        for j in range(i, len(cols)):
-            aggs.append(F.sum(F.col(a) * F.col(cols[j])).alias(f"xx_{i}_{j}"))
-    moments = t.groupBy(group).agg(*aggs)
-    k = len(cols)
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.iloc[0]
-        xtx = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                xtx[i, j] = xtx[j, i] = r[f"xx_{i}_{j}"]
-        xty = np.array([r[f"xy_{i}"] for i in range(k)], dtype=float)
-        beta = np.linalg.lstsq(xtx, xty, rcond=None)[0]
-        out = {group: [r[group]], "N": [int(r["N"])]}
-        for i in range(k):
-            out[f"B{i}"] = [float(beta[i])]
-        return pd.DataFrame(out)
-
-    fields = [T.StructField(group, train.schema[group].dataType), T.StructField("N", T.LongType())]
-    fields += [T.StructField(f"B{i}", T.DoubleType()) for i in range(k)]
-    return moments.groupBy(group).applyInPandas(solve, T.StructType(fields))
+    some = F.col("_n") > 0
+    weights = [F.when(some, F.col(f"_c_{i}_0")).alias(f"B{i + 1}") for i in range(k)]
+    return least_squares.solve(moments, k, 1).select(group, F.col("_n").alias("N"), least_squares.constant(k).alias("B0"), *weights)
+
+
+def linear_fit_two(train: DataFrame, x1: str, x2: str, y: str, group: str = "TARGET_YEAR") -> DataFrame:
+    """M2 closed form, two features: (group, N, B0, B1, B2) from one grouped aggregate over the complete rows."""
+    return solve_two(_moments(train, [x1, x2], y, group), group)
+
+
+def linear_fit(train: DataFrame, features: Sequence[str], y: str, group: str = "TARGET_YEAR") -> DataFrame:
+    """M2 for any number of features: (group, N, B0, B1..Bk) from one grouped aggregate over the complete rows."""
+    return solve_linear(_moments(train, features, y, group), len(features), group)
 
 
 def apply_linear(df: DataFrame, coef: DataFrame, features: Sequence[str], out: str = "PREDICTION",

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.operators import least_squares
 from panelforge.operators.ordered import null_safe_join
 from panelforge.session import write_once
 
@@ -148,36 +149,6 @@ def ar1_forecast(df: DataFrame, value: str, key: str = "CODE", order: str = "YEA
     return g.withColumn("FORECAST", fc).withColumn("RMSE", F.abs(F.col("ACTUAL") - F.col("FORECAST"))).drop("_last_train")
 
 
-#: A lag whose variance beyond the lags before it is under this share of its own counts as their linear combination.
-COLLINEAR = 1e-10
-
-
-def _eliminate(moments: DataFrame, m: int, k: int) -> DataFrame:
-    """Least-squares coefficients ``_c_{i}_{j}`` (lag i, series j) from the covariances ``_xx_{i}_{h}`` (i <= h) and ``_xy_{i}_{j}``.
-
-    One projection per lag: the covariances of the later lags and of the series lose what the lag explains
-    (``_use_{i}`` is false where nothing of it is left, its coefficient is then 0); substitution goes backwards.
-    """
-    at = moments.withColumns({f"_var_{i}": F.col(f"_xx_{i}_{i}") for i in range(m)})
-    for p in range(m):
-        pivot = F.col(f"_xx_{p}_{p}")
-        left = (pivot > COLLINEAR * F.col(f"_var_{p}")) & (F.col(f"_var_{p}") > COLLINEAR**2 * F.pow(f"_mx_{p}", F.lit(2)))
-        at = at.withColumn(f"_use_{p}", F.coalesce(left, F.lit(False)))
-        share = {i: F.when(F.col(f"_use_{p}"), F.col(f"_xx_{p}_{i}") / pivot).otherwise(0.0) for i in range(p + 1, m)}
-        less = {f"_xx_{i}_{h}": F.col(f"_xx_{i}_{h}") - share[i] * F.col(f"_xx_{p}_{h}") for i in share for h in range(i, m)}
-        less |= {f"_xy_{i}_{j}": F.col(f"_xy_{i}_{j}") - share[i] * F.col(f"_xy_{p}_{j}") for i in share for j in range(k)}
-        at = at.withColumns(less)
-    for p in reversed(range(m)):
-        solved = {}
-        for j in range(k):
-            rest = F.col(f"_xy_{p}_{j}")
-            for i in range(p + 1, m):
-                rest = rest - F.col(f"_xx_{p}_{i}") * F.col(f"_c_{i}_{j}")
-            solved[f"_c_{p}_{j}"] = F.when(F.col(f"_use_{p}"), rest / F.col(f"_xx_{p}_{p}")).otherwise(0.0)
-        at = at.withColumns(solved)
-    return at
-
-
 def var_forecast(df: DataFrame, cols: Sequence[str], key: str = "CODE", order: str = "YEAR", lags: int = 1,
                  holdout: int | float = 1) -> DataFrame:
     """Vector autoregression with a constant, least squares, per entity.
@@ -203,25 +174,20 @@ def var_forecast(df: DataFrame, cols: Sequence[str], key: str = "CODE", order: s
     row = F.array(*[F.col(f"_y_{j}") for j in range(k)])
     seen = F.array(*[F.col(f"_y_{j}") for j in range(k)], *[F.col(f"_x_{i}") for i in range(m - k)])  # newest row first
     used = F.col("_pos").between(lags + 1, F.col("_train"))
-    x, y = [F.when(used, F.col(f"_x_{i}")) for i in range(m)], [F.when(used, F.col(f"_y_{j}")) for j in range(k)]
+    x, y = [F.col(f"_x_{i}") for i in range(m)], [F.col(f"_y_{j}") for j in range(k)]
     g = s.groupBy("_key").agg(
         F.greatest(F.first("_train") - lags, F.lit(0)).alias("N_OBS"),
         F.max(F.array_contains(F.transform(row, lambda v: v.isNull()), True)).alias("_broken"),
         F.max_by(seen, F.when(F.col("_pos") == F.col("_train"), F.col("_pos"))).alias("_seen"),
         F.sort_array(F.collect_list(F.when(F.col("_pos") > F.col("_train"), F.struct("_pos", row.alias("row"))))).alias("_held"),
-        *[F.avg(x[i]).alias(f"_mx_{i}") for i in range(m)],
-        *[F.avg(y[j]).alias(f"_my_{j}") for j in range(k)],
-        *[F.covar_pop(x[i], x[h]).alias(f"_xx_{i}_{h}") for i in range(m) for h in range(i, m)],
-        *[F.covar_pop(x[i], y[j]).alias(f"_xy_{i}_{j}") for i in range(m) for j in range(k)],
+        *least_squares.moments(x, y, used),
     )
-    fit = _eliminate(g, m, k)
+    fit = least_squares.solve(g, m, k)
     fitted = ~F.col("_broken") & (F.col("N_OBS") >= m + 1)
-    equations = []
-    for j in range(k):
-        constant = F.col(f"_my_{j}")
-        for i in range(m):
-            constant = constant - F.col(f"_c_{i}_{j}") * F.col(f"_mx_{i}")
-        equations.append(F.struct(constant.alias("constant"), F.array(*[F.col(f"_c_{i}_{j}") for i in range(m)]).alias("by_lag")))
+    equations = [
+        F.struct(least_squares.constant(m, j).alias("constant"), F.array(*[F.col(f"_c_{i}_{j}") for i in range(m)]).alias("by_lag"))
+        for j in range(k)
+    ]
 
     def step(state: Column, _: Column) -> Column:  # every step goes on from the forecasts before it
         def ahead(eq: Column) -> Column:

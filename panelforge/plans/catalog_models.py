@@ -93,8 +93,8 @@ FROM gb_scored
 def _walk_forward_lr(spark, base, solver):
     # the panel feeds training ranks, scoring ranks and the score table: build it once
     panel = write_once(_labelled(spark, base), "panel")
-    train = M.training_windows(greenblatt_training(panel), M.target_years(panel, N_BACK), N_BACK)
-    coef = M.linear_fit_two(train, "X1", "X2", "Y") if solver == "closed" else M.linear_fit(train, ["X1", "X2"], "Y")
+    windows = M.window_moments(greenblatt_training(panel), ["X1", "X2"], "Y", M.target_years(panel, N_BACK), N_BACK)
+    coef = M.solve_two(windows) if solver == "closed" else M.solve_linear(windows, 2)
     scored = M.apply_linear(greenblatt_scoring(panel), coef, ["X1", "X2"])
     scored = rounded(scored, ["PREDICTION"])
     return rounded(EV.score_table(panel, scored, "PREDICTION", ascending=True), ["RISK"])
@@ -124,9 +124,8 @@ FROM (SELECT s.PREDICTION, t.Y FROM gb_scored s JOIN gb_train t USING (YEAR, COD
 def regression_metrics(spark, base):
     panel = write_once(_labelled(spark, base), "panel")
     tr = write_once(greenblatt_training(panel), "training")
-    train = M.training_windows(tr, M.target_years(panel, N_BACK), N_BACK)
-    scored = rounded(M.apply_linear(greenblatt_scoring(panel), M.linear_fit_two(train, "X1", "X2", "Y"), ["X1", "X2"]),
-                     ["PREDICTION"])
+    windows = M.window_moments(tr, ["X1", "X2"], "Y", M.target_years(panel, N_BACK), N_BACK)
+    scored = rounded(M.apply_linear(greenblatt_scoring(panel), M.solve_two(windows), ["X1", "X2"]), ["PREDICTION"])
     j = scored.select("YEAR", "CODE", "PREDICTION").join(tr.select("YEAR", "CODE", "Y"), ["YEAR", "CODE"])
     return rounded(EV.regression_metrics(j, "Y", "PREDICTION"), ["MSE", "RMSE", "R2"])
 

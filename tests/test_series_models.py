@@ -199,6 +199,38 @@ def test_closed_form_lr_equals_mllib_and_normal_equations(spark):
     assert math.isclose(c.B1, n.B1, rel_tol=1e-6) and math.isclose(c.B0, n.B0, rel_tol=1e-6)
 
 
+def test_sliding_windows_equal_a_fit_per_window(spark):
+    rng = np.random.default_rng(11)
+    rows = [(str(i), int(rng.integers(1995, 2004)), float(rng.normal(1e4, 3)), float(rng.normal(0, 1)), float(rng.normal(5, 2))) for i in range(600)]
+    rows += [("n", 1998, None, 1.0, 1.0), ("m", 1999, 1.0, 1.0, None)]  # incomplete rows train nothing
+    df = spark.createDataFrame(rows, "CODE string, YEAR int, X1 double, X2 double, Y double")
+    years = [1998, 2000, 2003, 2009]  # 2009 has no row in its window
+    windows = M.window_moments(df, ["X1", "X2"], "Y", years, 3)
+    two = {r.TARGET_YEAR: r for r in M.solve_two(windows).collect()}
+    some = {r.TARGET_YEAR: r for r in M.solve_linear(windows, 2).collect()}
+    assert sorted(two) == sorted(some) == [1998, 2000, 2003]
+    for year in two:
+        own = [r for r in rows if year - 3 <= r[1] < year and None not in r]
+        a = np.array([[1.0, r[2], r[3]] for r in own])
+        want = np.linalg.lstsq(a, np.array([r[4] for r in own]), rcond=None)[0]
+        for got in (two[year], some[year]):
+            assert got.N == len(own) and np.allclose([got.B0, got.B1, got.B2], want, rtol=1e-6, atol=1e-9)
+
+
+def test_sliding_windows_copy_years_not_rows(spark):
+    df = spark.range(100).selectExpr("cast(id as string) CODE", "cast(1990 + id % 9 as int) YEAR", "double(id) X1", "double(id * id) X2", "double(id % 7) Y")
+    plan = M.solve_linear(M.window_moments(df, ["X1", "X2"], "Y", [1994, 1995], 3), 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and "Pandas" not in plan
+    assert "Aggregate [YEAR" in plan[plan.index("Generate"):]  # the rows below the copies are one per year
+
+
+def test_collinear_features_weigh_nothing(spark):
+    df = spark.range(50).selectExpr("2000 TARGET_YEAR", "double(id) X1", "double(2 * id + 1) X2", "double(3 * id) Y", "0.1 X3")
+    r = M.linear_fit(df, ["X1", "X2", "X3"], "Y").first()
+    assert math.isclose(r.B1, 3.0, rel_tol=1e-9) and (r.B2, r.B3) == (0.0, 0.0) and abs(r.B0) < 1e-9
+    assert M.linear_fit_two(df, "X1", "X2", "Y").first().N == 50
+
+
 def test_training_windows_have_no_look_ahead(spark):
     df = spark.createDataFrame([(str(i), y) for i in range(3) for y in range(1995, 2002)], "CODE string, YEAR int")
     t = M.training_windows(df, [1998, 1999, 2000, 2001], 3)
