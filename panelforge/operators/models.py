@@ -44,9 +44,8 @@ from panelforge.session import materialize, shared_scratch, write_once
 
 def training_windows(panel: DataFrame, target_years: Sequence[int], n_back: int, year: str = "YEAR") -> DataFrame:
     """Rows of years ``x-n_back .. x-1`` for every target year x, keyed by TARGET_YEAR."""
-    lo, hi = min(target_years), max(target_years)
     t = panel.withColumn("TARGET_YEAR", F.explode(F.sequence(F.col(year) + 1, F.col(year) + n_back)))
-    return t.where(F.col("TARGET_YEAR").isin(list(target_years)) & F.col("TARGET_YEAR").between(lo, hi))
+    return t.where(F.col("TARGET_YEAR").isin(list(target_years)))
 
 
 def _bucket(keys: Sequence[str], seed: int):

@@ -46,3 +46,23 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], to
 def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """``row_number`` over (by, order), from 1."""
     return running_totals(df, by, order, {out: F.lit(1)}).withColumn(out, F.col(out).cast("int"))
+
+
+def dense_numbers(df: DataFrame, by: Sequence[str], value: str, tie: str, out: str) -> DataFrame:
+    """``dense_rank`` over (by, value), from 1; ``tie`` tells equal values apart, so that a frequent one spreads.
+
+    Each partition counts its distinct values. A value that goes on from the
+    partition before was counted there, which the ends of the partitions tell.
+    """
+    by = list(by)
+    dealt = df.repartitionByRange(*[F.col(b).asc() for b in by], F.col(value).asc(), F.col(tie).asc())
+    laid = write_once(dealt.withColumn("__pid", F.spark_partition_id()), "ordered")
+    ends = laid.groupBy("__pid", *by).agg(F.count_distinct(value).alias("__n"), F.min(value).alias("__low"), F.max(value).alias("__high"))
+    parts = Window.partitionBy(*by).orderBy("__pid")
+    goes_on = F.coalesce((F.lag("__high").over(parts) == F.col("__low")).cast("long"), F.lit(0))
+    before = F.coalesce(F.sum("__n").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = ends.withColumns({"__on": goes_on, "__sum": before})
+    offsets = counted.select("__pid", *by, (F.col("__sum") - F.sum("__on").over(parts.rowsBetween(Window.unboundedPreceding, 0))).alias("__before"))
+    inside = Window.partitionBy("__pid", *by).orderBy(F.col(value).asc())
+    placed = null_safe_join(laid, offsets, ["__pid", *by])
+    return placed.withColumn(out, (F.col("__before") + F.dense_rank().over(inside)).cast("int")).select(*df.columns, out)

@@ -1,8 +1,8 @@
 """Rank, top-N and first/last-row operators.
 
 Ranks within a period do not run as a window over the period, which would be one
-task per year: rows (or, for dense ranks, distinct values) are numbered by
-``operators.ordered`` over range partitions. Several ranks of a table are one
+task per year: rows are numbered by ``operators.ordered`` over
+range partitions. Several ranks of a table are one
 pass over its long form (one row per key and column).
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.operators.ordered import null_safe_join, row_numbers
+from panelforge.operators.ordered import dense_numbers, null_safe_join, row_numbers
 from panelforge.session import write_once
 
 
@@ -71,28 +71,27 @@ def dense_rank_by(df: DataFrame, col: str, by: Sequence[str] = ("YEAR",), ascend
                   out: str | None = None) -> DataFrame:
     """Dense rank within ``by``; ties share a rank, no gaps, nulls stay null.
 
-    Only the distinct values of a group are numbered, so a value repeated many
-    times is one row; the numbers are joined back on (by, value).
+    A value repeated many times spreads over partitions like any other rows.
     """
     return dense_ranks(df, {out or f"{col}_RANK": (col, ascending)}, by)
 
 
 def dense_ranks(df: DataFrame, ranks: dict[str, tuple[str, bool]], by: Sequence[str] = ("YEAR",)) -> DataFrame:
-    """Several dense ranks ``{name: (column, ascending)}`` within ``by`` in one pass over the distinct values."""
-    base = write_once(df, "dense-rank")
+    """Several dense ranks ``{name: (column, ascending)}`` within ``by``, numbered in one pass over the long form.
+
+    The rows are numbered when they are written; a row's ranks come back in one
+    join on that number, whatever the number of ranks and however often a value
+    is repeated.
+    """
+    base = write_once(df.withColumn("__row", F.monotonically_increasing_id()), "dense-rank")
     parts = [
-        F.struct(F.lit(i).alias("__m"), (F.col(c).cast("double") if up else -F.col(c).cast("double")).alias("__v"))
+        F.struct(F.lit(i).alias("__m"), (F.col(c).cast("double") * (1 if up else -1) + 0.0).alias("__v"))  # + 0.0: no negative zero
         for i, (c, up) in enumerate(ranks.values())
     ]
-    values = base.select(*by, F.inline(F.array(*parts))).where("__v is not null").distinct()
-    numbered = write_once(row_numbers(values, [*by, "__m"], [F.col("__v").asc()], "__rank"), "dense-rank-values")
-    out = base
-    for i, (name, (c, up)) in enumerate(ranks.items()):
-        own = numbered.where(F.col("__m") == i).select(*[F.col(b).alias(f"__by_{b}") for b in by], F.col("__v").alias("__value"), F.col("__rank").alias("__new"))
-        x = F.col(c).cast("double") if up else -F.col(c).cast("double")
-        on = [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by] + [x == F.col("__value")]
-        out = out.drop(name).join(own, on, "left").withColumn(name, F.col("__new")).drop("__new", "__value", *[f"__by_{b}" for b in by])
-    return out
+    long = base.select(*by, "__row", F.inline(F.array(*parts))).where("__v is not null")
+    numbered = dense_numbers(long, [*by, "__m"], "__v", "__row", "__rank")
+    wide = numbered.groupBy("__row").agg(*[F.min(F.when(F.col("__m") == i, F.col("__rank"))).alias(name) for i, name in enumerate(ranks)])
+    return base.drop(*ranks).join(wide, "__row", "left").drop("__row")
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, by: Sequence[str] = ("YEAR",), rank_name: str = "RANK") -> DataFrame:

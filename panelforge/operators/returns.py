@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.session import write_once
-
 
 def _carry_previous_period(df: DataFrame, key: str, period: str, time: str, value: str, name: str) -> DataFrame:
     """Per (key, period): the last ``value`` of the key's previous non-empty period."""
@@ -34,12 +32,11 @@ def with_previous(df: DataFrame, key: str = "CODE", time: str = "DATE", value: s
     """Add the previous row's ``value`` within ``key`` ordered by ``time``.
 
     With ``period`` set, the window runs per (key, period) and the first row of
-    a period takes the carried value of the previous period (see module notes);
-    the input is written once for both.
+    a period takes the carried value of the previous period (see module notes).
+    Both read ``df``: a caller whose input is derived writes it first.
     """
     if period is None:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(time)))
-    df = write_once(df, "daily")
     w = Window.partitionBy(key, period).orderBy(time)
     carry = _carry_previous_period(df, key, period, time, value, "_carry")
     inner = df.withColumn("_lag", F.lag(value).over(w)).withColumn("_first", F.lag(time).over(w).isNull())
@@ -83,12 +80,11 @@ def price_returns(df: DataFrame, key: str = "CODE", time: str = "DATE", value: s
     """Daily and year-to-date returns in one pass (the price and index jobs).
 
     Both windows share the partitioning (key, period) and ordering, so Spark
-    plans a single exchange and a single sort for them. The input is written
-    once: the windows and the last value of each period, which the next one
-    begins with, both read it.
+    plans a single exchange and a single sort for them. The windows and the last
+    value of each period, which the next one begins with, both read ``df``: a
+    file is scanned twice, a derived input should be written by the caller.
     """
     base = ytd_base or value
-    df = write_once(df, "daily")
     w = Window.partitionBy(key, period).orderBy(time)
     wf = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carry = _carry_previous_period(df, key, period, time, value, "_carry")

@@ -50,7 +50,7 @@ O.cte("dash_picks", _picks_sql(), ("gb_metrics", "companies"))
 
 def _picks(spark, base, regions=None):
     t = Tables(spark, base)
-    metrics = _walk_forward_lr(spark, base, "closed")
+    metrics = _walk_forward_lr(spark, base, "closed", PICK_YEAR - 1)
     return D.picks(metrics, t.companies, PICK_YEAR, TOP_N, "RANKING", CAP_LOW, regions, QUOTE_PAGE)
 
 
@@ -103,7 +103,8 @@ LEFT JOIN (SELECT DATE, CUMULATIVE_RETURNS FROM index_ret WHERE year(DATE) = {PI
 def dashboard_cumulative_vs_index(spark, base):
     t = Tables(spark, base).once("price")
     sel = _picks(spark, base)
-    out = D.cumulative_vs_index(P.price_returns_job(t.price), sel, P.index_returns_job(t.index_values), PICK_YEAR)
+    prices, quotes = write_once(t.price, "daily"), write_once(t.index_values, "daily")
+    out = D.cumulative_vs_index(P.price_returns_job(prices), sel, P.index_returns_job(quotes), PICK_YEAR)
     return rounded(out, ["AVG_CUMULATIVE_RETURNS", "AVG_PRICE"], 9)
 
 

@@ -90,10 +90,15 @@ FROM gb_scored
 """
 
 
-def _walk_forward_lr(spark, base, solver):
+def _walk_forward_lr(spark, base, solver, year=None):
+    """Scores of every target year, or of ``year`` alone: then only its window is ranked and only its rows are scored."""
     # the panel feeds training ranks, scoring ranks and the score table: build it once
     panel = write_once(_labelled(spark, base), "panel")
-    windows = M.window_moments(greenblatt_training(panel), ["X1", "X2"], "Y", M.target_years(panel, N_BACK), N_BACK)
+    years, training = M.target_years(panel, N_BACK), panel
+    if year is not None:
+        years = [y for y in years if y == year]
+        training, panel = panel.where(F.col("YEAR").between(year - N_BACK, year - 1)), panel.where(F.col("YEAR") == year)
+    windows = M.window_moments(greenblatt_training(training), ["X1", "X2"], "Y", years, N_BACK)
     coef = M.solve_two(windows) if solver == "closed" else M.solve_linear(windows, 2)
     scored = M.apply_linear(greenblatt_scoring(panel), coef, ["X1", "X2"])
     scored = rounded(scored, ["PREDICTION"])

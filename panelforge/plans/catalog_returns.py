@@ -8,6 +8,7 @@ from panelforge.operators import returns as T
 from panelforge.plans import oracle as O
 from panelforge.plans import pipelines as P
 from panelforge.plans.catalog import Tables, register, rounded
+from panelforge.session import write_once
 
 O.cte(
     "yearly_prices",
@@ -31,7 +32,7 @@ FROM price WINDOW w AS (PARTITION BY CODE ORDER BY DATE)
     ["price"],
 )
 def price_daily_return(spark, base):
-    return T.daily_return(Tables(spark, base).price).select("CODE", "DATE", "YEAR", "PRICE", "RETURNS")
+    return T.daily_return(write_once(Tables(spark, base).price, "daily")).select("CODE", "DATE", "YEAR", "PRICE", "RETURNS")
 
 
 @register(
@@ -44,7 +45,7 @@ FROM price WINDOW w AS (PARTITION BY CODE ORDER BY DATE)
     ["price"],
 )
 def price_daily_return_current(spark, base):
-    return T.daily_return(Tables(spark, base).price, denominator="current").select(
+    return T.daily_return(write_once(Tables(spark, base).price, "daily"), denominator="current").select(
         "CODE", "DATE", "YEAR", "PRICE", "RETURNS"
     )
 
@@ -62,7 +63,7 @@ WINDOW w AS (PARTITION BY CODE ORDER BY DATE)
     ["price"],
 )
 def price_ytd_return(spark, base):
-    return P.price_returns_job(Tables(spark, base).price).select(
+    return P.price_returns_job(write_once(Tables(spark, base).price, "daily")).select(
         "CODE", "DATE", "YEAR", "PRICE", "PRICE_START", "RETURNS", "CUMULATIVE_RETURNS"
     )
 
@@ -84,13 +85,13 @@ _INDEX_COLS = ("DATE", "YEAR", "INDICE", "OPEN", "HIGH", "LOW", "CLOSE", "ADJ_CL
 @register("index_ytd_return_open_base", _INDEX_SQL.format(base="OPEN"), ["index_values"])
 def index_ytd_open(spark, base):
     q = Tables(spark, base).index_values.where(F.col("DATE") > F.lit("1970-01-01").cast("date"))
-    return P.index_returns_job(q, "OPEN").select(*_INDEX_COLS)
+    return P.index_returns_job(write_once(q, "daily"), "OPEN").select(*_INDEX_COLS)
 
 
 @register("index_ytd_return_adj_close_base", _INDEX_SQL.format(base="ADJ_CLOSE"), ["index_values"])
 def index_ytd_adj_close(spark, base):
     q = Tables(spark, base).index_values.where(F.col("DATE") > F.lit("1970-01-01").cast("date"))
-    return P.index_returns_job(q, "ADJ_CLOSE").select(*_INDEX_COLS)
+    return P.index_returns_job(write_once(q, "daily"), "ADJ_CLOSE").select(*_INDEX_COLS)
 
 
 @register(
@@ -103,7 +104,7 @@ FROM index_values WINDOW w AS (PARTITION BY INDICE ORDER BY DATE)
     ["index_values"],
 )
 def index_daily_return(spark, base):
-    q = Tables(spark, base).index_values
+    q = write_once(Tables(spark, base).index_values, "daily")
     return T.daily_return(q, "INDICE", "DATE", "ADJ_CLOSE").select("DATE", "INDICE", "ADJ_CLOSE", "RETURNS")
 
 

@@ -99,3 +99,40 @@ def test_unique_rank_of_sum(spark):
     got = {r.CODE: r.RANK_UNIQUE for r in R.unique_rank_of_sum(df, ["CODE"], "V").collect()}
     assert got == {"C": 1, "A": 2, "B": 3}  # A and B tie on 3: broken by CODE
     assert R.unique_rank_of_sum(df, ["CODE"], "V", n=2).count() == 2
+
+
+def test_dense_ranks_equal_brute_force_with_a_hot_value(spark):
+    rows = [(y, i, 7.0 if i % 3 else float(i % 11) - 5, None if i % 5 == 0 else float(i % 4)) for y in (2000, None) for i in range(900)]
+    rows += [(2001, 1, 0.0, -0.0), (2001, 2, -0.0, 0.0), (2001, 3, None, None)]
+    df = spark.createDataFrame(rows, "YEAR int, ID int, V double, U double").repartition(7)
+    got = R.dense_ranks(df, {"A": ("V", False), "B": ("U", True), "V": ("V", True)}).collect()
+    assert len(got) == len(rows)
+
+    def rank(year, v, at, up):
+        if v is None:
+            return None
+        distinct = sorted({r[at] + 0.0 for r in rows if r[0] == year and r[at] is not None}, reverse=not up)
+        return distinct.index(v + 0.0) + 1
+
+    want = sorted(((y, i, rank(y, v, 2, False), rank(y, u, 3, True), rank(y, v, 2, True)) for y, i, v, u in rows), key=str)
+    assert sorted(((r.YEAR, r.ID, r.A, r.B, r.V) for r in got), key=str) == want
+
+
+def test_a_value_over_many_partitions_is_counted_once(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.range(4000).selectExpr("1 YEAR", "cast(id as int) ID", "case when id < 3500 then 5.0D else double(id) end V")
+        r = R.dense_rank_by(df, "V", ascending=True).agg(F.min("V_RANK"), F.max("V_RANK"), F.count(F.when(F.col("V_RANK") == 1, 1))).first()
+        assert tuple(r) == (1, 501, 3500)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_many_dense_ranks_join_the_rows_once(spark):
+    df = spark.range(50).selectExpr("1 YEAR", "id ID", *[f"double(id % {k + 2}) C{k}" for k in range(9)])
+    out = R.dense_ranks(df, {f"R{k}": (f"C{k}", True) for k in range(9)})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2  # the partitions' offsets, and the ranks of a row
