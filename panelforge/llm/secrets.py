@@ -124,20 +124,26 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
 
 # ---------------------------------------------------------------- verification
 
+#: Matches whose positions are summed up together.
+BLOCK = 256
+
 
 def _spans(text: Column, rule: Rule, place: int) -> Column:
     """array<struct<start, place, end>> of the rule's matches in code points.
 
     The gaps between the matches and the matches themselves alternate; their
-    lengths summed up give the positions.
+    lengths summed up give the positions. The sum runs within blocks of ``BLOCK``
+    matches and then over the blocks, as appending to an array copies it: the
+    work is linear in the matches, not quadratic.
     """
     pattern = F.lit(rule.pattern)
-    parts = F.arrays_zip(
+    matches = F.arrays_zip(
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("whole"),
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("value"),
         F.split(text, rule.pattern, -1).alias("gap"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,place:int,end:int,size:int>>").alias("found"))
+    span = "struct<start:int,place:int,end:int,size:int>"
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("found"))
 
     def step(state: Column, part: Column) -> Column:
         begin = state["at"] + F.length(part["gap"])
@@ -145,9 +151,24 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
         found = F.struct(begin.alias("start"), F.lit(place).alias("place"), end.alias("end"), F.coalesce(F.length(part["value"]), F.lit(-1)).alias("size"))
         return F.struct(end.alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
 
-    all_found = F.aggregate(parts, start, step, lambda state: state["found"])
-    kept = F.filter(all_found, lambda s: s["size"] >= rule.least)  # the last gap has no match behind it: size -1
-    return F.transform(kept, lambda s: F.struct(s["start"], s["place"], s["end"]))
+    def blocks(parts: Column) -> Column:  # each with the positions of its own beginning
+        return F.transform(F.sequence(F.lit(1), F.size(parts), F.lit(BLOCK)), lambda first: F.aggregate(F.slice(parts, first, BLOCK), start, step))
+
+    def begins(done: Column) -> Column:  # where each block begins: the lengths of those before it
+        sums = F.aggregate(done, F.array(F.lit(0)), lambda ends, block: F.concat(ends, F.array(F.element_at(ends, -1) + block["at"])))
+        return F.slice(sums, 1, F.size(done))
+
+    def moved(done: Column) -> Column:
+        def shift(block: Column, by: Column) -> Column:
+            # the last gap has no match behind it: size -1
+            kept = F.filter(block["found"], lambda s: s["size"] >= rule.least)
+            return F.transform(kept, lambda s: F.struct((s["start"] + by).alias("start"), s["place"], (s["end"] + by).alias("end")))
+
+        return F.flatten(F.zip_with(done, begins(done), shift))
+
+    # an expression is evaluated anew wherever a lambda uses it, a lambda's variable is not
+    placed = F.transform(F.array(matches), blocks)
+    return F.transform(placed, moved)[0]
 
 
 def _shortest(rule: Rule) -> Rule:

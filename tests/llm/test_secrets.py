@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -56,6 +57,16 @@ def test_overlaps_code_points_and_further_rules(spark):
     assert all(kind in " ".join(x[3] for x in got) for kind in ("github", "slack", "google", "pem", "jwt"))
 
 
+def test_many_matches_in_one_text(spark):
+    texts = ["token=abcdef " * n for n in (255, 256, 257, 513)] + ["é token=abcdefgh " * 100_000]
+    df = cases.table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    began = time.monotonic()
+    got = found(df)
+    took = time.monotonic() - began
+    assert got == brute(cases.pairs_of(df))
+    assert took < 60  # appending match by match took more than that for half as many
+
+
 def test_trigram_queries():
     assert S.trigram_query("AKIA[A-Z0-9]+") == [frozenset({"aki", "kia"})]
     assert S.trigram_query("[0-9a-f]+") is None
