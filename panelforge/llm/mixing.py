@@ -64,8 +64,12 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], budget: float, mo
     return table.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
 
 
-def _quotas(streams: DataFrame) -> DataFrame:
-    """Integer quotas of the streams (skey, part, blocks, share), share being the blocks wished for."""
+def _quotas(streams: DataFrame, most: float) -> DataFrame:
+    """Integer quotas of the streams (skey, part, blocks, share), share being the blocks wished for.
+
+    No quota exceeds ``most`` times the blocks of its stream; a share never does, so that the bound takes
+    no more than the rounding of a stream gave it.
+    """
     t = streams.agg(F.sum("share").alias("share"), F.count("*").alias("parties")).first()
     seats = int(round(t.share or 0.0, 3) + 0.5)  # the last bits of a sum depend on the order of its rows
     slack = t.parties / (2.0 * seats) if seats else 0.0
@@ -79,7 +83,7 @@ def _quotas(streams: DataFrame) -> DataFrame:
         listed.orderBy(F.desc("quotient"), "skey", "part", "k").limit(max(0, seats - sure))
         .groupBy("skey", "part").agg(F.count("*").alias("won"))
     )
-    quota = F.least(F.col("low") + F.coalesce("won", F.lit(0)), 2 * F.col("blocks"))
+    quota = F.least(F.col("low") + F.coalesce("won", F.lit(0)), F.floor(F.lit(float(most)) * F.col("blocks")))
     return bounds.join(won, ["skey", "part"], "left").withColumn("quota", quota.cast("long")).drop("low", "won")
 
 
@@ -93,6 +97,7 @@ def mix(
     ``mix_target``: those of its source; ``mix_passes``: how often the whole
     document is taken; ``mix_ranges``: word ranges [from, to) taken once more, of
     a document that is cut (at most one in a stream); ``mix_taken``: words taken in all. Documents without words take nothing.
+    No stream is taken more than ``most`` times, no document more than ``most`` rounded up.
     A null source is a source, the last one. Repeated rows are documents of
     their own. An empty table gives an empty result. Columns of ``docs`` with the
     names of the added ones are replaced.
@@ -111,7 +116,7 @@ def mix(
     blocks = F.greatest(F.lit(1), F.round(F.col("length") / BLOCK_WORDS)).cast("long")
     streams = lengths.where("length > 0").withColumn("blocks", blocks).withColumn("share", F.col("blocks") * F.col("target") / F.col("source_size"))
     rest = F.floor(F.pmod("quota", "blocks") * F.col("length") / F.col("blocks")).cast("long")
-    quotas = _quotas(written(streams, "mix-streams")).select(
+    quotas = _quotas(written(streams, "mix-streams"), most).select(
         F.col("skey").alias("__skey"), F.col("part").alias("__part"), F.floor(F.col("quota") / F.col("blocks")).alias("__passes"), rest.alias("__rest")
     )
     quotas = written(quotas, "mix-quotas")

@@ -1,3 +1,5 @@
+import math
+import random
 import re
 from collections import defaultdict
 
@@ -64,11 +66,28 @@ def test_cases(spark, clash):
 def test_quotas_are_the_highest_quotients(spark):
     shares = [0.2, 3.7, 10.4, 55.5, 0.6, 7.1, 21.5, 100.0]
     streams = spark.createDataFrame([(f"s{i}", 0, 1000, x) for i, x in enumerate(shares)], "skey string, part int, blocks long, share double")
-    got = {r.skey: r.quota for r in M._quotas(streams).collect()}
+    got = {r.skey: r.quota for r in M._quotas(streams, 2.0).collect()}
     quotients = sorted(((-x / (2 * k + 1), f"s{i}") for i, x in enumerate(shares) for k in range(200)))[: int(sum(shares) + 0.5)]
     assert got == {f"s{i}": sum(s == f"s{i}" for _, s in quotients) for i in range(len(shares))}
 
 
+@pytest.mark.parametrize("most, budget", [(1.5, 1.3), (3.0, 2.5)])
+def test_other_bounds_than_two(spark, most, budget):
+    rng = random.Random(5)
+    rows = [(i, " ".join(["w"] * rng.randrange(20, 300)), "small" if i % 20 == 0 else "large") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = M.mix(df, weights=(1, 3), budget=budget, most=most).collect()
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in got:
+        sizes[r.source] += r.mix_size
+        taken[r.source] += r.mix_taken
+        assert r.mix_taken <= math.ceil(most) * r.mix_size
+    wanted = targets(sizes, (1, 3), budget, most)
+    assert wanted["small"] == most * sizes["small"]  # stopped at the bound
+    for s in sizes:
+        assert abs(taken[s] - wanted[s]) <= 0.001 * wanted[s] + M.BLOCK_WORDS, (s, taken[s], wanted[s])
+
+
 def test_mixed_documents_hold_the_words_taken(spark):
     df = cases.documents(spark)
     mixed = M.mix(df)
