@@ -43,7 +43,8 @@ _TERM[128:] = np.arange(128, 256)
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0
+    """Whether a document is kept from learning; a null id is not held out."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
 def document_terms(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:

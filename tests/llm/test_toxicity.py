@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -70,3 +71,8 @@ def test_beginnings_are_terms_of_their_own():
     assert not terms("hateful") >= terms("hate")  # the whole word
     assert len(terms("hateful") & terms("hatefully")) == 3  # the beginnings of 4, 5 and 6 letters
     assert terms("Hate, HATE") == terms("hate")
+
+
+def test_a_null_id_is_not_held_out(spark):
+    rows = spark.createDataFrame([(None,), (7,)], "doc_id long").select("doc_id", T.held_out(F.col("doc_id")).alias("h")).collect()
+    assert {r.doc_id: r.h for r in rows} == {None: False, 7: zlib.crc32(b"7") % 5 == 0}
