@@ -5,14 +5,17 @@
 2. These rows are range-partitioned by (hash, document, descending) and sorted
    within each partition by the same; a very common line spreads over several
    partitions.
-3. Each task streams over its rows. A run of equal hashes that begins and ends
-   inside a batch is decided on the spot: the first row, that of the largest
-   document, is kept and the others drop the line if the run has enough
-   documents. Runs that touch the edge of a batch may go on beyond it; their
-   rows are passed on undecided.
-4. Undecided runs are decided from their counts, aggregated before the shuffle.
-5. The dropped lines of a document become a compressed bitmap; no text is moved
-   before the bitmap is applied.
+3. Each task streams over its rows and carries the run of equal hashes at the
+   end of a batch into the next one. The first row of a run, that of the largest
+   document, is kept; as soon as the run has enough documents, the others drop
+   the line. Only the first and the last run of a partition may go on beyond it:
+   each leaves one row with its number of documents and its largest one, and of
+   its rows only those that this piece cannot settle stay open - the largest
+   document of a first run, or a piece with too few documents.
+4. Open rows are settled by the sums over the pieces of their run: one row per
+   piece, so at most one per partition however common the line.
+5. The dropped lines of a document become a compressed bitmap. Texts are joined
+   with the bitmaps, which are written first, so that Spark knows their size.
 """
 
 from __future__ import annotations
@@ -64,8 +67,65 @@ def _occurrences(least: int):
     return run
 
 
+_FIELDS = ("hi", "lo", "doc_id", "text_key", "lines")
+_MARKS = "hi long, lo long, doc_id long, text_key long, lines array<int>, kind int, documents long"
+#: Kinds of marked rows: the document loses the lines; to be settled by its run's pieces; a piece of a run.
+_DROPPED, _OPEN, _PIECE = 0, 1, 2
+#: Rows of one run that are held until the run has enough documents.
+_HELD_ROWS = 20_000
+
+
+class _Run:
+    """The run of equal hashes at the end of what a task has read; it goes on from batch to batch."""
+
+    def __init__(self, hi: int, lo: int, doc: int, leads: bool, least: int):
+        self.hi, self.lo, self.largest, self.last, self.leads, self.least = hi, lo, doc, None, leads, least
+        self.documents, self.held, self.n_held, self.open = 0, [], 0, False
+
+    def add(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        doc = rows.column(2).to_numpy()
+        self.documents += int(np.count_nonzero(doc[1:] != doc[:-1])) + int(doc[0] != self.last)
+        self.last = int(doc[-1])
+        self.held.append(rows)
+        self.n_held += rows.num_rows
+        if self.documents >= self.least:
+            for part in self.held:
+                first = part.column(2).to_numpy() == self.largest
+                yield _marked(part, np.flatnonzero(~first), _DROPPED)
+                if self.leads:  # the partition before may hold a larger document
+                    yield _marked(part, np.flatnonzero(first), _OPEN)
+        elif self.n_held > _HELD_ROWS:
+            yield from self._give_up()
+        else:
+            return
+        self.held, self.n_held = [], 0
+
+    def _give_up(self) -> Iterator[pa.RecordBatch]:
+        self.open = True
+        for part in self.held:
+            yield _marked(part, np.arange(part.num_rows), _OPEN)
+
+    def close(self, ends_partition: bool) -> Iterator[pa.RecordBatch]:
+        beyond = self.leads or ends_partition or self.open
+        if beyond:
+            yield from self._give_up()
+            values = [[self.hi], [self.lo], [self.largest], [0], [[]], [_PIECE], [self.documents]]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, _KINDS)], [*_FIELDS, "kind", "documents"])
+
+
+_KINDS = [pa.int64()] * 4 + [pa.list_(pa.int32()), pa.int32(), pa.int64()]
+
+
+def _marked(rows: pa.RecordBatch, places: np.ndarray, kind: int) -> pa.RecordBatch:
+    taken = rows.take(pa.array(places))
+    n = len(places)
+    columns = [c.cast(k) for c, k in zip(taken.columns, _KINDS)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(n, kind, np.int32)), pa.nulls(n, pa.int64())], [*_FIELDS, "kind", "documents"])
+
+
 def _streamed(documents: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: _Run | None = None
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -73,17 +133,26 @@ def _streamed(documents: int):
             hi, lo, doc = (batch.column(i).to_numpy() for i in range(3))
             begins = np.flatnonzero(np.concatenate(([True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1]))))
             ends = np.append(begins[1:], n)
+            if at is None or (at.hi, at.lo) != (hi[0], lo[0]):
+                if at is not None:
+                    yield from at.close(False)
+                at = _Run(int(hi[0]), int(lo[0]), int(doc[0]), at is None, documents)
+            yield from at.add(batch.slice(0, ends[0]))
+            if len(begins) == 1:
+                continue
+            yield from at.close(False)
+            # runs that begin and end inside the batch, all at once
             run_of = np.repeat(np.arange(len(begins)), ends - begins)
             new_doc = np.concatenate(([True], doc[1:] != doc[:-1]))
             new_doc[begins] = True
             many = np.bincount(run_of, new_doc) >= documents
-            edge = np.zeros(len(begins), bool)
-            edge[[0, -1]] = True
-            drop = many[run_of] & ~edge[run_of] & (doc != doc[begins][run_of])
-            passed = np.flatnonzero(drop | edge[run_of])
-            if len(passed):
-                rows = batch.take(pa.array(passed))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(edge[run_of][passed])], [*rows.schema.names, "undecided"])
+            many[[0, -1]] = False
+            yield _marked(batch, np.flatnonzero(many[run_of] & (doc != doc[begins][run_of])), _DROPPED)
+            last = int(begins[-1])
+            at = _Run(int(hi[last]), int(lo[last]), int(doc[last]), False, documents)
+            yield from at.add(batch.slice(last))
+        if at is not None:
+            yield from at.close(True)
 
     return run
 
@@ -119,17 +188,16 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, te
     order = [F.col("hi"), F.col("lo"), F.col("doc_id").desc()]
     streamed = (
         found.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_streamed(least_docs), "hi long, lo long, doc_id long, text_key long, lines array<int>, undecided boolean")
+        .mapInArrow(_streamed(least_docs), _MARKS)
     )
     marked = written(streamed, "line-marks")
-    undecided = marked.where("undecided")
+    # equal (hash, document) meet in one partition, so the pieces of a run have no document in common
     runs = (
-        undecided.groupBy("hi", "lo", "doc_id").agg(F.lit(1).alias("one"))
-        .groupBy("hi", "lo").agg(F.count("*").alias("documents"), F.max("doc_id").alias("largest"))
+        marked.where(F.col("kind") == _PIECE).groupBy("hi", "lo").agg(F.sum("documents").alias("documents"), F.max("doc_id").alias("largest"))
         .where(F.col("documents") >= least_docs).drop("documents")
     )
-    dropped = marked.where("not undecided").select("doc_id", "text_key", "lines").union(
-        undecided.join(runs, ["hi", "lo"]).where("doc_id <> largest").select("doc_id", "text_key", "lines")
+    dropped = marked.where(F.col("kind") == _DROPPED).select("doc_id", "text_key", "lines").union(
+        marked.where(F.col("kind") == _OPEN).join(runs, ["hi", "lo"]).where("doc_id <> largest").select("doc_id", "text_key", "lines")
     )
     # repeated rows list a line more than once
     of_doc = dropped.groupBy("doc_id", "text_key").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
@@ -151,6 +219,7 @@ def keep_lines(docs: DataFrame, bitmaps: DataFrame, text: str = "text", doc_id:
                 kept.append(body)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.int64()), batch.column(2), pa.array(kept, pa.string())], ["doc_id", "n_lines", "n_dropped", "kept_text"])
 
+    bitmaps = written(bitmaps, "line-bitmaps")  # of known size: the texts stay where they are if it is small
     joined = _plain(docs, text, doc_id).join(bitmaps, ["doc_id", "text_key"], "left").select(
         "doc_id", "text", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "keep_bitmap"
     )
