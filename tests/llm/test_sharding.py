@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelforge.llm import sharding as S
 from tests.llm import cases
@@ -44,6 +45,37 @@ def test_a_large_group_of_copies_is_split_and_small_ones_are_not(spark):
     assert sum(len(s) > 1 for s in where.values()) == 1
 
 
+def test_copies_no_larger_than_the_largest_row_stay_together(spark):
+    data = [(i, f"group {i // 6} " * 40, None, None, None) for i in range(600)] + [(9000, "one long text " * 300, None, None, None)]
+    rows = S.shard(cases.table(spark, data), 40).collect()
+    sizes = check(rows, 40, 601)
+    largest, target = max(size(r.text) for r in rows), sum(sizes.values()) / 40
+    assert all(abs(s - target) <= largest + 0.02 * target for s in sizes.values())
+    where = defaultdict(set)
+    for r in rows:
+        where[r.text].add(r.shard)
+    assert all(len(s) == 1 for s in where.values())
+
+
+def test_shards_are_slices_of_the_sorted_keys(spark):
+    df = cases.documents(spark)
+    rows = S.shard(df.withColumn("key", S.sort_key(S.text_of("text"), F.col("doc_id"))), 8).collect()
+    keys = spark.createDataFrame([(r.key, size(r.text)) for r in rows], "key string, size long")
+    splitters = S.find_splitters(keys, 8, 0.01)
+    assert all(r.shard == sum(r.key >= s for s in splitters) for r in rows)
+    total, below = sum(size(r.text) for r in rows), 0
+    by_text = defaultdict(int)
+    for r in rows:
+        by_text[r.key[:16]] += size(r.text)
+    ends, order = [], sorted(by_text)
+    for k in order:
+        below += by_text[k]
+        ends.append(below)
+    for k, s in enumerate(splitters, 1):  # no boundary between texts is nearer than the tolerance or the one taken
+        at = sum(by_text[x] for x in order if x < s)
+        assert abs(at - total * k // 8) <= max(0.01 * total / 8, min(abs(e - total * k // 8) for e in ends))
+
+
 @pytest.mark.parametrize("clash", [False, True])
 @pytest.mark.parametrize("shards", [1, 3, 40])
 def test_cases(spark, clash, shards):
