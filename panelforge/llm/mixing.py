@@ -8,7 +8,8 @@
 3. The blocks of the mix are apportioned over (source, stream): the highest
    quotients weight / (2 k + 1) win (Sainte-Lague), giving integer quotas.
    Quotients that are certain to win are counted, only those near the limit are
-   listed and sorted: about four per stream, not one per block.
+   listed and numbered over range partitions: about four per stream, not one per
+   block.
 4. A quota of more than all blocks takes the stream as often as it fits; the
    rest is taken from the stream's documents in the order of a seeded hash, whole
    ones until the quota is used up. Only the document in which it ends is cut:
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import WORD, n_words, text_of, written
+from panelforge.operators.ordered import row_numbers
 
 #: Words of a stream, some hundreds of usual documents; at most one document of a stream is cut.
 STREAM_WORDS = 50_000
@@ -44,9 +46,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], budget: float, mo
     One row per source. Sources are weighted in the order of ``skey``, the
     weights repeating. A source of size 0 has target 0.
     """
-    place = F.row_number().over(Window.orderBy("skey")) - 1
+    placed = row_numbers(sizes, [], [F.col("skey").asc()], "__place")
     turns = F.array(*[F.lit(float(w)) for w in weights])
-    table = written(sizes.withColumn("weight", F.element_at(turns, (F.pmod(place, F.lit(len(weights))) + 1).cast("int"))), "mix-sources")
+    table = written(placed.withColumn("weight", F.element_at(turns, (F.pmod(F.col("__place") - 1, F.lit(len(weights))) + 1).cast("int"))).drop("__place"), "mix-sources")
     cap = F.col("source_size") * F.lit(float(most))
     total = table.agg(F.sum("source_size").cast("double").alias("n")).first().n or 0.0
     level, stopped = 0.0, -1
@@ -79,8 +81,9 @@ def _quotas(streams: DataFrame, most: float) -> DataFrame:
     bounds = streams.withColumn("low", low.cast("long"))
     sure = bounds.agg(F.sum("low").alias("n")).first().n or 0
     listed = bounds.withColumn("k", F.explode(F.sequence("low", high.cast("long")))).withColumn("quotient", F.col("share") / (2 * F.col("k") + 1))
+    order = [F.desc("quotient"), F.col("skey").asc(), F.col("part").asc(), F.col("k").asc()]
     won = (
-        listed.orderBy(F.desc("quotient"), "skey", "part", "k").limit(max(0, seats - sure))
+        row_numbers(listed, [], order, "place").where(F.col("place") <= max(0, seats - sure))
         .groupBy("skey", "part").agg(F.count("*").alias("won"))
     )
     quota = F.least(F.col("low") + F.coalesce("won", F.lit(0)), F.floor(F.lit(float(most)) * F.col("blocks")))
@@ -110,7 +113,7 @@ def mix(
     targets = source_targets(words.groupBy("skey").agg(F.sum("size").alias("source_size")), weights, budget, most)
     targets = targets.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("source_size") / STREAM_WORDS)).cast("long"))
     lengths = (
-        words.join(F.broadcast(targets), "skey")  # one row per source
+        words.join(targets, "skey")
         .groupBy("skey", F.pmod("hash", "parts").alias("part")).agg(F.sum("size").alias("length"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
     )
     blocks = F.greatest(F.lit(1), F.round(F.col("length") / BLOCK_WORDS)).cast("long")
@@ -129,7 +132,7 @@ def mix(
     cut = (F.col("__more") > 0) & (F.col("__more") < size)
     ranges = F.when(cut, F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("__more").alias("to")))).otherwise(F.array().cast("array<struct<from:bigint,to:bigint>>"))
     return (
-        sized.join(F.broadcast(of_source), "__skey").withColumn("__part", F.pmod("__hash", "__parts"))
+        sized.join(of_source, "__skey").withColumn("__part", F.pmod("__hash", "__parts"))
         .withColumn("__end", F.sum("mix_size").over(to_here))
         .join(quotas, ["__skey", "__part"], "left").withColumn("__more", once_more.cast("long"))
         .withColumn("mix_ranges", ranges)
