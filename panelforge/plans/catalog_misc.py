@@ -1,6 +1,6 @@
 """Queries: rolling sums, first/last rows, zero-price inspection, unpivot of measures,
-preview, computed sort, per-entity files, fiscal period dates, numeric describe
-(W12, W13, W15, F16, A20, L2, L3, S4, S5, S8, P7, P8, P19)."""
+preview, computed sort, per-entity files, their resumed build, bucketed tables, fiscal period dates,
+numeric describe (W12, W13, W15, F16, A20, J1, L2, L3, S4, S5, S6, S8, P7, P8, P19)."""
 
 from __future__ import annotations
 
@@ -15,8 +15,9 @@ from panelforge.operators import returns as T
 from panelforge.plans import pipelines as P
 from panelforge.plans.catalog import Tables, register, rounded
 from panelforge.plans.catalog_dashboards import _picks
-from panelforge.session import shared_scratch
+from panelforge.session import shared_scratch, write_once
 from panelforge.sources import readers as RD
+from panelforge.sources import writers as WR
 
 
 def _rolling_sql(n: int) -> str:
@@ -132,6 +133,38 @@ def per_entity_files(spark, base):
     return RD.drop_index_column(back).select("Ticker", "FISCAL_YEAR", "PRICE_INI", "PRICE_FIN", "RETURNS")
 
 
+@register("per_entity_resumed", "SELECT CODE AS Ticker, FISCAL_YEAR, PRICE_INI, PRICE_FIN, RETURNS FROM quarterly_returns",
+          ["quarterly_returns"])
+def per_entity_resumed(spark, base):
+    """S8 in two runs: the first ends after three of eight batches of tickers, the second writes only the rest."""
+    t = Tables(spark, base)
+    q = T.quarterly_return(t.financials_quarterly.select("CODE", "FISCAL_YEAR"), t.price)
+    q = write_once(q.select(F.col("CODE").alias("Ticker"), "FISCAL_YEAR", "PRICE_INI", "PRICE_FIN", "RETURNS"), "quarterly")
+    folder = shared_scratch(spark, "per_ticker")
+    WR.write_entities(q, folder, "Ticker", batches=8, most=3)
+    WR.write_entities(q, folder, "Ticker", batches=8)
+    return spark.read.schema(q.schema).parquet(folder).select(*q.columns)
+
+
+@register(
+    "bucketed_yearly_join",
+    """
+SELECT f.YEAR, f.CODE, f.CSR__ROE, y.PRICE_START, y.PRICE_END, y.RETURNS
+FROM fund f JOIN yearly_prices y ON f.YEAR = y.YEAR AND f.CODE = y.CODE
+""",
+    ["fund", "yearly_prices"],
+)
+def bucketed_yearly_join(spark, base):
+    """Fundamentals and yearly prices stored in buckets of (YEAR, CODE), joined where they lie."""
+    t = Tables(spark, base)
+    fund = P.fundamentals(t.financials, True, ["CSR__ROE"])
+    stored = []
+    for name, table in (("fund", fund), ("prices", P.yearly_prices(t.price).select("YEAR", "CODE", "PRICE_START", "PRICE_END", "RETURNS"))):
+        path = shared_scratch(spark, f"bucketed-{name}")
+        stored.append(WR.write_bucketed(table, f"panelforge_{name}_{path.split('-')[-1].split('/')[0]}", path, buckets=16))
+    return stored[0].join(stored[1].hint("merge"), ["YEAR", "CODE"]).select("YEAR", "CODE", "CSR__ROE", "PRICE_START", "PRICE_END", "RETURNS")
+
+
 @register(
     "fiscal_period_dates",
     """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import evaluate as EV
 from panelforge.operators import models as M
+from panelforge.operators import networks as NW
 from panelforge.operators import quality as Q
 from panelforge.operators import selection as S
 from panelforge.operators import trees as T
@@ -136,6 +137,41 @@ def grid_search_forest_classifier(spark, base):
     return S.depth_grid(folds, CLASS_FEATURES, "LABEL", est, range(1, 20), 10, "wrong_class", steps=S.classifier_steps(CLASS_FEATURES, "LABEL", scaled=False))
 
 
+#: Hidden layers of the three fixed networks, and the sizes of the grid.
+FIXED_SHAPES = [(12, 8), (6, 10), (50, 8)]
+SIZES = [(n,) for n in range(1, 31)]
+
+
+@register("mlp_epochs")
+def mlp_epochs(spark, base):
+    """Training and validation loss of three dense networks after every epoch, and the epoch that is kept; rows-only."""
+    split = _class_split(spark, base)
+    fitted = S.classifier_steps(CLASS_FEATURES, "LABEL").fit(split.where("TRAIN"))
+    rows = write_once(fitted.transform(split), "networks")
+    return NW.loss_curves(spark, NW.fit_networks(rows.where("TRAIN"), rows.where("NOT TRAIN"), CLASS_FEATURES, "LABEL", FIXED_SHAPES))
+
+
+@register("grid_search_mlp")
+def grid_search_mlp(spark, base):
+    """Dense networks with one hidden layer of 1..30 neurons: mean accuracy over 3 stratified folds, stopped at the lowest validation loss; rows-only."""
+    return NW.network_grid(_class_folds(_class_split(spark, base), 3), CLASS_FEATURES, "LABEL", SIZES, 3)
+
+
+@register("mlp_best")
+def mlp_best(spark, base):
+    """The network of the best size, refitted: a fifth of the training side ends the training; confusion matrix and rates on both sides; rows-only."""
+    split = _class_split(spark, base)
+    best = NW.network_grid(_class_folds(split, 3), CLASS_FEATURES, "LABEL", SIZES, 3).where("BEST").first().SHAPE
+    hidden = tuple(map(int, best.split("-")[1:-1]))
+    inner = S.exact_split(split.where("TRAIN"), KEYS, 0.8, ["LABEL"], seed=11, out="FIT")
+    marked = write_once(inner.unionByName(split.where("NOT TRAIN"), allowMissingColumns=True), "network-split")
+    rows = write_once(S.classifier_steps(CLASS_FEATURES, "LABEL").fit(marked.where("FIT")).transform(marked), "networks")
+    nets = NW.fit_networks(rows.where("FIT"), rows.where("NOT FIT"), CLASS_FEATURES, "LABEL", [hidden])
+    scored = NW.predict(rows, CLASS_FEATURES, nets).withColumn("PROBABILITY", F.col("SCORES")[0])
+    scored = write_once(scored.select(*KEYS, "LABEL", "TRAIN", "PROBABILITY", (F.col("PROBABILITY") > 0.5).cast("double").alias("PREDICTED")), "scored")
+    return _sides(Point(1.0), scored, auc=True).drop("C", "GAMMA").withColumn("SHAPE", F.lit(best))
+
+
 # ---------------------------------------------------------------- regressors
 
 
@@ -182,6 +218,17 @@ def forest_best_depth(spark, base):
     return _best_depth(spark, base, "forest", range(2, 12))
 
 
+@register("network_regression")
+def network_regression(spark, base):
+    """Dense network with two hidden layers of 4 on the two rank features, scaled: MSE and R2 on both sides at the epoch of the lowest held-out loss; rows-only."""
+    split = _rank_split(spark, base)
+    moments = M.fit_scale(split.where("TRAIN"), ["X1", "X2", "Y"])
+    rows = write_once(M.scale(split, moments), "networks")
+    nets = NW.fit_networks(rows.where("TRAIN"), rows.where("NOT TRAIN"), ["X1", "X2"], "Y", [(4, 4)], "squared")
+    scored = NW.predict(rows, ["X1", "X2"], nets, "squared").withColumn("prediction", F.col("SCORES")[0])
+    return S.refit_scores(scored, "Y", "prediction").withColumn("EPOCH", F.lit(nets[0].epoch))
+
+
 @register("boosting_rounds")
 def boosting_rounds(spark, base):
     """Boosted trees: mean validation loss after every round over 3 folds up to the stop, and the chosen round; rows-only."""

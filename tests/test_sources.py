@@ -1,6 +1,13 @@
 import datetime as dt
+import pathlib
+import re
 
+import pytest
+from pyspark.sql import functions as F
+
+from panelforge.session import shared_scratch
 from panelforge.sources import readers as RD
+from panelforge.sources import writers as WR
 
 
 def test_normalize_price_parses_both_formats_and_drops_bad_dates(spark):
@@ -31,3 +38,49 @@ def test_fundamentals_fiscal_year_and_preliminary_filter(spark):
     got = sorted(r.YEAR for r in fundamentals(f, include_preliminary=False, columns=["CSR__ROE"]).collect())
     assert got == [2016]  # PRELIMINARY <> 1 also drops the null flag
     assert len(fundamentals(f, True, ["CSR__ROE"]).collect()) == 3
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    a = spark.range(2000).selectExpr("cast(id % 7 as int) AS YEAR", "cast(id % 300 as string) AS CODE", "id AS X")
+    b = spark.range(500).selectExpr("cast(id % 7 as int) AS YEAR", "cast(id as string) AS CODE", "id AS Z")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = [WR.write_bucketed(d, f"bucketed_test_{n}", shared_scratch(spark, n), buckets=4) for n, d in (("a", a), ("b", b))]
+        joined = stored[0].join(stored[1], ["YEAR", "CODE"])
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in a.join(b, ["YEAR", "CODE"])._jdf.queryExecution().executedPlan().toString()
+        assert joined.exceptAll(a.join(b, ["YEAR", "CODE"])).isEmpty() and joined.count() == a.join(b, ["YEAR", "CODE"]).count()
+        assert "Exchange" not in stored[0].groupBy("YEAR", "CODE").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        for n in ("a", "b"):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_test_{n}")
+
+
+def files_of(folder):
+    return {str(f): f.stat().st_mtime_ns for f in pathlib.Path(folder).rglob("*.parquet")}
+
+
+def test_a_build_that_was_killed_goes_on(spark):
+    df = spark.range(400).selectExpr("nullif(concat('T', id % 40), 'T3') AS Ticker", "id AS X")
+    path = shared_scratch(spark, "entities")
+    batch = F.pmod(F.xxhash64("Ticker"), F.lit(5))
+    dies = df.withColumn("X", F.when(batch == 2, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("X")))
+    with pytest.raises(Exception, match="lost"):
+        WR.write_entities(dies, path, "Ticker", batches=5)
+    first = {r.Ticker for r in WR.finished_entities(spark, path, "Ticker", "string").collect()}
+    assert first == {r.Ticker for r in df.where(batch < 2).select("Ticker").collect()} and 0 < len(first) < 40
+    before = files_of(path)
+    assert WR.write_entities(df, path, "Ticker", batches=5) == 3
+    after = files_of(path)
+    done = [f for f in before if re.search("Ticker=([^/]+)/", f)[1].replace("__HIVE_DEFAULT_PARTITION__", "") in {t or "" for t in first}]
+    assert done and all(after[f] == before[f] for f in done)
+    back = spark.read.schema(df.schema).parquet(path).select("Ticker", "X")
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    assert WR.write_entities(df, path, "Ticker", batches=5) == 0 and files_of(path) == after
+
+
+def test_entities_of_an_empty_table(spark):
+    path = shared_scratch(spark, "no-entities")
+    assert WR.write_entities(spark.createDataFrame([], "Ticker string, X long"), path, "Ticker") == 0
