@@ -8,7 +8,7 @@ sequence, so byte runs and code-point runs are the same words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +53,13 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def keeping_own(docs: DataFrame, added: Iterable[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)`` with the columns of ``docs``, also those that bear the name of a column ``work`` adds."""
+    aside = {c: f"__own_{c}" for c in docs.columns if c in set(added)}
+    done = work(docs.withColumnsRenamed(aside)).drop(*added)
+    return done.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
+
+
 def n_words(text: Column) -> Column:
     """Number of words; the regular expression never backtracks."""
     return F.regexp_count(text, F.lit(WORD)).cast("long")

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import WORD, n_words, text_of, written
+from panelforge.llm.common import WORD, keeping_own, n_words, text_of, written
 from panelforge.operators.ordered import row_numbers
 
 #: Words of a stream, some hundreds of usual documents; at most one document of a stream is cut.
@@ -169,3 +169,9 @@ def mixed_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
     if "n_chars" in own:
         out = out.withColumn("n_chars", F.length(text).cast(mixed.schema["n_chars"].dataType))
     return out.select(*own)
+
+
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    """The documents as ``mix`` (with its ``options``) takes them, with their own columns whatever these are named."""
+    text = options.get("text", "text")
+    return keeping_own(docs, ADDED, lambda d: mixed_documents(mix(d, **options), text))

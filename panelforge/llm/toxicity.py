@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import Words, row_chunks, text_of, written
+from panelforge.llm.common import Words, keeping_own, row_chunks, text_of, written
 
 HASH_BITS = 20
 FEATURES = 2048
@@ -204,3 +204,8 @@ def predict(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
     """
     scored = score(docs, fit(docs, labels, text, doc_id), text, doc_id)
     return scored.withColumn("toxic_predicted", (F.col("toxic_score") >= 0.5).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``predict`` does not call toxic, with their own columns whatever these are named."""
+    return keeping_own(docs, ("toxic_score", "toxic_predicted"), lambda d: predict(d, labels, text, doc_id).where("toxic_predicted = 0"))

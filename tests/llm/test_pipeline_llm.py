@@ -1,5 +1,6 @@
 import ast
 import random
+import zlib
 from itertools import combinations
 from pathlib import Path
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelforge.llm import decontaminate, near_dedup, toxicity
+from panelforge.llm import decontaminate, mixing, near_dedup, toxicity
 from panelforge.llm.queries import ORACLE, QUERIES
 from tests.llm import cases
 from tests.llm.test_near_dedup import shingles
@@ -41,6 +42,33 @@ def test_stages_accept_empty_documents(spark):
         assert at.count() == 0
 
 
+def test_stages_keep_columns_that_bear_the_names_of_added_ones(spark):
+    added = ("toxic_score", "toxic_predicted", *mixing.ADDED)
+    plain = cases.documents(spark)
+    docs = plain.select("*", *[F.lit(f"own {c}").alias(c) for c in added])
+    for work in (lambda d: toxicity.drop_toxic(d, spark.read.parquet(f"{cases.SF}/labels.parquet")), mixing.mixture):
+        got = work(docs)
+        assert got.columns == docs.columns
+        assert all(r[c] == f"own {c}" for r in got.select(*added).distinct().collect() for c in added)
+        wanted = work(plain)
+        assert got.select(*plain.columns).exceptAll(wanted).isEmpty() and got.count() == wanted.count()
+
+
+def test_sharding_query_equals_its_contract(spark):
+    rows = QUERIES["op7_sharding"](spark, cases.SF).collect()
+    texts = dict(cases.pairs_of(cases.documents(spark)))
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    slots = {}
+    for r in rows:
+        body = (texts[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(body) + 16, zlib.crc32(body), "bytes", None)
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert set(slots) <= set(range(40)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = {k: sum(r["size"] for r in rows if r.shard == k) for k in range(40)}
+    target, largest = sum(sizes.values()) / 40, max(r["size"] for r in rows)
+    assert all(abs(n - target) <= largest + 0.02 * target for n in sizes.values())
+
+
 def test_one_query_per_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
