@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm.common import read_table, written
 from panelforge.llm.decontaminate import drop_contaminated
-from panelforge.llm.mixing import mix, mixed_documents
+from panelforge.llm.mixing import mixture
 from panelforge.llm.near_dedup import drop_near_duplicates
 from panelforge.llm.sharding import shard
-from panelforge.llm.toxicity import predict
+from panelforge.llm.toxicity import drop_toxic
 
 SHARDS = 40
 #: Documents at a similarity of at least so many per cent are near duplicates (op2's 85 binds that query alone).
@@ -23,7 +23,7 @@ NEAR_PERCENT = 80
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted to be toxic go."""
-    return predict(docs, read_table(spark, sf_dir, "labels")).where("toxic_predicted = 0").select(*docs.columns)
+    return drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and the parts of documents, as the mix takes them."""
-    return mixed_documents(mix(docs))
+    return mixture(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
