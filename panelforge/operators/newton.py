@@ -2,8 +2,9 @@
 
 Every pass over the training rows sums, for all grid points still open, the
 loss, its gradient and its Hessian: one job per Newton step instead of one per
-step and point. What leaves a partition is points x features^2 numbers; the
-small systems are solved on the driver. The objective of a point is
+step and point. What leaves a partition is points x features^2 / 2 numbers; a
+point's sums meet in one task, which solves its small system, and the driver
+gets the coefficients. The objective of a point is
 ``C * sum(weight * loss) + |w|^2 / 2`` with a free intercept.
 
 ``fourier`` lifts the rows to random Fourier features of the RBF kernel
@@ -53,47 +54,89 @@ def fourier(n_features: int, gamma: float | None, size: int = 100, seed: int = 1
     return lambda x: np.column_stack([np.sqrt(2 / size) * np.cos(x @ w + b), np.ones(len(x))])
 
 
+def _hessians(z: np.ndarray, curves: np.ndarray) -> Iterator[np.ndarray]:
+    """Upper triangle of ``z' diag(curve) z`` for each column of ``curves``; a column like the one before costs its changed rows alone."""
+    upper, last, found = np.triu_indices(z.shape[1]), None, None
+    for curve in curves.T:
+        used = np.flatnonzero(curve)
+        moved = used if last is None else np.flatnonzero(curve != last)
+        if last is not None and len(moved) < len(used):
+            found = found + (z[moved] * (curve - last)[moved, None]).T @ z[moved]
+        else:
+            found = (z[used] * curve[used, None]).T @ z[used]
+        last = curve
+        yield found[upper]
+
+
+@dataclass
+class _Fit:
+    """A point under way: its coefficients, the step that led there, the objective before it, and whether it has settled."""
+
+    point: Point
+    beta: np.ndarray
+    step: np.ndarray | None = None
+    before: float = np.inf
+    done: bool = False
+
+    def move(self, sums: np.ndarray, tol: float) -> _Fit:
+        """The next Newton step, from the sums of the loss, its gradient and the upper triangle of its Hessian."""
+        n, c, beta = len(self.beta), self.point.c, self.beta
+        free = np.append(np.ones(n - 1), 0.0)
+        value = c * sums[0] + 0.5 * (free * beta**2).sum()
+        if value > self.before * (1 + 1e-12) and np.abs(self.step).max() > tol:  # too far: go back half the way
+            return _Fit(self.point, beta - self.step / 2, self.step / 2, self.before)
+        hessian = np.zeros((n, n))
+        hessian[np.triu_indices(n)] = c * sums[n + 1 :]
+        hessian += np.triu(hessian, 1).T + np.diag(free + 1e-12)
+        step = -np.linalg.solve(hessian, c * sums[1 : n + 1] + free * beta)
+        return _Fit(self.point, beta + step, step, value, bool(np.abs(step).max() <= tol * (1 + np.abs(beta + step).max())))
+
+
 def fit_points(train: DataFrame, features: Sequence[str], label: str, points: Sequence[Point], loss: str, weight: str | None = None, size: int = 100,
                tol: float = 1e-8, passes: int = 60) -> list[np.ndarray]:
     """Coefficients of each point, the intercept last. Rows need complete features and labels 0 and 1."""
     names, of = list(features), LOSSES[loss]
-    widths = [len(names) if p.gamma is None else size for p in points]
-    beta = [np.zeros(w + 1) for w in widths]
-    before, steps, done = [np.inf] * len(points), [None] * len(points), [False] * len(points)
+    fits = [_Fit(p, np.zeros((len(names) if p.gamma is None else size) + 1)) for p in points]
     rows = train.select(*names, F.col(label).cast("double").alias("__y"), (F.col(weight) if weight else F.lit(1.0)).alias("__w"))
     for _ in range(passes):
-        open_points = [(k, points[k].gamma, beta[k]) for k in range(len(points)) if not done[k]]
-        if not open_points:
+        now = {k: fit for k, fit in enumerate(fits) if not fit.done}
+        if not now:
             break
-
-        def partial(batches: Iterator[pd.DataFrame], now=open_points) -> Iterator[pd.DataFrame]:
-            lifts = {g: fourier(len(names), g, size) for _, g, _ in now}
-            total = {k: np.zeros(1 + len(b) + len(b) ** 2) for k, _, b in now}
+        kernels: dict[float | None, list[int]] = {}
+        for k in sorted(now, key=lambda k: points[k].c):  # neighbours in C share most of their rows inside the margin
+            kernels.setdefault(points[k].gamma, []).append(k)
+
+        def partial(batches: Iterator[pd.DataFrame], now=now, kernels=kernels) -> Iterator[pd.DataFrame]:
+            total = {k: np.zeros(1 + len(f.beta) + len(f.beta) * (len(f.beta) + 1) // 2) for k, f in now.items()}
+            lifts = {g: fourier(len(names), g, size) for g in kernels}
+            some = False
+            for batch in batches:
+                some = some or len(batch) > 0
+                x, y, w = batch[names].to_numpy(float), batch["__y"].to_numpy(float)[:, None], batch["__w"].to_numpy(float)[:, None]
+                for g, members in kernels.items():
+                    z = lifts[g](x)
+                    value, slope, curve = of(z @ np.stack([now[k].beta for k in members], axis=1), y)
+                    values, slopes = (w * value).sum(0), z.T @ (w * slope)
+                    for i, (k, hessian) in enumerate(zip(members, _hessians(z, w * curve))):
+                        total[k] += np.concatenate([values[i : i + 1], slopes[:, i], hessian])
+            if some:
+                for k, t in total.items():
+                    yield pd.DataFrame({"POINT": [k], "SUMS": [t.tobytes()]})
+
+        def solve(batches: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
+            total: dict[int, np.ndarray] = {}
             for batch in batches:
-                x, y, w = batch[names].to_numpy(float), batch["__y"].to_numpy(float), batch["__w"].to_numpy(float)
-                lifted = {g: lift(x) for g, lift in lifts.items()}
-                for k, g, b in now:
-                    z = lifted[g]
-                    value, slope, curve = of(z @ b, y)
-                    total[k] += np.concatenate([[(w * value).sum()], z.T @ (w * slope), ((z * (w * curve)[:, None]).T @ z).ravel()])
-            yield pd.DataFrame({"POINT": list(total), "SUMS": [t.tolist() for t in total.values()]})
-
-        cells = rows.mapInPandas(partial, "POINT int, SUMS array<double>").select("POINT", F.posexplode("SUMS").alias("AT", "X"))
-        sums = cells.groupBy("POINT", "AT").agg(F.sum("X").alias("X")).toPandas()
-        for k, found in sums.sort_values("AT").groupby("POINT"):
-            x, n, c = found["X"].to_numpy(), len(beta[k]), points[k].c
-            free = np.append(np.ones(n - 1), 0.0)
-            value = c * x[0] + 0.5 * (free * beta[k] ** 2).sum()
-            if value > before[k] * (1 + 1e-12) and np.abs(steps[k]).max() > tol:  # too far: go back half the way
-                steps[k] = steps[k] / 2
-                beta[k] = beta[k] - steps[k]
-                continue
-            before[k] = value
-            gradient, hessian = c * x[1 : n + 1] + free * beta[k], c * x[n + 1 :].reshape(n, n) + np.diag(free + 1e-12)
-            steps[k] = -np.linalg.solve(hessian, gradient)
-            beta[k] = beta[k] + steps[k]
-            done[k] = np.abs(steps[k]).max() <= tol * (1 + np.abs(beta[k]).max())
-    return beta
+                for k, sums in zip(batch["POINT"], batch["SUMS"]):
+                    total[k] = total.get(k, 0.0) + np.frombuffer(sums)
+            for k, sums in total.items():
+                f = now[k].move(sums, tol)
+                yield pd.DataFrame({"POINT": [k], "BETA": [f.beta.tolist()], "STEP": [f.step.tolist()], "BEFORE": [f.before], "DONE": [f.done]})
+
+        # a point's sums meet in a task and become its next step there: what the driver gets are coefficients
+        sums = rows.mapInPandas(partial, "POINT int, SUMS binary").repartition("POINT")
+        for r in sums.mapInPandas(solve, "POINT int, BETA array<double>, STEP array<double>, BEFORE double, DONE boolean").collect():
+            fits[r.POINT] = _Fit(points[r.POINT], np.array(r.BETA), np.array(r.STEP), r.BEFORE, r.DONE)
+    return [f.beta for f in fits]
 
 
 def raw_scores(points: Sequence[Point], betas: Sequence[np.ndarray], n_features: int, size: int = 100) -> Callable[[np.ndarray], np.ndarray]:

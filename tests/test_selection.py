@@ -111,6 +111,30 @@ def test_rbf_features_separate_rings(spark):
     assert np.allclose(lift @ lift.T, np.exp(-0.3 * ((x[:, None] - x[None]) ** 2).sum(-1)), atol=0.05)
 
 
+def test_newton_steps_leave_no_hessian_on_the_driver(panel, monkeypatch):
+    """What a pass brings to the driver grows with the coefficients of a point, not with their square."""
+    train = S.classifier_steps(XS, "Z").fit(panel).transform(panel)
+    kind, got = type(train), []
+    collect, to_pandas = kind.collect, kind.toPandas
+
+    def numbers(rows):
+        return sum(len(v) if isinstance(v, (list, np.ndarray)) else 1 for r in rows for v in r)
+
+    monkeypatch.setattr(kind, "collect", lambda df: (rows := collect(df), got.append(numbers(rows)))[0])
+    monkeypatch.setattr(kind, "toPandas", lambda df: (rows := to_pandas(df), got.append(rows.size))[0])
+    points = [N.Point(c, 0.1) for c in (0.1, 1.0)]
+    N.fit_points(train, XS, "Z", points, "squared_hinge", size=40, passes=2)
+    assert 0 < max(got) <= len(points) * (2 * 41 + 4)
+
+
+def test_hessians_of_neighbours_equal_those_from_all_rows():
+    rng = np.random.default_rng(8)
+    z, curves = rng.standard_normal((50, 4)), np.repeat((rng.random((50, 1)) > 0.4) * 2.0, 4, axis=1)
+    curves[:3, 1], curves[:, 2], curves[5:9, 3] = 2.0, 0.0, 0.7
+    for curve, upper in zip(curves.T, N._hessians(z, curves)):
+        assert np.allclose(upper, ((z * curve[:, None]).T @ z)[np.triu_indices(4)])
+
+
 @pytest.mark.parametrize("kind", ["tree", "all features", "classes"])
 def test_cut_trees_equal_fits_of_each_depth(panel, kind):
     """Where draws do not depend on the depth; a forest that draws features per node is another forest at each depth."""
