@@ -191,14 +191,25 @@ def class_weights(df: DataFrame, label: str, out: str = "WEIGHT") -> DataFrame:
     return df.join(counts, label).withColumn(out, n / (k * F.col("__nc"))).drop("__nc")
 
 
+def spread(df: DataFrame, least: int = 8) -> DataFrame:
+    """``df`` on ``least`` partitions at least: a forest works on every row once per tree and level, however few the bytes.
+
+    The number is fixed, as the rows drawn for a tree depend on the partitions: clusters of any size grow the same trees.
+    """
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
 def regression_estimator(kind: str, seed: int = 10, **params):
-    """MLlib regressor for ``kind`` in {linear, tree, forest, gbt}, defaults as the reference grids."""
+    """MLlib regressor for ``kind`` in {linear, tree, forest, gbt}, defaults as the reference grids.
+
+    Forests keep the node of every row and tree between levels, instead of walking all rows down from the roots at each.
+    """
     if kind == "linear":
         return LinearRegression(solver="normal", regParam=0.0, **params)
     if kind == "tree":
         return DecisionTreeRegressor(seed=seed, **params)
     if kind == "forest":
-        return RandomForestRegressor(numTrees=params.pop("numTrees", 200), featureSubsetStrategy="sqrt", seed=seed, **params)
+        return RandomForestRegressor(numTrees=params.pop("numTrees", 200), featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True, **params)
     if kind == "gbt":
         return GBTRegressor(maxDepth=params.pop("maxDepth", 5), stepSize=params.pop("stepSize", 0.15),
                             featureSubsetStrategy=params.pop("featureSubsetStrategy", "0.7"), seed=seed, **params)
@@ -209,7 +220,7 @@ def classifier_estimator(kind: str, n_features: int, seed: int = 10, **params):
     """MLlib classifier for ``kind`` in {forest, gbt, logistic, mlp, svm}."""
     if kind == "forest":
         return RandomForestClassifier(numTrees=params.pop("numTrees", 200), featureSubsetStrategy="sqrt",
-                                      maxDepth=params.pop("maxDepth", 5), seed=seed, **params)
+                                      maxDepth=params.pop("maxDepth", 5), seed=seed, cacheNodeIds=True, **params)
     if kind == "gbt":
         return GBTClassifier(maxDepth=params.pop("maxDepth", 10), stepSize=params.pop("stepSize", 0.015),
                              minInstancesPerNode=6, subsamplingRate=0.7, maxIter=params.pop("maxIter", 50),

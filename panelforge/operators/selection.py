@@ -198,7 +198,7 @@ def depth_grid(df: DataFrame, features: Sequence[str], label: str, estimator, de
 
     def one(fold: int) -> list[float]:
         train, valid = fold_sides(df, fold, steps, column)
-        model = estimator.copy().setFeaturesCol("features").setLabelCol(label).setMaxDepth(max(depths)).fit(train)
+        model = estimator.copy().setFeaturesCol("features").setLabelCol(label).setMaxDepth(max(depths)).fit(M.spread(train))
         return [r.LOSS / r.N for r in T.depth_loss(model, valid, features, label, depths, loss).orderBy("STAGE").collect()]
 
     return _table(df.sparkSession, "DEPTH", depths, np.array(_each(one, range(folds))), smaller=True)

@@ -190,7 +190,7 @@ def _best_depth(spark, base, kind: str, depths) -> DataFrame:
     split = _rank_split(spark, base)
     depth = int(S.best_of(_depth_grid(split, kind, depths), "DEPTH"))
     rows = M.assemble(split, ["X1", "X2"])
-    model = M.regression_estimator(kind, maxDepth=depth).setFeaturesCol("features").setLabelCol("Y").fit(rows.where("TRAIN"))
+    model = M.regression_estimator(kind, maxDepth=depth).setFeaturesCol("features").setLabelCol("Y").fit(M.spread(rows.where("TRAIN")))
     return S.refit_scores(model.transform(rows), "Y", "prediction").withColumn("DEPTH", F.lit(depth))
 
 

@@ -195,6 +195,19 @@ def test_rounds_equal_a_fit_per_round(panel, label, loss):
     assert got == (S.early_stop(brute, 2) or int(np.argmin(brute)) + 1)
 
 
+def test_deep_forests_are_fitted_on_spread_rows_with_kept_nodes(panel, monkeypatch):
+    """A small table is dealt to several tasks, and the kept nodes change nothing in the trees."""
+    kind, seen = M.RandomForestClassifier, []
+    fit = kind._fit
+    monkeypatch.setattr(kind, "_fit", lambda est, df: (seen.append((est.getCacheNodeIds(), df.rdd.getNumPartitions())), fit(est, df))[1])
+    est = M.classifier_estimator("forest", 3, numTrees=3)
+    S.depth_grid(panel, XS, "Z", est, range(1, 4), 2, "wrong_class")
+    assert len(seen) == 2 and all(kept and n >= 8 for kept, n in seen)
+    rows = S.write_once(M.assemble(panel, XS), "forest")
+    said = [est.copy().setCacheNodeIds(kept).setFeaturesCol("features").setLabelCol("Z").fit(rows).toDebugString.split("\n", 1)[1] for kept in (True, False)]
+    assert said[0] == said[1]
+
+
 def test_early_stop_rule():
     assert S.early_stop([5, 4, 3, 3, 3], 2) == 3 and S.early_stop([5, 4, 3, 2], 2) is None and S.early_stop([1, 2, 0.5, 1, 1], 2) == 3
     assert S.early_stop([1, 2, 2, 0], 2) == 1 and S.early_stop([], 2) is None
