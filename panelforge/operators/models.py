@@ -4,16 +4,16 @@
   the means and covariances of each year, the years of a window are pooled (one
   row per year and window, no panel row is copied), and column expressions solve
   the normal equations on a table with one row per target year.
-* Tree ensembles, boosting, logistic regression, MLP and linear SVM use MLlib.
+* Tree ensembles, logistic regression, MLP and linear SVM use MLlib; boosting
+  is ``boosting.BoostedTrees``, all folds of a window in one job per level.
   The panel is written once, partitioned by year; each target year reads only the
   years of its window. The driver loops over target years, never over rows.
   Medians, means and the number of boosting rounds are taken from the window
   alone, so that no later year can change an earlier year's score.
 
-XGBoost is not available here; gradient-boosted trees (``GBTRegressor``,
-``GBTClassifier``) stand in. L1 regularisation, per-tree column sampling and
-native missing-value handling have no MLlib counterpart: features are imputed
-first because MLlib trees reject nulls.
+XGBoost is not available here; gradient-boosted trees as MLlib defines them
+stand in. L1 regularisation, per-tree column sampling and native missing-value
+handling have no counterpart there: features are imputed first.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from functools import reduce
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -32,12 +31,13 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.operators import least_squares
+from panelforge.operators.boosting import BoostedTrees
 from panelforge.operators.quantiles import exact_quantiles
 from panelforge.session import materialize, shared_scratch, write_once
 
@@ -200,7 +200,7 @@ def spread(df: DataFrame, least: int = 8) -> DataFrame:
 
 
 def regression_estimator(kind: str, seed: int = 10, **params):
-    """MLlib regressor for ``kind`` in {linear, tree, forest, gbt}, defaults as the reference grids.
+    """Regressor (MLlib, boosting apart) for ``kind`` in {linear, tree, forest, gbt}, defaults as the reference grids.
 
     Forests keep the node of every row and tree between levels, instead of walking all rows down from the roots at each.
     """
@@ -211,20 +211,20 @@ def regression_estimator(kind: str, seed: int = 10, **params):
     if kind == "forest":
         return RandomForestRegressor(numTrees=params.pop("numTrees", 200), featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True, **params)
     if kind == "gbt":
-        return GBTRegressor(maxDepth=params.pop("maxDepth", 5), stepSize=params.pop("stepSize", 0.15),
+        return BoostedTrees("squared", maxDepth=params.pop("maxDepth", 5), stepSize=params.pop("stepSize", 0.15),
                             featureSubsetStrategy=params.pop("featureSubsetStrategy", "0.7"), seed=seed, **params)
     raise ValueError(kind)
 
 
 def classifier_estimator(kind: str, n_features: int, seed: int = 10, **params):
-    """MLlib classifier for ``kind`` in {forest, gbt, logistic, mlp, svm}."""
+    """Classifier (MLlib, boosting apart) for ``kind`` in {forest, gbt, logistic, mlp, svm}."""
     if kind == "forest":
         return RandomForestClassifier(numTrees=params.pop("numTrees", 200), featureSubsetStrategy="sqrt",
                                       maxDepth=params.pop("maxDepth", 5), seed=seed, cacheNodeIds=True, **params)
     if kind == "gbt":
-        return GBTClassifier(maxDepth=params.pop("maxDepth", 10), stepSize=params.pop("stepSize", 0.015),
-                             minInstancesPerNode=6, subsamplingRate=0.7, maxIter=params.pop("maxIter", 50),
-                             seed=seed, **params)
+        return BoostedTrees("logistic", maxDepth=params.pop("maxDepth", 10), stepSize=params.pop("stepSize", 0.015),
+                            minInstancesPerNode=6, subsamplingRate=0.7, maxIter=params.pop("maxIter", 50),
+                            seed=seed, **params)
     if kind == "logistic":
         return LogisticRegression(elasticNetParam=0.0, standardization=False, **params)
     if kind == "mlp":

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from panelforge.operators import models as M
 from panelforge.operators import newton as N
 from panelforge.operators import trees as T
+from panelforge.operators.boosting import BoostedTrees
 from panelforge.operators.ordered import row_numbers
 from panelforge.session import write_once
 
@@ -215,38 +216,23 @@ def early_stop(curve: Sequence[float], patience: int) -> int | None:
     return None
 
 
-def boosting_curve(df: DataFrame, features: Sequence[str], label: str, estimator, folds: int, loss: str, patience: int = 10, most: int = 300,
+def boosting_curve(df: DataFrame, features: Sequence[str], label: str, estimator: BoostedTrees, folds: int, loss: str, patience: int = 10, most: int = 300,
                    first: int = 16, column: str = "FOLD") -> tuple[int, np.ndarray]:
     """M6/M7: (number of rounds, mean validation loss after every round), by k-fold cross validation with early stopping.
 
-    The folds are boosted for ``first`` rounds, twice as many, and so on until
-    the rule stops or ``most`` is reached: a longer fit repeats the shorter one's
-    rounds, so the outcome is that of boosting ``most`` rounds at once. ``df``
-    has the assembled ``features`` column.
+    All folds are boosted together, round by round, until the rule stops or
+    ``most`` is reached; a fold without training or validation rows is left out,
+    and without any fold ``first`` rounds are returned. ``df`` has the assembled
+    ``features`` column.
     """
-    sides = _each(lambda fold: (df.where(F.col(column) != fold), df.where(F.col(column) == fold)), range(folds))
-    rounds = min(first, most)
-    while True:
-
-        def one(side: tuple[DataFrame, DataFrame]) -> np.ndarray | None:
-            train, valid = side
-            if train.isEmpty() or valid.isEmpty():
-                return None
-            model = estimator.copy().setFeaturesCol("features").setLabelCol(label).setMaxIter(rounds).fit(train)
-            found = {r.STAGE: r.LOSS / r.N for r in T.round_loss(model, valid, features, label, loss).collect()}
-            return np.array([found[k] for k in range(len(found))])
-
-        curves = [c for c in _each(one, sides) if c is not None]
-        if not curves:
-            return rounds, np.empty(0)
-        least = min(map(len, curves))
-        mean = np.mean([c[:least] for c in curves], axis=0)
-        stop = early_stop(mean, patience)
-        if stop is not None:
-            return stop, mean[: stop + patience]
-        if rounds >= most or least < rounds:
-            return int(mean.argmin()) + 1, mean
-        rounds = min(2 * rounds, most)
+    sizes = {r[0]: r[1] for r in df.where(F.col(column).isNotNull()).groupBy(column).count().collect()}  # one row per fold
+    held = [k for k in range(folds) if 0 < sizes.get(k, 0) < sum(sizes.values())]
+    if not held:
+        return min(first, most), np.empty(0)
+    fit = estimator.copy().setFeaturesCol("features").setLabelCol(label).setMaxIter(most)
+    mean = fit.boost(df, held, column, loss, lambda curves: early_stop(curves.mean(1), patience) is not None)[1].mean(1)
+    stop = early_stop(mean, patience)
+    return stop or int(mean.argmin()) + 1, mean
 
 
 def refit_scores(df: DataFrame, label: str, predicted: str, side: str = "TRAIN") -> DataFrame:

@@ -169,8 +169,3 @@ def staged_loss(rows: DataFrame, features: Sequence[str], label: str, staged: Ca
 def depth_loss(model, rows: DataFrame, features: Sequence[str], label: str, depths: Sequence[int], loss: str) -> DataFrame:
     trees, wanted = trees_of(model, rows.sparkSession), list(depths)
     return staged_loss(rows, features, label, lambda x: by_depth(trees, x, wanted), loss)
-
-
-def round_loss(model, rows: DataFrame, features: Sequence[str], label: str, loss: str) -> DataFrame:
-    trees, weights = trees_of(model, rows.sparkSession), list(model.treeWeights)
-    return staged_loss(rows, features, label, lambda x: by_round(trees, weights, x), loss)

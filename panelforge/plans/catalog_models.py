@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from panelforge.operators import evaluate as EV
@@ -225,9 +224,9 @@ def _tuned(est, features, label, folds, loss, most):
 def _gbt_classifier(spark, base, compound):
     p = _class_panel(spark, base, compound)
     train = M.hash_folds(p.where(Q.between_closed("YEAR", *CLASS_YEARS)), ["YEAR", "CODE"], 5)
-    est = M.classifier_estimator("gbt", len(CLASS_FEATURES))
+    est = M.classifier_estimator("gbt", len(CLASS_FEATURES), keys=["YEAR", "CODE"])
     s = M.walk_forward_fit_predict(train, CLASS_FEATURES, "LABEL", M.target_years(p, N_BACK), N_BACK, est, p, probability=True, fill=True,
-                                   tune=_tuned(est, CLASS_FEATURES, "LABEL", 5, "wrong_sign", 300), carry=["FOLD"])
+                                   tune=_tuned(est, CLASS_FEATURES, "LABEL", 5, "wrong_sign", 300), carry=["FOLD", "CODE"])
     out = EV.score_table(p, s, "PROBABILITY", ascending=False, rank_name="PROBABILITY_ORDER")
     return out.join(s.select("YEAR", "CODE", F.col("PREDICTION").alias("PREDICTED")), ["YEAR", "CODE"])
 
@@ -446,7 +445,7 @@ def walk_forward_gbt_fenced(spark, base):
 
 def _boosted():
     """Boosted trees of depth 5 and step 0.15 on 70 % of the features; the number of rounds is chosen per window."""
-    return GBTRegressor(maxDepth=5, stepSize=0.15, featureSubsetStrategy="0.7", seed=10)
+    return M.regression_estimator("gbt")
 
 
 # All columns of the ranking job: the ratios and the return known in the year itself.
