@@ -1,6 +1,7 @@
 """Dense networks of a whole grid of shapes, trained together (M9).
 
-Hidden layers are rectified; the output is one score, read through a sigmoid for
+Networks are computed side by side (``Stack``), so that a batch of rows takes a
+few large products and not some for each network. Hidden layers are rectified; the output is one score, read through a sigmoid for
 classes. Every epoch is one job over the training and the validation rows: it
 sums, for all networks still open, both losses and the gradient. What leaves a
 partition is one number per weight. The weights move by resilient propagation,
@@ -62,6 +63,63 @@ def gradient(layers: Sequence[int], flat: np.ndarray, seen: Sequence[np.ndarray]
     return np.concatenate(parts[::-1])
 
 
+#: Rows that are taken through all networks at a time: their hidden layers stay in the processor's cache.
+SLICE = 512
+
+
+class Stack:
+    """Networks on the same inputs, their first layers side by side: one product forward and one back serve all of them.
+
+    Networks with one hidden layer share the second product too, with zeros where a score does not read a neuron.
+    """
+
+    def __init__(self, nets: Sequence[tuple[Sequence[int], np.ndarray]]):
+        self.nets = [(tuple(layers), flat, _weights(layers, flat)) for layers, flat in nets]
+        firsts = [weights[0] for _, _, weights in self.nets]
+        self.w, self.b = np.concatenate([w for w, _ in firsts], axis=1), np.concatenate([b for _, b in firsts])
+        ends = np.cumsum([len(b) for _, b in firsts])
+        self.own = [slice(e - len(b), e) for e, (_, b) in zip(ends, firsts)]
+        self.second = np.zeros((len(self.w.T), len(self.nets)))
+        for k, (layers, _, weights) in enumerate(self.nets):
+            if len(layers) == 3:
+                self.second[self.own[k], k] = weights[1][0][:, 0]
+        self.bias = np.array([weights[-1][1][0] for _, _, weights in self.nets])
+
+    def forward(self, x: np.ndarray) -> tuple[np.ndarray, dict[int, list[np.ndarray]], np.ndarray]:
+        """The first layer of all networks as computed, the rows as each layer after it sees them in the others, and (row, network) scores."""
+        first = x @ self.w + self.b
+        relu, deep = np.maximum(0, first), {}
+        scores = relu @ self.second + self.bias
+        for k, (layers, _, weights) in enumerate(self.nets):
+            if len(layers) != 3:
+                seen = [relu[:, self.own[k]] if len(layers) > 2 else x]
+                for v, c in weights[1:-1]:
+                    seen.append(np.maximum(0, seen[-1] @ v + c))
+                deep[k] = seen
+                scores[:, k] = (seen[-1] @ weights[-1][0] + weights[-1][1])[:, 0] if len(layers) > 2 else first[:, self.own[k]][:, 0]
+        return relu, deep, scores
+
+    def gradients(self, x: np.ndarray, seen: tuple, slope: np.ndarray) -> list[np.ndarray]:
+        """The gradient of each network for (row, network) slopes."""
+        relu, deep, _ = seen
+        delta, seconds, above = slope @ self.second.T, relu.T @ slope, [[] for _ in self.nets]
+        for k, (layers, _, weights) in enumerate(self.nets):
+            if len(layers) == 3:
+                above[k] = [np.append(seconds[self.own[k], k], slope[:, k].sum())]
+            else:
+                back = slope[:, [k]]
+                for (w, _), rows in zip(reversed(weights[1:]), reversed(deep[k])):
+                    above[k].insert(0, np.append((rows.T @ back).ravel(), back.sum(0)))
+                    back = (back @ w.T) * (rows > 0) if len(above[k]) < len(weights) - 1 else back @ w.T
+                delta[:, self.own[k]] = back
+            if len(layers) == 2:
+                relu = relu.copy()
+                relu[:, self.own[k]] = 1.0  # the only layer is not rectified
+        delta *= relu > 0
+        inputs, biases = x.T @ delta, delta.sum(0)
+        return [np.concatenate([inputs[:, own].ravel(), biases[own], *above[k]]) for k, own in enumerate(self.own)]
+
+
 @dataclass
 class Network:
     """A network in training: its weights, those at its best epoch, and (training loss, validation loss) of epochs 0, 1, ..."""
@@ -109,13 +167,17 @@ def fit_networks(train: DataFrame, valid: DataFrame, features: Sequence[str], la
 
         def partial(batches: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
             total = {k: np.zeros(4 + len(flat)) for k, _, flat in now}
+            stack = Stack([(layers, flat) for _, layers, flat in now])
             for batch in batches:
-                x, y, held = batch[names].to_numpy(float), batch["__y"].to_numpy(float), batch["__held"].to_numpy(bool)
-                for k, layers, flat in now:
-                    seen = forward(layers, flat, x)
-                    value, slope = of(seen[-1], y)
-                    losses = [(~held).sum(), value[~held].sum(), held.sum(), value[held].sum()]
-                    total[k] += np.append(losses, gradient(layers, flat, seen, np.where(held, 0.0, slope)))
+                every = batch[names].to_numpy(float), batch["__y"].to_numpy(float), batch["__held"].to_numpy(bool)
+                for at in range(0, len(batch), SLICE):
+                    x, y, held = (part[at : at + SLICE] for part in every)
+                    seen = stack.forward(x)
+                    value, slope = of(seen[-1], y[:, None])
+                    slope[held] = 0.0
+                    losses = [np.full(len(now), (~held).sum()), value[~held].sum(0), np.full(len(now), held.sum()), value[held].sum(0)]
+                    for (k, _, _), lost, found in zip(now, np.transpose(losses), stack.gradients(x, seen, slope)):
+                        total[k] += np.append(lost, found)
             yield pd.DataFrame({"NET": list(total), "SUMS": [t.tolist() for t in total.values()]})
 
         cells = rows.mapInPandas(partial, "NET int, SUMS array<double>").select("NET", F.posexplode("SUMS").alias("AT", "X"))
@@ -147,7 +209,8 @@ def predict(rows: DataFrame, features: Sequence[str], nets: Sequence[Network], l
     @F.pandas_udf("array<double>")
     def scores(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(float) for c in columns])
-        raw = np.stack([forward(layers, flat, x)[-1] for layers, flat in kept], axis=1)
+        stack = Stack(kept)
+        raw = np.concatenate([stack.forward(x[at : at + SLICE])[-1] for at in range(0, max(len(x), 1), SLICE)])
         return pd.Series(list(0.5 * (1 + np.tanh(0.5 * raw)) if loss == "logistic" else raw))
 
     return rows.withColumn(out, scores(*[F.col(c) for c in names]))

@@ -72,3 +72,16 @@ def test_regression(rings):
     rows = rings.withColumn("Y", 2 * F.col("A") - F.col("B"))
     (net,) = NW.fit_networks(rows.where("FOLD <> 0"), rows.where("FOLD = 0"), ["A", "B"], "Y", [(4, 4)], "squared", epochs=80)
     assert net.curve[net.epoch][1] < 0.1 * net.curve[0][1]
+
+
+@pytest.mark.parametrize("hidden", [[(3,)], [(1,), (5,), (2,)], [(2,), (4, 3), (6, 2, 3), (1,)], [(), (3,)], [()]])
+def test_networks_side_by_side_equal_each_alone(hidden):
+    rng, layers = np.random.default_rng(1), [(7, *h, 1) for h in hidden]
+    flats = [NW.initial(one, 3) + 0.05 for one in layers]
+    x, slope = rng.standard_normal((60, 7)), rng.standard_normal((60, len(layers)))
+    stack = NW.Stack(list(zip(layers, flats)))
+    seen = stack.forward(x)
+    for k, found in enumerate(stack.gradients(x, seen, slope)):
+        alone = NW.forward(layers[k], flats[k], x)
+        assert np.allclose(seen[-1][:, k], alone[-1])
+        assert np.allclose(found, NW.gradient(layers[k], flats[k], alone, slope[:, k]))
