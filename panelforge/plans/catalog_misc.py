@@ -120,16 +120,14 @@ QUARTER_FILE_SCHEMA = TY.StructType([
           ["quarterly_returns"])
 def per_entity_files(spark, base):
     """S8 -> S4 -> S5: one ';'-separated folder per ticker with a leading row-number
-    column, stacked back with one distributed read of the glob, index column dropped."""
+    column, stacked back with one distributed read of them all, index column dropped."""
     t = Tables(spark, base)
     q = T.quarterly_return(t.financials_quarterly.select("CODE", "FISCAL_YEAR"), t.price)
     q = q.withColumn("Unnamed: 0", F.row_number().over(Window.partitionBy("CODE").orderBy("FISCAL_YEAR")) - 1)
     folder = shared_scratch(spark, "per_ticker")
-    (q.select("Unnamed: 0", "FISCAL_YEAR", "PRICE_INI", "PRICE_FIN", "RETURNS", F.col("CODE").alias("Ticker"))
-     .repartition("Ticker").write.mode("overwrite").partitionBy("Ticker").option("header", "true").option("sep", ";")
-     .csv(folder))
-    back = RD.read_many(spark, f"{folder}/Ticker=*/*.csv", QUARTER_FILE_SCHEMA, sep=";")
-    back = back.withColumn("Ticker", F.regexp_extract(F.input_file_name(), r"Ticker=([^/]+)/", 1))
+    WR.write_entity_files(q.select("Unnamed: 0", "FISCAL_YEAR", "PRICE_INI", "PRICE_FIN", "RETURNS", F.col("CODE").alias("Ticker")),
+                          folder, "Ticker", "csv", header="true", sep=";")
+    back = RD.read_many(spark, folder, TY.StructType([*QUARTER_FILE_SCHEMA, TY.StructField("Ticker", TY.StringType())]), sep=";")
     return RD.drop_index_column(back).select("Ticker", "FISCAL_YEAR", "PRICE_INI", "PRICE_FIN", "RETURNS")
 
 

@@ -25,6 +25,26 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     )
 
 
+def write_entity_files(df: DataFrame, path: str, entity: str, fmt: str = "csv", **options: str) -> None:
+    """One folder with one file per entity (S8), for many entities with few rows each, into a new ``path``.
+
+    The cost is the files, not the bytes: entities are dealt to as many tasks as a
+    shuffle has, which are not merged by their size. Each task moves its own folders
+    to their place when it ends, so the driver does not move one after the other when
+    the job ends. Until then a failed job leaves files at ``path``: read it only after a success.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        df.repartition(tasks, F.xxhash64(entity))  # by the entity itself, an exchange below would serve, whose tasks are merged
+        .write.mode("errorifexists")
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .options(**options)
+        .partitionBy(entity)
+        .format(fmt)
+        .save(path)
+    )
+
+
 def write_sorted_csv(df: DataFrame, path: str, order_by: tuple[str, ...], single_file: bool = False) -> None:
     """Sorted, headered CSV of a result table.
 

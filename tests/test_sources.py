@@ -4,6 +4,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelforge.session import shared_scratch
 from panelforge.sources import readers as RD
@@ -84,3 +85,36 @@ def test_a_build_that_was_killed_goes_on(spark):
 def test_entities_of_an_empty_table(spark):
     path = shared_scratch(spark, "no-entities")
     assert WR.write_entities(spark.createDataFrame([], "Ticker string, X long"), path, "Ticker") == 0
+
+
+def test_entity_files_are_dealt_to_all_tasks_and_read_as_one_folder(spark):
+    from pyspark.sql import Window
+
+    names = "element_at(array(null, '007', 'A B', 'x=y', 'a/b;c'), cast(id % 5 + 1 as int))"
+    df = spark.range(500).selectExpr(f"if(id < 50, {names}, concat('T', id % 90)) AS Ticker", "concat('2000-', id) AS FISCAL_YEAR", "id / 7 AS PRICE_INI", "id * 1.5D AS PRICE_FIN", "id * 2.5D AS RETURNS")
+    df = df.withColumn("Unnamed: 0", F.row_number().over(Window.partitionBy("Ticker").orderBy("FISCAL_YEAR")).cast("long") - 1)
+    path = shared_scratch(spark, "entity-files")
+    WR.write_entity_files(df, path, "Ticker", "csv", header="true", sep=";")
+    files = list(pathlib.Path(path).rglob("*.csv"))
+    assert len(files) == len({f.parent for f in files}) == df.select("Ticker").distinct().count()
+    # a few rows: merged by their bytes, one task wrote all the files
+    assert len({re.match(r"part-(\d+)", f.name)[1] for f in files}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = RD.read_many(spark, path, T.StructType([f for f in df.schema if f.name != "Ticker"] + [df.schema["Ticker"]]), sep=";").select(*df.columns)
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+def test_no_entity_files(spark):
+    path = shared_scratch(spark, "no-entity-files")
+    WR.write_entity_files(spark.createDataFrame([], "Ticker string, X long"), path, "Ticker")
+    assert RD.read_many(spark, path, "X long, Ticker string").isEmpty()
+
+
+def test_per_entity_files_writes_by_all_tasks(spark, monkeypatch):
+    from panelforge.plans.registry import all_queries
+
+    seen = []
+    read_many = RD.read_many
+    monkeypatch.setattr(RD, "read_many", lambda s, path, *a, **k: seen.append(path) or read_many(s, path, *a, **k))
+    all_queries()["per_entity_files"](spark, "/root/testdata/sf0.001").collect()
+    files = list(pathlib.Path(seen[0].replace("file:", "")).glob("**/*.csv")) if "*" not in seen[0] else []
+    assert len({re.match(r"part-(\d+)", f.name)[1] for f in files}) > 1  # ten tickers; before, one task and a glob of all files
