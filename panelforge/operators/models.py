@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import least_squares
 from panelforge.operators.boosting import BoostedTrees
-from panelforge.operators.quantiles import exact_quantiles
+from panelforge.operators.quantiles import exact_quantiles, fold_medians_in_bracket
 from panelforge.session import materialize, shared_scratch, write_once
 
 
@@ -159,6 +159,49 @@ def fit_medians(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
     return {c: found.get(c, 0.0) for c in features}
 
 
+def fold_medians(df: DataFrame, features: Sequence[str], folds: int, column: str = "FOLD") -> list[dict[str, float]]:
+    """``fit_medians`` of the rows outside each fold; where the fold is null, a row is in none.
+
+    Folds drawn at random have medians close together, which one bracket per feature
+    holds (``fold_medians_in_bracket``); a median that lies outside is looked for in its rows alone.
+    """
+    rows = df.where(F.col(column).isNotNull())
+    out = fold_medians_in_bracket(rows, column, folds, features)
+    for fold, found in enumerate(out):
+        missed = [c for c in features if found[c] is None]
+        if missed:
+            found.update(fit_medians(rows.where(F.col(column) != fold), missed))
+    return out
+
+
+def fold_scale(df: DataFrame, features: Sequence[str], medians: Sequence[Mapping[str, float]], column: str = "FOLD") -> list[dict[str, tuple[float, float]]]:
+    """``fit_scale`` of the rows outside each fold, imputed by the fold's ``medians``, from one pass over all rows.
+
+    Each fold's count, mean and variance of the present values are taken once; those of the
+    other folds and of the imputed values are put together by Chan's formula.
+    """
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in features}
+    named = {"n": F.count, "m": F.avg, "v": F.var_pop, "lo": F.min, "hi": F.max}
+    parts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__fold")).agg(
+        F.count(F.lit(1)).alias("__rows"), *[f(v).alias(f"{name}_{i}") for i, v in enumerate(value.values()) for name, f in named.items()]).collect()  # a row per fold
+
+    def moments(i: int, fold: int, median: float) -> tuple[float, float]:
+        pieces = [(r[f"n_{i}"], r[f"m_{i}"], r[f"v_{i}"], r[f"lo_{i}"], r[f"hi_{i}"]) for r in parts if r["__fold"] != fold]
+        pieces.append((sum(r["__rows"] - r[f"n_{i}"] for r in parts if r["__fold"] != fold), median, 0.0, median, median))
+        pieces = [p for p in pieces if p[0]]
+        if not pieces:
+            return 0.0, 1.0
+        if min(p[3] for p in pieces) == max(p[4] for p in pieces):  # one value: its deviation is 0, not what rounding leaves
+            return pieces[0][3], 1.0
+        n, mean, square = 0, 0.0, 0.0
+        for k, m, v, _, _ in pieces:
+            apart, n = m - mean, n + k
+            mean, square = mean + apart * k / n, square + v * k + apart * apart * k * (n - k) / n
+        return mean, (square / n) ** 0.5 or 1.0
+
+    return [{c: moments(i, fold, found[c]) for i, c in enumerate(features)} for fold, found in enumerate(medians)]
+
+
 def impute(df: DataFrame, medians: Mapping[str, float], indicators: bool = False) -> DataFrame:
     """Nulls and NaN replaced by the given medians, with ``<col>_ISNULL`` columns on request."""
     def missing(c: str):

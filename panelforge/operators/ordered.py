@@ -24,28 +24,30 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"__right_{k}" for k in keys])
 
 
-def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], totals: Mapping[str, Column]) -> DataFrame:
+def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], totals: Mapping[str, Column], whole: Mapping[str, str] | None = None) -> DataFrame:
     """``df`` plus, for each of ``totals``, its sum over the rows of the group up to and including this one.
 
     ``order`` must be a total order inside a group for the result to be
-    determined. Group keys may be null.
+    determined. Group keys may be null. ``whole`` names, for some of ``totals``, a
+    column for the sum over all rows of the group.
     """
-    by = list(by)
+    by, whole = list(by), whole or {}
     marked = df.withColumns({f"__{name}": value for name, value in totals.items()})
     dealt = marked.repartitionByRange(*[F.col(b).asc() for b in by], *order)
     laid = write_once(dealt.withColumn("__pid", F.spark_partition_id()), "ordered")
     sums = laid.groupBy("__pid", *by).agg(*[F.sum(f"__{name}").alias(f"__sum_{name}") for name in totals])
     before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("__pid", *by, *[F.coalesce(F.sum(f"__sum_{name}").over(before), F.lit(0)).alias(f"__before_{name}") for name in totals])
+    offsets = sums.select("__pid", *by, *[F.coalesce(F.sum(f"__sum_{name}").over(before), F.lit(0)).alias(f"__before_{name}") for name in totals],
+                          *[F.sum(f"__sum_{name}").over(Window.partitionBy(*by)).alias(out) for name, out in whole.items()])
     inside = Window.partitionBy("__pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = null_safe_join(laid, offsets, ["__pid", *by])
     found = {name: F.col(f"__before_{name}") + F.sum(f"__{name}").over(inside) for name in totals}
-    return placed.withColumns(found).select(*df.columns, *totals)
+    return placed.withColumns(found).select(*df.columns, *totals, *whole.values())
 
 
-def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
-    """``row_number`` over (by, order), from 1."""
-    return running_totals(df, by, order, {out: F.lit(1)}).withColumn(out, F.col(out).cast("int"))
+def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str, size: str | None = None) -> DataFrame:
+    """``row_number`` over (by, order), from 1; ``size`` names a column for the group's number of rows."""
+    return running_totals(df, by, order, {out: F.lit(1)}, {out: size} if size else None).withColumn(out, F.col(out).cast("int"))
 
 
 def dense_numbers(df: DataFrame, by: Sequence[str], value: str, tie: str, out: str) -> DataFrame:

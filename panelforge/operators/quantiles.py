@@ -62,6 +62,53 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     return found.select(*by, w["P"].alias("P"), q.alias("Q"))
 
 
+#: Half the width of the bracket, as a share of the values, that holds the medians of all folds.
+_FOLD_MARGIN = 0.01
+
+
+def fold_medians_in_bracket(df: DataFrame, column: str, folds: int, cols: Sequence[str]) -> list[dict[str, float | None]]:
+    """For each fold, the exact median of each column over the rows outside it; 0 without values, None if the bracket does not hold it.
+
+    As ``exact_quantiles``, in two aggregates of all rows, for all folds together: a sketch
+    of all values gives one bracket per column; below and, per distinct value, inside it the values
+    of each fold are counted, and a fold's training rows are all rows but its own. The driver gets
+    two numbers per column and fold.
+    """
+    cols = list(cols)
+    long = df.select(F.col(column).alias("__fold"), *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(["__fold"], cols, "METRIC", "__v")
+    values = long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    of_fold = [F.count(F.when(F.col("__fold") == k, 1)).alias(f"__n{k}") for k in range(folds)]
+    near = F.percentile_approx("__v", [0.5 - _FOLD_MARGIN, 0.5 + _FOLD_MARGIN], ACCURACY).alias("__e")
+    stats = values.groupBy("METRIC").agg(F.count("*").alias("__n"), *of_fold, F.min("__v").alias("__min"), F.max("__v").alias("__max"), near).collect()  # a row per column
+    rows = []
+    for r in stats:
+        low, high = (r["__min"], r["__max"]) if r["__n"] <= ACCURACY else r["__e"]
+        rows.append((r["METRIC"], low, high, [r["__n"] - r[f"__n{k}"] - 1 for k in range(folds)]))
+    out: list[dict[str, float | None]] = [dict.fromkeys(cols, 0.0) for _ in range(folds)]
+    if not rows:
+        return out
+    brackets = F.broadcast(df.sparkSession.createDataFrame(rows, "METRIC string, __low double, __high double, __last array<long>"))
+    inside = values.join(brackets, "METRIC").where(F.col("__v") <= F.col("__high"))
+    key = F.when(F.col("__v") >= F.col("__low"), F.col("__v")).alias("__key")
+    counted = inside.groupBy("METRIC", key).agg(F.count("*").alias("__n"), *of_fold)
+    upto = Window.partitionBy("METRIC").orderBy(F.col("__key").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    others = [F.col("__n") - F.col(f"__n{k}") for k in range(folds)]
+    placed = counted.select("METRIC", "__key", *[c.alias(f"__c{k}") for k, c in enumerate(others)], *[F.sum(c).over(upto).alias(f"__end{k}") for k, c in enumerate(others)])
+
+    def at(k: int, place):
+        return F.max(F.when((F.col(f"__end{k}") - F.col(f"__c{k}") <= place) & (place < F.col(f"__end{k}")), F.col("__key")))
+
+    last = [F.col("__last")[k] / 2 for k in range(folds)]
+    found = placed.join(brackets, "METRIC").groupBy("METRIC").agg(*[at(k, f(last[k])).alias(f"{f.__name__}{k}") for k in range(folds) for f in (F.floor, F.ceil)]).collect()
+    picked = {r["METRIC"]: r for r in found}
+    for metric, _, _, lasts in rows:
+        for k, n in enumerate(lasts):
+            if n >= 0:
+                low, high = picked[metric][f"floor{k}"], picked[metric][f"ceil{k}"]
+                out[k][metric] = None if low is None or high is None else low + (high - low) * (n / 2 - n // 2)
+    return out
+
+
 def quantile_columns(df: DataFrame, cols: Sequence[str], named: dict[float, str], by: Sequence[str] = (), digits: int | None = None) -> DataFrame:
     """(by..., METRIC, one column per quantile) of several columns at once."""
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "METRIC", "__val")

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 import numpy as np
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,23 +32,21 @@ PARALLEL = 4
 # ---------------------------------------------------------------- exact splits and folds
 
 
-def hash_places(df: DataFrame, keys: Sequence[str], by: Sequence[str] = (), seed: int = 10, out: str = "PLACE") -> DataFrame:
+def hash_places(df: DataFrame, keys: Sequence[str], by: Sequence[str] = (), seed: int = 10, out: str = "PLACE", size: str | None = None) -> DataFrame:
     """1, 2, ... in each group of ``by``, in the order of the MD5 of the keys: a repeatable shuffle, the same in every engine."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
     marked = df.withColumn("__hash", F.md5(text.cast("binary")))
-    return row_numbers(marked, list(by), [F.col("__hash").asc(), *[F.col(k).asc() for k in keys]], out).drop("__hash")
+    return row_numbers(marked, list(by), [F.col("__hash").asc(), *[F.col(k).asc() for k in keys]], out, size).drop("__hash")
 
 
-def exact_split(df: DataFrame, keys: Sequence[str], fraction: float, by: Sequence[str] = (), seed: int = 10, out: str = "TRAIN") -> DataFrame:
-    """``floor(n * fraction)`` rows of each group of ``by`` are marked as training rows (``out`` = true), exactly."""
-    placed = write_once(hash_places(df, keys, by, seed, "__place"), "split")
-    sizes = placed.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    if by:
-        renamed = sizes.withColumnsRenamed({b: f"__{b}" for b in by})
-        joined = placed.join(renamed, [placed[b].eqNullSafe(renamed[f"__{b}"]) for b in by]).drop(*[f"__{b}" for b in by])
-    else:
-        joined = placed.withColumn("__n", sizes.scalar())
-    return joined.withColumn(out, F.col("__place") <= F.floor(F.col("__n") * F.lit(fraction))).drop("__place", "__n")
+def exact_split(df: DataFrame, keys: Sequence[str], fraction: float, by: Sequence[str] = (), seed: int = 10, out: str = "TRAIN",
+                place: str | None = None) -> DataFrame:
+    """``floor(n * fraction)`` rows of each group of ``by`` are marked as training rows (``out`` = true), exactly.
+
+    ``place`` names a column for the row's place in its group; the training rows are the first ones.
+    """
+    placed = hash_places(df, keys, by, seed, "__place", "__n").withColumn(out, F.col("__place") <= F.floor(F.col("__n") * F.lit(fraction)))
+    return (placed.withColumn(place, F.col("__place")) if place else placed).drop("__place", "__n")
 
 
 def stratified_folds(df: DataFrame, keys: Sequence[str], k: int, by: Sequence[str] = (), seed: int = 10, out: str = "FOLD") -> DataFrame:
@@ -101,7 +100,9 @@ class BalancedWeights(Estimator):
         self.label, self.out = label, out
 
     def _fit(self, dataset: DataFrame) -> _Fitted:
-        counts = {r[0]: r[1] for r in dataset.where(F.col(self.label).isNotNull()).groupBy(self.label).count().collect()}  # one row per class
+        return self.of({r[0]: r[1] for r in dataset.where(F.col(self.label).isNotNull()).groupBy(self.label).count().collect()})  # one row per class
+
+    def of(self, counts: dict) -> _Fitted:
         weights = {c: sum(counts.values()) / (len(counts) * n) for c, n in counts.items()}
         weight = F.lit(0.0)
         for c, w in weights.items():
@@ -137,11 +138,34 @@ def _each(work: Callable, items: Sequence) -> list:
         return list(pool.map(work, items))
 
 
-def fold_sides(df: DataFrame, fold: int, steps: Pipeline | None, column: str = "FOLD") -> tuple[DataFrame, DataFrame]:
-    """(training, validation) rows of a fold, prepared by steps fitted to the training rows, written once."""
+def fold_steps(df: DataFrame, features: Sequence[str], label: str, folds: int, weighted: bool = False, column: str = "FOLD") -> list[PipelineModel]:
+    """``classifier_steps`` fitted to the training rows of every fold, from three passes over all rows for all folds together.
+
+    Medians are exact (``fold_medians``); means, deviations and class counts of a fold's
+    training rows are put together from those of the other folds.
+    """
+    features = list(features)
+    medians = M.fold_medians(df, features, folds, column)
+    moments = M.fold_scale(df, features, medians, column)
+    out = []
+    counts = df.where(F.col(column).isNotNull() & F.col(label).isNotNull()).groupBy(column, label).count().collect() if weighted else []  # folds x classes
+    for fold in range(folds):
+        stages = [_Fitted(partial(M.impute, medians=medians[fold]), medians[fold]), _Fitted(partial(M.scale, moments=moments[fold]), moments[fold])]
+        if weighted:
+            of: dict = {}
+            for k, c, n in counts:
+                if k != fold:
+                    of[c] = of.get(c, 0) + n
+            stages.append(BalancedWeights(label).of(of))
+        out.append(PipelineModel([*stages, Assembler(features)]))
+    return out
+
+
+def fold_sides(df: DataFrame, fold: int, steps: Pipeline | PipelineModel | None, column: str = "FOLD") -> tuple[DataFrame, DataFrame]:
+    """(training, validation) rows of a fold, prepared by steps fitted to the training rows (here, if they are not yet), written once."""
     train, valid = df.where(F.col(column) != fold), df.where(F.col(column) == fold)
     if steps is not None:
-        fitted = steps.fit(train)
+        fitted = steps.fit(train) if isinstance(steps, Pipeline) else steps
         train, valid = fitted.transform(train), fitted.transform(valid)
     # partitions by size: a fit runs many jobs over them
     return write_once(train.hint("rebalance"), "fold-train"), write_once(valid.hint("rebalance"), "fold-valid")
@@ -163,12 +187,13 @@ def newton_grid(df: DataFrame, features: Sequence[str], label: str, points: Sequ
                 column: str = "FOLD") -> DataFrame:
     """Mean accuracy of penalised linear classifiers over the folds: C, GAMMA (null without a kernel), MEAN_METRIC, STD_METRIC, BEST.
 
-    All points of a fold are fitted together, and scored in one pass over its validation rows.
+    The preparation of all folds is fitted together; all points of a fold are
+    fitted together, and scored in one pass over its validation rows.
     """
-    steps = classifier_steps(features, label, weighted)
+    steps = fold_steps(df, features, label, folds, weighted, column)
 
     def one(fold: int) -> list[float]:
-        train, valid = fold_sides(df, fold, steps, column)
+        train, valid = fold_sides(df, fold, steps[fold], column)
         betas = N.fit_points(train, features, label, points, loss, "WEIGHT" if weighted else None)
         wrong = T.staged_loss(valid, features, label, N.raw_scores(points, betas, len(features)), "wrong_sign")
         return [1 - r.LOSS / r.N for r in wrong.orderBy("STAGE").collect()]

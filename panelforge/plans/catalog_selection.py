@@ -57,17 +57,19 @@ def stratified_folds(spark, base):
 
 
 def _class_split(spark, base) -> DataFrame:
-    """Labelled rows of the training years with an exact 80/20 split of each class (TRAIN)."""
+    """Labelled rows of the training years with an exact 80/20 split of each class (TRAIN), and their places in it (PLACE)."""
     p = _class_panel(spark, base).where(F.col("LABEL").isNotNull() & Q.between_closed("YEAR", *CLASS_YEARS))
-    return write_once(S.exact_split(p, KEYS, 0.8, ["LABEL"]), "class-split")
+    return write_once(S.exact_split(p, KEYS, 0.8, ["LABEL"], place="PLACE"), "class-split")
 
 
 def _class_folds(split: DataFrame, folds: int) -> DataFrame:
-    return write_once(S.stratified_folds(split.where("TRAIN"), KEYS, folds, ["LABEL"]), "class-folds")
+    return write_once(S.stratified_folds(split.where("TRAIN").drop("PLACE"), KEYS, folds, ["LABEL"]), "class-folds")
 
 
 def _grid(split: DataFrame, points, loss: str, folds: int, weighted: bool = False) -> DataFrame:
-    return S.newton_grid(_class_folds(split, folds), CLASS_FEATURES, "LABEL", points, loss, folds, weighted)
+    # the training rows are the first of their class in the order in which folds are dealt: no second sort
+    dealt = split.where("TRAIN").withColumn("FOLD", (F.col("PLACE") - 1) % folds)
+    return S.newton_grid(dealt, CLASS_FEATURES, "LABEL", points, loss, folds, weighted)
 
 
 def _best(spark, base, points, loss: str, folds: int, weighted: bool = False) -> tuple[Point, DataFrame]:

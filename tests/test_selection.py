@@ -230,3 +230,54 @@ def test_pipeline_stages_can_be_reused(panel):
     steps = Pipeline(stages=[S.MedianImputer(XS), S.Assembler(XS)])
     first, second = steps.fit(panel.where("FOLD = 0")), steps.fit(panel.where("FOLD = 1"))
     assert first.stages[0].learned != second.stages[0].learned and "features" in first.transform(panel).columns
+
+
+def fold_rows(spark):
+    import random
+
+    random.seed(3)
+    odd = [None, float("nan"), 0.0, -0.0]
+    rows = [(i, random.choice([*odd, *[random.gauss(0, 1) for _ in range(6)]]), None, 0.1, float(i), random.choice([1.0, 2.0, 2.0]), 3.0 if i % 5 == 4 else None,
+             float(i % 3 == 0), None if i == 7 else i % 5 if i % 2 else (i // 2) % 5) for i in range(400)]
+    return spark.createDataFrame(rows, "id int, a double, b double, c double, d double, e double, f double, y double, FOLD int")
+
+
+def test_steps_of_all_folds_equal_those_fitted_fold_by_fold(spark, monkeypatch):
+    df, features = fold_rows(spark), ["a", "b", "c", "d", "e", "f"]
+    alone = [S.classifier_steps(features, "y", weighted=True).fit(df.where(F.col("FOLD") != k)) for k in range(5)]
+    monkeypatch.setattr(S.M, "fit_medians", lambda *a: pytest.fail("a pass per fold"))
+    together = S.fold_steps(df, features, "y", 5, weighted=True)
+    for one, other in zip(alone, together):
+        assert one.stages[0].learned == other.stages[0].learned  # medians: the same bits
+        for c in features:
+            assert one.stages[1].learned[c] == pytest.approx(other.stages[1].learned[c], rel=1e-12, abs=1e-12), c
+        assert one.stages[2].learned == other.stages[2].learned
+        a, b = (np.array([[*r.features, r.WEIGHT] for r in m.transform(df).orderBy("id").collect()]) for m in (one, other))
+        assert np.allclose(a, b, rtol=1e-9, atol=1e-9)
+
+
+def test_medians_of_folds_that_part_the_values(spark):
+    # ten thousand values and more: the bracket is narrow; folds cut by value have medians outside it
+    df = spark.range(30_000).selectExpr("cast(id as double) AS x", "pmod(xxhash64(id), 1000) / 8D AS z", "cast(id div 10000 as int) AS FOLD")
+    inside = S.M.fold_medians_in_bracket(df, "FOLD", 3, ["x", "z"])
+    assert [k for k in range(3) if inside[k]["x"] is None] == [0, 1, 2]
+    found = S.M.fold_medians(df, ["x", "z"], 3)
+    assert found == [S.M.fit_medians(df.where(F.col("FOLD") != k), ["x", "z"]) for k in range(3)]
+    dealt = df.withColumn("FOLD", (F.col("x") % 3).cast("int"))
+    assert S.M.fold_medians_in_bracket(dealt, "FOLD", 3, ["x", "z"]) == [S.M.fit_medians(dealt.where(F.col("FOLD") != k), ["x", "z"]) for k in range(3)]
+
+
+def test_steps_of_folds_without_rows(spark):
+    df = fold_rows(spark).where("FOLD = 1")
+    for k, steps in enumerate(S.fold_steps(df, ["a", "d"], "y", 3, weighted=True)):
+        alone = S.classifier_steps(["a", "d"], "y", weighted=True).fit(df.where(F.col("FOLD") != k))
+        assert [s.learned for s in alone.stages[:1]] == [s.learned for s in steps.stages[:1]] and alone.stages[2].learned == steps.stages[2].learned
+
+
+def test_places_of_a_split_are_the_places_of_its_training_rows(spark, monkeypatch):
+    df = spark.range(300).selectExpr("cast(id % 9 as int) AS YEAR", "concat('S', id) AS CODE", "if(id % 7 = 0, null, id % 3) AS L")
+    monkeypatch.setattr(S, "write_once", lambda *a: pytest.fail("the rows are written a second time"))
+    split = S.exact_split(df, ["YEAR", "CODE"], 0.8, ["L"], place="PLACE")
+    got = split.where("TRAIN").withColumn("FOLD", (F.col("PLACE") - 1) % 4).drop("PLACE", "TRAIN")
+    want = S.stratified_folds(split.where("TRAIN").drop("PLACE", "TRAIN"), ["YEAR", "CODE"], 4, ["L"])
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() == sum(int(n * 0.8) for n in (43, 86, 85, 86))
