@@ -10,14 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.operators import forests as FR
 from panelforge.operators import models as M
 from panelforge.operators import newton as N
 from panelforge.operators import trees as T
@@ -161,6 +163,15 @@ def fold_steps(df: DataFrame, features: Sequence[str], label: str, folds: int, w
     return out
 
 
+def fitted_folds(df: DataFrame, steps: Pipeline, folds: int, column: str = "FOLD") -> list[PipelineModel]:
+    """``steps`` fitted to the training rows of every fold; where only medians are learned, those of all folds are found together."""
+    imputer, *others = steps.getStages() or [None]
+    if isinstance(imputer, MedianImputer) and not imputer.indicators and not any(isinstance(s, Estimator) for s in others):
+        medians = M.fold_medians(df, imputer.features, folds, column)
+        return [PipelineModel([_Fitted(partial(M.impute, medians=found), found), *others]) for found in medians]
+    return _each(lambda fold: steps.fit(df.where(F.col(column) != fold)), range(folds))
+
+
 def fold_sides(df: DataFrame, fold: int, steps: Pipeline | PipelineModel | None, column: str = "FOLD") -> tuple[DataFrame, DataFrame]:
     """(training, validation) rows of a fold, prepared by steps fitted to the training rows (here, if they are not yet), written once."""
     train, valid = df.where(F.col(column) != fold), df.where(F.col(column) == fold)
@@ -218,9 +229,25 @@ def newton_refit(split: DataFrame, features: Sequence[str], label: str, point: N
 
 
 def depth_grid(df: DataFrame, features: Sequence[str], label: str, estimator, depths: Sequence[int], folds: int, loss: str, column: str = "FOLD",
-               steps: Pipeline | None = None) -> DataFrame:
-    """M3-M5: mean loss of each depth over the folds, from one fit of the greatest depth per fold."""
+               steps: Pipeline | None = None, together: bool = False) -> DataFrame:
+    """M3-M5: mean loss of each depth over the folds, from one fit of the greatest depth per fold.
+
+    ``together`` grows the classifying forests of all folds side by side (``forests``), as far as
+    a fold's rows can meet in a task; beyond that, each fold is fitted by MLlib.
+    """
     steps = steps or Pipeline(stages=[Assembler(features)])
+    if together:
+        sizes = {r[0]: (r[1], r[2]) for r in df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)), F.max(label)).collect()}  # a row per fold
+        rows = sum(n for n, _ in sizes.values())
+        if any(not 0 < sizes.get(k, (0, 0))[0] < rows for k in range(folds)):
+            raise ValueError("a fold has no rows to learn from or to be scored")
+        if FR.fits_in_task(rows, len(features)):
+            classes = max(2, int(max(top for _, top in sizes.values())) + 1)
+            known = df.where(F.col(column).isNotNull()).withColumn("__draw", F.xxhash64(*[c for c, kind in df.dtypes if kind != "vector"]))
+            of = [m.transform(known).select(F.lit(k).alias("__fit"), vector_to_array("features").alias("__x"), F.col(label).cast("double").alias("__y"),
+                                            F.col(column).cast("int").alias("__fold"), "__draw") for k, m in enumerate(fitted_folds(df, steps, folds, column))]
+            losses = FR.depth_losses(reduce(DataFrame.unionAll, of), FR.Forest.of(estimator), folds, len(features), classes, depths, loss)
+            return _table(df.sparkSession, "DEPTH", depths, losses, smaller=True)
 
     def one(fold: int) -> list[float]:
         train, valid = fold_sides(df, fold, steps, column)

@@ -136,7 +136,7 @@ def grid_search_forest_classifier(spark, base):
     """Random forest classifier (200 trees, sqrt features) over depth 1..19: share of errors over 10 folds from one fit of depth 19 each; rows-only."""
     folds = _class_folds(_class_split(spark, base), 10)
     est = M.classifier_estimator("forest", len(CLASS_FEATURES))
-    return S.depth_grid(folds, CLASS_FEATURES, "LABEL", est, range(1, 20), 10, "wrong_class", steps=S.classifier_steps(CLASS_FEATURES, "LABEL", scaled=False))
+    return S.depth_grid(folds, CLASS_FEATURES, "LABEL", est, range(1, 20), 10, "wrong_class", steps=S.classifier_steps(CLASS_FEATURES, "LABEL", scaled=False), together=True)
 
 
 #: Hidden layers of the three fixed networks, and the sizes of the grid.
