@@ -6,23 +6,30 @@ on the labels with weight 1, the others on the loss's slope with weight
 from a shorter one; here a job serves all folds, and the rule that ends the
 boosting is asked after every round.
 
-The rows are dealt once, as blocks of bins, and stay with the margins of all
-fits beside them. Per level, a partition leaves the counts and sums of the cells
-(node, feature, bin) of the nodes with more than ``ROWS`` rows; a node's cells
-meet in one task, which picks its split. All smaller nodes are then finished in
-one job: the rows of each meet and grow what is below it. The driver gets nodes
-alone. Rows and features are drawn by hashes of the rows' keys, the round and
-the node's path, so the same trees grow on any number of partitions.
+Up to ``ROWS`` rows, a byte per feature, meet in one task per fit, which keeps
+them with the fit's margins and grows ``CUT`` trees in each job. Only the cells of
+the smaller child of a split are summed; the larger one's are what is left.
+
+Beyond that the rows are dealt once, as blocks of bins, and stay with the margins
+of all fits beside them. Per level, a partition leaves the counts and sums of the
+cells (node, feature, bin) of the nodes with more than ``ROWS`` rows; a node's
+cells meet in one task, which picks its split. All smaller nodes are then finished
+in one job: the rows of each meet and grow what is below it.
+
+The driver gets nodes alone. Rows and features are drawn by hashes of the rows'
+keys, the round and the node's path, so the same trees grow on any number of
+partitions, either way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import closing
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -31,8 +38,10 @@ from pyspark.sql import functions as F
 from panelforge.operators import trees as T
 from panelforge.session import ensure_checkpoint_dir
 
-#: Rows of a partition, and of a node that one task finishes; rounds after which the blocks' lineage is cut.
-ROWS, CUT = 20_000, 10
+#: Rows of a fit or node that one task finishes; rows of a partition beyond that; rounds of a job, or after which the blocks' lineage is cut.
+ROWS, PART, CUT = 1 << 21, 100_000, 10
+#: Jobs of whole fits after which their lineage is cut; rank error of the bins' edges, as 1 / ACCURACY; cells that are counted at once.
+JOBS, ACCURACY, CELLS = 10, 2_000, 1 << 16
 
 
 def _target(kind: str, y: np.ndarray, margin: np.ndarray, first: bool) -> np.ndarray:
@@ -62,6 +71,19 @@ class Block:
     margin: np.ndarray
 
 
+@dataclass
+class Whole:
+    """All rows of one fit: bins (feature, row), labels, folds, hashes and margins; the trees and the (sum of losses, rows) of the last rounds."""
+
+    bins: np.ndarray
+    y: np.ndarray
+    fold: np.ndarray
+    draw: np.ndarray
+    margin: np.ndarray
+    trees: list[T.Tree] = field(default_factory=list)
+    losses: list[tuple[float, int]] = field(default_factory=list)
+
+
 @dataclass
 class Growing:
     """A tree under way: its nodes, with bins as thresholds, and those that may be split. ``path`` is 1 at the root, 2p and 2p + 1 below p."""
@@ -143,8 +165,8 @@ class BoostedTrees(Estimator):
         return BoostedModel(trees, [1.0] + [self.step] * (len(trees) - 1), self.features, self.loss)
 
     def boost(self, df: DataFrame, held: Sequence[int | None], column: str = "FOLD", loss: str | None = None,
-              stop: Callable[[np.ndarray], bool] = lambda curves: False) -> tuple[list[list[T.Tree]], np.ndarray]:
-        """The trees of each fit, and (round, fit) mean ``loss`` on the rows it holds out.
+              stop: Callable[[np.ndarray], bool] = lambda curves: False, keep: bool = True) -> tuple[list[list[T.Tree]], np.ndarray]:
+        """The trees of each fit (none unless ``keep``), and (round, fit) mean ``loss`` on the rows it holds out.
 
         Fit k leaves out the rows of fold ``held[k]`` (None: takes all). It ends after ``maxIter`` rounds or once ``stop`` says so of the losses.
         """
@@ -155,10 +177,41 @@ class BoostedTrees(Estimator):
         n, edges = self._edges(rows, held)
         if not n:
             return [[] for _ in held], np.empty((0, len(held)))
-        parts = max(1, -(-n // ROWS))
-        state = _blocks(rows.repartition(parts), edges).persist(StorageLevel.MEMORY_AND_DISK)
         ensure_checkpoint_dir(df.sparkSession)
+        rounds = self._whole_rounds(rows, edges, held, loss, keep) if n <= ROWS else self._level_rounds(rows, edges, held, loss, n)
         fits, curves = [[] for _ in held], []
+        with closing(rounds):
+            for grown, sums in rounds:
+                for trees, tree, edge in zip(fits, grown, edges) if keep else ():
+                    tree.left, tree.right, tree.feature = (x.astype(np.int32) for x in (tree.left, tree.right, tree.feature))
+                    tree.threshold = np.array([edge[f][int(t)] if f >= 0 else 0.0 for f, t in zip(tree.feature, tree.threshold)])
+                    trees.append(tree)
+                curves.append(sums[0] / np.maximum(sums[1], 1))
+                if stop(np.array(curves)):
+                    break
+        return fits, np.array(curves).reshape(-1, len(held))
+
+    def _whole_rounds(self, rows: DataFrame, edges: list, held: Sequence[int | None], loss: str | None, keep: bool) -> Iterator:
+        """Of each round one tree per fit and the (sum of losses, rows) of the fits; a task for each fit."""
+        state = _wholes(rows, edges).persist(StorageLevel.MEMORY_AND_DISK)
+        step = CUT if loss is not None else max(1, self.rounds)
+        try:
+            for job, first in enumerate(range(0, self.rounds, step)):
+                last, end = state, min(self.rounds, first + step)
+                state = last.map(lambda fit, first=first, end=end: (fit[0], self._boosted(fit[1], held[fit[0]], first, end, loss, keep))).persist(StorageLevel.MEMORY_AND_DISK)
+                if job % JOBS == JOBS - 1:
+                    state.checkpoint()
+                found = dict(state.map(lambda fit: (fit[0], (fit[1].trees, fit[1].losses))).collect())  # nodes alone
+                last.unpersist()
+                for i in range(end - first):
+                    yield [found[k][0][i] for k in range(len(held)) if keep], np.array([found[k][1][i] for k in range(len(held))]).T
+        finally:
+            state.unpersist()
+
+    def _level_rounds(self, rows: DataFrame, edges: list, held: Sequence[int | None], loss: str | None, n: int) -> Iterator:
+        """The same with the rows dealt to partitions."""
+        parts = -(-n // min(ROWS, PART))
+        state = _blocks(rows.repartition(parts), edges).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for number in range(self.rounds):
                 grown = self._tree(state, held, number, n, len(edges[0]), parts)
@@ -168,22 +221,125 @@ class BoostedTrees(Estimator):
                     state.checkpoint()
                 sums = state.map(lambda block: _held_loss(block, held, loss)).treeReduce(np.add)
                 last.unpersist()
-                for trees, tree, edge in zip(fits, grown, edges):
-                    tree.threshold = np.array([edge[f][int(t)] if f >= 0 else 0.0 for f, t in zip(tree.feature, tree.threshold)])
-                    trees.append(tree)
-                curves.append(sums[0] / np.maximum(sums[1], 1))
-                if stop(np.array(curves)):
-                    break
+                yield grown, sums
         finally:
             state.unpersist()
-        return fits, np.array(curves).reshape(-1, len(held))
+
+    def _boosted(self, fit: Whole, held: int | None, first: int, end: int, loss: str | None, keep: bool = True) -> Whole:
+        """The fit after the rounds from ``first`` up to ``end``."""
+        learns = np.ones(len(fit.y), bool) if held is None else fit.fold != held
+        own = np.flatnonzero(~learns)
+        out = Whole(fit.bins, fit.y, fit.fold, fit.draw, fit.margin.copy())
+        for number in range(first, end):
+            used = learns & (_share(fit.draw, number, self.seed) < self.rows) if self.rows < 1 else learns
+            tree, node = self._grown(fit.bins, used, _target(self.loss, fit.y, out.margin, number == 0), number)
+            out.margin += (1.0 if number == 0 else self.step) * tree.value[node]
+            if keep:
+                out.trees.append(tree)
+            out.losses.append((T.LOSSES[loss](out.margin[own], fit.y[own]).sum(), len(own)) if loss is not None and held is not None else (0.0, 0))
+        return out
+
+    def _grown(self, bins: np.ndarray, used: np.ndarray, target: np.ndarray, number: int) -> tuple[T.Tree, np.ndarray]:
+        """The tree that the ``used`` ones of all rows grow, with bins as thresholds, and the leaf of every row."""
+        width, n = bins.shape
+        flat, row = bins.ravel(), np.arange(n)
+        picked = np.flatnonzero(used)
+        count, total = self._binned(bins, picked, target, np.zeros(len(picked), np.int64), 1)
+        counts, sums = count[0].sum(1), total[0].sum(1)  # of the level's nodes that may be split
+        tree = [np.array([-1]), np.array([-1]), np.zeros(1, np.int64), np.array([float(sums[0] / counts[0]) if counts[0] else 0.0]), np.ones(1, np.int64)]
+        left, feature, cut, value, path = tree
+        nodes, node = np.arange(1), np.zeros(n, np.int64)
+        for level in range(self.depth):
+            found, low = self._best(count, total, counts, sums, path[nodes], number)
+            split = found[0] >= 0
+            if not split.any():
+                break
+            f, b = (x[split] for x in found)
+            some, n_low, s_low = nodes[split], *(x[split] for x in low)
+            n_high, s_high = counts[split] - n_low, sums[split] - s_low
+            new = len(left) + 2 * np.arange(len(some))
+            left[some], feature[some], cut[some] = new, f, b
+            grown = 2 * len(some)
+            left, feature, cut = (np.concatenate([x, np.full(grown, start)]) for x, start in ((left, -1), (feature, -1), (cut, 0)))
+            value = np.concatenate([value, np.stack([s_low / n_low, s_high / n_high], 1).ravel()])
+            path = np.concatenate([path, (2 * path[some, None] + np.arange(2)).ravel()])
+            # every row goes on to its child
+            to, of, last = np.where(left >= 0, left, np.arange(len(left))), np.maximum(feature, 0) * n, np.where(left >= 0, cut, bins.itemsize << 16)
+            node = to[node] + (flat[of[node] + row] > last[node])
+            if level + 1 == self.depth:
+                break
+            n_both, s_both = np.stack([n_low, n_high], 1), np.stack([s_low, s_high], 1)
+            goes_on = n_both >= max(2 * self.least, 2)
+            asked = np.flatnonzero(goes_on.any(1))
+            if not len(asked):
+                break
+            # the cells of the smaller children are summed, the others' are what is left of their parents'
+            smaller = n_both[asked].argmin(1)
+            place = np.full(len(left), -1)
+            place[new[asked] + smaller] = np.arange(len(asked))
+            picked = np.flatnonzero(used & (place >= 0)[node])
+            c_small, t_small = self._binned(bins, picked, target, place[node[picked]], len(asked))
+            parent = np.flatnonzero(split)[asked]
+            both = [np.stack([small, whole[:, parent] - small], 2) for small, whole in ((c_small, count), (t_small, total))]
+            first = np.stack([smaller == 0, smaller == 1], 1)  # the place of the left child, then of the right one, is 0 where it is the smaller
+            pick, side = np.nonzero(goes_on[asked])
+            at = np.where(first[pick, side], 0, 1)
+            count, total = (x[:, pick, at] for x in both)
+            nodes, counts, sums = new[asked][pick] + side, n_both[asked][pick, side], s_both[asked][pick, side]
+        return T.Tree(left, np.where(left >= 0, left + 1, -1), feature, cut.astype(float), value, np.empty(0, np.int64)), node
+
+    def _binned(self, bins: np.ndarray, rows: np.ndarray, target: np.ndarray, place: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and sums of the cells (feature, node, bin) of some rows."""
+        width, size, at, of = len(bins), nodes * self.bins, place * self.bins, target[rows]
+        step = max(1, CELLS // max(1, len(rows)))
+        count, total = np.empty((width, size), np.int64), np.empty((width, size))
+        for low in range(0, width, step):
+            some = bins[low : low + step]
+            cell = some.take(rows, 1) + at
+            if len(some) > 1:
+                cell += (np.arange(len(some)) * size)[:, None]
+            cell = cell.ravel()
+            count[low : low + step] = np.bincount(cell, minlength=len(some) * size).reshape(-1, size)
+            total[low : low + step] = np.bincount(cell, np.tile(of, len(some)) if len(some) > 1 else of, len(some) * size).reshape(-1, size)
+        return count.reshape(width, nodes, self.bins), total.reshape(width, nodes, self.bins)
+
+    def _best(self, count: np.ndarray, total: np.ndarray, n: np.ndarray, s: np.ndarray, path: np.ndarray, number: int) -> tuple[tuple, tuple]:
+        """Of each node the feature (-1: no split) and last bin on the left as ``best_split`` picks them, and the rows and sums there."""
+        drawn = np.stack([self._drawn(len(count), int(p), number) for p in path], 1) if self.columns < 1 else None
+        out = []
+        for low in range(0, len(n), 256):  # bounded in memory
+            some = slice(low, low + 256)
+            left, sums = count[:, some].cumsum(2)[:, :, :-1], total[:, some].cumsum(2)[:, :, :-1]
+            all_n, all_s = n[some][:, None], s[some][:, None]
+            right = all_n - left
+            gain = sums**2 / np.maximum(left, 1) + (all_s - sums) ** 2 / np.maximum(right, 1) - all_s * all_s / np.maximum(all_n, 1)
+            valid = (left >= max(1, self.least)) & (right >= max(1, self.least))
+            if drawn is not None:
+                valid &= drawn[:, some, None]
+            gain = np.where(valid, gain, 0.0).transpose(1, 0, 2).reshape(left.shape[1], -1)
+            top = gain.max(1)
+            best = (gain >= (top * (1 - 1e-9))[:, None]).argmax(1)
+            f, b = np.divmod(best, left.shape[2])
+            each = np.arange(len(f))
+            none = top <= 1e-12 * np.maximum(1.0, (all_s * all_s / np.maximum(all_n, 1))[:, 0])
+            out.append((np.where(none, -1, f), b, left[f, each, b], sums[f, each, b]))
+        f, b, left, sums = (np.concatenate(x) for x in zip(*out))
+        return (f, b), (left, sums)
+
+    def _drawn(self, width: int, path: int, number: int) -> np.ndarray:
+        """Whether each feature is drawn for a node."""
+        drawn = np.ones(width, bool)
+        if self.columns < 1:
+            drawn[:] = False
+            drawn[np.random.default_rng([self.seed, number, path]).permutation(width)[: int(np.ceil(self.columns * width))]] = True
+        return drawn
 
     def _edges(self, rows: DataFrame, held: Sequence[int | None]) -> tuple[int, list[list[np.ndarray]]]:
         """The number of rows, and per fit and feature the upper ends of all bins but the last, from the rows the fit learns from."""
         shares = [i / self.bins for i in range(1, self.bins)] + [1.0]
         learns = [F.when(F.lit(h is None) | (F.col("__fold") != F.lit(h)), F.col("__v")) for h in held]
         long = rows.select("__fold", F.posexplode("__x").alias("__i", "__v"))
-        found = long.groupBy("__i").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(v, shares, 10_000).alias(f"e{k}") for k, v in enumerate(learns)])
+        found = long.groupBy("__i").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(v, shares, ACCURACY).alias(f"e{k}") for k, v in enumerate(learns)])
         found = sorted(found.collect(), key=lambda r: r["__i"])  # one row per feature
 
         def ends(values: list[float] | None) -> np.ndarray:
@@ -259,11 +415,7 @@ class BoostedTrees(Estimator):
                             yield (k, nodes[here[part[0]]]), (bins[part], target[part])
 
     def _split(self, count: np.ndarray, total: np.ndarray, path: int, number: int) -> tuple | None:
-        drawn = np.ones(len(count), bool)
-        if self.columns < 1:
-            drawn[:] = False
-            drawn[np.random.default_rng([self.seed, number, path]).permutation(len(count))[: int(np.ceil(self.columns * len(count)))]] = True
-        return best_split(count, total, self.least, drawn)
+        return best_split(count, total, self.least, self._drawn(len(count), path, number))
 
     def _met(self, cell, path: int, number: int, width: int) -> tuple:
         """((fit, node), mean target, best split) of a node whose cells have met."""
@@ -313,6 +465,36 @@ def _blocks(rows: DataFrame, edges: list[list[np.ndarray]]):
     return rows.mapInPandas(pack, "BLOCK binary").rdd.map(load)
 
 
+def _wholes(rows: DataFrame, edges: list[list[np.ndarray]]):
+    """(fit, its rows, margins at 0) as an RDD with a partition for each fit."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pickle
+
+        task, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch["__x"].to_numpy())
+                others = batch["__y"].to_numpy(float), batch["__fold"].to_numpy(), batch["__draw"].to_numpy(np.int64)
+                for k, edge in enumerate(edges):
+                    bins = np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(edge)]).astype(np.uint8)
+                    yield pd.DataFrame({"FIT": [k], "TASK": [task], "NUMBER": [number], "PIECE": [pickle.dumps((bins, *others))]})
+                number += 1
+
+    def meet(pieces: Iterable) -> Iterator[tuple[int, Whole]]:
+        import pickle
+
+        met: dict[int, list] = {}
+        for k, piece in pieces:
+            met.setdefault(k, []).append(piece)
+        for k, own in met.items():
+            bins, y, fold, draw = zip(*[pickle.loads(piece) for _, _, piece in sorted(own, key=lambda p: p[:2])])
+            yield k, Whole(np.concatenate(bins, 1), np.concatenate(y), np.concatenate(fold), np.concatenate(draw), np.zeros(sum(map(len, y))))
+
+    packed = rows.mapInPandas(pack, "FIT int, TASK int, NUMBER int, PIECE binary").rdd
+    return packed.map(lambda r: (r.FIT, (r.TASK, r.NUMBER, bytes(r.PIECE)))).partitionBy(len(edges), lambda k: k).mapPartitions(meet)
+
+
 def _moved(block: Block, grown: Sequence[T.Tree], weight: float) -> Block:
     """The block with the margins after a round."""
     steps = np.stack([tree.value[tree.ends(bins)] for tree, bins in zip(grown, block.bins)])

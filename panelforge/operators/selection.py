@@ -282,7 +282,7 @@ def boosting_curve(df: DataFrame, features: Sequence[str], label: str, estimator
     if not held:
         return min(first, most), np.empty(0)
     fit = estimator.copy().setFeaturesCol("features").setLabelCol(label).setMaxIter(most)
-    mean = fit.boost(df, held, column, loss, lambda curves: early_stop(curves.mean(1), patience) is not None)[1].mean(1)
+    mean = fit.boost(df, held, column, loss, lambda curves: early_stop(curves.mean(1), patience) is not None, keep=False)[1].mean(1)
     stop = early_stop(mean, patience)
     return stop or int(mean.argmin()) + 1, mean
 
