@@ -174,16 +174,16 @@ class BoostedTrees(Estimator):
         fold = F.col(column).cast("int") if any(h is not None for h in held) else F.lit(-1)
         draw = F.xxhash64(*(self.keys or [c for c, kind in df.dtypes if kind != "vector"]))
         rows = df.select(x.alias("__x"), F.col(self.label).cast("double").alias("__y"), fold.alias("__fold"), draw.alias("__draw"))
-        n, edges = self._edges(rows, held)
+        n = rows.count()
         if not n:
             return [[] for _ in held], np.empty((0, len(held)))
+        edges = _whole_edges(rows, held, self.bins) if n <= ROWS else self._edges(rows, held)
         ensure_checkpoint_dir(df.sparkSession)
         rounds = self._whole_rounds(rows, edges, held, loss, keep) if n <= ROWS else self._level_rounds(rows, edges, held, loss, n)
         fits, curves = [[] for _ in held], []
         with closing(rounds):
             for grown, sums in rounds:
                 for trees, tree, edge in zip(fits, grown, edges) if keep else ():
-                    tree.left, tree.right, tree.feature = (x.astype(np.int32) for x in (tree.left, tree.right, tree.feature))
                     tree.threshold = np.array([edge[f][int(t)] if f >= 0 else 0.0 for f, t in zip(tree.feature, tree.threshold)])
                     trees.append(tree)
                 curves.append(sums[0] / np.maximum(sums[1], 1))
@@ -286,7 +286,8 @@ class BoostedTrees(Estimator):
             at = np.where(first[pick, side], 0, 1)
             count, total = (x[:, pick, at] for x in both)
             nodes, counts, sums = new[asked][pick] + side, n_both[asked][pick, side], s_both[asked][pick, side]
-        return T.Tree(left, np.where(left >= 0, left + 1, -1), feature, cut.astype(float), value, np.empty(0, np.int64)), node
+        left, right, feature = (x.astype(np.int32) for x in (left, np.where(left >= 0, left + 1, -1), feature))
+        return T.Tree(left, right, feature, cut.astype(np.float32), value, np.empty(0, np.int64)), node
 
     def _binned(self, bins: np.ndarray, rows: np.ndarray, target: np.ndarray, place: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
         """Counts and sums of the cells (feature, node, bin) of some rows."""
@@ -334,18 +335,14 @@ class BoostedTrees(Estimator):
             drawn[np.random.default_rng([self.seed, number, path]).permutation(width)[: int(np.ceil(self.columns * width))]] = True
         return drawn
 
-    def _edges(self, rows: DataFrame, held: Sequence[int | None]) -> tuple[int, list[list[np.ndarray]]]:
-        """The number of rows, and per fit and feature the upper ends of all bins but the last, from the rows the fit learns from."""
+    def _edges(self, rows: DataFrame, held: Sequence[int | None]) -> list[list[np.ndarray]]:
+        """Per fit and feature the upper ends of all bins but the last, from the rows the fit learns from."""
         shares = [i / self.bins for i in range(1, self.bins)] + [1.0]
         learns = [F.when(F.lit(h is None) | (F.col("__fold") != F.lit(h)), F.col("__v")) for h in held]
         long = rows.select("__fold", F.posexplode("__x").alias("__i", "__v"))
-        found = long.groupBy("__i").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(v, shares, ACCURACY).alias(f"e{k}") for k, v in enumerate(learns)])
+        found = long.groupBy("__i").agg(*[F.percentile_approx(v, shares, ACCURACY).alias(f"e{k}") for k, v in enumerate(learns)])
         found = sorted(found.collect(), key=lambda r: r["__i"])  # one row per feature
-
-        def ends(values: list[float] | None) -> np.ndarray:
-            return np.unique(values or [0.0])[:-1]  # a bin that ends at the largest value parts nothing
-
-        return found[0].n if found else 0, [[ends(r[f"e{k}"]) for r in found] for k in range(len(held))]
+        return [[_ends(r[f"e{k}"] or []) for r in found] for k in range(len(held))]
 
     def _tree(self, state, held: Sequence[int | None], number: int, n: int, width: int, parts: int) -> list[T.Tree]:
         """One tree per fit: a job per level while nodes have more than ``ROWS`` rows, and one for all that is below the others."""
@@ -465,6 +462,66 @@ def _blocks(rows: DataFrame, edges: list[list[np.ndarray]]):
     return rows.mapInPandas(pack, "BLOCK binary").rdd.map(load)
 
 
+def _ends(values: Sequence[float]) -> np.ndarray:
+    return np.unique(values if len(values) else [0.0])[:-1]  # a bin that ends at the largest value parts nothing
+
+
+def _points(values: np.ndarray) -> tuple[np.ndarray, float]:
+    """Sorted values at even ranks, the largest among them, and the number of values that each stands for; all of them, if they are few."""
+    n = len(values)
+    if n <= ACCURACY:
+        return values, 1.0
+    at = ((np.arange(ACCURACY) + 0.5) * (n / ACCURACY)).astype(np.int64)
+    at[-1] = n - 1
+    return values[at], n / ACCURACY
+
+
+def _whole_edges(rows: DataFrame, held: Sequence[int | None], bins: int) -> list[list[np.ndarray]]:
+    """``_edges`` from sorted values: some rows leave ``ACCURACY`` values at most per feature and fold, and a feature's meet in a task."""
+    folds = [h for h in dict.fromkeys(held) if h is not None]
+
+    def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pickle
+
+        def left(parts: list[pd.DataFrame]) -> pd.DataFrame:
+            x, fold = (np.concatenate(v) for v in zip(*[(np.stack(p["__x"].to_numpy()), p["__fold"].to_numpy()) for p in parts]))
+            of = np.array([folds.index(f) if f in folds else -1 for f in fold])
+            groups = [np.sort(x[of == g], axis=0) for g in range(-1, len(folds))]
+            return pd.DataFrame({"FEATURE": range(x.shape[1]), "PIECE": [pickle.dumps([_points(g[:, i]) for g in groups]) for i in range(x.shape[1])]})
+
+        held_back: list[pd.DataFrame] = []
+        for batch in batches:
+            if len(batch):
+                held_back.append(batch)
+            if sum(map(len, held_back)) >= PART:
+                yield left(held_back)
+                held_back = []
+        if held_back:
+            yield left(held_back)
+
+    def meet(pieces: Iterable) -> Iterator[tuple[int, list[np.ndarray]]]:
+        import pickle
+
+        met: dict[int, list] = {}
+        for i, piece in pieces:
+            met.setdefault(i, []).append(pickle.loads(piece))
+        shares = np.append(np.arange(1, bins) / bins, 1.0)
+        for i, own in met.items():
+            out = []
+            for h in held:
+                some = [part[g] for part in own for g in range(len(folds) + 1) if h is None or g != folds.index(h) + 1]
+                values, weights = np.concatenate([v for v, _ in some]), np.concatenate([np.full(len(v), w) for v, w in some])
+                order = np.argsort(values, kind="stable")
+                upto = weights[order].cumsum()
+                at = np.searchsorted(upto, shares * upto[-1] * (1 - 1e-12)) if len(upto) else []
+                out.append(_ends(values[order][np.minimum(at, len(upto) - 1)] if len(upto) else []))
+            yield i, out
+
+    packed = rows.select("__x", "__fold").mapInPandas(sort, "FEATURE int, PIECE binary").rdd.map(lambda r: (r.FEATURE, bytes(r.PIECE)))
+    found = dict(packed.partitionBy(8, lambda i: i).mapPartitions(meet).collect())  # fits x bins numbers per feature
+    return [[found[i][k] for i in sorted(found)] for k in range(len(held))]
+
+
 def _wholes(rows: DataFrame, edges: list[list[np.ndarray]]):
     """(fit, its rows, margins at 0) as an RDD with a partition for each fit."""
 

@@ -5,7 +5,7 @@
   row per year and window, no panel row is copied), and column expressions solve
   the normal equations on a table with one row per target year.
 * Tree ensembles, logistic regression, MLP and linear SVM use MLlib; boosting
-  is ``boosting.BoostedTrees``, all folds of a window in one job per level.
+  is ``boosting.BoostedTrees``, all folds of a window in one job per ten rounds.
   The panel is written once, partitioned by year; each target year reads only the
   years of its window. The driver loops over target years, never over rows.
   Medians, means and the number of boosting rounds are taken from the window
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from panelforge.operators import least_squares
 from panelforge.operators.boosting import BoostedTrees
 from panelforge.operators.quantiles import exact_quantiles, fold_medians_in_bracket
-from panelforge.session import materialize, shared_scratch, write_once
+from panelforge.session import materialize, release_shuffles, shared_scratch, write_once
 
 
 def training_windows(panel: DataFrame, target_years: Sequence[int], n_back: int, year: str = "YEAR") -> DataFrame:
@@ -305,6 +305,7 @@ def walk_forward_fit_predict(panel: DataFrame, features: Sequence[str], label: s
     spark = panel.sparkSession
     schema = panel.select(*train_cols, F.col(year).cast("int").alias("__part")).schema
     rows = write_once(score_rows.where(F.col(year).isin(list(target_years))).select(*dict.fromkeys([*columns, year])), "walk-forward-rows")
+    release_shuffles(spark)  # those that built the panel
     empty = {"PREDICTION": F.lit(None).cast("double"), **({"PROBABILITY": F.lit(None).cast("double")} if probability else {})}
 
     def fit_year(x: int):

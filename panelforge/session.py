@@ -7,6 +7,7 @@ helpers here are for tests, ``bench.py`` and scripts.
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import shutil
@@ -100,6 +101,18 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     return f"{folder}/data"
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished queries now, not when the driver happens to collect its garbage.
+
+    For use between a large preparation, whose result is written, and long work on that result.
+    """
+    gc.collect()
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no JVM; its server cleans up by itself
+        pass
+
+
 def write_once(df, name: str):
     """Write ``df`` as Parquet in a scratch folder and read it back.
 

@@ -99,3 +99,24 @@ def test_fits_without_rows(rows):
     assert empty.agg(F.max("prediction"), F.min("prediction")).first() == (0.0, 0.0)
     one = estimator("squared", maxIter=2).fit(rows.where("ID = 5"))
     assert [len(t.left) for t in one.trees] == [1, 1]
+
+
+def test_edges_are_quantiles_of_the_rows_a_fit_learns_from(spark, rows, monkeypatch):
+    few = rows.select(F.col("features").alias("f"), "FOLD").select(M.vector_to_array("f").alias("__x"), F.col("FOLD").alias("__fold"))
+    est, held = estimator("squared"), [0, 3, None]
+    for own, other in zip(B._whole_edges(few, held, 32), est._edges(few, held)):
+        assert len(own) == len(other) == 4 and all((a == b).all() for a, b in zip(own, other))
+    many = spark.range(40_000).selectExpr("array(cast(pmod(xxhash64(id), 1000003) as double), if(id % 3 = 0, 1D, 0D)) AS __x", "cast(id % 5 as int) AS __fold").repartition(3)
+    for h, (spread, two) in zip([2, None], B._whole_edges(many, [2, None], 32)):
+        values = np.array([r[0][0] for r in (many if h is None else many.where(F.col("__fold") != h)).collect()])
+        share = np.searchsorted(np.sort(values), spread, side="right") / len(values)
+        assert len(spread) == 31 and np.abs(share - np.arange(1, 32) / 32).max() < 1e-3 and list(two) == [0.0]
+
+
+def test_shuffles_of_the_panel_are_let_go_before_the_fits(spark, rows, monkeypatch):
+    seen = []
+    monkeypatch.setattr(M, "release_shuffles", lambda s: seen.append("released"))
+    est = estimator("squared", maxIter=2)
+    panel = rows.drop("features").withColumn("YEAR", (F.col("ID") % 3).cast("int"))
+    M.walk_forward_fit_predict(panel, XS, "Y", [2], 2, est, panel, keep=("YEAR", "ID"), carry=["ID"], tune=lambda df: (seen.append("fitted"), est)[1]).collect()
+    assert seen == ["released", "fitted"]
