@@ -42,6 +42,8 @@ from panelforge.session import ensure_checkpoint_dir
 ROWS, PART, CUT = 1 << 21, 100_000, 10
 #: Jobs of whole fits after which their lineage is cut; rank error of the bins' edges, as 1 / ACCURACY; cells that are counted at once.
 JOBS, ACCURACY, CELLS = 10, 2_000, 1 << 16
+#: Rows that go down a level at once, and whose values are sorted at once.
+STEP, SORT = 1 << 17, 25_000
 
 
 def _target(kind: str, y: np.ndarray, margin: np.ndarray, first: bool) -> np.ndarray:
@@ -242,7 +244,7 @@ class BoostedTrees(Estimator):
     def _grown(self, bins: np.ndarray, used: np.ndarray, target: np.ndarray, number: int) -> tuple[T.Tree, np.ndarray]:
         """The tree that the ``used`` ones of all rows grow, with bins as thresholds, and the leaf of every row."""
         width, n = bins.shape
-        flat, row = bins.ravel(), np.arange(n)
+        flat = bins.ravel()
         picked = np.flatnonzero(used)
         count, total = self._binned(bins, picked, target, np.zeros(len(picked), np.int64), 1)
         counts, sums = count[0].sum(1), total[0].sum(1)  # of the level's nodes that may be split
@@ -250,12 +252,12 @@ class BoostedTrees(Estimator):
         left, feature, cut, value, path = tree
         nodes, node = np.arange(1), np.zeros(n, np.int64)
         for level in range(self.depth):
-            found, low = self._best(count, total, counts, sums, path[nodes], number)
+            found, lows = self._best(count, total, counts, sums, path[nodes], number)
             split = found[0] >= 0
             if not split.any():
                 break
             f, b = (x[split] for x in found)
-            some, n_low, s_low = nodes[split], *(x[split] for x in low)
+            some, n_low, s_low = nodes[split], *(x[split] for x in lows)
             n_high, s_high = counts[split] - n_low, sums[split] - s_low
             new = len(left) + 2 * np.arange(len(some))
             left[some], feature[some], cut[some] = new, f, b
@@ -265,7 +267,9 @@ class BoostedTrees(Estimator):
             path = np.concatenate([path, (2 * path[some, None] + np.arange(2)).ravel()])
             # every row goes on to its child
             to, of, last = np.where(left >= 0, left, np.arange(len(left))), np.maximum(feature, 0) * n, np.where(left >= 0, cut, bins.itemsize << 16)
-            node = to[node] + (flat[of[node] + row] > last[node])
+            for low in range(0, n, STEP):
+                at = node[low : low + STEP]
+                node[low : low + STEP] = to[at] + (flat[of[at] + np.arange(low, low + len(at))] > last[at])
             if level + 1 == self.depth:
                 break
             n_both, s_both = np.stack([n_low, n_high], 1), np.stack([s_low, s_high], 1)
@@ -493,7 +497,7 @@ def _whole_edges(rows: DataFrame, held: Sequence[int | None], bins: int) -> list
         for batch in batches:
             if len(batch):
                 held_back.append(batch)
-            if sum(map(len, held_back)) >= PART:
+            if sum(map(len, held_back)) >= SORT:
                 yield left(held_back)
                 held_back = []
         if held_back:
@@ -535,7 +539,7 @@ def _wholes(rows: DataFrame, edges: list[list[np.ndarray]]):
                 others = batch["__y"].to_numpy(float), batch["__fold"].to_numpy(), batch["__draw"].to_numpy(np.int64)
                 for k, edge in enumerate(edges):
                     bins = np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(edge)]).astype(np.uint8)
-                    yield pd.DataFrame({"FIT": [k], "TASK": [task], "NUMBER": [number], "PIECE": [pickle.dumps((bins, *others))]})
+                    yield pd.DataFrame({"FIT": [k], "TASK": [task], "NUMBER": [number], "ROWS": [len(x)], "PIECE": [pickle.dumps((bins, *others))]})
                 number += 1
 
     def meet(pieces: Iterable) -> Iterator[tuple[int, Whole]]:
@@ -545,11 +549,19 @@ def _wholes(rows: DataFrame, edges: list[list[np.ndarray]]):
         for k, piece in pieces:
             met.setdefault(k, []).append(piece)
         for k, own in met.items():
-            bins, y, fold, draw = zip(*[pickle.loads(piece) for _, _, piece in sorted(own, key=lambda p: p[:2])])
-            yield k, Whole(np.concatenate(bins, 1), np.concatenate(y), np.concatenate(fold), np.concatenate(draw), np.zeros(sum(map(len, y))))
-
-    packed = rows.mapInPandas(pack, "FIT int, TASK int, NUMBER int, PIECE binary").rdd
-    return packed.map(lambda r: (r.FIT, (r.TASK, r.NUMBER, bytes(r.PIECE)))).partitionBy(len(edges), lambda k: k).mapPartitions(meet)
+            own.sort(key=lambda p: p[:2], reverse=True)
+            n, at, whole = sum(rows for _, _, rows, _ in own), 0, None
+            while own:  # a piece goes as it is taken up: the rows are held once
+                _, _, rows, piece = own.pop()
+                parts = pickle.loads(piece)
+                whole = whole or Whole(*[np.empty((*x.shape[:-1], n), x.dtype) for x in parts], np.zeros(n))
+                for out, part in zip((whole.bins, whole.y, whole.fold, whole.draw), parts):
+                    out[..., at : at + rows] = part
+                at += rows
+            yield k, whole
+
+    packed = rows.mapInPandas(pack, "FIT int, TASK int, NUMBER int, ROWS int, PIECE binary").rdd
+    return packed.map(lambda r: (r.FIT, (r.TASK, r.NUMBER, r.ROWS, bytes(r.PIECE)))).partitionBy(len(edges), lambda k: k).mapPartitions(meet)
 
 
 def _moved(block: Block, grown: Sequence[T.Tree], weight: float) -> Block:
